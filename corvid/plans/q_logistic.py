@@ -1 +1,243 @@
-"""placeholder"""
+"""Registered logistic-regression queries with SQL oracles.
+
+Input (``inputs.sparse_points``): bag of words of the labelled documents,
+y = 2·quality − 1, test rows doc_id % 5 = 0 (train/test split, both used).
+A fixed, data-derived probe β_f = ((length(f) % 7) − e)/100 drives the
+single-call operators (offset e, see PROBE_OFFSET).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvid.operators import logistic as L
+from corvid.plans import inputs
+from corvid.plans.registry import register
+from corvid.plans.sqlfrag import norm, tokens
+
+N_GROUPS = 20
+LAM = 0.1
+DELTA = 1e-4
+
+XL = (f"xl AS (SELECT doc_id AS row_id, word AS feature, CAST(count(*) AS DOUBLE) AS value FROM "
+      f"(SELECT doc_id, {norm('t')} AS word FROM (SELECT doc_id, unnest({tokens('text')}) AS t FROM documents "
+      f"WHERE doc_id IN (SELECT doc_id FROM labels))) WHERE word <> '' GROUP BY 1, 2)")
+PT = "pt AS (SELECT doc_id AS row_id, CAST(quality * 2 - 1 AS INTEGER) AS y, doc_id % 5 = 0 AS is_test FROM labels)"
+# probe offset: irrational, so no margin is exactly zero and its sign does not
+# depend on the order of summation
+PROBE_OFFSET = 2.718281828459045
+BP = f"bp AS (SELECT DISTINCT feature, (length(feature) % 7 - {PROBE_OFFSET!r}) / 100.0 AS value FROM xl)"
+SOFTPLUS = "(greatest({z}, 0.0) + ln(1 + exp(-abs({z}))))"
+MARG = ("mg AS (SELECT pt.row_id, pt.y, pt.is_test, coalesce(m.margin, 0.0) AS margin FROM pt LEFT JOIN "
+        "(SELECT xl.row_id, sum(xl.value * bp.value) AS margin FROM xl JOIN bp ON bp.feature = xl.feature GROUP BY xl.row_id) m "
+        "ON m.row_id = pt.row_id)")
+BASE = f"WITH {XL}, {PT}, {BP}, {MARG}"
+
+
+def sp(z: str) -> str:
+    return SOFTPLUS.format(z=z)
+
+
+def _data(spark, sf):
+    return inputs.sparse_points(spark, sf)
+
+
+def _probe(x_long):
+    return L.all_features(x_long).select(
+        "feature", ((F.length("feature") % 7 - F.lit(PROBE_OFFSET)) / F.lit(100.0)).alias("value"))
+
+
+@register("all_features", f"WITH {XL} SELECT DISTINCT feature FROM xl")
+def q_all_features(spark, sf):
+    return L.all_features(_data(spark, sf)[1])
+
+
+@register("group_data", f"WITH {PT} SELECT CAST(row_id % {N_GROUPS} AS INTEGER) AS pid, count(*) AS n_rows FROM pt GROUP BY 1")
+def q_group_data(spark, sf):
+    g = L.group_data(_data(spark, sf)[0], N_GROUPS)
+    return g.groupBy("pid").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("partition_stats", f"""WITH {XL}, {PT},
+r AS (SELECT row_id % {N_GROUPS} AS pid, count(*) AS rows FROM pt GROUP BY 1),
+f AS (SELECT row_id % {N_GROUPS} AS pid, count(DISTINCT feature) AS features FROM xl GROUP BY 1),
+j AS (SELECT r.pid, r.rows, coalesce(f.features, 0) AS features FROM r LEFT JOIN f ON f.pid = r.pid)
+SELECT min(rows) AS rows_min, max(rows) AS rows_max, round(avg(rows), 9) AS rows_avg,
+       min(features) AS features_min, max(features) AS features_max, round(avg(features), 9) AS features_avg FROM j""")
+def q_partition_stats(spark, sf):
+    pts, xl = _data(spark, sf)
+    s = L.partition_stats(xl, pts, N_GROUPS)
+    return s.select("rows_min", "rows_max", F.round("rows_avg", 9).alias("rows_avg"),
+                    "features_min", "features_max", F.round("features_avg", 9).alias("features_avg"))
+
+
+@register("features_to_partitions", f"WITH {XL} SELECT DISTINCT feature, CAST(row_id % {N_GROUPS} AS INTEGER) AS pid FROM xl")
+def q_features_to_partitions(spark, sf):
+    return L.features_to_partitions(_data(spark, sf)[1], N_GROUPS)
+
+
+@register("send_to_partitions", f"WITH {XL}, {BP}, f2p AS (SELECT DISTINCT feature, CAST(row_id % {N_GROUPS} AS INTEGER) AS pid FROM xl) "
+          "SELECT f2p.pid, f2p.feature, bp.value FROM f2p JOIN bp ON bp.feature = f2p.feature")
+def q_send_to_partitions(spark, sf):
+    xl = _data(spark, sf)[1]
+    s = L.send_to_partitions(_probe(xl), L.features_to_partitions(xl, N_GROUPS))
+    return s.select("pid", "feature", "value")
+
+
+@register("logistic_loss", f"{BASE} SELECT row_id, round(margin, 9) AS margin, round({sp('-y * margin')}, 9) AS loss FROM mg")
+def q_logistic_loss(spark, sf):
+    from corvid.functions.vectors import logistic_loss
+    pts, xl = _data(spark, sf)
+    m = L.margins(pts, xl, _probe(xl))
+    return m.select("row_id", F.round("margin", 9).alias("margin"),
+                    F.round(logistic_loss(F.col("margin"), F.col("y")), 9).alias("loss"))
+
+
+@register("logistic_row_gradient", f"{BASE} SELECT row_id, round(-y / (1.0 + exp(y * margin)), 9) AS coef FROM mg")
+def q_logistic_row_gradient(spark, sf):
+    from corvid.functions.vectors import logistic_coef
+    pts, xl = _data(spark, sf)
+    m = L.margins(pts, xl, _probe(xl))
+    return m.select("row_id", F.round(logistic_coef(F.col("margin"), F.col("y")), 9).alias("coef"))
+
+
+@register("total_loss", f"{BASE}, r AS (SELECT sum(value * value) AS bb FROM bp) "
+          f"SELECT round(sum({sp('-y * margin')}) + {LAM!r} * any_value(r.bb), 6) AS loss FROM mg, r WHERE NOT is_test")
+def q_total_loss(spark, sf):
+    pts, xl = _data(spark, sf)
+    v = L.total_loss(pts.where(~F.col("is_test")), xl, _probe(xl), LAM)
+    return spark.createDataFrame([(round(v, 6),)], "loss double")
+
+
+GRAD = ("gr AS (SELECT bp.feature, coalesce(g.g, 0.0) + 2 * {lam} * bp.value AS value FROM bp LEFT JOIN "
+        "(SELECT xl.feature, sum((-mg.y / (1.0 + exp(mg.y * mg.margin))) * xl.value) AS g FROM xl JOIN mg "
+        "ON mg.row_id = xl.row_id WHERE NOT mg.is_test GROUP BY xl.feature) g ON g.feature = bp.feature)").format(lam=repr(LAM))
+
+
+@register("total_gradient", f"{BASE}, {GRAD} SELECT feature, round(value, 9) AS value FROM gr")
+def q_total_gradient(spark, sf):
+    pts, xl = _data(spark, sf)
+    g = L.total_gradient(pts.where(~F.col("is_test")), xl, _probe(xl), LAM)
+    return g.select("feature", F.round("value", 9).alias("value"))
+
+
+LS = (f"""{BASE}, {GRAD},
+sl AS (SELECT mg.row_id, mg.y, mg.margin, coalesce(s.s, 0.0) AS s FROM mg LEFT JOIN
+       (SELECT xl.row_id, sum(xl.value * gr.value) AS s FROM xl JOIN gr ON gr.feature = xl.feature GROUP BY xl.row_id) s
+       ON s.row_id = mg.row_id WHERE NOT mg.is_test),
+vt AS (SELECT sum(bp.value * bp.value) AS bb, sum(bp.value * gr.value) AS bg, sum(gr.value * gr.value) AS gg
+       FROM bp JOIN gr ON gr.feature = bp.feature),
+cand AS (SELECT k, t FROM (WITH RECURSIVE c(k, t) AS (SELECT 0, CAST(1.0 AS DOUBLE) UNION ALL
+         SELECT k + 1, t * 0.6 FROM c WHERE k < 63) SELECT * FROM c)),
+f0 AS (SELECT sum({sp('-y * margin')}) + {LAM!r} * any_value(vt.bb) AS f0 FROM sl, vt),
+ft AS (SELECT cand.k, cand.t, sum({sp('-y * (margin - cand.t * s)')})
+         + {LAM!r} * (any_value(vt.bb) - 2 * cand.t * any_value(vt.bg) + cand.t * cand.t * any_value(vt.gg)) AS ft
+       FROM sl, cand, vt GROUP BY cand.k, cand.t)
+SELECT ft.t AS step, round(ft.ft, 6) AS objective, CAST(ft.k AS INTEGER) AS rejected FROM ft, f0, vt
+WHERE ft.ft <= f0.f0 - 0.2 * ft.t * vt.gg ORDER BY ft.k LIMIT 1""")
+
+
+@register("backtracking_line_search", LS)
+def q_line_search(spark, sf):
+    """First accepted step along −∇ from the probe β (λ = 0.1), all 64
+    candidates in one aggregate."""
+    pts, xl = _data(spark, sf)
+    tr = pts.where(~F.col("is_test"))
+    beta = _probe(xl)
+    m = L.margins(tr, xl, beta)
+    g = L.gradient_from_rows(m, xl, beta, LAM)
+    bb, bg, gg = L._vec_terms(beta, g)
+    rows_s = L.slopes(m, xl, g, L.FeatureJoin(True))
+    t, ft, f0, k = L.line_search(rows_s, bb, bg, gg, LAM)
+    return spark.createDataFrame([(t, round(ft, 6), k)], "step double, objective double, rejected int")
+
+
+@register("beta_init", f"WITH {XL}, {PT} SELECT DISTINCT xl.feature, 0.0 AS value FROM xl JOIN pt ON pt.row_id = xl.row_id WHERE NOT pt.is_test")
+def q_beta_init(spark, sf):
+    pts, xl = _data(spark, sf)
+    return L.beta_init(xl.join(pts.where(~F.col("is_test")).select("row_id"), "row_id", "left_semi"))
+
+
+@register("beta_update", f"{BASE}, {GRAD} SELECT bp.feature, round(bp.value - 0.01 * gr.value, 9) AS value FROM bp JOIN gr ON gr.feature = bp.feature")
+def q_beta_update(spark, sf):
+    """β ← β − γ∇ with γ = 0.01 at the probe β."""
+    pts, xl = _data(spark, sf)
+    beta = _probe(xl)
+    g = L.total_gradient(pts.where(~F.col("is_test")), xl, beta, LAM).withColumnRenamed("value", "_g")
+    return beta.join(g, "feature").select("feature", F.round(F.col("value") - F.lit(0.01) * F.col("_g"), 9).alias("value"))
+
+
+CONF = ("SELECT count_if(margin > 0) AS P, count_if(margin < 0) AS N, count_if(margin > 0 AND y = 1) AS TP, "
+        "count_if(margin > 0 AND y = -1) AS FP, count_if(margin < 0 AND y = -1) AS TN, count_if(margin < 0 AND y = 1) AS FN FROM mg")
+
+
+@register("confusion_counts", f"{BASE} {CONF}")
+def q_confusion_counts(spark, sf):
+    pts, xl = _data(spark, sf)
+    return L.confusion_counts(L.margins(pts, xl, _probe(xl)))
+
+
+@register("evaluate_logistic", f"{BASE}, c AS ({CONF}) SELECT *, "
+          "round(CASE WHEN P + N = 0 THEN NULL ELSE (TP + TN) / (P + N) END, 9) AS acc, "
+          "round(CASE WHEN TP + FP = 0 THEN NULL ELSE TP / (TP + FP) END, 9) AS pre, "
+          "round(CASE WHEN TP + FN = 0 THEN NULL ELSE TP / (TP + FN) END, 9) AS rec FROM c")
+def q_evaluate_logistic(spark, sf):
+    """Confusion counts and ACC/PRE/REC of the probe β on all labelled rows."""
+    pts, xl = _data(spark, sf)
+    e = L.evaluate(pts, xl, _probe(xl))
+    return e.select("P", "N", "TP", "FP", "TN", "FN", *[F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")])
+
+
+@register("sparse_fd_gradient", f"""{BASE},
+d AS (SELECT xl.feature, sum({sp('-mg.y * (mg.margin + {d} * xl.value)').replace('{d}', repr(DELTA))} - {sp('-mg.y * mg.margin')}) AS dl,
+             sum((-mg.y / (1.0 + exp(mg.y * mg.margin))) * xl.value) AS g
+      FROM xl JOIN mg ON mg.row_id = xl.row_id WHERE NOT mg.is_test GROUP BY xl.feature)
+SELECT bp.feature,
+  round((coalesce(d.dl, 0.0) + {LAM!r} * ((bp.value + {DELTA!r}) * (bp.value + {DELTA!r}) - bp.value * bp.value)) / {DELTA!r}, 4) AS fd,
+  round(coalesce(d.g, 0.0) + 2 * {LAM!r} * bp.value, 4) AS analytic
+FROM bp LEFT JOIN d ON d.feature = bp.feature""")
+def q_sparse_fd_gradient(spark, sf):
+    pts, xl = _data(spark, sf)
+    r = L.sparse_fd_gradient(pts.where(~F.col("is_test")), xl, _probe(xl), LAM, DELTA)
+    return r.select("feature", F.round("fd", 4).alias("fd"), F.round("analytic", 4).alias("analytic"))
+
+
+@register("train_logistic")
+def q_train_logistic(spark, sf):
+    """Training (λ = 0.1, max_iter 5, eps 0.1): β table with the final norm."""
+    pts, xl = _data(spark, sf)
+    fit = L.train(pts, xl, lam=LAM, max_iter=5, eps=0.1)
+    return fit.beta.withColumn("grad_norm", F.lit(fit.grad_norm)).withColumn("iterations", F.lit(fit.iterations))
+
+
+@register("online_test")
+def q_online_test(spark, sf):
+    """History with test ACC/PRE/REC at every iteration (λ = 0.1, 5 iterations)."""
+    pts, xl = _data(spark, sf)
+    fit = L.train(pts, xl, lam=LAM, max_iter=5, eps=0.1, online_test=True)
+    return L.history_frame(spark, fit)
+
+
+@register("logistic_lambda_sweep")
+def q_logistic_lambda_sweep(spark, sf):
+    """Train + test for λ ∈ {0.01, 0.1, 1}: (λ, acc, pre, rec, seconds, grad_norm)."""
+    import time
+    pts, xl = _data(spark, sf)
+    rows = []
+    for lam in (0.01, 0.1, 1.0):
+        t0 = time.time()
+        fit = L.train(pts, xl, lam=lam, max_iter=3, eps=0.1)
+        e = L.evaluate(pts.where(F.col("is_test")), xl, fit.beta).first()
+        rows.append((lam, e["acc"], e["pre"], e["rec"], time.time() - t0, fit.grad_norm))
+    return spark.createDataFrame(rows, "lam double, acc double, pre double, rec double, seconds double, grad_norm double")
+
+
+@register("model_compare")
+def q_model_compare(spark, sf):
+    """Same training under two data layouts (4 vs 20 partitions): the two β
+    tables must agree; reports max |Δ| and both norms."""
+    pts, xl = _data(spark, sf)
+    a = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.1, n_partitions=4).beta
+    b = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.1, n_partitions=20).beta
+    return L.model_compare(a, b).select("n_features", F.round("max_abs_diff", 9).alias("max_abs_diff"),
+                                        F.round("norm_a", 6).alias("norm_a"), F.round("norm_b", 6).alias("norm_b"))
