@@ -1 +1,251 @@
-"""placeholder"""
+"""Registered matrix-factorisation queries with SQL oracles.
+
+Ratings (``inputs.ratings``): customer × supplier from orders ⋈ lineitem,
+r = (avg quantity − 25.5)/25, fold = (i·31 + j) % 5. Update steps are checked
+from the formula profiles ((id·7919 + k·104729) % 1000)/1000 − 0.5, which any
+engine reproduces; training itself starts from the seeded normal init.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corvid.operators import factorization as M
+from corvid.plans import inputs
+from corvid.plans.registry import register
+
+DF = 3
+LAM = 0.05
+MU = 0.05
+GAMMA = 0.001
+TEST_FOLD = 0
+N_FOLDS = 5
+
+RT = ("rt AS (SELECT o.o_custkey AS i, l.l_suppkey AS j, (avg(l.l_quantity) - 25.5) / 25.0 AS r, "
+      "CAST((o.o_custkey * 31 + l.l_suppkey) % 5 AS INTEGER) AS fold FROM lineitem l JOIN orders o "
+      "ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2)")
+
+
+def _fv(col: str, k: int) -> str:
+    return f"((({col} * 7919 + {k * 104729}) % 1000) / 1000.0 - 0.5)"
+
+
+def _dot(a: str, b: str) -> str:
+    return " + ".join(f"{_fv(a, k)} * {_fv(b, k)}" for k in range(DF))
+
+
+TRAIN = f"tr AS (SELECT * FROM rt WHERE fold <> {TEST_FOLD})"
+JOINED = f"jd AS (SELECT i, j, r, ({_dot('i', 'j')}) - r AS delta FROM tr)"
+BASE = f"WITH {RT}, {TRAIN}, {JOINED}"
+
+
+def _ratings(spark, sf):
+    return inputs.ratings(spark, sf)
+
+
+def _train_joined(spark, sf):
+    R = _ratings(spark, sf)
+    tr = R.where(F.col("fold") != TEST_FOLD)
+    U, V = M.init_profiles(tr, DF, method="formula")
+    return tr, U, V, M.join_and_predict(tr, U, V, DF)
+
+
+@register("read_ratings", f"WITH {RT} SELECT i, j, round(r, 9) AS r, fold FROM rt")
+def q_read_ratings(spark, sf):
+    return _ratings(spark, sf).select("i", "j", F.round("r", 9).alias("r"), "fold")
+
+
+@register("read_folds", f"WITH {RT} SELECT fold, count(*) AS n, round(sum(r), 6) AS r_sum FROM rt GROUP BY fold")
+def q_read_folds(spark, sf):
+    """Ratings written as text files fold0..fold4 and read back with one glob
+    scan, the fold taken from the file name."""
+    from corvid.session import scratch_path
+    from corvid.sources.ratings import read_folds, write_folds
+    path = scratch_path(spark, "folds")
+    write_folds(_ratings(spark, sf), path)
+    f = read_folds(spark, path)
+    return f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("r"), 6).alias("r_sum"))
+
+
+@register("rating_ids", f"WITH {RT} SELECT DISTINCT 'i' AS side, i AS id FROM rt UNION ALL SELECT DISTINCT 'j', j FROM rt")
+def q_rating_ids(spark, sf):
+    R = _ratings(spark, sf)
+    return (M.rating_ids(R, "i").select(F.lit("i").alias("side"), F.col("i").alias("id"))
+            .unionByName(M.rating_ids(R, "j").select(F.lit("j").alias("side"), F.col("j").alias("id"))))
+
+
+@register("init_profiles")
+def q_init_profiles(spark, sf):
+    """Seeded normal profiles (d = 10): per side count, mean and variance of
+    all components (a property check: mean ≈ 0, variance ≈ 1)."""
+    U, V = M.init_profiles(_ratings(spark, sf), 10)
+    a = U.select(F.lit("u").alias("side"), F.explode("u").alias("z"))
+    b = V.select(F.lit("v").alias("side"), F.explode("v").alias("z"))
+    return a.unionByName(b).groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.avg("z").alias("mean"),
+                                                 F.var_pop("z").alias("var"))
+
+
+@register("rating_predict", f"WITH {RT} SELECT i, j, round({_dot('i', 'j')}, 9) AS pred FROM rt")
+def q_rating_predict(spark, sf):
+    R = _ratings(spark, sf)
+    U, V = M.init_profiles(R, DF, method="formula")
+    J = R.join(U, "i").join(V, "j")
+    return J.select("i", "j", F.round(M.predict("u", "v", DF), 9).alias("pred"))
+
+
+@register("join_and_predict", f"{BASE} SELECT i, j, round(delta, 9) AS delta FROM jd")
+def q_join_and_predict(spark, sf):
+    _, _, _, J = _train_joined(spark, sf)
+    return J.select("i", "j", F.round("delta", 9).alias("delta"))
+
+
+@register("gradient_u", f"{BASE} SELECT i, j, " + ", ".join(f"round(2.0 * delta * {_fv('j', k)}, 9) AS g{k}" for k in range(DF)) + " FROM jd")
+def q_gradient_u(spark, sf):
+    _, _, _, J = _train_joined(spark, sf)
+    g = J.select("i", "j", M.gradient_u("delta", "v", DF).alias("g"))
+    return g.select("i", "j", *[F.round(F.col("g")[k], 9).alias(f"g{k}") for k in range(DF)])
+
+
+@register("gradient_v", f"{BASE} SELECT i, j, " + ", ".join(f"round(2.0 * delta * {_fv('i', k)}, 9) AS g{k}" for k in range(DF)) + " FROM jd")
+def q_gradient_v(spark, sf):
+    _, _, _, J = _train_joined(spark, sf)
+    g = J.select("i", "j", M.gradient_v("delta", "u", DF).alias("g"))
+    return g.select("i", "j", *[F.round(F.col("g")[k], 9).alias(f"g{k}") for k in range(DF)])
+
+
+@register("squared_error_sum", f"{BASE} SELECT round(sum(delta * delta), 6) AS se, count(*) AS m FROM jd")
+def q_squared_error_sum(spark, sf):
+    _, _, _, J = _train_joined(spark, sf)
+    return M.squared_error(J).select(F.round("se", 6).alias("se"), "m")
+
+
+def _norm_sql(col, reg):
+    return f"round({reg!r} * sum({' + '.join(f'{_fv(col, k)} * {_fv(col, k)}' for k in range(DF))}), 9)"
+
+
+@register("profile_norm", f"{BASE}, ui AS (SELECT DISTINCT i FROM tr) SELECT {_norm_sql('i', LAM)} AS norm_u FROM ui")
+def q_profile_norm(spark, sf):
+    _, U, _, _ = _train_joined(spark, sf)
+    return M.norm_sq(U, "u", DF).select(F.round(F.col("n_u") * F.lit(LAM), 9).alias("norm_u"))
+
+
+@register("mf_objective", f"""{BASE}, ui AS (SELECT DISTINCT i FROM tr), vj AS (SELECT DISTINCT j FROM tr),
+a AS (SELECT sum(delta * delta) AS se FROM jd),
+b AS (SELECT sum({' + '.join(f"{_fv('i', k)} * {_fv('i', k)}" for k in range(DF))}) AS nu FROM ui),
+c AS (SELECT sum({' + '.join(f"{_fv('j', k)} * {_fv('j', k)}" for k in range(DF))}) AS nv FROM vj)
+SELECT round(se + {LAM!r} * nu + {MU!r} * nv, 6) AS objective FROM a, b, c""")
+def q_mf_objective(spark, sf):
+    _, U, V, J = _train_joined(spark, sf)
+    se = M.squared_error(J).first()["se"]
+    nu = M.norm_sq(U, "u", DF).first()["n_u"]
+    nv = M.norm_sq(V, "v", DF).first()["n_v"]
+    return spark.createDataFrame([(round(se + LAM * nu + MU * nv, 6),)], "objective double")
+
+
+def _adapt_sql(side, other, reg):
+    g = ", ".join(f"sum(2.0 * delta * {_fv(other, k)}) AS g{k}" for k in range(DF))
+    sel = ", ".join(f"round({_fv(side, k)} - {GAMMA!r} * (g{k} + 2.0 * {reg!r} * {_fv(side, k)}), 9) AS {'u' if side == 'i' else 'v'}{k}"
+                    for k in range(DF))
+    return f"{BASE}, g AS (SELECT {side}, {g} FROM jd GROUP BY {side}) SELECT {side}, {sel} FROM g"
+
+
+@register("adapt_u", _adapt_sql("i", "j", LAM))
+def q_adapt_u(spark, sf):
+    _, U, _, J = _train_joined(spark, sf)
+    u = M.adapt(J, U, "i", GAMMA, LAM, DF)
+    return u.select("i", *[F.round(F.col("u")[k], 9).alias(f"u{k}") for k in range(DF)])
+
+
+@register("adapt_v", _adapt_sql("j", "i", MU))
+def q_adapt_v(spark, sf):
+    _, _, V, J = _train_joined(spark, sf)
+    v = M.adapt(J, V, "j", GAMMA, MU, DF)
+    return v.select("j", *[F.round(F.col("v")[k], 9).alias(f"v{k}") for k in range(DF)])
+
+
+_RMSE = f"""WITH {RT}, {TRAIN},
+ui AS (SELECT DISTINCT i FROM tr), vj AS (SELECT DISTINCT j FROM tr),
+te AS (SELECT t.i, t.j, t.r, (ui.i IS NOT NULL AND vj.j IS NOT NULL) AS hit FROM rt t
+       LEFT JOIN ui ON ui.i = t.i LEFT JOIN vj ON vj.j = t.j WHERE t.fold = {TEST_FOLD}),
+e AS (SELECT sum(CASE WHEN hit THEN (({_dot('i', 'j')}) - r) * (({_dot('i', 'j')}) - r) ELSE 0.0 END) AS se,
+             count(*) AS m, count_if(hit) AS mh FROM te)
+SELECT round(sqrt(se / m), 9) AS rmse, round(sqrt(se / mh), 9) AS rmse_matched, round(mh / m, 9) AS coverage FROM e"""
+
+
+@register("test_rmse", _RMSE)
+def q_test_rmse(spark, sf):
+    """Test RMSE of the formula profiles on fold 0 (users/items of the train folds)."""
+    R = _ratings(spark, sf)
+    tr, te = M.fold_split(R, TEST_FOLD)
+    U, V = M.init_profiles(tr, DF, method="formula")
+    J = M.join_and_predict(te, U, V, DF)
+    e = M.squared_error(J).first()
+    m = te.count()
+    se, mh = e["se"] or 0.0, e["m"]
+    return spark.createDataFrame([(round((se / m) ** 0.5, 9), round((se / mh) ** 0.5, 9), round(mh / m, 9))],
+                                 "rmse double, rmse_matched double, coverage double")
+
+
+@register("fold_split", f"""WITH {RT}
+SELECT CAST(k AS INTEGER) AS k, count_if(fold <> k) AS n_train, count_if(fold = k) AS n_test FROM rt, range(0, 5) t(k) GROUP BY k""")
+def q_fold_split(spark, sf):
+    R = _ratings(spark, sf)
+    tr, te = M.fold_keyed(R, N_FOLDS)
+    a = tr.groupBy("k").agg(F.count(F.lit(1)).alias("n_train"))
+    b = te.groupBy("k").agg(F.count(F.lit(1)).alias("n_test"))
+    return a.join(b, "k", "full").select(F.col("k").cast("int"), F.coalesce("n_train", F.lit(0)).alias("n_train"),
+                                         F.coalesce("n_test", F.lit(0)).alias("n_test"))
+
+
+@register("cross_validate_mf", f"""WITH {RT},
+tk AS (SELECT t.k, r.i, r.j FROM rt r, range(0, 5) t(k) WHERE r.fold <> t.k),
+ui AS (SELECT DISTINCT k, i FROM tk), vj AS (SELECT DISTINCT k, j FROM tk),
+te AS (SELECT t.fold AS k, t.i, t.j, t.r, (ui.i IS NOT NULL AND vj.j IS NOT NULL) AS hit FROM rt t
+       LEFT JOIN ui ON ui.k = t.fold AND ui.i = t.i LEFT JOIN vj ON vj.k = t.fold AND vj.j = t.j),
+e AS (SELECT k, sum(CASE WHEN hit THEN (({_dot('i', 'j')}) - r) * (({_dot('i', 'j')}) - r) ELSE 0.0 END) AS se,
+             count(*) AS m, count_if(hit) AS mh FROM te GROUP BY k)
+SELECT CAST(k AS INTEGER) AS k, round(sqrt(se / m), 9) AS test_rmse, round(sqrt(se / mh), 9) AS rmse_matched,
+       round(mh / m, 9) AS coverage FROM e""")
+def q_cross_validate_mf(spark, sf):
+    """5-fold CV, all folds in the same jobs (fold = leading key); one
+    iteration from the formula profiles, whose test RMSE is taken before the
+    update, as in the reference."""
+    df, _ = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=DF, lam=LAM, mu=MU, maxiter=1, init="formula")
+    return df.select("k", F.round("test_rmse", 9).alias("test_rmse"), F.round("rmse_matched", 9).alias("rmse_matched"),
+                     F.round("coverage", 9).alias("coverage"))
+
+
+@register("train_mf")
+def q_train_mf(spark, sf):
+    """Training from the seeded normal init (d = 3, λ = μ = 0.05, 4 iterations,
+    test fold 0): objective and test RMSE per iteration."""
+    R = _ratings(spark, sf)
+    tr, te = M.fold_split(R, TEST_FOLD)
+    res = M.train(tr, te, d=DF, lam=LAM, mu=MU, maxiter=4)
+    rows = [(h["iteration"], h["objective"], h["test_rmse"], h["gamma"]) for h in res.history]
+    return spark.createDataFrame(rows, "iteration int, objective double, test_rmse double, gamma double")
+
+
+@register("cv_mf_trained")
+def q_cv_mf_trained(spark, sf):
+    """5-fold CV with 3 training iterations from the normal init: per-fold RMSE."""
+    df, _ = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=DF, lam=LAM, mu=MU, maxiter=3)
+    return df
+
+
+@register("mf_reg_grid")
+def q_mf_reg_grid(spark, sf):
+    """CV RMSE for λ = μ ∈ {0, 1, 2}: grid points and folds as keys of one run."""
+    return M.reg_grid(_ratings(spark, sf), N_FOLDS, [0.0, 1.0, 2.0], d=DF, maxiter=2)
+
+
+@register("fit_full_mf")
+def q_fit_full_mf(spark, sf):
+    """No CV: train on all ratings (RMSE on the training set), save U and V."""
+    from corvid.session import scratch_path
+    from corvid.sources.ratings import write_factors
+    R = _ratings(spark, sf)
+    res = M.train(R, None, d=DF, lam=LAM, mu=MU, maxiter=3)
+    write_factors(res.U, res.V, scratch_path(spark, "factors"))
+    rows = [(h["iteration"], h["objective"], h["test_rmse"]) for h in res.history]
+    return spark.createDataFrame(rows, "iteration int, objective double, train_rmse double")
