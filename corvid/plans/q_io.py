@@ -1 +1,121 @@
-"""placeholder"""
+"""Registered source/sink round trips and feature-preparation queries.
+
+Each writes under the session's checkpoint directory (a shared folder on a
+cluster) and reads back with the library's own readers."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from corvid.operators import factorization as M
+from corvid.operators import logistic as L
+from corvid.operators import readability as R
+from corvid.operators import regression as G
+from corvid.operators.features import onehot_sparse, poly2_features
+from corvid.plans import inputs, q_dense, q_logistic, q_text
+from corvid.plans.registry import ORACLES, register
+from corvid.session import scratch_path
+from corvid.sources import dense as SD
+from corvid.sources import sinks as SK
+from corvid.sources import sparse as SS
+from corvid.sources.ratings import read_factors, write_factors
+
+
+@register("dense_beta_io", ORACLES["train_gd"])
+def q_dense_beta_io(spark, sf):
+    """Ridge β → parquet → read → one-line text ``b1,…,bd`` → parsed back."""
+    beta = q_dense.q_train_gd(spark, sf)
+    path = scratch_path(spark, "dense-beta")
+    SD.write_beta(beta, path)
+    back = SD.read_beta(spark, path)
+    return SD.parse_beta_line(spark, SD.beta_line(back))
+
+
+@register("read_sparse_points", f"WITH {q_logistic.XL}, {q_logistic.PT} SELECT xl.row_id, xl.feature, xl.value, pt.y "
+          "FROM xl JOIN pt ON pt.row_id = xl.row_id")
+def q_read_sparse_points(spark, sf):
+    """Labelled bag of words written as ``({'feat': v, …}, y)`` lines and parsed
+    back by the regex reader (no eval)."""
+    pts, xl = inputs.sparse_points(spark, sf)
+    lines = SS.format_sparse_line(xl, pts.select("row_id", "y"))
+    path = scratch_path(spark, "sparse-points")
+    lines.write.mode("overwrite").parquet(path)
+    p2, x2 = SS.sparse_points_from_lines(spark.read.parquet(path), "row_id", "line")
+    return x2.join(p2, "row_id").select("row_id", "feature", "value", "y")
+
+
+@register("sparse_beta_io", f"WITH {q_logistic.XL}, {q_logistic.BP} SELECT feature, value FROM bp")
+def q_sparse_beta_io(spark, sf):
+    """Probe β → quoted CSV (replace) → read back."""
+    _, xl = inputs.sparse_points(spark, sf)
+    beta = q_logistic._probe(xl)
+    path = scratch_path(spark, "sparse-beta")
+    SS.write_sparse_beta(beta, path, "csv")
+    SS.write_sparse_beta(beta, path, "csv")  # an existing target is replaced
+    return SS.read_sparse_beta(spark, path, "csv")
+
+
+@register("write_factors", "WITH " + __import__("corvid.plans.q_factor", fromlist=["RT"]).RT
+          + ", ui AS (SELECT DISTINCT i FROM rt) SELECT i, "
+          + ", ".join(f"round(((i * 7919 + {k * 104729}) % 1000) / 1000.0 - 0.5, 9) AS u{k}" for k in range(3)) + " FROM ui")
+def q_write_factors(spark, sf):
+    """Profiles saved as ``<out>_U`` / ``<out>_V`` parquet and read back."""
+    Rt = inputs.ratings(spark, sf)
+    U, V = M.init_profiles(Rt, 3, method="formula")
+    path = scratch_path(spark, "factors")
+    write_factors(U, V, path)
+    U2, _ = read_factors(spark, path)
+    return U2.select("i", *[F.round(F.col("u")[k], 9).alias(f"u{k}") for k in range(3)])
+
+
+@register("history_sink")
+def q_history_sink(spark, sf):
+    """GD history (objective, ‖∇‖, step) → CSV with header → read back."""
+    fit = G.train_gd(q_dense._pts(spark, sf, "train"), lam=q_dense.LAM)
+    path = scratch_path(spark, "history")
+    SK.write_history(G.history_frame(spark, fit, "gd"), path)
+    return SK.read_csv_table(spark, path, "k int, objective double, grad_norm double, step double")
+
+
+@register("metrics_sink", f"""{q_logistic.BASE}, c AS (SELECT count_if(margin > 0) AS P, count_if(margin < 0) AS N,
+  count_if(margin > 0 AND y = 1) AS TP, count_if(margin > 0 AND y = -1) AS FP, count_if(margin < 0 AND y = -1) AS TN,
+  count_if(margin < 0 AND y = 1) AS FN FROM mg WHERE is_test)
+SELECT 40 AS max_iter, 0.1 AS lam, round((TP + TN) / (P + N), 9) AS acc, round(TP / (TP + FP), 9) AS pre,
+  round(TP / (TP + FN), 9) AS rec FROM c""".replace("SELECT 40 AS max_iter, 0.1 AS lam", "SELECT CAST(40 AS INTEGER) AS max_iter, CAST(0.1 AS DOUBLE) AS lam"))
+def q_metrics_sink(spark, sf):
+    """(max_iter, λ, ACC, PRE, REC) of the probe β on the test rows appended
+    to a CSV table and read back."""
+    pts, xl = inputs.sparse_points(spark, sf)
+    e = L.evaluate(pts.where(F.col("is_test")), xl, q_logistic._probe(xl))
+    row = e.select(F.lit(40).alias("max_iter"), F.lit(0.1).alias("lam"),
+                   *[F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")])
+    path = scratch_path(spark, "metrics")
+    SK.append_metrics(row, path)
+    return SK.read_csv_table(spark, path, "max_iter int, lam double, acc double, pre double, rec double")
+
+
+@register("report_sink", ORACLES["readability_by_source"])
+def q_report_sink(spark, sf):
+    """Readability by category → CSV report → read back."""
+    rep = q_text.q_readability_by_source(spark, sf)
+    path = scratch_path(spark, "report")
+    SK.write_report(rep, path)
+    return SK.read_csv_table(spark, path, "source string, sentences bigint, words bigint, difficult bigint, dcf double")
+
+
+@register("onehot_sparse", """SELECT c_custkey AS row_id, 'c_mktsegment_' || c_mktsegment AS feature, 1.0 AS value FROM customer
+UNION ALL SELECT c_custkey, 'c_nationkey_' || CAST(c_nationkey AS VARCHAR), 1.0 FROM customer""")
+def q_onehot_sparse(spark, sf):
+    """Categorical columns of customer → sparse rows ``attr_value`` = 1.0."""
+    c = inputs.table(spark, sf, "customer").select("c_custkey", "c_mktsegment", F.col("c_nationkey").cast("string"))
+    return onehot_sparse(c, "c_custkey", ["c_mktsegment", "c_nationkey"]).withColumnRenamed("c_custkey", "row_id")
+
+
+@register("poly2_features", f"WITH {q_dense.PTS} SELECT row_id, x0 AS p0, x1 AS p1, x2 AS p2, "
+          + ", ".join(f"x{i} * x{j} AS p{3 + n}" for n, (i, j) in enumerate((i, j) for i in range(3) for j in range(i, 3)))
+          + " FROM pts")
+def q_poly2_features(spark, sf):
+    """Degree-2 expansion of the dense points: 3 → 9 columns."""
+    p = q_dense._pts(spark, sf).select("row_id", poly2_features("x").alias("p"))
+    return p.select("row_id", *[F.col("p")[k].alias(f"p{k}") for k in range(9)])
