@@ -155,7 +155,8 @@ class MFResult:
 
 def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0.0, mu=0.0,
           gain: float = GAIN, power: float = POWER, epsilon: float = EPSILON, maxiter: int = MAXITER,
-          seed: int = SEED, keys=(), init: str = "normal", checkpoint: bool = True) -> MFResult:
+          seed: int = SEED, keys=(), init: str = "normal", checkpoint: bool = True,
+          checkpoint_every: int = 1) -> MFResult:
     """Gradient steps on U and V from the same joined table; per key, stop at
     ``maxiter`` or when |Δobjective| ≤ epsilon (a stopped key keeps its
     profiles). The test RMSE of an iteration uses the profiles from before
@@ -167,7 +168,8 @@ def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0
         keys = ["_g"]
         train_R = train_R.withColumn("_g", F.lit(0))
         test_R = test_R.withColumn("_g", F.lit(0)) if test_R is not None else None
-        res = train(train_R, test_R, d, lam, mu, gain, power, epsilon, maxiter, seed, keys, init, checkpoint)
+        res = train(train_R, test_R, d, lam, mu, gain, power, epsilon, maxiter, seed, keys, init, checkpoint,
+                    checkpoint_every)
         res.U, res.V = res.U.drop("_g"), res.V.drop("_g")
         for h in res.history:
             h.pop("_g", None)
@@ -179,7 +181,7 @@ def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0
     testR = test_R.select(*keys, "i", "j", "r").persist(StorageLevel.MEMORY_AND_DISK) if test_R is not None else trainR
     m_test = {tuple(r[k] for k in keys): r["n"] for r in testR.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()}
     U, V = init_profiles(trainR, d, seed, keys, init)
-    U, V = (U.checkpoint(), V.checkpoint()) if checkpoint else (U.persist(), V.persist())
+    U, V = _cut(U, checkpoint), _cut(V, checkpoint)
     ub, vb = _maybe_broadcast(U, d), _maybe_broadcast(V, d)
     bcast_u, bcast_v = ub is not U, vb is not V
     obj = {kk: 1e99 for kk in m_test}
@@ -230,8 +232,8 @@ def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0
             moving = ~frozen
             newU = newU.where(moving).unionByName(U.where(frozen))
             newV = newV.where(moving).unionByName(V.where(frozen))
-        newU = newU.checkpoint() if checkpoint else newU.persist()
-        newV = newV.checkpoint() if checkpoint else newV.persist()
+        reliable = checkpoint and (checkpoint_every <= 1 or it % checkpoint_every == 0)
+        newU, newV = _cut(newU, reliable), _cut(newV, reliable)
         J.unpersist()
         U.unpersist()
         V.unpersist()
@@ -240,6 +242,16 @@ def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0
     return MFResult(U, V, hist, last)
 
 
+def _cut(df: DataFrame, reliable: bool) -> DataFrame:
+    """Persist, then (when ``reliable``) write to the checkpoint directory;
+    persisting first keeps the write from recomputing the plan."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if reliable:
+        return df.checkpoint()
+    df.count()  # materialise now: the inputs are released right after
+    return df
+
+
 def _key_filter(keys, key_values) -> Column:
     cond = F.lit(False)
     for kv in key_values:

@@ -14,7 +14,8 @@ Plan per training iteration (no per-candidate passes, no re-join for margins):
   5. β ← β − t∇ and m ← m − t·s: margins follow from the slopes, so they are
      never recomputed by a join.
 β and the row table are checkpointed to the reliable checkpoint directory
-every iteration, which bounds lineage and survives executor loss.
+every few iterations (persisted in between), which bounds lineage and
+survives executor loss.
 """
 
 from __future__ import annotations
@@ -225,46 +226,62 @@ class LogisticFit:
     history: list
 
 
+def _cut(df: DataFrame, reliable: bool) -> DataFrame:
+    """Persist, then (when ``reliable``) write to the checkpoint directory.
+    Persisting first keeps the checkpoint write from recomputing the plan."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if reliable:
+        return df.checkpoint()
+    df.count()  # materialise now: the inputs are released right after
+    return df
+
+
 def train(points: DataFrame, x_long: DataFrame, beta0: DataFrame | None = None, lam: float = 0.0,
           max_iter: int = 40, eps: float = 0.1, n_partitions: int | None = None,
-          online_test: bool = False, checkpoint: bool = True) -> LogisticFit:
+          online_test: bool = False, checkpoint_every: int = 1) -> LogisticFit:
     """Train on the rows of ``points`` with ``is_test`` false (all rows when
     the column is absent). With ``online_test`` the history carries test
     ACC/PRE/REC per iteration, from test margins kept by the same recurrence.
 
     Stops at ``max_iter`` or when ‖∇L(β_k)‖ ≤ eps; the reported norm is the
-    one of the last gradient (before the last update), as in the reference."""
+    one of the last gradient (before the last update), as in the reference.
+    β and the row table are written to the checkpoint directory every
+    ``checkpoint_every`` iterations (0: never) and persisted in between."""
     if "is_test" not in points.columns:
         points = points.withColumn("is_test", F.lit(False))
     xl = prepare(x_long, n_partitions)
     train_ids = points.where(~F.col("is_test")).select("row_id")
     beta = beta0 if beta0 is not None else beta_init(xl.join(train_ids, "row_id", "left_semi"))
-    beta = beta.checkpoint() if checkpoint else beta.persist()
+    beta = _cut(beta, True)
     fj = FeatureJoin.plan(xl, beta)
-    rows = margins(points.select("row_id", "y", "is_test"), xl, beta, fj)
-    rows = rows.checkpoint() if checkpoint else rows.persist()
+    rows = _cut(margins(points.select("row_id", "y", "is_test"), xl, beta, fj), True)
     hist, k, grad_norm, start = [], 0, 2 * eps, time.time()
     while k < max_iter and grad_norm > eps:
-        train_rows = rows.where(~F.col("is_test"))
-        grad = gradient_from_rows(train_rows, xl, beta, lam)
-        grad = grad.checkpoint() if checkpoint else grad.persist()
-        bb, bg, gg = _vec_terms(beta, grad)
-        rows_s = slopes(rows, xl, grad, fj).persist()
-        t, ft, f0, nk = line_search(rows_s.where(~F.col("is_test")), bb, bg, gg, lam)
-        new_beta = (beta.join(grad.withColumnRenamed("value", "_g"), "feature", "left")
-                    .select("feature", (F.col("value") - F.lit(t) * F.coalesce("_g", F.lit(0.0))).alias("value")))
-        new_rows = rows_s.select("row_id", "y", "is_test", (F.col("margin") - F.lit(t) * F.col("s")).alias("margin"))
-        new_beta = new_beta.checkpoint() if checkpoint else new_beta.persist()
-        new_rows = new_rows.checkpoint() if checkpoint else new_rows.persist()
-        for old in (rows_s, grad, beta, rows):
+        reliable = bool(checkpoint_every) and (k + 1) % checkpoint_every == 0
+        # (feature, b, g): β and its gradient side by side, so the update is narrow
+        c = rows.where(~F.col("is_test")).select("row_id", logistic_coef(F.col("margin"), F.col("y")).alias("_c"))
+        gsum = xl.join(c, "row_id").groupBy("feature").agg(F.sum(F.col("_c") * F.col("value")).alias("_g"))
+        bg_tab = _cut(beta.join(gsum, "feature", "left").select(
+            "feature", F.col("value").alias("b"),
+            (F.coalesce("_g", F.lit(0.0)) + F.lit(2.0 * lam) * F.col("value")).alias("g")), False)
+        r = bg_tab.agg(F.sum(F.col("b") * F.col("b")).alias("bb"), F.sum(F.col("b") * F.col("g")).alias("bg"),
+                       F.sum(F.col("g") * F.col("g")).alias("gg")).first()
+        bb, bgv, gg = (float(r[x] or 0.0) for x in ("bb", "bg", "gg"))
+        grad = bg_tab.select("feature", F.col("g").alias("value"))
+        rows_s = _cut(slopes(rows, xl, grad, fj), False)
+        t, ft, f0, nk = line_search(rows_s.where(~F.col("is_test")), bb, bgv, gg, lam)
+        new_beta = _cut(bg_tab.select("feature", (F.col("b") - F.lit(t) * F.col("g")).alias("value")), reliable)
+        new_rows = _cut(rows_s.select("row_id", "y", "is_test",
+                                      (F.col("margin") - F.lit(t) * F.col("s")).alias("margin")), reliable)
+        for old in (rows_s, bg_tab, beta, rows):
             old.unpersist()
         beta, rows = new_beta, new_rows
         grad_norm = gg ** 0.5
         entry = {"k": k, "t": time.time() - start, "objective": ft, "grad_norm": grad_norm, "step": t,
                  "rejected": nk}
         if online_test:
-            r = acc_pre_rec(confusion_counts(rows.where(F.col("is_test")))).first()
-            entry.update(acc=r["acc"], pre=r["pre"], rec=r["rec"])
+            m = acc_pre_rec(confusion_counts(rows.where(F.col("is_test")))).first()
+            entry.update(acc=m["acc"], pre=m["pre"], rec=m["rec"])
         hist.append(entry)
         k += 1
     xl.unpersist()
