@@ -25,7 +25,7 @@ def split_lines(text) -> Column:
     """Lines of a text value as a text-file reader sees them: one trailing line
     break does not start a new line and an empty text has no line."""
     t = _c(text)
-    body = F.regexp_replace(t, r"(\r\n|\n|\r)$", "")
+    body = F.regexp_replace(t, r"(\r\n|\n|\r)\z", "")
     return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_BREAK))
 
 

@@ -13,8 +13,8 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.functions.text import INFLECTION_ENDINGS, normalize_word, sentence_count, tokens, word_count
-from corvid.plans.joins import broadcast_if_bounded
+from corvid.functions.text import INFLECTION_ENDINGS, WHITESPACE, normalize_word, sentence_count, tokens, word_count
+from corvid.plans.joins import broadcast_if_bounded, spread
 
 # Fixed values of the formula as the reference computes it (no +3.6365 term).
 DCF_DIFFICULT_WEIGHT = 0.1579
@@ -29,7 +29,9 @@ def _cols(cols):
 def token_words(df: DataFrame, keys, text_col: str = "text") -> DataFrame:
     """One row per token: ``(*keys, token, word)`` with ``word`` normalised."""
     keys = _cols(keys)
-    t = df.select(*keys, F.explode(tokens(text_col)).alias("token"))
+    # explode the raw split and drop empty pieces with a (generated) filter
+    # rather than a per-element lambda inside the generator input
+    t = spread(df).select(*keys, F.explode(F.split(text_col, WHITESPACE)).alias("token")).where(F.col("token") != "")
     return t.withColumn("word", normalize_word("token"))
 
 
@@ -46,13 +48,13 @@ def compute_counts(df: DataFrame, keys=(), text_col: str = "text",
 
 def count_sentences(df: DataFrame, keys, text_col: str = "text") -> DataFrame:
     keys = _cols(keys)
-    return df.groupBy(*keys).agg(F.sum(sentence_count(text_col)).cast("bigint").alias("sentences"))
+    return spread(df).groupBy(*keys).agg(F.sum(sentence_count(text_col)).cast("bigint").alias("sentences"))
 
 
 def count_words(df: DataFrame, keys, text_col: str = "text") -> DataFrame:
     """Token count without materialising tokens: size of the filtered split."""
     keys = _cols(keys)
-    return df.groupBy(*keys).agg(F.sum(word_count(text_col)).cast("bigint").alias("words"))
+    return spread(df).groupBy(*keys).agg(F.sum(word_count(text_col)).cast("bigint").alias("words"))
 
 
 def unique_words(df: DataFrame, keys, text_col: str = "text") -> DataFrame:
@@ -119,7 +121,7 @@ def count_difficult_words(df: DataFrame, keys_df: DataFrame, keys, text_col: str
     return base.join(cnt, keys, "left").select(*keys, F.coalesce("difficult", F.lit(0)).cast("bigint").alias("difficult"))
 
 
-def per_token_sentences(text_col: str = "text"):
+def per_token_sentences(text_col: str = "text", rows_are_lines: bool = False):
     """Tokens of a text as ``array<struct<token, s>>`` where ``s`` carries the
     sentence count of the text on the first element (0 elsewhere); a text
     without tokens yields one element with a NULL token.
@@ -129,7 +131,7 @@ def per_token_sentences(text_col: str = "text"):
     it after the explode, i.e. once per token (quadratic in the text length).
     """
     tk = tokens(text_col)
-    sent = sentence_count(text_col)
+    sent = F.lit(1) if rows_are_lines else sentence_count(text_col)
     per = F.transform(tk, lambda t, i: F.struct(t.alias("token"),
                                                 F.when(i == 0, sent).otherwise(F.lit(0)).alias("s")))
     empty = F.array(F.struct(F.lit(None).cast("string").alias("token"), sent.alias("s")))
@@ -144,30 +146,38 @@ def dcf_expr(difficult, words, sentences):
 
 
 def readability(df: DataFrame, keys_df: DataFrame, group_cols, text_col: str = "text",
-                doc_col: str | None = None) -> DataFrame:
+                rows_are_lines: bool = False) -> DataFrame:
     """Sentences, words, difficult words and Dale-Chall score per group, in one
     pass: tokens are flagged by a broadcast join and aggregated map-side, so
     the only shuffle carries one partial row per group and task.
 
     ``group_cols`` may be coarser than a document (a category); the sentence
-    count of each document is then taken once, on its first token.
+    count of each document is then taken once, on its first token. With
+    ``rows_are_lines`` every row is one sentence, empty or not (a text file
+    read line by line).
     """
     group_cols = _cols(group_cols)
-    t = df.select(*group_cols, F.explode(per_token_sentences(text_col)).alias("_t"))
-    t = t.select(*group_cols, F.col("_t.token").alias("token"), F.col("_t.s").alias("_sent"))
-    t = t.withColumn("word", normalize_word("token"))
+    # The sentence count is computed in a projection *below* the generator
+    # (once per text) and kept on the first piece of the split only; empty
+    # pieces are dropped by a generated filter, except that first one.
+    sent = F.lit(1) if rows_are_lines else sentence_count(text_col)
+    base = spread(df).select(*group_cols, sent.alias("_sent"), F.split(text_col, WHITESPACE).alias("_tk"))
+    t = base.select(*group_cols, "_sent", F.posexplode_outer("_tk").alias("_pos", "token"))
+    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    has_token = F.col("token").isNotNull() & (F.col("token") != "")
+    t = t.where(first | has_token).withColumn("word", normalize_word("token"))
     t = flag_tokens(t, keys_df)
     agg = t.groupBy(*group_cols).agg(
-        F.sum("_sent").cast("bigint").alias("sentences"),
-        F.count("token").alias("words"),
-        F.count_if(F.col("token").isNotNull() & F.col("is_easy").isNull()).alias("difficult"),
+        F.sum(F.when(first, F.col("_sent"))).cast("bigint").alias("sentences"),
+        F.count_if(has_token).alias("words"),
+        F.count_if(has_token & F.col("is_easy").isNull()).alias("difficult"),
     )
     return agg.withColumn("dcf", dcf_expr(F.col("difficult"), F.col("words"), F.col("sentences")))
 
 
-def dale_chall(df: DataFrame, keys_df: DataFrame, text_col: str = "text") -> DataFrame:
+def dale_chall(df: DataFrame, keys_df: DataFrame, text_col: str = "text", rows_are_lines: bool = False) -> DataFrame:
     """Whole collection as one text: one row ``(sentences, words, difficult, dcf)``."""
-    per = readability(df.withColumn("_all", F.lit(0)), keys_df, ["_all"], text_col)
+    per = readability(df.withColumn("_all", F.lit(0)), keys_df, ["_all"], text_col, rows_are_lines)
     return per.drop("_all")
 
 

@@ -22,3 +22,16 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     to the planner (sort-merge join, converted at runtime by AQE when the
     shuffled side turns out small)."""
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over the cluster's cores when the scan yields fewer
+    partitions than that (e.g. one large row group holding all texts).
+
+    CPU-heavy per-row work (tokenising whole texts) otherwise runs in a
+    single task. A large input already has at least as many splits as cores,
+    and then nothing is added — no shuffle of the raw data at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -15,7 +15,7 @@ def norm(col: str) -> str:
 
 def lines(col: str) -> str:
     return (f"(CASE WHEN {col} = '' THEN []::VARCHAR[] ELSE string_split_regex("
-            f"regexp_replace({col}, '(\\r\\n|\\n|\\r)$', ''), '\\r\\n|\\n|\\r') END)")
+            f"regexp_replace({col}, '(\\r\\n|\\n|\\r)\\z', ''), '\\r\\n|\\n|\\r') END)")
 
 
 # easy-key set: normalised benchmark words and their inflection variants

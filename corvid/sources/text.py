@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.functions.text import normalize_word, split_lines, tokens
+from corvid.functions.text import WHITESPACE, normalize_word, split_lines, tokens
 
 
 def read_lines(spark: SparkSession, paths, min_partitions: int | None = None) -> DataFrame:
@@ -24,8 +24,10 @@ def lines_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """One word per line, surrounding whitespace stripped → ``(word string)``."""
-    return spark.read.text(path).select(F.trim(F.col("value")).alias("word"))
+    """One word per line, surrounding whitespace stripped (as ``str.strip``)
+    → ``(word string)``."""
+    ws = WHITESPACE
+    return spark.read.text(path).select(F.regexp_replace("value", f"^{ws}|{ws}$", "").alias("word"))
 
 
 def word_list_from_text(df: DataFrame, text_col: str = "text") -> DataFrame:

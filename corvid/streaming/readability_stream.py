@@ -1,0 +1,42 @@
+"""Readability over a stream of text files (Structured Streaming).
+
+The same aggregation as ``operators.readability.readability`` with one row
+per line (empty lines are sentences): files arriving in a directory are
+scored incrementally; the easy-key set is a static table joined to the
+stream (stream-static left join, broadcast when bounded)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corvid.functions.text import normalize_word
+from corvid.operators.readability import dcf_expr, per_token_sentences
+from corvid.plans.joins import broadcast_if_bounded
+from corvid.session import scratch_path
+
+
+def readability_stream(spark: SparkSession, directory: str, keys_df: DataFrame,
+                       max_files_per_trigger: int = 100) -> DataFrame:
+    """Streaming ``(file, sentences, words, difficult, dcf)``, updated per file."""
+    lines = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(directory)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")))
+    t = lines.select("file", F.explode(per_token_sentences("line", rows_are_lines=True)).alias("_t"))
+    t = t.select("file", F.col("_t.token").alias("token"), F.col("_t.s").alias("_sent"))
+    t = t.withColumn("word", normalize_word("token"))
+    k = broadcast_if_bounded(keys_df.select("word", F.lit(True).alias("is_easy")))
+    t = t.join(k, "word", "left")
+    agg = t.groupBy("file").agg(
+        F.sum("_sent").cast("bigint").alias("sentences"),
+        F.count("token").alias("words"),
+        F.count_if(F.col("token").isNotNull() & F.col("is_easy").isNull()).alias("difficult"))
+    return agg.withColumn("dcf", dcf_expr(F.col("difficult"), F.col("words"), F.col("sentences")))
+
+
+def start(spark: SparkSession, directory: str, keys_df: DataFrame, query_name: str = "readability",
+          checkpoint_location: str | None = None):
+    """Run into an in-memory table ``query_name`` (complete mode), with the
+    stream's state under the reliable checkpoint directory."""
+    loc = checkpoint_location or scratch_path(spark, f"stream-{query_name}")
+    return (readability_stream(spark, directory, keys_df).writeStream.outputMode("complete")
+            .format("memory").queryName(query_name).option("checkpointLocation", loc).start())

@@ -1,0 +1,29 @@
+"""The streaming readability agrees with the batch operator on the same files."""
+
+import os
+import shutil
+import tempfile
+
+from conftest import REF, need
+from corvid.operators import readability as R
+from corvid.sources.text import read_lines, read_word_list
+from corvid.streaming.readability_stream import start
+
+
+def test_stream_equals_batch(spark):
+    src = need(f"{REF}/HW1/Data/News")
+    easy = read_word_list(spark, need(f"{REF}/HW1/Data/DaleChallEasyWordList.txt"))
+    keys = R.easy_keys(easy).cache()
+    d = tempfile.mkdtemp(prefix="corvid-stream-")
+    for name in sorted(os.listdir(src))[:2]:
+        shutil.copy(os.path.join(src, name), d)
+    q = start(spark, d, keys, "rs_test")
+    try:
+        q.processAllAvailable()
+        got = {os.path.basename(r["file"]): (r["sentences"], r["words"], r["difficult"])
+               for r in spark.sql("SELECT * FROM rs_test").collect()}
+    finally:
+        q.stop()
+    batch = R.readability(read_lines(spark, d), keys, ["file"], "line", rows_are_lines=True).collect()
+    want = {os.path.basename(r["file"]): (r["sentences"], r["words"], r["difficult"]) for r in batch}
+    assert got == want and len(got) == 2
