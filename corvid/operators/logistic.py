@@ -177,8 +177,12 @@ def line_search(rows_s: DataFrame, bb: float, bg: float, gg: float, lam: float =
     Returns (t, f(β − t∇), f(β), k)."""
     y, m, s = F.col("y"), F.col("margin"), F.col("s")
     f0 = None
+    t = 1.0
     for batch in range(LS_MAX_BATCHES):
-        ts = [b ** k for k in range(batch * LS_BATCH, (batch + 1) * LS_BATCH)]
+        ts = []
+        for _ in range(LS_BATCH):  # t ← b·t, the same sequence of doubles as the reference
+            ts.append(t)
+            t = b * t
         aggs = [F.sum(softplus(-y * (m - F.lit(t) * s))).alias(f"l{k}") for k, t in enumerate(ts)]
         if f0 is None:
             aggs.append(F.sum(softplus(-y * m)).alias("base"))
@@ -255,7 +259,7 @@ def train(points: DataFrame, x_long: DataFrame, beta0: DataFrame | None = None,
     beta = _cut(beta, True)
     fj = FeatureJoin.plan(xl, beta)
     rows = _cut(margins(points.select("row_id", "y", "is_test"), xl, beta, fj), True)
-    hist, k, grad_norm, start = [], 0, 2 * eps, time.time()
+    hist, k, grad_norm, start = [], 0, float("inf"), time.time()
     while k < max_iter and grad_norm > eps:
         reliable = bool(checkpoint_every) and (k + 1) % checkpoint_every == 0
         # (feature, b, g): β and its gradient side by side, so the update is narrow

@@ -249,3 +249,38 @@ def q_fit_full_mf(spark, sf):
     write_factors(res.U, res.V, scratch_path(spark, "factors"))
     rows = [(h["iteration"], h["objective"], h["test_rmse"]) for h in res.history]
     return spark.createDataFrame(rows, "iteration int, objective double, train_rmse double")
+
+
+def _mf_train_sql(iters: int = 2) -> str:
+    """SQL unrolling of ``iters`` MF iterations from the formula profiles on
+    the train folds: both sides updated from the same joined table."""
+    u0 = ", ".join(f"{_fv('i', k)} AS c{k}" for k in range(DF))
+    v0 = ", ".join(f"{_fv('j', k)} AS c{k}" for k in range(DF))
+    cte = [RT, TRAIN, f"u0 AS (SELECT DISTINCT i, {u0} FROM tr)", f"v0 AS (SELECT DISTINCT j, {v0} FROM tr)"]
+    for it in range(iters):
+        n = it + 1
+        gamma = M.gain_schedule(M.GAIN, M.POWER, n)
+        dot = " + ".join(f"u.c{k} * v.c{k}" for k in range(DF))
+        cte.append(f"j{it} AS (SELECT tr.i, tr.j, ({dot}) - tr.r AS delta, "
+                   + ", ".join(f"u.c{k} AS uc{k}, v.c{k} AS vc{k}" for k in range(DF))
+                   + f" FROM tr JOIN u{it} u ON u.i = tr.i JOIN v{it} v ON v.j = tr.j)")
+        for side, p, q, reg in (("i", "u", "v", LAM), ("j", "v", "u", MU)):
+            sums = ", ".join(f"sum(2.0 * delta * {q}c{k}) AS s{k}" for k in range(DF))
+            upd = ", ".join(f"p.c{k} - {gamma!r} * (g.s{k} + 2.0 * {reg!r} * p.c{k}) AS c{k}" for k in range(DF))
+            cte.append(f"{p}{n} AS (SELECT p.{side}, {upd} FROM {p}{it} p JOIN "
+                       f"(SELECT {side}, {sums} FROM j{it} GROUP BY {side}) g ON g.{side} = p.{side})")
+    sel = ", ".join(f"round(c{k}, 9) AS c{k}" for k in range(DF))
+    return ("WITH " + ",\n".join(cte) + f"\nSELECT 'u' AS side, i AS id, {sel} FROM u{iters} "
+            f"UNION ALL SELECT 'v', j, {sel} FROM v{iters}")
+
+
+@register("train_mf_2iter", _mf_train_sql(2))
+def q_train_mf_2iter(spark, sf):
+    """Two MF iterations (λ = μ = 0.05, γ_i = 0.001/i^0.2) from the formula
+    profiles, value-checked against the SQL unrolling."""
+    tr, _ = M.fold_split(_ratings(spark, sf), TEST_FOLD)
+    res = M.train(tr, None, d=DF, lam=LAM, mu=MU, maxiter=2, init="formula")
+    cols = [F.round(F.col("p")[k], 9).alias(f"c{k}") for k in range(DF)]
+    u = res.U.select(F.lit("u").alias("side"), F.col("i").alias("id"), F.col("u").alias("p")).select("side", "id", *cols)
+    v = res.V.select(F.lit("v").alias("side"), F.col("j").alias("id"), F.col("v").alias("p")).select("side", "id", *cols)
+    return u.unionByName(v)
