@@ -167,7 +167,7 @@ def train_gd_g(g: Gram, beta0=None, lam: float = 0.0, max_iter: int = 100, eps:
     is the one computed before the last update. A zero curvature (a = 0)
     stops the loop instead of dividing by zero."""
     beta = np.zeros(g.d) if beta0 is None else np.asarray(beta0, float).copy()
-    k, norm, hist = 0, 2 * eps, []
+    k, norm, hist = 0, float("inf"), []
     while k < max_iter and norm > eps:
         grad = gradient_g(g, beta, lam)
         obj = objective_g(g, beta, lam)
@@ -187,7 +187,7 @@ def train_fw_g(g: Gram, beta0=None, K: float = 100.0, max_iter: int = 100, eps:
     """Frank-Wolfe on ‖β‖₁ ≤ K with exact line search on [0, 1]; stops when the
     gap (β_k − s_k)ᵀ∇F(β_k) ≤ eps."""
     beta = np.zeros(g.d) if beta0 is None else np.asarray(beta0, float).copy()
-    k, crit, hist = 0, 2 * eps, []
+    k, crit, hist = 0, float("inf"), []
     while k < max_iter and crit > eps:
         obj = objective_g(g, beta, 0.0)
         grad = gradient_g(g, beta, 0.0)

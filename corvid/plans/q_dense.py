@@ -335,3 +335,39 @@ def q_train_gd_wide(spark, sf):
     """Ridge by GD on the 64-dimensional embeddings (λ = 0.1)."""
     fit = G.train_gd(inputs.wide_points(spark, sf), lam=LAM, max_iter=1000, eps=1e-6)
     return G.beta_frame(spark, np.round(fit.beta, 6), {"grad_norm": float(fit.measure), "iterations": int(fit.iterations)})
+
+
+def _fw_train_sql(iters: int = 2) -> str:
+    """SQL unrolling of ``iters`` Frank-Wolfe steps from β = 0 on ‖β‖₁ ≤ K_LMO:
+    gradient from the means, LMO (largest |g|, lowest index on ties), exact
+    step on [0, 1], convex update — one single-row CTE per step."""
+    A = [[f"a{min(i, j)}{max(i, j)}" for j in range(D)] for i in range(D)]
+    cte = [PTS, f"m AS ({_MEANS})", "it0 AS (SELECT m.*, " + ", ".join(f"0.0 AS p{i}" for i in range(D)) + " FROM m)"]
+    for k in range(iters):
+        g = ", ".join(f"2.0 * ({' + '.join(f'{A[i][j]} * p{j}' for j in range(D))}) - 2.0 * b{i} AS g{i}" for i in range(D))
+        top = "CASE " + " ".join(
+            "WHEN " + " AND ".join(f"abs(g{i}) >= abs(g{j})" for j in range(i + 1, D)) + f" THEN {i}"
+            for i in range(D - 1)) + f" ELSE {D - 1} END"
+        s = ", ".join(f"CASE WHEN top = {i} THEN -{K_LMO!r} * sign(g{i}) ELSE 0.0 END AS s{i}" for i in range(D))
+        dd = ", ".join(f"s{i} - p{i} AS d{i}" for i in range(D))
+        qa = " + ".join(f"d{i} * {A[i][j]} * d{j}" for i in range(D) for j in range(D))
+        qb = (f"-2.0 * (({' + '.join(f'b{i} * d{i}' for i in range(D))}) - "
+              f"({' + '.join(f'p{i} * {A[i][j]} * d{j}' for i in range(D) for j in range(D))}))")
+        gam = "CASE WHEN qa <> 0 THEN greatest(0.0, least(1.0, -qb / (2.0 * qa))) WHEN qb > 0 THEN 0.0 ELSE 1.0 END"
+        cte += [f"g{k} AS (SELECT *, {g} FROM it{k})",
+                f"s{k} AS (SELECT *, {s} FROM (SELECT *, {top} AS top FROM g{k}))",
+                f"d{k} AS (SELECT *, {qa} AS qa, {qb} AS qb FROM (SELECT *, {dd} FROM s{k}))",
+                f"it{k + 1} AS (SELECT {', '.join(f'a{i}{j}' for i in range(D) for j in range(i, D))}, "
+                f"{', '.join(f'b{i}' for i in range(D))}, "
+                + ", ".join(f"(1.0 - gamma) * p{i} + gamma * s{i} AS p{i}" for i in range(D))
+                + f" FROM (SELECT *, {gam} AS gamma FROM d{k}))"]
+    sel = " UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS idx, round(p{i}, 6) AS value FROM it{iters}" for i in range(D))
+    return "WITH " + ",\n".join(cte) + "\n" + sel
+
+
+@register("train_fw_2iter", _fw_train_sql(2))
+def q_train_fw_2iter(spark, sf):
+    """Two Frank-Wolfe steps on ‖β‖₁ ≤ 10 from β = 0, value-checked against
+    the SQL unrolling of the same two steps."""
+    fit = G.train_fw(_pts(spark, sf, "train"), K=K_LMO, max_iter=2, eps=0.0)
+    return G.beta_frame(spark, np.round(fit.beta, 6))
