@@ -239,11 +239,42 @@ def q_fw_gap(spark, sf):
                  F.round(F.lit(float(np.abs(BETA1).sum() / K_LMO)), 9).alias("feasibility"))
 
 
-@register("train_fw")
+def _fw_loop_sql(Ks, max_iter: int = 100, eps: float = 0.01) -> str:
+    """Frank-Wolfe from β = 0 for every K in ``Ks`` as a recursive CTE ``fw``
+    (one state row per K and step; ``crit`` is the gap from before the step)
+    and ``last`` (the final state of each K): the loop of ``train_fw_g`` in SQL."""
+    A = [[f"a{min(i, j)}{max(i, j)}" for j in range(D)] for i in range(D)]
+    p = ", ".join(f"p{i}" for i in range(D))
+    mcols = ", ".join(f"a{i}{j}" for i in range(D) for j in range(i, D)) + ", " + ", ".join(f"b{i}" for i in range(D))
+    g = ", ".join(f"2.0 * ({' + '.join(f'{A[i][j]} * p{j}' for j in range(D))}) - 2.0 * b{i} AS g{i}" for i in range(D))
+    top = "CASE " + " ".join("WHEN " + " AND ".join(f"abs(g{i}) >= abs(g{j})" for j in range(i + 1, D)) + f" THEN {i}"
+                             for i in range(D - 1)) + f" ELSE {D - 1} END"
+    s = ", ".join(f"CASE WHEN top = {i} THEN -kk * sign(g{i}) ELSE 0.0 END AS s{i}" for i in range(D))
+    dd = ", ".join(f"s{i} - p{i} AS d{i}" for i in range(D))
+    qa = " + ".join(f"d{i} * {A[i][j]} * d{j}" for i in range(D) for j in range(D))
+    qb = (f"-2.0 * (({' + '.join(f'b{i} * d{i}' for i in range(D))}) - "
+          f"({' + '.join(f'p{i} * {A[i][j]} * d{j}' for i in range(D) for j in range(D))}))")
+    crit = " + ".join(f"(p{i} - s{i}) * g{i}" for i in range(D))
+    gam = "CASE WHEN qa <> 0 THEN greatest(0.0, least(1.0, -qb / (2.0 * qa))) WHEN qb > 0 THEN 0.0 ELSE 1.0 END"
+    ks = ", ".join(f"(CAST({float(k)!r} AS DOUBLE))" for k in Ks)
+    step = (f"SELECT kk, it + 1, " + ", ".join(f"(1.0 - gamma) * p{i} + gamma * s{i}" for i in range(D)) + f", crit, {mcols} "
+            f"FROM (SELECT *, {gam} AS gamma FROM (SELECT *, {qa} AS qa, {qb} AS qb, {crit} AS crit FROM "
+            f"(SELECT *, {dd} FROM (SELECT *, {s} FROM (SELECT *, {top} AS top FROM "
+            f"(SELECT kk, it, {p}, {mcols}, {g} FROM fw WHERE it < {max_iter} AND crit > {eps!r}))))))")
+    return (f"WITH RECURSIVE {PTS}, m AS ({_MEANS}), fw(kk, it, {p}, crit, {mcols}) AS ("
+            f"SELECT v.kk, CAST(0 AS INTEGER), " + ", ".join("CAST(0.0 AS DOUBLE)" for _ in range(D))
+            + f", CAST('inf' AS DOUBLE), {mcols} FROM m, (VALUES {ks}) v(kk) UNION ALL {step}), "
+            "last AS (SELECT * FROM fw QUALIFY it = max(it) OVER (PARTITION BY kk)) ")
+
+
+@register("train_fw", _fw_loop_sql([K_LMO]) + " " + " UNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS idx, round(p{i}, 6) AS value, round(crit, 6) + 0.0 AS gap, it AS iterations FROM last"
+    for i in range(D)))
 def q_train_fw(spark, sf):
     """Frank-Wolfe on ‖β‖₁ ≤ 10 (max_iter 100, eps 0.01): β, gap, iterations."""
     fit = G.train_fw(_pts(spark, sf, "train"), K=K_LMO)
-    return G.beta_frame(spark, fit.beta, {"gap": float(fit.measure), "iterations": int(fit.iterations)})
+    return G.beta_frame(spark, np.round(fit.beta, 6), {"gap": round(float(fit.measure), 6) + 0.0,
+                                                      "iterations": int(fit.iterations)})
 
 
 @register("label_histogram", f"""WITH {PTS}, mm AS (SELECT min(y) AS mn, max(y) AS mx FROM pts)
@@ -295,7 +326,9 @@ def q_lambda_sweep(spark, sf):
     return row.selectExpr(expr).select("lam", F.round("mse", 6).alias("mse"))
 
 
-@register("k_sweep")
+@register("k_sweep", _fw_loop_sql(KS) + f"""SELECT last.kk AS K, round(avg((y - ({' + '.join(f'x{i} * last.p{i}' for i in range(D))})) *
+  (y - ({' + '.join(f'x{i} * last.p{i}' for i in range(D))}))), 6) AS mse, any_value(last.it) AS iterations
+FROM last, pts WHERE pts.is_test GROUP BY last.kk""")
 def q_k_sweep(spark, sf):
     """Frank-Wolfe for each K from one summary; test MSE of each in one aggregate."""
     g = G.gram_stats(_pts(spark, sf, "train"), d=D)
@@ -308,7 +341,7 @@ def q_k_sweep(spark, sf):
     row = test.agg(*aggs)
     expr = "stack({}, {}) as (K, mse, iterations)".format(
         len(KS), ", ".join(f"{K!r}D, m{k}, {fits[K].iterations}" for k, K in enumerate(KS)))
-    return row.selectExpr(expr)
+    return row.selectExpr(expr).select("K", F.round("mse", 6).alias("mse"), "iterations")
 
 
 WIDE_D = 64
