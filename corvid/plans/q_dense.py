@@ -187,11 +187,42 @@ def q_train_gd(spark, sf):
     return G.beta_frame(spark, np.round(fit.beta, 4))
 
 
-@register("train_gd_history")
+def _gd_loop_sql(lam: float, max_iter: int = 100, eps: float = 0.01) -> str:
+    """GD with exact line search from β = 0 as a recursive CTE ``gd``: one row
+    per state entering the loop, with the objective, gradient norm and step
+    computed there (the loop of ``train_gd_g`` in SQL; a = 0 stops it)."""
+    A = [[f"a{min(i, j)}{max(i, j)}" for j in range(D)] for i in range(D)]
+    p = ", ".join(f"p{i}" for i in range(D))
+    mcols = ", ".join(f"a{i}{j}" for i in range(D) for j in range(i, D)) + ", " + ", ".join(f"b{i}" for i in range(D)) + ", c"
+    g = ", ".join(f"2.0 * ({' + '.join(f'{A[i][j]} * p{j}' for j in range(D))}) - 2.0 * b{i} + 2.0 * {lam!r} * p{i} AS g{i}"
+                  for i in range(D))
+    obj = (f"c - 2.0 * ({' + '.join(f'b{i} * p{i}' for i in range(D))}) + "
+           f"({' + '.join(f'p{i} * {A[i][j]} * p{j}' for i in range(D) for j in range(D))}) + "
+           f"{lam!r} * ({' + '.join(f'p{i} * p{i}' for i in range(D))})")
+    qa = (f"({' + '.join(f'g{i} * {A[i][j]} * g{j}' for i in range(D) for j in range(D))}) + "
+          f"{lam!r} * ({' + '.join(f'g{i} * g{i}' for i in range(D))})")
+    # b of the line quadratic along d = −g
+    qb = (f"2.0 * {lam!r} * ({' + '.join(f'-p{i} * g{i}' for i in range(D))}) - 2.0 * "
+          f"(({' + '.join(f'-b{i} * g{i}' for i in range(D))}) - "
+          f"({' + '.join(f'-p{i} * {A[i][j]} * g{j}' for i in range(D) for j in range(D))}))")
+    nrm = f"sqrt({' + '.join(f'g{i} * g{i}' for i in range(D))})"
+    body = (f"SELECT *, CASE WHEN qa = 0 THEN 0.0 ELSE -qb / (2.0 * qa) END AS gamma FROM "
+            f"(SELECT *, {obj} AS obj, {qa} AS qa, {qb} AS qb, {nrm} AS nrm FROM (SELECT *, {g} FROM {{src}}))")
+    step = ("SELECT it + 1, " + ", ".join(f"p{i} - gamma * g{i}" for i in range(D)) + f", nrm, qa <> 0, {mcols} FROM ("
+            + body.format(src=f"(SELECT it, {p}, {mcols} FROM gd WHERE go AND it < {max_iter} AND prev > {eps!r})") + ")")
+    return (f"WITH RECURSIVE {PTS}, m AS ({_MEANS[:-len(' FROM pts WHERE NOT is_test')]}, avg(y * y) AS c FROM pts WHERE NOT is_test), "
+            f"gd(it, {p}, prev, go, {mcols}) AS (SELECT CAST(0 AS INTEGER), "
+            + ", ".join("CAST(0.0 AS DOUBLE)" for _ in range(D)) + f", CAST('inf' AS DOUBLE), true, {mcols} FROM m UNION ALL {step}), "
+            "hist AS (" + body.format(src=f"(SELECT it, {p}, {mcols} FROM gd WHERE go AND it < {max_iter} AND prev > {eps!r})") + ") ")
+
+
+@register("train_gd_history", _gd_loop_sql(LAM) + "SELECT it AS k, round(obj, 6) AS objective, round(nrm, 6) AS grad_norm, "
+          "round(gamma, 6) AS step FROM hist")
 def q_train_gd_history(spark, sf):
     """Per-iteration objective, gradient norm and step of the GD run (defaults)."""
     fit = G.train_gd(_pts(spark, sf, "train"), lam=LAM)
-    return G.history_frame(spark, fit, "gd")
+    h = G.history_frame(spark, fit, "gd")
+    return h.select("k", *[F.round(c, 6).alias(c) for c in ("objective", "grad_norm", "step")])
 
 
 def _lmo_sql():
