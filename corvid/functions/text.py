@@ -43,9 +43,20 @@ def strip_non_alpha(s) -> Column:
     return F.regexp_replace(_c(s), NON_ALPHA_ENDS, "")
 
 
+def _is_ascii_letter(c: Column) -> Column:
+    """One character (as a string) in a..z; compared by code point."""
+    return (c >= F.lit("a")) & (c <= F.lit("z"))
+
+
 def normalize_word(s) -> Column:
-    """Lower case, then strip: the form every count and match works on."""
-    return strip_non_alpha(to_lower_case(s))
+    """Lower case, then strip: the form every count and match works on.
+
+    Most tokens already begin and end with a letter; for those the strip is
+    the identity, so the regex runs only on the rest (same result, and the
+    common case stays a few generated comparisons)."""
+    low = to_lower_case(s)
+    clean = _is_ascii_letter(F.substring(low, 1, 1)) & _is_ascii_letter(F.substring(low, -1, 1))
+    return F.when(clean, low).otherwise(strip_non_alpha(low))
 
 
 def is_inflection_of(s1, s2, normalized: bool = False) -> Column:
