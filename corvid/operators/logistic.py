@@ -250,7 +250,14 @@ def train(points: DataFrame, x_long: DataFrame, beta0: DataFrame | None = None,
     Stops at ``max_iter`` or when ‖∇L(β_k)‖ ≤ eps; the reported norm is the
     one of the last gradient (before the last update), as in the reference.
     β and the row table are written to the checkpoint directory every
-    ``checkpoint_every`` iterations (0: never) and persisted in between."""
+    ``checkpoint_every`` iterations (≥ 1) and persisted in between. Each
+    iteration refers to the previous β and row table more than once, so the
+    logical plan doubles with every iteration that is not cut: writing every
+    iteration is also the fastest choice measured (sf0.1: 36 s for 5
+    iterations against 47 s writing every second one; never writing runs the
+    driver out of memory)."""
+    if checkpoint_every < 1:
+        raise ValueError("checkpoint_every must be at least 1")
     if "is_test" not in points.columns:
         points = points.withColumn("is_test", F.lit(False))
     xl = prepare(x_long, n_partitions)
@@ -261,7 +268,7 @@ def train(points: DataFrame, x_long: DataFrame, beta0: DataFrame | None = None,
     rows = _cut(margins(points.select("row_id", "y", "is_test"), xl, beta, fj), True)
     hist, k, grad_norm, start = [], 0, float("inf"), time.time()
     while k < max_iter and grad_norm > eps:
-        reliable = bool(checkpoint_every) and (k + 1) % checkpoint_every == 0
+        reliable = (k + 1) % checkpoint_every == 0
         # (feature, b, g): β and its gradient side by side, so the update is narrow
         c = rows.where(~F.col("is_test")).select("row_id", logistic_coef(F.col("margin"), F.col("y")).alias("_c"))
         gsum = xl.join(c, "row_id").groupBy("feature").agg(F.sum(F.col("_c") * F.col("value")).alias("_g"))
