@@ -90,3 +90,10 @@ def test_lmo_ties_lowest_index(spark):
     s = {r["idx"]: r["s"] for r in G.l1_ball_lmo(gdf, 5.0).collect()}
     assert s == {0: 0.0, 1: 5.0, 2: 0.0}
     assert list(G.solve_lin([1.0, -3.0, 3.0], 5.0)) == [0.0, 5.0, 0.0]
+
+
+def test_zero_eps_runs_max_iter(medium):
+    """eps = 0 means "run max_iter iterations", not "stop before the first"."""
+    g = medium[2]
+    assert G.train_gd_g(g, lam=0.5, max_iter=3, eps=0.0).iterations == 3
+    assert G.train_fw_g(g, K=50.0, max_iter=3, eps=0.0).iterations == 3

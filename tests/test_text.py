@@ -90,3 +90,35 @@ def test_readability_partition_invariant(spark):
     a = R.dale_chall(docs, keys).first()
     b = R.dale_chall(docs.repartition(7), keys).first()
     assert a == b
+
+
+def _py_normalize(s):
+    low = s.lower()
+    i, j = 0, len(low)
+    while i < j and not ("a" <= low[i] <= "z" or "A" <= low[i] <= "Z"):
+        i += 1
+    while j > i and not ("a" <= low[j - 1] <= "z" or "A" <= low[j - 1] <= "Z"):
+        j -= 1
+    return low[i:j]
+
+
+def test_normalize_fast_path_is_the_strip(spark):
+    """The letter-ends fast path gives exactly lower-then-strip, on ASCII
+    (checked against Python) and on mixed Unicode (checked against the regex)."""
+    from hypothesis import given, settings, strategies as st
+
+    words = st.text(alphabet=st.sampled_from(list("aZz.-'_1 ") + ["é", "É", "“", "—", "ß", "K", "ı", "😀"]),
+                    max_size=8)
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(words, min_size=50, max_size=200))
+    def check(ws):
+        df = spark.createDataFrame([(w,) for w in ws], "w string")
+        got = df.select("w", T.normalize_word("w").alias("fast"),
+                        T.strip_non_alpha(T.to_lower_case("w")).alias("slow")).collect()
+        for r in got:
+            assert r["fast"] == r["slow"]
+            if r["w"].isascii():
+                assert r["fast"] == _py_normalize(r["w"])
+
+    check()
