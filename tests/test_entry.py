@@ -11,7 +11,8 @@ import __spark_entry__ as E
 from corvid.plans.inputs import TABLES
 
 FAST = ["read_lines", "count_words", "readability_report", "dale_chall", "train_gd", "gram_stats",
-        "total_gradient", "backtracking_line_search", "adapt_u", "cross_validate_mf", "read_sparse_points"]
+        "total_gradient", "backtracking_line_search", "adapt_u", "cross_validate_mf", "read_sparse_points",
+        "train_fw", "k_sweep", "train_gd_history"]
 
 
 def test_entry_smoke(spark):
