@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corvid.llm import line_dedup, quality
+from corvid.llm import line_dedup, mixing, packing, quality, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +39,39 @@ def op8_quality_rules(spark, sf_dir):
     out = quality.quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "n_lines", "n_stop_words", "base_failed", "kept")
+
+
+@query("op2_mixing")
+def op2_mixing(spark, sf_dir):
+    """Words that the mix takes of each document."""
+    mix = mixing.mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    per_source = spark.createDataFrame([(s.rank, s.size, s.target) for s in mix.plan], "rank int, source_size long, target double")
+    return mix.taken().join(F.broadcast(per_source), "rank").select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op7_best_fit_packing")
+def op7_best_fit_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 4096 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# sha1 is a hex string in DuckDB; base 32 takes five bits at a time.
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, h, strlen(h) AS n, upper(sha1(h)) AS x FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM d),
+b AS (SELECT *, array_to_string(list_transform(range(40), lambda i: lpad(bin(strpos('0123456789ABCDEF', x[i + 1]) - 1), 4, '0')), '') AS bits FROM g)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + list_sum(list_transform(range(5), lambda o: CAST(bits[k * 5 + o + 1] AS INT) * (16 >> CAST(o AS INT))))::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM b"""
+
+
+@query("op9_warc", WARC_SQL)
+def op9_warc(spark, sf_dir):
+    """All pages written as WARC records and read back."""
+    got = warc.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
