@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import line_dedup, mixing, packing, quality, warc
+from corvid.llm import line_dedup, mixing, packing, quality, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,14 @@ def op2_mixing(spark, sf_dir):
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op4_toxicity")
+def op4_toxicity(spark, sf_dir):
+    """Toxicity scores of all documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.score_documents(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark, sf_dir):
     """All documents packed into sequences of at most 4096 tokens."""
