@@ -18,13 +18,17 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{WORD_GAP}]+"), "")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the
     lineage with files that every executor can read again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    return materialise_at(df, name)[0]
 
 
 def text_bytes(df: DataFrame, text: str) -> int:

@@ -48,6 +48,24 @@ def chunks(texts: Iterable[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[in
         yield first, part
 
 
+class Rolling:
+    """Hashes of runs of bytes, by differences of one running sum."""
+
+    def __init__(self, data: bytes):
+        buf = np.frombuffer(data, dtype=np.uint8)
+        pw, self._inv = _power(len(buf) + 1)
+        self._sum = np.zeros(len(buf) + 1, dtype=np.uint64)
+        np.cumsum(_SYMBOL[buf] * pw[:len(buf)], out=self._sum[1:])
+
+    def all(self, n: int) -> np.ndarray:
+        """Of the n bytes from each place on."""
+        s = self._sum
+        return mix64((s[n:] - s[:len(s) - n]) * self._inv[:max(0, len(s) - n)])
+
+    def at(self, start: np.ndarray, n: int) -> np.ndarray:
+        return mix64((self._sum[start + n] - self._sum[start]) * self._inv[start])
+
+
 class Words:
     """Words of some texts: ``doc`` (index of the text), and hashes of a word or
     of its first bytes. Separators are the bytes of ``gap``."""
