@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import line_dedup, mixing, packing, quality, toxicity, warc
+from corvid.llm import jaccard_join, line_dedup, mixing, packing, quality, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,13 @@ def op2_mixing(spark, sf_dir):
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark, sf_dir):
+    """Groups of documents linked by shingle sets of Jaccard similarity 0.8 or more."""
+    got = jaccard_join.similar_groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.withColumnRenamed("id", "doc_id")
+
+
 @query("op4_toxicity")
 def op4_toxicity(spark, sf_dir):
     """Toxicity scores of all documents."""
@@ -58,6 +65,13 @@ def op4_toxicity(spark, sf_dir):
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark, sf_dir):
+    """Bytes of all documents that repeated 200-byte strings cover."""
+    got = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.drop("spans").withColumnRenamed("id", "doc_id")
+
+
 @query("op7_best_fit_packing")
 def op7_best_fit_packing(spark, sf_dir):
     """All documents packed into sequences of at most 4096 tokens."""
