@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import jaccard_join, line_dedup, mixing, packing, quality, suffix_dedup, toxicity, warc
+from corvid.llm import cover_tree, jaccard_join, line_dedup, mixing, packing, pii, quality, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +65,12 @@ def op4_toxicity(spark, sf_dir):
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op5_pii_surrogates")
+def op5_pii_surrogates(spark, sf_dir):
+    """Texts of all documents with surrogates for personal data and secrets."""
+    return pii.replace_entities(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark, sf_dir):
     """Bytes of all documents that repeated 200-byte strings cover."""
@@ -97,3 +103,9 @@ def op9_warc(spark, sf_dir):
     """All pages written as WARC records and read back."""
     got = warc.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_cover_tree", cover_tree.TOP_K_SQL)
+def op10_cover_tree(spark, sf_dir):
+    """The five best inner products of every fiftieth vector with all others."""
+    return cover_tree.top_k(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
