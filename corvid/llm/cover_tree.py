@@ -42,6 +42,7 @@ K = 5
 BLOCK = 4096
 QUERY_GROUP = 512
 LEAF = 64
+QUERY_LEAF = 8
 SLACK = 1e-6  # relative room for rounding in the bounds
 
 
@@ -88,7 +89,7 @@ class Search:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
         self.ids, self.exact, self.k = ids, vectors, k
         self.float = vectors.astype(float)
-        self.tree = build(self.float, np.arange(len(ids)), LEAF)
+        self.tree = build(self.float, np.arange(len(ids)), QUERY_LEAF)
         self.score = np.full((len(ids), k), -np.inf)
         self.found = np.full((len(ids), k), -1, dtype=np.int64)
         self.filled = np.zeros(len(ids), dtype=np.int64)

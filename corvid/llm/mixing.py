@@ -175,13 +175,16 @@ class Mix:
         first = F.greatest(F.col("block") * L - F.col("offset"), F.lit(0))
         end = F.least((F.col("block") + 1) * L - F.col("offset"), F.col("size"))
         taken = self.slots.groupBy("rank", "block").agg(F.count("*").alias("times"))
+        taken = taken.hint("merge")  # the slots' size is not known to the planner: never broadcast them
         return (p.join(taken, ["rank", "block"])
                 .select("rank", "offset", "block", first.alias("first"), (end - first).alias("n"), "times"))
 
     def taken(self) -> DataFrame:
         """``placed`` with ``taken``: words the mix takes, repeats counted."""
         t = self.pieces().groupBy("rank", "offset").agg(F.sum(F.col("n") * F.col("times")).alias("taken"))
-        return self.placed.join(t, ["rank", "offset"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
+        # an empty document has the place of the next one, but none of its words
+        return (self.placed.join(t, ["rank", "offset"], "left")
+                .withColumn("taken", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long")))
 
 
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -207,7 +210,7 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     mix = mix_sources(docs, doc_id, text, source, block_words, seed)
     parts = mix.pieces().groupBy("rank", "offset").agg(
         F.sort_array(F.collect_list(F.struct("first", "n", "times"))).alias("__p"))
-    parts = mix.placed.join(parts, ["rank", "offset"]).select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__p")
+    parts = mix.placed.where("size > 0").join(parts, ["rank", "offset"]).select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__p")
     j = docs.join(parts, docs[doc_id].eqNullSafe(parts["__id"]) & (docs["__t"] == parts["__th"]))
     j = j.withColumn("__e", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("__p", lambda p: p["times"])).cast("int"))))
     unit = F.regexp_extract_all(F.col(text), F.lit(f"[{WORD_GAP}]*[^{WORD_GAP}]+"), F.lit(0))

@@ -57,7 +57,7 @@ _SEX = {n: (script, g) for script, by in GIVEN.items() for g, names in by.items(
 _W = r"[^\W\d_]"
 _CAP = rf"[A-ZÀ-ÖØ-ÞА-ЯЁ]{_W}+(?:[-'’][A-ZÀ-ÖØ-ÞА-ЯЁ]{_W}+)?"
 _LOCAL, _DOMAIN = re.compile(r"[\w.+%-]+$"), re.compile(r"[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}")
-_NUMBER = re.compile(r"(?<![\w.])(?:\+\d[\d ().\-/]{6,20}\d|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d[\d .\-]{5,22}\d)(?!\w)")
+_NUMBER = re.compile(r"(?<![\w.])[+(]?\d[\d ().\-/+]{5,}\d")  # a run that can hold several numbers
 _IP = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}")
 _CARD = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}")
 _PHONE = re.compile(r"\+1[ .\-]?(?:\(\d{3}\)|\d{3})[ .\-]?\d{3}[ .\-]?\d{4}|\+\d{1,3}(?:[ .\-]?(?:\(\d{1,4}\)|\d{2,4})){2,5}"
@@ -81,12 +81,11 @@ def detect(text: str) -> list[tuple[int, int, str]]:
             out.append((left.start(), right.end(), "email"))
         at = text.find("@", at + 1)
     for m in _NUMBER.finditer(text):
-        # a run of digits and separators can hold several numbers
         lo, hi = m.span()
         while lo < hi:
             for kind, pattern in (("ip", _IP), ("ssn", _SSN), ("card", _CARD), ("phone", _PHONE)):
                 f = pattern.match(text, lo, hi)
-                if f and not text[f.end():f.end() + 1].isdigit() and (kind != "ip" or all(int(x) < 256 for x in f.group().split("."))):
+                if f and not text[f.end():f.end() + 1].isalnum() and (kind != "ip" or all(int(x) < 256 for x in f.group().split("."))):
                     out.append((lo, f.end(), kind))
                     lo = f.end()
                     break
