@@ -25,7 +25,10 @@ not kept.
 from __future__ import annotations
 
 import bisect
+import gc
 import re
+import struct
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -41,7 +44,7 @@ CAPACITY = 4096
 END_ID = 1
 GROUPS = (48, 144)
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 600_000
+CACHE_WORDS = 800_000
 CACHED_CHARS = 200
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -53,82 +56,73 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, int]:
+    """The rule of byte-level tokenizers: printable bytes stand for themselves,
+    the others, in order, for the characters from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+class Known(dict):
+    """Ids of words, as little-endian bytes; what is not known is learnt."""
+
+    def __init__(self, encoder: "WordEncoder"):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.encoder.ids(word)
+        if len(word) <= CACHED_CHARS:
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of a text as little-endian 32-bit bytes. The tokenizer drops white
     space and never merges across it, so a text's ids are those of its words
-    one after the other, and words come back: they are kept up to a bound. Plain
-    words (Latin letters, then perhaps punctuation) share the ids of their
-    letters, whatever their case and what follows them."""
+    one after the other, and words come back: they are kept, in two generations
+    of a bounded size, so that frequent words stay. A run of letters, and the
+    marks after one, are separate to the tokenizer: a plain run goes to its model
+    alone."""
 
     def __init__(self, path: str):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.pieces = Tokenizer.from_file(path), {}, {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known, self.older = Known(self), {}
+        self.letters = byte_letters()
         self.find = re.compile(rf"[^{WORD_GAP}]+").findall
-        self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ʯ]+)([.,;:!?]*)").fullmatch
+        self.marked = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)").fullmatch  # letters, then ASCII marks
 
     def words(self, text: str) -> list[str]:
+        if "Σ" not in text:  # str.lower looks at what follows it
+            text = text.lower()
         # str.split is fast; it splits at these four too, which the tokenizer does not drop
         return self.find(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
-    def whole(self, words: list[str]) -> dict[str, bytes]:
-        return {w: np.array(e.ids, dtype="<u4").tobytes()
-                for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False))}
-
-    def learn_pieces(self, pieces: list[str]) -> None:
-        """Ids of runs of lower-case letters or of punctuation, in one go."""
-        e = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        word = np.array(e.word_ids)
-        at = np.concatenate(([0], np.flatnonzero(word[1:] != word[:-1]) + 1, [len(word)])) * 4
-        if len(at) != len(pieces) + 1:
-            self.pieces.update(self.whole(pieces))
-            return
-        ids = np.array(e.ids, dtype="<u4").tobytes()
-        at = at.tolist()
-        for w, s, t in zip(pieces, at, at[1:]):
-            self.pieces[w] = ids[s:t]
-
-    def learn(self, words: list[str]) -> None:
-        """Adds ``words`` to the known ones."""
-        parts, odd, need = [], [], set()
-        for w in words:
-            m = self.plain(w)
-            low = m and m[1].lower()
-            if m and len(low) == len(m[1]) and low.isalpha():
-                parts.append((w, low, m[2]))
-                need.add(low)
-                need.add(m[2])
-            else:
-                odd.append(w)
-        need.discard("")
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces = {}
-        new = [x for x in need if x not in self.pieces]
-        for k in range(0, len(new), 10_000):
-            self.learn_pieces(new[k:k + 10_000])
-        get = self.pieces.__getitem__
-        for w, low, end in parts:
-            self.known[w] = get(low) + get(end) if end else get(low)
-        for k in range(0, len(odd), 10_000):
-            self.known.update(self.whole(odd[k:k + 10_000]))
+    def ids(self, word: str) -> bytes:
+        if (old := self.older.get(word)) is not None:
+            return old
+        if word.isalpha():
+            if word.isascii() and word.islower():
+                return self.run(word)
+            if word == word.lower() and unicodedata.is_normalized("NFC", word):
+                return self.run(word.encode().decode("latin-1").translate(self.letters))
+        elif (m := self.marked(word)) and m[1] == m[1].lower():
+            return self.known[m[1]] + self.known[m[2]]
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def run(self, letters: str) -> bytes:
+        tokens = self.tokenizer.model.tokenize(letters)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
         if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        get = self.known.get
-        found = [list(map(get, s)) for s in split]
-        new = {w for s, f in zip(split, found) if None in f for w, x in zip(s, f) if x is None}
-        if new:
-            self.learn(list(new))
-            found = [list(map(get, s)) if None in f else f for s, f in zip(split, found)]
-        for w in new:
-            if len(w) > CACHED_CHARS:
-                del self.known[w]
-        return [b"".join(f) for f in found]
+            self.older, self.known = dict(self.known), Known(self)
+        get = self.known.__getitem__
+        return [b"".join(map(get, self.words(t))) for t in texts]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -149,6 +143,7 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
+        gc.disable()  # words are many small objects without cycles
         for batch in batches:
             ids, texts = batch["id"].tolist(), [t if isinstance(t, str) else "" for t in batch["text"]]
             for lo in range(0, len(texts), 200):
