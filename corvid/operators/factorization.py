@@ -10,7 +10,7 @@ regularisation grid as well. There is no driver loop over folds.
 Per iteration: one joined table R ⋈ U ⋈ V (persisted), the objective and the
 test RMSE as aggregates grouped by the keys, and the two profile updates as
 ``groupBy`` of d sums each (hash aggregation on doubles; profiles joined back),
-checkpointed to the reliable checkpoint directory.
+written to the shared folder; the tables of older iterations are dropped.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.vectors import dot_arrays
-from corvid.plans.joins import has_at_most
+from corvid.iterate import Steps
+from corvid.plans.joins import is_bounded
 
 # Reference defaults.
 GAIN = 0.001
@@ -33,15 +34,13 @@ EPSILON = 1e-99
 D = 10
 MAXITER = 20
 SEED = 1234567
-# Profiles are broadcast only under this many bytes (checked by row count).
-BROADCAST_BYTES = 64 * 1024 * 1024
-_TWO53 = float(2 ** 53)
 
 
 # ---- initial profiles -------------------------------------------------------------
 def _uniform(seed: int, side: str, id_col: Column, k: int, stream: int) -> Column:
-    h = F.xxhash64(F.lit(seed), F.lit(side), id_col, F.lit(k), F.lit(stream))
-    return ((h.bitwiseAND(F.lit((1 << 53) - 1))).cast("double") + F.lit(0.5)) / F.lit(_TWO53)
+    """In (0, 1), from the first 52 bits of an MD5 that any engine reproduces."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(side), id_col.cast("string"), F.lit(str(k)), F.lit(str(stream))))
+    return (F.conv(F.substring(h, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 52))
 
 
 def normal_vector(seed: int, side: str, id_col, d: int) -> Column:
@@ -100,11 +99,6 @@ def gradient_v(delta, u, d: int) -> Column:
 
 
 # ---- table operators ---------------------------------------------------------------
-def _maybe_broadcast(df: DataFrame, d: int) -> DataFrame:
-    max_rows = max(BROADCAST_BYTES // (8 * (d + 4)), 1)
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def join_and_predict(R: DataFrame, U: DataFrame, V: DataFrame, d: int, keys=(), bcast=(None, None)) -> DataFrame:
     """``(keys…, i, j, delta, u, v)`` by two inner equi-joins. Ratings of ids
     without a profile drop out (as in the reference)."""
@@ -145,6 +139,11 @@ def gain_schedule(gain: float, power: float, i: int) -> float:
     return gain / i ** power
 
 
+def gain_column(i, gain: float = GAIN, power: float = POWER) -> Column:
+    """The same schedule for a column of iteration numbers."""
+    return F.lit(float(gain)) / F.pow(F.col(i) if isinstance(i, str) else i, F.lit(float(power)))
+
+
 @dataclass
 class MFResult:
     U: DataFrame
@@ -155,21 +154,23 @@ class MFResult:
 
 def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0.0, mu=0.0,
           gain: float = GAIN, power: float = POWER, epsilon: float = EPSILON, maxiter: int = MAXITER,
-          seed: int = SEED, keys=(), init: str = "normal", checkpoint: bool = True,
-          checkpoint_every: int = 1) -> MFResult:
+          seed: int = SEED, keys=(), init: str = "normal", broadcast: bool | None = None,
+          last_update: bool = True) -> MFResult:
     """Gradient steps on U and V from the same joined table; per key, stop at
     ``maxiter`` or when |Δobjective| ≤ epsilon (a stopped key keeps its
-    profiles). The test RMSE of an iteration uses the profiles from before
-    its update, and divides by all test ratings (unmatched ones add no error,
-    as in the reference); ``rmse_matched`` divides by the matched ones only.
-    ``lam``/``mu`` may be a column name among ``keys`` (a grid)."""
+    profiles). Keys are those of the training ratings. The test RMSE of an
+    iteration uses the profiles from before its update, and divides by all test
+    ratings (unmatched ones add no error, as in the reference); ``rmse_matched``
+    divides by the matched ones only; both are None for a key without test
+    ratings. ``lam``/``mu`` may be a column name among ``keys`` (a grid).
+    ``broadcast`` overrides the measured choice for the profiles; without
+    ``last_update`` the profiles stay those the last RMSE was taken with."""
     keys = list(keys)
     if not keys:  # one group: a constant key keeps every step a keyed join/aggregate
         keys = ["_g"]
         train_R = train_R.withColumn("_g", F.lit(0))
         test_R = test_R.withColumn("_g", F.lit(0)) if test_R is not None else None
-        res = train(train_R, test_R, d, lam, mu, gain, power, epsilon, maxiter, seed, keys, init, checkpoint,
-                    checkpoint_every)
+        res = train(train_R, test_R, d, lam, mu, gain, power, epsilon, maxiter, seed, keys, init, broadcast, last_update)
         res.U, res.V = res.U.drop("_g"), res.V.drop("_g")
         for h in res.history:
             h.pop("_g", None)
@@ -177,25 +178,24 @@ def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0
         return res
     lam_c = F.col(lam) if isinstance(lam, str) else F.lit(float(lam))
     mu_c = F.col(mu) if isinstance(mu, str) else F.lit(float(mu))
-    trainR = train_R.select(*keys, "i", "j", "r").persist(StorageLevel.MEMORY_AND_DISK)
-    testR = test_R.select(*keys, "i", "j", "r").persist(StorageLevel.MEMORY_AND_DISK) if test_R is not None else trainR
-    m_test = {tuple(r[k] for k in keys): r["n"] for r in testR.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()}
-    U, V = init_profiles(trainR, d, seed, keys, init)
-    U, V = _cut(U, checkpoint), _cut(V, checkpoint)
-    ub, vb = _maybe_broadcast(U, d), _maybe_broadcast(V, d)
-    bcast_u, bcast_v = ub is not U, vb is not V
-    obj = {kk: 1e99 for kk in m_test}
-    active = set(m_test)
+    tables = Steps(train_R.sparkSession, "factors")
+    inputs = Steps(train_R.sparkSession, "ratings")
+    trainR = inputs.write(train_R.select(*keys, "i", "j", "r"))
+    testR = inputs.write(test_R.select(*keys, "i", "j", "r")) if test_R is not None else trainR
+    counted = lambda R: {tuple(r[k] for k in keys): r["n"] for r in R.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()}
+    m_test, models = counted(testR), counted(trainR)
+    U, V = (tables.write(p) for p in init_profiles(trainR, d, seed, keys, init))
+    small = [is_bounded(p) if broadcast is None else broadcast for p in (U, V)]
+    obj, active = {kk: 1e99 for kk in models}, set(models)
     hist, last, it, start = [], {}, 0, time.time()
     while it < maxiter and active:
         it += 1
-        Ub = F.broadcast(U) if bcast_u else U
-        Vb = F.broadcast(V) if bcast_v else V
-        J = join_and_predict(trainR, U, V, d, keys, (Ub, Vb)).persist(StorageLevel.MEMORY_AND_DISK)
+        sides = [F.broadcast(p) if b else p.hint("merge") for p, b in zip((U, V), small)]
+        J = join_and_predict(trainR, U, V, d, keys, sides).persist(StorageLevel.MEMORY_AND_DISK)
         se = squared_error(J, keys)
         nu = norm_sq(U, "u", d, keys)
         nv = norm_sq(V, "v", d, keys)
-        te = squared_error(join_and_predict(testR, U, V, d, keys, (Ub, Vb)), keys).withColumnRenamed("se", "se_test") \
+        te = squared_error(join_and_predict(testR, U, V, d, keys, sides), keys).withColumnRenamed("se", "se_test") \
             .withColumnRenamed("m", "m_test_matched")
         parts = se.join(nu, keys, "full").join(nv, keys, "full").join(te, keys, "left")
         parts = parts.select("*", lam_c.alias("_lam"), mu_c.alias("_mu"))
@@ -210,48 +210,30 @@ def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0
                 continue
             change = abs(r["obj"] - obj[kk])
             obj[kk] = r["obj"]
-            se_t = r["se_test"] or 0.0
-            mt = m_test.get(kk, 0)
-            rmse = math.sqrt(se_t / mt) if mt else None
-            matched = r["m_test_matched"] or 0
-            rmse_m = math.sqrt(se_t / matched) if matched else None
+            se_t, mt, matched = r["se_test"] or 0.0, m_test.get(kk, 0), r["m_test_matched"] or 0
             rec = {**dict(zip(keys, kk)), "iteration": it, "time": now, "objective": r["obj"],
-                   "test_rmse": rmse, "rmse_matched": rmse_m, "coverage": (matched / mt) if mt else None,
-                   "gamma": gamma}
+                   "test_rmse": math.sqrt(se_t / mt) if mt else None,
+                   "rmse_matched": math.sqrt(se_t / matched) if matched else None,
+                   "coverage": (matched / mt) if mt else None, "gamma": gamma}
             hist.append(rec)
             last[kk] = rec
             if change <= epsilon:
                 stopped.add(kk)
-        lam_u = lam_c if isinstance(lam, str) else float(lam)
-        mu_v = mu_c if isinstance(mu, str) else float(mu)
-        newU = adapt(J, U, "i", gamma, lam_u, d, keys)
-        newV = adapt(J, V, "j", gamma, mu_v, d, keys)
-        if keys and (set(active) - stopped) != set(m_test):
-            keep = [kk for kk in m_test if kk not in active or kk in stopped]
-            frozen = _key_filter(keys, keep)
-            moving = ~frozen
-            newU = newU.where(moving).unionByName(U.where(frozen))
-            newV = newV.where(moving).unionByName(V.where(frozen))
-        reliable = checkpoint and (checkpoint_every <= 1 or it % checkpoint_every == 0)
-        newU, newV = _cut(newU, reliable), _cut(newV, reliable)
+        if last_update or (it < maxiter and active - stopped):
+            newU = adapt(J, U, "i", gamma, lam_c if isinstance(lam, str) else float(lam), d, keys)
+            newV = adapt(J, V, "j", gamma, mu_c if isinstance(mu, str) else float(mu), d, keys)
+            if active - stopped != set(models):
+                frozen = _key_filter(keys, [kk for kk in models if kk not in active or kk in stopped])
+                newU = newU.where(~frozen).unionByName(U.where(frozen))
+                newV = newV.where(~frozen).unionByName(V.where(frozen))
+            U, V = tables.write(newU), tables.write(newV)
+            tables.keep_last(2)
         J.unpersist()
-        U.unpersist()
-        V.unpersist()
-        U, V = newU, newV
         active -= stopped
+    inputs.keep_last(0)
     return MFResult(U, V, hist, last)
 
 
-def _cut(df: DataFrame, reliable: bool) -> DataFrame:
-    """Persist, then (when ``reliable``) write to the checkpoint directory;
-    persisting first keeps the write from recomputing the plan."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if reliable:
-        return df.checkpoint()
-    df.count()  # materialise now: the inputs are released right after
-    return df
-
-
 def _key_filter(keys, key_values) -> Column:
     cond = F.lit(False)
     for kv in key_values:
@@ -278,14 +260,16 @@ def fold_keyed(R: DataFrame, n_folds: int) -> tuple[DataFrame, DataFrame]:
 
 
 def cross_validate(R: DataFrame, n_folds: int, **kw) -> tuple[DataFrame, MFResult]:
-    """k-fold CV with the fold as a leading key: ``(k, test_rmse, …)`` per
-    fold from the last iteration, plus the mean as ``cv_rmse``."""
+    """k-fold CV with the fold as a leading key: ``(k, test_rmse, …, cv_rmse)``
+    per fold from the last iteration; ``cv_rmse`` is the mean over the folds."""
     tr, te = fold_keyed(R, n_folds)
-    res = train(tr, te, keys=["k"], **kw)
-    spark = R.sparkSession
-    rows = [(int(kk[0]), v["test_rmse"], v["rmse_matched"], v["coverage"], int(v["iteration"]))
+    res = train(tr, te, keys=["k"], last_update=False, **kw)
+    known = [v["test_rmse"] for v in res.last.values() if v["test_rmse"] is not None]
+    mean = sum(known) / len(known) if known else None
+    rows = [(int(kk[0]), v["test_rmse"], v["rmse_matched"], v["coverage"], int(v["iteration"]), mean)
             for kk, v in sorted(res.last.items())]
-    df = spark.createDataFrame(rows, "k int, test_rmse double, rmse_matched double, coverage double, iterations int")
+    df = R.sparkSession.createDataFrame(rows, "k int, test_rmse double, rmse_matched double, coverage double, "
+                                              "iterations int, cv_rmse double")
     return df, res
 
 
@@ -297,7 +281,7 @@ def reg_grid(R: DataFrame, n_folds: int, regs, **kw) -> DataFrame:
     grid = F.explode(F.array(*[F.lit(float(x)) for x in regs]))
     tr = tr.withColumn("reg", grid)
     te = te.withColumn("reg", grid)
-    res = train(tr, te, keys=["reg", "k"], lam="reg", mu="reg", **kw)
+    res = train(tr, te, keys=["reg", "k"], lam="reg", mu="reg", last_update=False, **kw)
     rows = [(float(kk[0]), int(kk[1]), v["test_rmse"]) for kk, v in res.last.items()]
     per = spark.createDataFrame(rows, "reg double, k int, test_rmse double")
     return per.groupBy("reg").agg(F.avg("test_rmse").alias("cv_rmse"))

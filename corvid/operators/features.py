@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.functions.text import WHITESPACE, normalize_word, tokens
+from corvid.functions.text import WHITESPACE, normalize_word
 
 
 def bag_of_words(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, feature, value)``: count of each normalised word (empty word
     dropped) — the long form of a sparse vector per row."""
-    from corvid.plans.joins import spread
-
-    w = (spread(df).select(id_col, F.explode(F.split(text_col, WHITESPACE)).alias("t")).where(F.col("t") != "")
+    w = (df.select(id_col, F.explode(F.split(text_col, WHITESPACE)).alias("t")).where(F.col("t") != "")
          .select(id_col, normalize_word("t").alias("feature")))
     return (w.where(F.col("feature") != "").groupBy(id_col, "feature")
             .agg(F.count(F.lit(1)).cast("double").alias("value")))

@@ -4,83 +4,101 @@ Data: ``points(row_id, y ∈ {−1,+1}[, is_test])`` and the long form
 ``x_long(row_id, feature, value)``; β and gradients are ``(feature, value)``
 tables. Loss is a *sum* over rows plus λ‖β‖².
 
+Layout: rows are dealt into blocks (``pid``, a hash of row_id) and x_long is
+partitioned by block once (``Blocks``). A feature table that is proven small is
+broadcast. Beyond that, ``f2p(feature, pid)`` says which blocks need which
+feature: the table joins f2p, only the needed entries move to their blocks, and
+the join with x_long happens in place. A feature that every row has is one
+entry per block, so there is no hot key and x_long never moves.
+
 Plan per training iteration (no per-candidate passes, no re-join for margins):
   1. row weights c = −y/(1+e^{y·m}) from the row table (narrow),
-  2. ∇ = Σ c·x by feature: x_long ⋈ rows on row_id — x_long is hash
-     partitioned and sorted by row_id once, so this join does not move it,
-  3. slopes s = <x, ∇> per row: x_long ⋈ ∇ on feature (broadcast when ∇ is
-     proven small, else a sort-merge join with hot features salted),
+  2. ∇ = Σ c·x by feature (rows join x_long by block),
+  3. slopes s = <x, ∇> per row (∇ sent to the blocks),
   4. one aggregate evaluates the loss at every backtracking candidate t,
   5. β ← β − t∇ and m ← m − t·s: margins follow from the slopes, so they are
      never recomputed by a join.
-β and the row table are checkpointed to the reliable checkpoint directory
-every few iterations (persisted in between), which bounds lineage and
-survives executor loss.
+Each iteration writes two tables to the shared folder, (feature, β, ∇) and
+(row, margin, slope), and drops those of the iteration before the last.
 """
 
 from __future__ import annotations
 
+import math
 import time
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.vectors import logistic_coef, softplus
-from corvid.plans.joins import BROADCAST_MAX_ROWS, has_at_most
+from corvid.iterate import Steps
+from corvid.plans.joins import is_bounded, size_of
 
 # Fixed values of the reference's backtracking line search and defaults.
 LS_A = 0.2
 LS_B = 0.6
 LS_BATCH = 64          # candidates evaluated per pass
-LS_MAX_BATCHES = 16    # 1024 halvings by 0.6: far below double precision
-SALT_BUCKETS = 32
-HOT_FRACTION = 1e-3    # a feature on more than this share of rows is "hot"
+BLOCK_ENTRIES = 4_000_000  # entries of x_long per block, about 200 MB
+# A partitioning by block serves joins on (block, row) and (block, feature).
+_SUBSET_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
-# ---- feature-keyed join with a size-checked strategy ----------------------------
-@dataclass
-class FeatureJoin:
-    """Joins of the big ``x_long`` with feature-keyed tables (β, ∇).
-
-    ``broadcast``: the feature table is bounded (checked once) → hash join
-    without moving x_long. Otherwise hot features — at most 1/HOT_FRACTION
-    of them by construction — are salted over SALT_BUCKETS so that no single
-    feature lands in one task."""
-    broadcast: bool
-    hot: list = field(default_factory=list)
-
-    @classmethod
-    def plan(cls, x_long: DataFrame, n_features_table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS):
-        if has_at_most(n_features_table, max_rows):
-            return cls(True)
-        total = x_long.count()
-        thresh = max(int(total * HOT_FRACTION), 1)
-        hot = [r["feature"] for r in x_long.groupBy("feature").count().where(F.col("count") > thresh)
-               .select("feature").collect()]
-        return cls(False, hot)
-
-    def join(self, x_long: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
-        if self.broadcast:
-            return x_long.join(F.broadcast(table), "feature", how)
-        if not self.hot:
-            return x_long.join(table, "feature", how)
-        is_hot = F.col("feature").isin(self.hot)
-        xl = x_long.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64("row_id"), F.lit(SALT_BUCKETS)))
-                               .otherwise(F.lit(0)).cast("int"))
-        tb = table.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1)))
-                                                 .otherwise(F.array(F.lit(0)))))
-        return xl.join(tb, ["feature", "_salt"], how).drop("_salt")
+@contextmanager
+def block_joins(spark):
+    """Let joins on (pid, …) use a partitioning by pid alone."""
+    old = spark.conf.get(_SUBSET_KEYS)
+    spark.conf.set(_SUBSET_KEYS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_SUBSET_KEYS, old)
 
 
 # ---- data preparation -----------------------------------------------------------
-def prepare(x_long: DataFrame, n_partitions: int | None = None) -> DataFrame:
-    """Hash-partition x_long by row_id, sort within partitions, persist: the
-    row-keyed joins of every iteration then reuse this layout."""
-    n = n_partitions or int(x_long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (x_long.repartition(n, "row_id").sortWithinPartitions("row_id")
-            .persist(StorageLevel.MEMORY_AND_DISK))
+class Blocks:
+    """``x_long`` dealt into blocks of rows, persisted; the caller releases it.
+
+    ``broadcast``: whether feature tables of these features are bounded (rows
+    and bytes measured); None lets ``bounded`` measure each table it is given."""
+
+    def __init__(self, x_long: DataFrame, n_blocks: int | None = None, broadcast: bool | None = None):
+        spark = x_long.sparkSession
+        if n_blocks is None:
+            entries = size_of(x_long.select("row_id"))[0]
+            n_blocks = max(math.ceil(entries / BLOCK_ENTRIES), spark.sparkContext.defaultParallelism)
+        self.n, self.broadcast, self._f2p = n_blocks, broadcast, None
+        self.x = (x_long.select("row_id", "feature", "value", self.pid("row_id").alias("pid"))
+                  .repartition(n_blocks, "pid").persist(StorageLevel.MEMORY_AND_DISK))
+        self.x.count()  # the planner knows the layout of a cached table once it is there
+
+    def pid(self, row_id) -> Column:
+        return F.pmod(F.xxhash64(row_id), F.lit(self.n)).cast("int")
+
+    @property
+    def f2p(self) -> DataFrame:
+        """``(feature, pid)``: the blocks that need a feature."""
+        if self._f2p is None:
+            self._f2p = self.x.select("feature", "pid").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._f2p
+
+    def with_features(self, table: DataFrame) -> DataFrame:
+        """x_long with the columns of a feature table (inner)."""
+        if is_bounded(table) if self.broadcast is None else self.broadcast:
+            return self.x.join(F.broadcast(table), "feature")
+        needed = self.f2p.join(table.hint("merge"), "feature").repartition(self.n, "pid")
+        return self.x.join(needed.hint("shuffle_hash"), ["pid", "feature"])
+
+    def with_rows(self, rows: DataFrame) -> DataFrame:
+        """x_long with the columns of a row table (inner)."""
+        return self.x.join(rows.withColumn("pid", self.pid("row_id")).repartition(self.n, "pid").hint("shuffle_hash"), ["pid", "row_id"])
+
+    def release(self) -> None:
+        self.x.unpersist()
+        if self._f2p is not None:
+            self._f2p.unpersist()
 
 
 def all_features(x_long: DataFrame) -> DataFrame:
@@ -119,11 +137,23 @@ def send_to_partitions(beta: DataFrame, f2p: DataFrame) -> DataFrame:
     return f2p.join(beta, "feature")
 
 
-def margins(points: DataFrame, x_long: DataFrame, beta: DataFrame, fj: FeatureJoin | None = None) -> DataFrame:
+def _with_features(x, table: DataFrame) -> DataFrame:
+    """x_long ⋈ a feature table; a single call on x_long that is in no blocks
+    broadcasts a bounded table, else Spark joins by feature and splits hot ones."""
+    if isinstance(x, Blocks):
+        return x.with_features(table)
+    return x.join(F.broadcast(table) if is_bounded(table) else table.hint("merge"), "feature")
+
+
+def _with_rows(x, rows: DataFrame) -> DataFrame:
+    return x.with_rows(rows) if isinstance(x, Blocks) else x.join(rows, "row_id")
+
+
+def margins(points: DataFrame, x, beta: DataFrame) -> DataFrame:
     """``(row_id, y, margin)``; rows sharing no feature with β keep margin 0
-    (left join from the points, so no row is lost from loss or metrics)."""
-    fj = fj or FeatureJoin(True)
-    j = fj.join(x_long, beta.withColumnRenamed("value", "_b"))
+    (left join from the points, so no row is lost from loss or metrics).
+    ``x`` is x_long or its ``Blocks``."""
+    j = _with_features(x, beta.withColumnRenamed("value", "_b"))
     m = j.groupBy("row_id").agg(F.sum(F.col("value") * F.col("_b")).alias("margin"))
     return points.join(m, "row_id", "left").withColumn("margin", F.coalesce("margin", F.lit(0.0)))
 
@@ -132,30 +162,29 @@ def sq_norm(beta: DataFrame) -> DataFrame:
     return beta.agg(F.coalesce(F.sum(F.col("value") * F.col("value")), F.lit(0.0)).alias("sq"))
 
 
-def total_loss(points: DataFrame, x_long: DataFrame, beta: DataFrame, lam: float = 0.0,
-               fj: FeatureJoin | None = None) -> float:
-    m = margins(points, x_long, beta, fj)
+def total_loss(points: DataFrame, x, beta: DataFrame, lam: float = 0.0) -> float:
+    m = margins(points, x, beta)
     loss = m.agg(F.sum(softplus(-F.col("y") * F.col("margin"))).alias("l")).first()["l"] or 0.0
     reg = lam * (sq_norm(beta).first()["sq"]) if lam else 0.0
     return float(loss + reg)
 
 
-def gradient_from_rows(rows: DataFrame, x_long: DataFrame, beta: DataFrame, lam: float = 0.0) -> DataFrame:
+def gradient_from_rows(rows: DataFrame, x, beta: DataFrame, lam: float = 0.0) -> DataFrame:
     """∇ = Σ_rows c·x + 2λβ as ``(feature, value)``, defined on β's features
     (left join from β: a feature absent from the data still shrinks)."""
     c = rows.select("row_id", logistic_coef(F.col("margin"), F.col("y")).alias("_c"))
-    g = x_long.join(c, "row_id").groupBy("feature").agg(F.sum(F.col("_c") * F.col("value")).alias("_g"))
+    g = _with_rows(x, c).groupBy("feature").agg(F.sum(F.col("_c") * F.col("value")).alias("_g"))
     return (beta.join(g, "feature", "left")
             .select("feature", (F.coalesce("_g", F.lit(0.0)) + F.lit(2.0 * lam) * F.col("value")).alias("value")))
 
 
-def total_gradient(points, x_long, beta, lam: float = 0.0, fj: FeatureJoin | None = None) -> DataFrame:
-    return gradient_from_rows(margins(points, x_long, beta, fj), x_long, beta, lam)
+def total_gradient(points, x, beta, lam: float = 0.0) -> DataFrame:
+    return gradient_from_rows(margins(points, x, beta), x, beta, lam)
 
 
-def slopes(rows: DataFrame, x_long: DataFrame, grad: DataFrame, fj: FeatureJoin) -> DataFrame:
+def slopes(rows: DataFrame, x, grad: DataFrame) -> DataFrame:
     """rows + ``s = <x, ∇>`` per row (0 for rows sharing no feature with ∇)."""
-    j = fj.join(x_long, grad.withColumnRenamed("value", "_g"))
+    j = _with_features(x, grad.withColumnRenamed("value", "_g"))
     s = j.groupBy("row_id").agg(F.sum(F.col("value") * F.col("_g")).alias("s"))
     return rows.join(s, "row_id", "left").withColumn("s", F.coalesce("s", F.lit(0.0)))
 
@@ -176,23 +205,23 @@ def line_search(rows_s: DataFrame, bb: float, bg: float, gg: float, lam: float =
     f(β − t∇) = Σ softplus(−y(m − t·s)) + λ(‖β‖² − 2t<β,∇> + t²‖∇‖²).
     Returns (t, f(β − t∇), f(β), k)."""
     y, m, s = F.col("y"), F.col("margin"), F.col("s")
-    f0 = None
-    t = 1.0
-    for batch in range(LS_MAX_BATCHES):
+    f0, t, k = None, 1.0, 0
+    while t > 0:  # until the step underflows; the reference has no bound
         ts = []
         for _ in range(LS_BATCH):  # t ← b·t, the same sequence of doubles as the reference
             ts.append(t)
             t = b * t
-        aggs = [F.sum(softplus(-y * (m - F.lit(t) * s))).alias(f"l{k}") for k, t in enumerate(ts)]
+        aggs = [F.sum(softplus(-y * (m - F.lit(x) * s))).alias(f"l{i}") for i, x in enumerate(ts)]
         if f0 is None:
             aggs.append(F.sum(softplus(-y * m)).alias("base"))
         r = rows_s.agg(*aggs).first()
         if f0 is None:
             f0 = float(r["base"] or 0.0) + lam * bb
-        for k, t in enumerate(ts):
-            ft = float(r[f"l{k}"] or 0.0) + lam * (bb - 2 * t * bg + t * t * gg)
-            if ft <= f0 - a * t * gg:
-                return t, ft, f0, batch * LS_BATCH + k
+        for i, x in enumerate(ts):
+            ft = float(r[f"l{i}"] or 0.0) + lam * (bb - 2 * x * bg + x * x * gg)
+            if ft <= f0 - a * x * gg:
+                return x, ft, f0, k + i
+        k += LS_BATCH
     raise RuntimeError("line search found no step")
 
 
@@ -218,8 +247,8 @@ def confusion_counts(rows_with_margin: DataFrame) -> DataFrame:
     return rows_with_margin.agg(*confusion_expr())
 
 
-def evaluate(points, x_long, beta, fj: FeatureJoin | None = None) -> DataFrame:
-    return acc_pre_rec(confusion_counts(margins(points, x_long, beta, fj)))
+def evaluate(points, x, beta) -> DataFrame:
+    return acc_pre_rec(confusion_counts(margins(points, x, beta)))
 
 
 @dataclass
@@ -230,72 +259,63 @@ class LogisticFit:
     history: list
 
 
-def _cut(df: DataFrame, reliable: bool) -> DataFrame:
-    """Persist, then (when ``reliable``) write to the checkpoint directory.
-    Persisting first keeps the checkpoint write from recomputing the plan."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if reliable:
-        return df.checkpoint()
-    df.count()  # materialise now: the inputs are released right after
-    return df
-
-
-def train(points: DataFrame, x_long: DataFrame, beta0: DataFrame | None = None, lam: float = 0.0,
+def train(points: DataFrame, x_long, beta0: DataFrame | None = None, lam: float = 0.0,
           max_iter: int = 40, eps: float = 0.1, n_partitions: int | None = None,
-          online_test: bool = False, checkpoint_every: int = 1) -> LogisticFit:
+          online_test: bool = False, broadcast: bool | None = None) -> LogisticFit:
     """Train on the rows of ``points`` with ``is_test`` false (all rows when
     the column is absent). With ``online_test`` the history carries test
-    ACC/PRE/REC per iteration, from test margins kept by the same recurrence.
+    ACC/PRE/REC per iteration, from test margins kept by the same recurrence;
+    without it, test rows take no part at all.
 
     Stops at ``max_iter`` or when ‖∇L(β_k)‖ ≤ eps; the reported norm is the
     one of the last gradient (before the last update), as in the reference.
-    β and the row table are written to the checkpoint directory every
-    ``checkpoint_every`` iterations (≥ 1) and persisted in between. Each
-    iteration refers to the previous β and row table more than once, so the
-    logical plan doubles with every iteration that is not cut: writing every
-    iteration is also the fastest choice measured (sf0.1: 36 s for 5
-    iterations against 47 s writing every second one; never writing runs the
-    driver out of memory)."""
-    if checkpoint_every < 1:
-        raise ValueError("checkpoint_every must be at least 1")
+    ``x_long`` may be ``Blocks`` that the caller prepared (of the rows to train
+    on) and shares between runs; ``broadcast`` overrides the measured choice."""
+    spark = points.sparkSession
     if "is_test" not in points.columns:
         points = points.withColumn("is_test", F.lit(False))
-    xl = prepare(x_long, n_partitions)
-    train_ids = points.where(~F.col("is_test")).select("row_id")
-    beta = beta0 if beta0 is not None else beta_init(xl.join(train_ids, "row_id", "left_semi"))
-    beta = _cut(beta, True)
-    fj = FeatureJoin.plan(xl, beta)
-    rows = _cut(margins(points.select("row_id", "y", "is_test"), xl, beta, fj), True)
-    hist, k, grad_norm, start = [], 0, float("inf"), time.time()
-    while k < max_iter and grad_norm > eps:
-        reliable = (k + 1) % checkpoint_every == 0
-        # (feature, b, g): β and its gradient side by side, so the update is narrow
-        c = rows.where(~F.col("is_test")).select("row_id", logistic_coef(F.col("margin"), F.col("y")).alias("_c"))
-        gsum = xl.join(c, "row_id").groupBy("feature").agg(F.sum(F.col("_c") * F.col("value")).alias("_g"))
-        bg_tab = _cut(beta.join(gsum, "feature", "left").select(
-            "feature", F.col("value").alias("b"),
-            (F.coalesce("_g", F.lit(0.0)) + F.lit(2.0 * lam) * F.col("value")).alias("g")), False)
-        r = bg_tab.agg(F.sum(F.col("b") * F.col("b")).alias("bb"), F.sum(F.col("b") * F.col("g")).alias("bg"),
-                       F.sum(F.col("g") * F.col("g")).alias("gg")).first()
-        bb, bgv, gg = (float(r[x] or 0.0) for x in ("bb", "bg", "gg"))
-        grad = bg_tab.select("feature", F.col("g").alias("value"))
-        rows_s = _cut(slopes(rows, xl, grad, fj), False)
-        t, ft, f0, nk = line_search(rows_s.where(~F.col("is_test")), bb, bgv, gg, lam)
-        new_beta = _cut(bg_tab.select("feature", (F.col("b") - F.lit(t) * F.col("g")).alias("value")), reliable)
-        new_rows = _cut(rows_s.select("row_id", "y", "is_test",
-                                      (F.col("margin") - F.lit(t) * F.col("s")).alias("margin")), reliable)
-        for old in (rows_s, bg_tab, beta, rows):
-            old.unpersist()
-        beta, rows = new_beta, new_rows
-        grad_norm = gg ** 0.5
-        entry = {"k": k, "t": time.time() - start, "objective": ft, "grad_norm": grad_norm, "step": t,
-                 "rejected": nk}
-        if online_test:
-            m = acc_pre_rec(confusion_counts(rows.where(F.col("is_test")))).first()
-            entry.update(acc=m["acc"], pre=m["pre"], rec=m["rec"])
-        hist.append(entry)
-        k += 1
-    xl.unpersist()
+    rows = points.select("row_id", "y", "is_test")
+    own = not isinstance(x_long, Blocks)
+    if own:
+        if not online_test:
+            rows = rows.where(~F.col("is_test"))
+            x_long = x_long.join(rows.select("row_id"), "row_id", "left_semi")
+        x_long = Blocks(x_long, n_partitions)
+    x, trained = x_long, ~F.col("is_test")
+    tables = Steps(spark, "logistic")
+    with block_joins(spark):
+        if beta0 is None:
+            beta0 = beta_init(x.with_rows(rows.where(trained).select("row_id")))
+        beta = tables.write(beta0.select("feature", "value"))
+        x.broadcast = is_bounded(beta) if broadcast is None else broadcast
+        state = tables.write(margins(rows, x, beta))
+        hist, k, grad_norm, start = [], 0, float("inf"), time.time()
+        while k < max_iter and grad_norm > eps:
+            c = state.where(trained).select("row_id", logistic_coef(F.col("margin"), F.col("y")).alias("_c"))
+            gsum = x.with_rows(c).groupBy("feature").agg(F.sum(F.col("_c") * F.col("value")).alias("_g"))
+            # (feature, b, g): β and its gradient side by side, so the update is narrow
+            both = tables.write(beta.join(gsum, "feature", "left").select(
+                "feature", F.col("value").alias("b"),
+                (F.coalesce("_g", F.lit(0.0)) + F.lit(2.0 * lam) * F.col("value")).alias("g")))
+            r = both.agg(F.sum(F.col("b") * F.col("b")).alias("bb"), F.sum(F.col("b") * F.col("g")).alias("bg"),
+                         F.sum(F.col("g") * F.col("g")).alias("gg")).first()
+            bb, bgv, gg = (float(r[c] or 0.0) for c in ("bb", "bg", "gg"))
+            with_s = tables.write(slopes(state, x, both.select("feature", F.col("g").alias("value"))))
+            t, ft, f0, nk = line_search(with_s.where(trained), bb, bgv, gg, lam)
+            # narrow over the two tables just written: the next step reads nothing older
+            beta = both.select("feature", (F.col("b") - F.lit(t) * F.col("g")).alias("value"))
+            state = with_s.select("row_id", "y", "is_test", (F.col("margin") - F.lit(t) * F.col("s")).alias("margin"))
+            tables.keep_last(2)
+            grad_norm = gg ** 0.5
+            entry = {"k": k, "t": time.time() - start, "objective": ft, "grad_norm": grad_norm, "step": t,
+                     "rejected": nk}
+            if online_test:
+                m = acc_pre_rec(confusion_counts(state.where(F.col("is_test")))).first()
+                entry.update(acc=m["acc"], pre=m["pre"], rec=m["rec"])
+            hist.append(entry)
+            k += 1
+    if own:
+        x.release()
     return LogisticFit(beta, grad_norm, k, hist)
 
 
@@ -306,14 +326,13 @@ def history_frame(spark, fit: LogisticFit) -> DataFrame:
                                        "rejected int, acc double, pre double, rec double")
 
 
-def sparse_fd_gradient(points, x_long, beta, lam: float = 0.0, delta: float = 1e-4,
-                       fj: FeatureJoin | None = None) -> DataFrame:
+def sparse_fd_gradient(points, x, beta, lam: float = 0.0, delta: float = 1e-4) -> DataFrame:
     """Forward differences per feature in one scan: moving β_f by δ only
     changes the margins of rows holding f, so
     ΔL_f = Σ_{rows ∋ f} [softplus(−y(m+δx)) − softplus(−y·m)] + λ((β_f+δ)² − β_f²).
     → ``(feature, fd, analytic)``."""
-    m = margins(points, x_long, beta, fj)
-    j = x_long.join(m.select("row_id", "y", "margin"), "row_id")
+    m = margins(points, x, beta)
+    j = _with_rows(x, m.select("row_id", "y", "margin"))
     y, mm, v = F.col("y"), F.col("margin"), F.col("value")
     d = j.groupBy("feature").agg(
         F.sum(softplus(-y * (mm + F.lit(delta) * v)) - softplus(-y * mm)).alias("_dl"),

@@ -13,8 +13,9 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.functions.text import INFLECTION_ENDINGS, WHITESPACE, normalize_word, sentence_count, tokens, word_count
-from corvid.plans.joins import broadcast_if_bounded, spread
+from corvid.functions.text import INFLECTION_ENDINGS, WHITESPACE, normalize_word, sentence_count, word_count
+from corvid.iterate import Steps
+from corvid.plans.joins import is_bounded
 
 # Fixed values of the formula as the reference computes it (no +3.6365 term).
 DCF_DIFFICULT_WEIGHT = 0.1579
@@ -31,30 +32,30 @@ def token_words(df: DataFrame, keys, text_col: str = "text") -> DataFrame:
     keys = _cols(keys)
     # explode the raw split and drop empty pieces with a (generated) filter
     # rather than a per-element lambda inside the generator input
-    t = spread(df).select(*keys, F.explode(F.split(text_col, WHITESPACE)).alias("token")).where(F.col("token") != "")
+    t = df.select(*keys, F.explode(F.split(text_col, WHITESPACE)).alias("token")).where(F.col("token") != "")
     return t.withColumn("word", normalize_word("token"))
 
 
 def compute_counts(df: DataFrame, keys=(), text_col: str = "text",
                    num_partitions: int | None = None) -> DataFrame:
     """``(*keys, word, n)``: occurrences of each normalised word. Map-side
-    partial aggregation keeps a hot word from reaching one task whole."""
+    partial aggregation keeps a hot word from reaching one task whole.
+    ``num_partitions`` deals the texts (not their tokens) anew."""
     keys = _cols(keys)
-    words = token_words(df, keys, text_col)
     if num_partitions:
-        words = words.repartition(num_partitions)
-    return words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+        df = df.select(*keys, text_col).repartition(num_partitions)
+    return token_words(df, keys, text_col).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def count_sentences(df: DataFrame, keys, text_col: str = "text") -> DataFrame:
     keys = _cols(keys)
-    return spread(df).groupBy(*keys).agg(F.sum(sentence_count(text_col)).cast("bigint").alias("sentences"))
+    return df.groupBy(*keys).agg(F.sum(sentence_count(text_col)).cast("bigint").alias("sentences"))
 
 
 def count_words(df: DataFrame, keys, text_col: str = "text") -> DataFrame:
     """Token count without materialising tokens: size of the filtered split."""
     keys = _cols(keys)
-    return spread(df).groupBy(*keys).agg(F.sum(word_count(text_col)).cast("bigint").alias("words"))
+    return df.groupBy(*keys).agg(F.sum(word_count(text_col)).cast("bigint").alias("words"))
 
 
 def unique_words(df: DataFrame, keys, text_col: str = "text") -> DataFrame:
@@ -104,38 +105,16 @@ def find_match(words: DataFrame, easy_words: DataFrame, word_col: str = "word")
         F.when(F.count("easy_word") > 0, F.array_sort(F.collect_set("easy_word"))).alias("matches"))
 
 
-def flag_tokens(tok: DataFrame, keys: DataFrame) -> DataFrame:
-    """Left join of tokens on the easy-key set: ``is_easy`` true or NULL.
-    The key set is distinct, so no token is duplicated."""
-    k = broadcast_if_bounded(keys.select("word", F.lit(True).alias("is_easy")))
-    return tok.join(k, "word", "left")
+def written_keys(keys_df: DataFrame) -> DataFrame:
+    """The easy-key set computed once: ``(word, is_easy)``, written."""
+    return Steps(keys_df.sparkSession, "easy-keys").write(keys_df.select("word", F.lit(True).alias("is_easy")))
 
 
 def count_difficult_words(df: DataFrame, keys_df: DataFrame, keys, text_col: str = "text") -> DataFrame:
-    """``(*keys, difficult)``: tokens whose normalised word has no easy match."""
+    """``(*keys, difficult)``: tokens whose normalised word has no easy match,
+    from the single pass of ``readability``."""
     keys = _cols(keys)
-    tok = token_words(df, keys, text_col)
-    hard = tok.join(broadcast_if_bounded(keys_df.select("word")), "word", "left_anti")
-    base = df.select(*keys).distinct()
-    cnt = hard.groupBy(*keys).agg(F.count(F.lit(1)).alias("difficult"))
-    return base.join(cnt, keys, "left").select(*keys, F.coalesce("difficult", F.lit(0)).cast("bigint").alias("difficult"))
-
-
-def per_token_sentences(text_col: str = "text", rows_are_lines: bool = False):
-    """Tokens of a text as ``array<struct<token, s>>`` where ``s`` carries the
-    sentence count of the text on the first element (0 elsewhere); a text
-    without tokens yields one element with a NULL token.
-
-    The sentence count must be computed inside the generator's input, which is
-    evaluated once per text: as a separate column the optimizer may evaluate
-    it after the explode, i.e. once per token (quadratic in the text length).
-    """
-    tk = tokens(text_col)
-    sent = F.lit(1) if rows_are_lines else sentence_count(text_col)
-    per = F.transform(tk, lambda t, i: F.struct(t.alias("token"),
-                                                F.when(i == 0, sent).otherwise(F.lit(0)).alias("s")))
-    empty = F.array(F.struct(F.lit(None).cast("string").alias("token"), sent.alias("s")))
-    return F.when(F.size(tk) == 0, empty).otherwise(per)
+    return readability(df, keys_df, keys, text_col).select(*keys, "difficult")
 
 
 def dcf_expr(difficult, words, sentences):
@@ -146,10 +125,14 @@ def dcf_expr(difficult, words, sentences):
 
 
 def readability(df: DataFrame, keys_df: DataFrame, group_cols, text_col: str = "text",
-                rows_are_lines: bool = False) -> DataFrame:
-    """Sentences, words, difficult words and Dale-Chall score per group, in one
-    pass: tokens are flagged by a broadcast join and aggregated map-side, so
-    the only shuffle carries one partial row per group and task.
+                rows_are_lines: bool = False, broadcast: bool | None = None) -> DataFrame:
+    """Sentences, words, difficult words and Dale-Chall score per group.
+
+    The easy keys are written once and measured. Bounded, they are broadcast:
+    tokens are flagged where they are and one partial row per group and task is
+    shuffled. Beyond the bound, tokens are first counted per (group, word), so a
+    hot word is at most one row per group when it meets the keys in a
+    sort-merge join. ``broadcast`` overrides the measured choice.
 
     ``group_cols`` may be coarser than a document (a category); the sentence
     count of each document is then taken once, on its first token. With
@@ -161,16 +144,22 @@ def readability(df: DataFrame, keys_df: DataFrame, group_cols, text_col: str = "
     # (once per text) and kept on the first piece of the split only; empty
     # pieces are dropped by a generated filter, except that first one.
     sent = F.lit(1) if rows_are_lines else sentence_count(text_col)
-    base = spread(df).select(*group_cols, sent.alias("_sent"), F.split(text_col, WHITESPACE).alias("_tk"))
+    base = df.select(*group_cols, sent.alias("_sent"), F.split(text_col, WHITESPACE).alias("_tk"))
     t = base.select(*group_cols, "_sent", F.posexplode_outer("_tk").alias("_pos", "token"))
     first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
     has_token = F.col("token").isNotNull() & (F.col("token") != "")
     t = t.where(first | has_token).withColumn("word", normalize_word("token"))
-    t = flag_tokens(t, keys_df)
+    t = t.select(*group_cols, "word", F.when(first, F.col("_sent")).alias("_s"), has_token.cast("int").alias("_n"))
+    keys = written_keys(keys_df)
+    if is_bounded(keys) if broadcast is None else broadcast:
+        t = t.join(F.broadcast(keys), "word", "left")
+    else:
+        t = t.groupBy(*group_cols, "word").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+        t = t.join(keys.hint("merge"), "word", "left")
     agg = t.groupBy(*group_cols).agg(
-        F.sum(F.when(first, F.col("_sent"))).cast("bigint").alias("sentences"),
-        F.count_if(has_token).alias("words"),
-        F.count_if(has_token & F.col("is_easy").isNull()).alias("difficult"),
+        F.sum("_s").cast("bigint").alias("sentences"),
+        F.sum("_n").cast("bigint").alias("words"),
+        F.sum(F.when(F.col("is_easy").isNull(), F.col("_n")).otherwise(0)).cast("bigint").alias("difficult"),
     )
     return agg.withColumn("dcf", dcf_expr(F.col("difficult"), F.col("words"), F.col("sentences")))
 
@@ -183,12 +172,15 @@ def dale_chall(df: DataFrame, keys_df: DataFrame, text_col: str = "text", rows_a
 
 def partition_sweep(df: DataFrame, keys_df: DataFrame, partitions=(2, 5, 10, 15, 20),
                     text_col: str = "text") -> DataFrame:
-    """Wall time of the collection score for each partition count of the input.
-    A benchmark job: each run is executed, the score must not depend on N."""
+    """The collection score and its wall time for each partition count of the
+    input: ``(n_partitions, n_used, dcf, seconds)``. ``n_used`` is counted by the
+    run itself (tasks that read rows), so it shows that N was kept."""
     spark = df.sparkSession
     rows = []
     for n in partitions:
         start = time.time()
-        r = dale_chall(df.repartition(n), keys_df, text_col).first()
-        rows.append((int(n), float(r["dcf"]) if r["dcf"] is not None else None, time.time() - start))
-    return spark.createDataFrame(rows, "n_partitions int, dcf double, seconds double")
+        dealt = df.repartition(n)
+        used = dealt.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p").alias("n")).first()["n"]
+        r = dale_chall(dealt, keys_df, text_col).first()
+        rows.append((int(n), int(used), float(r["dcf"]) if r["dcf"] is not None else None, time.time() - start))
+    return spark.createDataFrame(rows, "n_partitions int, n_used int, dcf double, seconds double")

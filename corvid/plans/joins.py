@@ -5,33 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of rows a side may have to be broadcast. A broadcast side is
-# built on the driver and copied to every executor, so this is a hard bound,
-# independent of the size of the data the other side holds.
+# Largest side to broadcast. It is built on the driver and copied to every
+# executor, so rows and bytes are hard bounds, whatever the other side holds.
 BROADCAST_MAX_ROWS = 2_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows. The limit lets Spark
-    stop as soon as the bound is exceeded, so the check stays cheap."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a side proven small; otherwise leave the choice
-    to the planner (sort-merge join, converted at runtime by AQE when the
-    shuffled side turns out small)."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over the cluster's cores when the scan yields fewer
-    partitions than that (e.g. one large row group holding all texts).
-
-    CPU-heavy per-row work (tokenising whole texts) otherwise runs in a
-    single task. A large input already has at least as many splits as cores,
-    and then nothing is added — no shuffle of the raw data at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+BROADCAST_MAX_BYTES = 64 << 20
+ROW_OVERHEAD = 16
+
+
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a written or persisted table, by one aggregate with a
+    partial sum per task. Strings count with their length, the rest by width."""
+    width = F.lit(ROW_OVERHEAD)
+    for name, kind in df.dtypes:
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + 8
+        elif kind.startswith("array"):
+            width = width + F.coalesce(F.size(F.col(name)), F.lit(0)) * 8 + 8
+        else:
+            width = width + 8
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+    return int(r["n"]), int(r["b"] or 0)
+
+
+def is_bounded(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    rows, size = size_of(df)
+    return (rows <= (BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+            and size <= (BROADCAST_MAX_BYTES if max_bytes is None else max_bytes))

@@ -8,6 +8,8 @@ engine reproduces; training itself starts from the seeded normal init.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from corvid.operators import factorization as M
@@ -74,15 +76,26 @@ def q_rating_ids(spark, sf):
             .unionByName(M.rating_ids(R, "j").select(F.lit("j").alias("side"), F.col("j").alias("id"))))
 
 
-@register("init_profiles")
+def _normal(side: str, col: str, k: int) -> str:
+    """The seeded normal init in SQL: Box-Muller over the first 52 bits of an MD5."""
+    u = [f"((CAST('0x' || substr(md5('{M.SEED}|{side}|' || {col} || '|{k}|{n}'), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)" for n in (0, 1)]
+    return f"(sqrt(-2.0 * ln({u[0]})) * cos({2 * math.pi!r} * {u[1]}))"
+
+
+def _normal_side(side: str, col: str, d: int) -> str:
+    return " UNION ALL ".join(f"SELECT '{side}' AS side, {_normal(side, col, k)} AS z FROM (SELECT DISTINCT {col} FROM rt)" for k in range(d))
+
+
+@register("init_profiles", f"WITH {RT}, z AS ({_normal_side('u', 'i', 10)} UNION ALL {_normal_side('v', 'j', 10)}) "
+          "SELECT side, count(*) AS n, round(avg(z), 9) AS mean, round(var_pop(z), 9) AS var FROM z GROUP BY side")
 def q_init_profiles(spark, sf):
     """Seeded normal profiles (d = 10): per side count, mean and variance of
     all components (a property check: mean ≈ 0, variance ≈ 1)."""
     U, V = M.init_profiles(_ratings(spark, sf), 10)
     a = U.select(F.lit("u").alias("side"), F.explode("u").alias("z"))
     b = V.select(F.lit("v").alias("side"), F.explode("v").alias("z"))
-    return a.unionByName(b).groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.avg("z").alias("mean"),
-                                                 F.var_pop("z").alias("var"))
+    return a.unionByName(b).groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("z"), 9).alias("mean"),
+                                                 F.round(F.var_pop("z"), 9).alias("var"))
 
 
 @register("rating_predict", f"WITH {RT} SELECT i, j, round({_dot('i', 'j')}, 9) AS pred FROM rt")
@@ -197,84 +210,129 @@ def q_fold_split(spark, sf):
                                          F.coalesce("n_test", F.lit(0)).alias("n_test"))
 
 
-@register("cross_validate_mf", f"""WITH {RT},
-tk AS (SELECT t.k, r.i, r.j FROM rt r, range(0, 5) t(k) WHERE r.fold <> t.k),
-ui AS (SELECT DISTINCT k, i FROM tk), vj AS (SELECT DISTINCT k, j FROM tk),
-te AS (SELECT t.fold AS k, t.i, t.j, t.r, (ui.i IS NOT NULL AND vj.j IS NOT NULL) AS hit FROM rt t
-       LEFT JOIN ui ON ui.k = t.fold AND ui.i = t.i LEFT JOIN vj ON vj.k = t.fold AND vj.j = t.j),
-e AS (SELECT k, sum(CASE WHEN hit THEN (({_dot('i', 'j')}) - r) * (({_dot('i', 'j')}) - r) ELSE 0.0 END) AS se,
-             count(*) AS m, count_if(hit) AS mh FROM te GROUP BY k)
-SELECT CAST(k AS INTEGER) AS k, round(sqrt(se / m), 9) AS test_rmse, round(sqrt(se / mh), 9) AS rmse_matched,
-       round(mh / m, 9) AS coverage FROM e""")
+def _steps_sql(models: str, train_on: str, test_on: str, iters: int, d: int, reg: str, init=_normal) -> str:
+    """SQL unrolling of MF training for all ``models`` (rows m with a fold k
+    and a reg) at once: both sides updated from the same joined table, test
+    error from the profiles before the update. CTEs u0..un, v0..vn, s0..s(n-1)
+    (se, objective per model) and e0.. (test error)."""
+    c = [RT, f"mo AS ({models})", f"tr AS (SELECT mo.m, rt.i, rt.j, rt.r FROM rt, mo WHERE {train_on})",
+         f"te AS (SELECT mo.m, rt.i, rt.j, rt.r FROM rt, mo WHERE {test_on})",
+         "u0 AS (SELECT m, i, " + ", ".join(f"{init('u', 'i', k)} AS c{k}" for k in range(d)) + " FROM (SELECT DISTINCT m, i FROM tr))",
+         "v0 AS (SELECT m, j, " + ", ".join(f"{init('v', 'j', k)} AS c{k}" for k in range(d)) + " FROM (SELECT DISTINCT m, j FROM tr))"]
+    dot = " + ".join(f"u.c{k} * v.c{k}" for k in range(d))
+    sq = " + ".join(f"c{k} * c{k}" for k in range(d))
+    for it in range(iters):
+        gamma = M.gain_schedule(M.GAIN, M.POWER, it + 1)
+        pair = lambda t: f"FROM {t} t JOIN u{it} u ON u.m = t.m AND u.i = t.i JOIN v{it} v ON v.m = t.m AND v.j = t.j"
+        c.append(f"j{it} AS (SELECT t.m, t.i, t.j, ({dot}) - t.r AS delta, "
+                 + ", ".join(f"u.c{k} AS uc{k}, v.c{k} AS vc{k}" for k in range(d)) + f" {pair('tr')})")
+        c.append(f"s{it} AS (SELECT mo.m, a.se + {reg} * b.n + {reg} * w.n AS objective FROM mo "
+                 f"JOIN (SELECT m, sum(delta * delta) AS se FROM j{it} GROUP BY m) a ON a.m = mo.m "
+                 f"JOIN (SELECT m, sum({sq}) AS n FROM u{it} GROUP BY m) b ON b.m = mo.m "
+                 f"JOIN (SELECT m, sum({sq}) AS n FROM v{it} GROUP BY m) w ON w.m = mo.m)")
+        c.append(f"e{it} AS (SELECT n.m, sqrt(e.se / n.n) AS rmse, sqrt(e.se / e.n) AS rmse_matched, e.n / n.n AS coverage FROM "
+                 f"(SELECT m, count(*) AS n FROM te GROUP BY m) n JOIN (SELECT t.m, sum((({dot}) - t.r) * (({dot}) - t.r)) AS se, "
+                 f"count(*) AS n {pair('te')} GROUP BY t.m) e ON e.m = n.m)")
+        for side, p, q in (("i", "u", "v"), ("j", "v", "u")):
+            sums = ", ".join(f"sum(2.0 * delta * {q}c{k}) AS s{k}" for k in range(d))
+            upd = ", ".join(f"p.c{k} - {gamma!r} * (g.s{k} + 2.0 * {reg} * p.c{k}) AS c{k}" for k in range(d))
+            c.append(f"{p}{it + 1} AS (SELECT p.m, p.{side}, {upd} FROM {p}{it} p JOIN mo ON mo.m = p.m JOIN "
+                     f"(SELECT m, {side}, {sums} FROM j{it} GROUP BY m, {side}) g ON g.m = p.m AND g.{side} = p.{side})")
+    return "WITH " + ",\n".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in c)
+
+
+_FOLD = f"SELECT 0 AS m, {TEST_FOLD} AS k"
+_ALL_FOLDS = f"SELECT CAST(k AS INTEGER) AS m, CAST(k AS INTEGER) AS k FROM range(0, {N_FOLDS}) t(k)"
+_CV_ITERS, _GRID_ITERS, _FIT_ITERS = 3, 2, 3
+_REGS = [0.0, 1.0, 2.0]
+
+
+def _per_iteration(columns: str, n: int, join: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT CAST({k + 1} AS INTEGER) AS iteration, "
+                              + columns.format(k=k, gamma=repr(M.gain_schedule(M.GAIN, M.POWER, k + 1)))
+                              + f" FROM s{k} s JOIN e{k} e ON e.m = s.m" for k in range(n))
+
+
+def _cv_sql(iters: int, init=_normal) -> str:
+    n = iters - 1
+    return (_steps_sql(_ALL_FOLDS, "rt.fold <> mo.k", "rt.fold = mo.k", iters, DF, repr(LAM), init)
+            + f" SELECT CAST(m AS INTEGER) AS k, round(rmse, 9) AS test_rmse, round(rmse_matched, 9) AS rmse_matched, "
+              f"round(coverage, 9) AS coverage, CAST({iters} AS INTEGER) AS iterations, "
+              f"round(avg(rmse) OVER (), 9) AS cv_rmse FROM e{n}")
+
+
+def _cv(spark, sf, iters: int, **kw):
+    df, _ = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=DF, lam=LAM, mu=MU, maxiter=iters, **kw)
+    rounded = ["test_rmse", "rmse_matched", "coverage", "cv_rmse"]
+    return df.select("k", "iterations", *[F.round(c, 9).alias(c) for c in rounded])
+
+
+@register("cross_validate_mf", _cv_sql(_CV_ITERS))
 def q_cross_validate_mf(spark, sf):
-    """5-fold CV, all folds in the same jobs (fold = leading key); one
-    iteration from the formula profiles, whose test RMSE is taken before the
-    update, as in the reference."""
-    df, _ = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=DF, lam=LAM, mu=MU, maxiter=1, init="formula")
-    return df.select("k", F.round("test_rmse", 9).alias("test_rmse"), F.round("rmse_matched", 9).alias("rmse_matched"),
-                     F.round("coverage", 9).alias("coverage"))
+    """5-fold CV, all folds in the same jobs (fold = leading key): three
+    iterations from the seeded init, per-fold RMSE and their mean."""
+    return _cv(spark, sf, _CV_ITERS)
 
 
-@register("train_mf")
-def q_train_mf(spark, sf):
-    """Training from the seeded normal init (d = 3, λ = μ = 0.05, 4 iterations,
-    test fold 0): objective and test RMSE per iteration."""
-    R = _ratings(spark, sf)
-    tr, te = M.fold_split(R, TEST_FOLD)
-    res = M.train(tr, te, d=DF, lam=LAM, mu=MU, maxiter=4)
-    rows = [(h["iteration"], h["objective"], h["test_rmse"], h["gamma"]) for h in res.history]
+@register("cv_mf_trained", _cv_sql(_CV_ITERS, lambda side, col, k: _fv(col, k)))
+def q_cv_mf_trained(spark, sf):
+    """The same from the formula profiles."""
+    return _cv(spark, sf, _CV_ITERS, init="formula")
+
+
+_TRAIN_COLUMNS = "round(s.objective, 5) AS objective, round(e.rmse, 8) AS test_rmse, CAST({gamma} AS DOUBLE) AS gamma"
+
+
+def _train_mf_sql(iters: int, d: int) -> str:
+    return (_steps_sql(_FOLD, "rt.fold <> mo.k", "rt.fold = mo.k", iters, d, repr(LAM))
+            + " " + _per_iteration(_TRAIN_COLUMNS, iters))
+
+
+def _train_mf(spark, sf, **kw):
+    tr, te = M.fold_split(_ratings(spark, sf), TEST_FOLD)
+    res = M.train(tr, te, lam=LAM, mu=MU, **kw)
+    rows = [(h["iteration"], round(h["objective"], 5), round(h["test_rmse"], 8), h["gamma"]) for h in res.history]
     return spark.createDataFrame(rows, "iteration int, objective double, test_rmse double, gamma double")
 
 
-@register("cv_mf_trained")
-def q_cv_mf_trained(spark, sf):
-    """5-fold CV with 3 training iterations from the normal init: per-fold RMSE."""
-    df, _ = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=DF, lam=LAM, mu=MU, maxiter=3)
-    return df
+@register("train_mf", _train_mf_sql(M.MAXITER, M.D))
+def q_train_mf(spark, sf):
+    """Training at the defaults (d = 10, 20 iterations, seeded normal init),
+    λ = μ = 0.05, test fold 0: objective and test RMSE per iteration."""
+    return _train_mf(spark, sf)
 
 
-@register("mf_reg_grid")
+@register("train_mf_smj", _train_mf_sql(3, DF))
+def q_train_mf_smj(spark, sf):
+    """Three iterations with the profiles never broadcast."""
+    return _train_mf(spark, sf, d=DF, maxiter=3, broadcast=False)
+
+
+@register("mf_reg_grid", _steps_sql(
+    " UNION ALL ".join(f"SELECT CAST({n} * 10 + k AS INTEGER) AS m, CAST(k AS INTEGER) AS k, {r!r} AS reg FROM range(0, {N_FOLDS}) t(k)"
+                       for n, r in enumerate(_REGS)), "rt.fold <> mo.k", "rt.fold = mo.k", _GRID_ITERS, DF, "mo.reg")
+    + f" SELECT mo.reg, round(avg(e.rmse), 9) AS cv_rmse FROM e{_GRID_ITERS - 1} e JOIN mo ON mo.m = e.m GROUP BY mo.reg")
 def q_mf_reg_grid(spark, sf):
     """CV RMSE for λ = μ ∈ {0, 1, 2}: grid points and folds as keys of one run."""
-    return M.reg_grid(_ratings(spark, sf), N_FOLDS, [0.0, 1.0, 2.0], d=DF, maxiter=2)
+    got = M.reg_grid(_ratings(spark, sf), N_FOLDS, _REGS, d=DF, maxiter=_GRID_ITERS)
+    return got.select("reg", F.round("cv_rmse", 9).alias("cv_rmse"))
 
 
-@register("fit_full_mf")
+@register("fit_full_mf", _steps_sql(_FOLD, "true", "true", _FIT_ITERS, DF, repr(LAM))
+          + " " + _per_iteration("round(s.objective, 6) AS objective, round(e.rmse, 9) AS train_rmse", _FIT_ITERS))
 def q_fit_full_mf(spark, sf):
     """No CV: train on all ratings (RMSE on the training set), save U and V."""
     from corvid.session import scratch_path
     from corvid.sources.ratings import write_factors
-    R = _ratings(spark, sf)
-    res = M.train(R, None, d=DF, lam=LAM, mu=MU, maxiter=3)
-    write_factors(res.U, res.V, scratch_path(spark, "factors"))
-    rows = [(h["iteration"], h["objective"], h["test_rmse"]) for h in res.history]
+    res = M.train(_ratings(spark, sf), None, d=DF, lam=LAM, mu=MU, maxiter=_FIT_ITERS)
+    write_factors(res.U, res.V, scratch_path(spark, "factors-out"))
+    rows = [(h["iteration"], round(h["objective"], 6), round(h["test_rmse"], 9)) for h in res.history]
     return spark.createDataFrame(rows, "iteration int, objective double, train_rmse double")
 
 
-def _mf_train_sql(iters: int = 2) -> str:
-    """SQL unrolling of ``iters`` MF iterations from the formula profiles on
-    the train folds: both sides updated from the same joined table."""
-    u0 = ", ".join(f"{_fv('i', k)} AS c{k}" for k in range(DF))
-    v0 = ", ".join(f"{_fv('j', k)} AS c{k}" for k in range(DF))
-    cte = [RT, TRAIN, f"u0 AS (SELECT DISTINCT i, {u0} FROM tr)", f"v0 AS (SELECT DISTINCT j, {v0} FROM tr)"]
-    for it in range(iters):
-        n = it + 1
-        gamma = M.gain_schedule(M.GAIN, M.POWER, n)
-        dot = " + ".join(f"u.c{k} * v.c{k}" for k in range(DF))
-        cte.append(f"j{it} AS (SELECT tr.i, tr.j, ({dot}) - tr.r AS delta, "
-                   + ", ".join(f"u.c{k} AS uc{k}, v.c{k} AS vc{k}" for k in range(DF))
-                   + f" FROM tr JOIN u{it} u ON u.i = tr.i JOIN v{it} v ON v.j = tr.j)")
-        for side, p, q, reg in (("i", "u", "v", LAM), ("j", "v", "u", MU)):
-            sums = ", ".join(f"sum(2.0 * delta * {q}c{k}) AS s{k}" for k in range(DF))
-            upd = ", ".join(f"p.c{k} - {gamma!r} * (g.s{k} + 2.0 * {reg!r} * p.c{k}) AS c{k}" for k in range(DF))
-            cte.append(f"{p}{n} AS (SELECT p.{side}, {upd} FROM {p}{it} p JOIN "
-                       f"(SELECT {side}, {sums} FROM j{it} GROUP BY {side}) g ON g.{side} = p.{side})")
-    sel = ", ".join(f"round(c{k}, 9) AS c{k}" for k in range(DF))
-    return ("WITH " + ",\n".join(cte) + f"\nSELECT 'u' AS side, i AS id, {sel} FROM u{iters} "
-            f"UNION ALL SELECT 'v', j, {sel} FROM v{iters}")
-
-
-@register("train_mf_2iter", _mf_train_sql(2))
+@register("train_mf_2iter", _steps_sql(_FOLD, "rt.fold <> mo.k", "rt.fold = mo.k", 2, DF, repr(LAM), lambda side, col, k: _fv(col, k))
+          + " " + " UNION ALL ".join(f"SELECT '{p}' AS side, {i} AS id, " + ", ".join(f"round(c{k}, 9) AS c{k}" for k in range(DF))
+                                     + f" FROM {p}2" for p, i in (("u", "i"), ("v", "j"))))
 def q_train_mf_2iter(spark, sf):
     """Two MF iterations (λ = μ = 0.05, γ_i = 0.001/i^0.2) from the formula
     profiles, value-checked against the SQL unrolling."""
@@ -284,3 +342,11 @@ def q_train_mf_2iter(spark, sf):
     u = res.U.select(F.lit("u").alias("side"), F.col("i").alias("id"), F.col("u").alias("p")).select("side", "id", *cols)
     v = res.V.select(F.lit("v").alias("side"), F.col("j").alias("id"), F.col("v").alias("p")).select("side", "id", *cols)
     return u.unionByName(v)
+
+
+@register("gain_schedule", f"WITH {RT} SELECT fold + 1 AS iteration, round({M.GAIN!r} / power(fold + 1, {M.POWER!r}), 12) AS gamma, count(*) AS n FROM rt GROUP BY 1, 2")
+def q_gain_schedule(spark, sf):
+    """γ_i = gain / i^power as a column, the iteration taken from the fold."""
+    i = (F.col("fold") + 1).alias("iteration")
+    g = _ratings(spark, sf).select(i).withColumn("gamma", F.round(M.gain_column("iteration"), 12))
+    return g.groupBy("iteration", "gamma").agg(F.count(F.lit(1)).alias("n"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corvid.iterate import Steps
 from corvid.operators import logistic as L
 from corvid.plans import inputs
 from corvid.plans.registry import register
@@ -38,14 +39,12 @@ def sp(z: str) -> str:
     return SOFTPLUS.format(z=z)
 
 
-def _data(spark, sf, reuse: bool = False):
-    """Points and x_long. With ``reuse`` x_long is hash-partitioned by row_id
-    and persisted (``logistic.prepare``): queries that read it several times
-    (x_long itself plus the probe β drawn from it) then tokenise the texts once
-    instead of once per reference, and the row-keyed aggregates need no
-    further shuffle. The persisted table lives as long as the session."""
+def _data(spark, sf):
+    """Points and x_long, written once: every reference to x_long (itself, the
+    probe β drawn from it, its blocks) then reads the table instead of
+    tokenising the texts again."""
     pts, xl = inputs.sparse_points(spark, sf)
-    return (pts, L.prepare(xl)) if reuse else (pts, xl)
+    return pts, Steps(spark, "x-long").write(xl)
 
 
 def _probe(x_long):
@@ -93,7 +92,7 @@ def q_send_to_partitions(spark, sf):
 @register("logistic_loss", f"{BASE} SELECT row_id, round(margin, 9) AS margin, round({sp('-y * margin')}, 9) AS loss FROM mg")
 def q_logistic_loss(spark, sf):
     from corvid.functions.vectors import logistic_loss
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     m = L.margins(pts, xl, _probe(xl))
     return m.select("row_id", F.round("margin", 9).alias("margin"),
                     F.round(logistic_loss(F.col("margin"), F.col("y")), 9).alias("loss"))
@@ -102,7 +101,7 @@ def q_logistic_loss(spark, sf):
 @register("logistic_row_gradient", f"{BASE} SELECT row_id, round(-y / (1.0 + exp(y * margin)), 9) AS coef FROM mg")
 def q_logistic_row_gradient(spark, sf):
     from corvid.functions.vectors import logistic_coef
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     m = L.margins(pts, xl, _probe(xl))
     return m.select("row_id", F.round(logistic_coef(F.col("margin"), F.col("y")), 9).alias("coef"))
 
@@ -110,7 +109,7 @@ def q_logistic_row_gradient(spark, sf):
 @register("total_loss", f"{BASE}, r AS (SELECT sum(value * value) AS bb FROM bp) "
           f"SELECT round(sum({sp('-y * margin')}) + {LAM!r} * any_value(r.bb), 6) AS loss FROM mg, r WHERE NOT is_test")
 def q_total_loss(spark, sf):
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     v = L.total_loss(pts.where(~F.col("is_test")), xl, _probe(xl), LAM)
     return spark.createDataFrame([(round(v, 6),)], "loss double")
 
@@ -122,7 +121,7 @@ GRAD = ("gr AS (SELECT bp.feature, coalesce(g.g, 0.0) + 2 * {lam} * bp.value AS
 
 @register("total_gradient", f"{BASE}, {GRAD} SELECT feature, round(value, 9) AS value FROM gr")
 def q_total_gradient(spark, sf):
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     g = L.total_gradient(pts.where(~F.col("is_test")), xl, _probe(xl), LAM)
     return g.select("feature", F.round("value", 9).alias("value"))
 
@@ -147,13 +146,13 @@ WHERE ft.ft <= f0.f0 - 0.2 * ft.t * vt.gg ORDER BY ft.k LIMIT 1""")
 def q_line_search(spark, sf):
     """First accepted step along −∇ from the probe β (λ = 0.1), all 64
     candidates in one aggregate."""
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     tr = pts.where(~F.col("is_test"))
     beta = _probe(xl)
     m = L.margins(tr, xl, beta)
     g = L.gradient_from_rows(m, xl, beta, LAM)
     bb, bg, gg = L._vec_terms(beta, g)
-    rows_s = L.slopes(m, xl, g, L.FeatureJoin(True))
+    rows_s = L.slopes(m, xl, g)
     t, ft, f0, k = L.line_search(rows_s, bb, bg, gg, LAM)
     return spark.createDataFrame([(t, round(ft, 6), k)], "step double, objective double, rejected int")
 
@@ -167,7 +166,7 @@ def q_beta_init(spark, sf):
 @register("beta_update", f"{BASE}, {GRAD} SELECT bp.feature, round(bp.value - 0.01 * gr.value, 9) AS value FROM bp JOIN gr ON gr.feature = bp.feature")
 def q_beta_update(spark, sf):
     """β ← β − γ∇ with γ = 0.01 at the probe β."""
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     beta = _probe(xl)
     g = L.total_gradient(pts.where(~F.col("is_test")), xl, beta, LAM).withColumnRenamed("value", "_g")
     return beta.join(g, "feature").select("feature", F.round(F.col("value") - F.lit(0.01) * F.col("_g"), 9).alias("value"))
@@ -179,7 +178,7 @@ CONF = ("SELECT count_if(margin > 0) AS P, count_if(margin < 0) AS N, count_if(m
 
 @register("confusion_counts", f"{BASE} {CONF}")
 def q_confusion_counts(spark, sf):
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     return L.confusion_counts(L.margins(pts, xl, _probe(xl)))
 
 
@@ -189,7 +188,7 @@ def q_confusion_counts(spark, sf):
           "round(CASE WHEN TP + FN = 0 THEN NULL ELSE TP / (TP + FN) END, 9) AS rec FROM c")
 def q_evaluate_logistic(spark, sf):
     """Confusion counts and ACC/PRE/REC of the probe β on all labelled rows."""
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     e = L.evaluate(pts, xl, _probe(xl))
     return e.select("P", "N", "TP", "FP", "TN", "FN", *[F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")])
 
@@ -203,7 +202,7 @@ SELECT bp.feature,
   round(coalesce(d.g, 0.0) + 2 * {LAM!r} * bp.value, 4) AS analytic
 FROM bp LEFT JOIN d ON d.feature = bp.feature""")
 def q_sparse_fd_gradient(spark, sf):
-    pts, xl = _data(spark, sf, reuse=True)
+    pts, xl = _data(spark, sf)
     r = L.sparse_fd_gradient(pts.where(~F.col("is_test")), xl, _probe(xl), LAM, DELTA)
     return r.select("feature", F.round("fd", 4).alias("fd"), F.round("analytic", 4).alias("analytic"))
 

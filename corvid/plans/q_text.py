@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corvid.functions import text as T
 from corvid.operators import readability as R
 from corvid.plans import inputs
-from corvid.plans.registry import register
+from corvid.plans.registry import ORACLES, register
 from corvid.plans.sqlfrag import lines, norm, tokens, with_easy, EASY_WORDS_SQL
 from corvid.sources.text import lines_of
 
@@ -178,6 +178,18 @@ def q_readability_by_source(spark, sf):
     return _round_dcf(R.readability(inputs.documents(spark, sf), _keys(spark, sf), ["source"]))
 
 
-@register("partition_sweep")
+_SWEEP = (2, 5, 10, 15, 20)
+
+
+@register("partition_sweep", with_easy(_STATS + f"""
+, one AS (SELECT {_dcf_sql('sum(difficult)', 'sum(words)', 'sum(sentences)')} AS dcf FROM st)
+SELECT CAST(n AS INTEGER) AS n_partitions, CAST(n AS INTEGER) AS n_used, one.dcf FROM one, (SELECT unnest([{', '.join(map(str, _SWEEP))}]) AS n)"""))
 def q_partition_sweep(spark, sf):
-    return R.partition_sweep(inputs.documents(spark, sf), _keys(spark, sf))
+    """The collection score for each partition count (wall times left out)."""
+    return _round_dcf(R.partition_sweep(inputs.documents(spark, sf), _keys(spark, sf), _SWEEP)).drop("seconds")
+
+
+@register("readability_report_smj", ORACLES["readability_report"])
+def q_readability_report_smj(spark, sf):
+    """The report without any broadcast: words are counted per document first."""
+    return _round_dcf(R.readability(inputs.documents(spark, sf), _keys(spark, sf), ["source", "doc_id"], broadcast=False))

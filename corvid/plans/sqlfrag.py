@@ -1,6 +1,6 @@
 """DuckDB SQL fragments shared by the oracles (they mirror corvid.functions)."""
 
-from corvid.functions.text import WHITESPACE, NON_ALPHA_ENDS
+from corvid.functions.text import INFLECTION_ENDINGS, NON_ALPHA_ENDS, WHITESPACE
 
 WS = WHITESPACE
 
@@ -24,7 +24,7 @@ SELECT DISTINCT w AS word FROM (
   SELECT {norm('t')} AS w FROM (SELECT unnest({tokens('text')}) AS t FROM benchmark)
 ) WHERE w <> ''"""
 
-ENDINGS = ["'s", "s", "es", "ing", "ed", "d"]
+ENDINGS = INFLECTION_ENDINGS
 
 
 def _q(e: str) -> str:

@@ -36,16 +36,51 @@ def test_training_decreases_loss(spark, data):
     assert abs(direct - objs[-1]) < 1e-6 * max(1.0, abs(direct))
 
 
-def test_salted_join_equals_broadcast(spark, data):
+def test_blocks_equal_broadcast(spark, data):
     pts, xl = data
     beta = L.all_features(xl).select("feature", (F.length("feature") / F.lit(100.0)).alias("value"))
-    fj_b = L.FeatureJoin(True)
-    fj_s = L.FeatureJoin.plan(xl, beta, max_rows=0)
-    assert not fj_s.broadcast and fj_s.hot
-    a = {r["row_id"]: r["margin"] for r in L.margins(pts, xl, beta, fj_b).collect()}
-    b = {r["row_id"]: r["margin"] for r in L.margins(pts, xl, beta, fj_s).collect()}
-    assert a.keys() == b.keys()
-    assert max(abs(a[k] - b[k]) for k in a) < 1e-9
+    a, b = L.Blocks(xl, 5, broadcast=True), L.Blocks(xl, 5, broadcast=False)
+    m = [{r["row_id"]: r["margin"] for r in L.margins(pts, x, beta).collect()} for x in (a, b, xl)]
+    assert m[0].keys() == m[1].keys() == m[2].keys()
+    assert max(abs(m[0][k] - m[1][k]) + abs(m[0][k] - m[2][k]) for k in m[0]) < 1e-9
+    a.release(), b.release()
+
+
+def test_unbounded_features_never_move_x_long(spark, data):
+    """Joined by block, x_long has no exchange above its cached layout."""
+    _, xl = data
+    x = L.Blocks(xl, 5, broadcast=False)
+    beta = L.all_features(xl).select("feature", F.lit(1.0).alias("_b"))
+    with L.block_joins(spark):
+        plan = x.with_features(beta)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("InMemoryTableScan")]
+    assert "ShuffledHashJoin" in above and "Broadcast" not in above
+    assert "Exchange" not in above.split("ShuffledHashJoin", 1)[1]
+    x.release()
+
+
+def test_blocks_training_equals_broadcast_training(spark, data):
+    pts, xl = data
+    a = L.train(pts, xl, lam=0.1, max_iter=2, eps=0.0, broadcast=True, n_partitions=4).beta
+    b = L.train(pts, xl, lam=0.1, max_iter=2, eps=0.0, broadcast=False, n_partitions=4).beta
+    assert L.model_compare(a, b).first()["max_abs_diff"] < 1e-12
+
+
+def test_storage_does_not_grow_with_iterations(spark, data):
+    import os
+
+    from corvid.session import scratch_path
+
+    pts, xl = data
+    root = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    cached = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    folders = lambda: len([f for f in os.listdir(root) if f.startswith("logistic-")])
+    sizes = []
+    for n in (1, 3):
+        before = cached(), folders()
+        L.train(pts, xl, lam=0.1, max_iter=n, eps=0.0, n_partitions=3)
+        sizes.append((cached() - before[0], folders() - before[1]))
+    assert sizes == [(0, 2), (0, 2)]
 
 
 def test_layout_invariance(spark, data):
