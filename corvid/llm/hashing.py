@@ -25,6 +25,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def range_bucket(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Buckets by range, so that sorted hashes have sorted buckets."""
+    return ((hashes >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of the base and of its inverse, modulo 2^64."""
     if len(_powers[0]) <= n:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from corvid.llm.common import materialise, parts_for, text_bytes
 from corvid.llm.components import components
-from corvid.llm.hashing import Words, chunks, mix64, shingles
+from corvid.llm.hashing import Words, chunks, mix64, range_bucket, shingles
 
 WIDTH = 5
 PERCENT = 80
@@ -57,11 +57,6 @@ def shingle_sets(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarra
     return np.concatenate(docs), np.concatenate(toks)
 
 
-def bucket_of(tokens: np.ndarray, n_buckets: int) -> np.ndarray:
-    """Buckets by range, so sorted tokens have sorted buckets."""
-    return ((tokens >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-
-
 def pack_sorted(keys: np.ndarray) -> bytes:
     """Ascending 40-bit keys as four planes of delta bytes, or whole if a delta
     does not fit."""
@@ -92,7 +87,7 @@ def _requests(n_buckets: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         _, tok = shingle_sets(pdf["text"].tolist())
         uniq, count = np.unique(tok, return_counts=True)
-        at = np.searchsorted(bucket_of(uniq, n_buckets), np.arange(n_buckets + 1))
+        at = np.searchsorted(range_bucket(uniq, n_buckets), np.arange(n_buckets + 1))
         some = np.flatnonzero(np.diff(at))
         key, count = uniq >> np.uint64(24), np.minimum(count, 255).astype(np.uint8)
         return pd.DataFrame({"bucket": some, "block": pdf["block"].iloc[0],

@@ -16,10 +16,12 @@ next rank, so that n batches keep about log2(n) levels and every entry is
 rewritten about log2(n) times.
 
 Resolution: anchors with a repeated key get their context (the bytes of all the
-windows that they anchor) and windows are compared by a 64-bit hash beside the
-64-bit key. Keys with more than ``HOT`` anchors never meet in one task: equal
-contexts are counted by a partial aggregate, and only the windows of those that
-differ are counted one by one, by a partial aggregate again.
+windows that they anchor). Equal contexts of a key are counted by a partial
+aggregate, so copies cost one context. The contexts of a key that differ are
+compared window by window, by a 64-bit hash beside the 64-bit key: in one task up
+to ``HOT`` contexts; beyond, blocks of contexts send their distinct window hashes
+to hash buckets and get back which of them occur twice, so that no key ever meets
+in one task.
 
 Defined cases: a null text has 0 bytes; a text shorter than ``length`` keeps all
 bytes; equal rows repeat each other, so their long strings go from each; a null
@@ -38,13 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import drop_folder, materialise, materialise_at, parts_for
-from corvid.llm.hashing import Rolling, chunks, mix64
+from corvid.llm.hashing import Rolling, chunks, mix64, range_bucket
 
 LENGTH = 200
 GRAM = 48
 BATCHES = 2
-HOT = 1000
+HOT = 4000  # differing contexts of a key that one task compares
 HOT_KEYS_SENT = 500_000
+BLOCK_CONTEXTS = 20_000
+BUCKET_WINDOWS = 2_000_000
 
 
 def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
@@ -102,7 +106,7 @@ class SuffixIndex:
     repeated: list[DataFrame] = field(default_factory=list)
 
     def _write(self, entries: DataFrame, rank: int) -> None:
-        df, path = materialise_at(entries.sortWithinPartitions("key"), f"suffix-level{rank}")
+        df, path = materialise_at(entries.sortWithinPartitions("key", "id", "pos"), f"suffix-level{rank}")
         self.levels.append((rank, df, path))
 
     def add(self, docs: DataFrame) -> None:
@@ -117,10 +121,17 @@ class SuffixIndex:
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (rank, a, pa), (_, b, pb) = self.levels[-1], self.levels[-2]
             del self.levels[-2:]
-            self._write(a.union(b).repartition("key"), rank + 1)
+            # by range of the whole order: a key that many suffixes share is cut by document
+            self._write(a.union(b).repartitionByRange("key", "id", "pos"), rank + 1)
             drop_folder(self.spark, pa)
             drop_folder(self.spark, pb)
 
+    def drop(self) -> None:
+        """Delete the levels' tables."""
+        for _, _, path in self.levels:
+            drop_folder(self.spark, path)
+        self.levels = []
+
     def entries(self) -> DataFrame:
         out = self.levels[0][1]
         for _, df, _ in self.levels[1:]:
@@ -174,24 +185,31 @@ def _runs(row: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray,
     return row[first], place[first], place[last] + length
 
 
-SPANS = "id string, th long, s long, e long"
+RUNS = "key long, c long, r array<struct<a:int,b:int>>"
+
+
+def _verdicts(b: pd.DataFrame, row: np.ndarray, place: np.ndarray, twice: np.ndarray, length: int) -> pd.DataFrame:
+    """Per context (key, c) the byte runs [a, b) of its repeated windows."""
+    if not twice.any():
+        return b.iloc[:0][["key", "c"]].assign(r=pd.Series([], dtype=object))
+    r, s, e = _runs(row[twice], place[twice], length)
+    at = np.concatenate(([0], np.flatnonzero(np.diff(r)) + 1, [len(r)]))
+    runs = [[{"a": int(x), "b": int(y)} for x, y in zip(s[i:j], e[i:j])] for i, j in zip(at, at[1:])]
+    own = r[at[:-1]]
+    return pd.DataFrame({"key": b["key"].to_numpy()[own], "c": b["c"].to_numpy()[own], "r": runs})
 
 
-def _spans(length: int):
-    """Spans of repeated windows; rows come sorted by key, whole keys a task."""
+def _compare(length: int):
+    """Verdicts over contexts sorted by key, whole keys a task."""
     def solve(b: pd.DataFrame) -> pd.DataFrame:
         row, place, h = window_hashes(b["ctx"].tolist(), length)
         key = b["key"].to_numpy()[row]
         order = np.argsort(h, kind="stable")
         same = (h[order][1:] == h[order][:-1]) & (key[order][1:] == key[order][:-1])
-        twice = np.zeros(len(h), dtype=bool)
+        twice = b["times"].to_numpy()[row] > 1
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
-        if not twice.any():
-            return pd.DataFrame({"id": [], "th": [], "s": [], "e": []})
-        r, s, e = _runs(row[twice], place[twice], length)
-        start = b["start"].to_numpy()[r]
-        return pd.DataFrame({"id": b["id"].to_numpy()[r], "th": b["th"].to_numpy()[r], "s": start + s, "e": start + e})
+        return _verdicts(b, row, place, twice, length)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -217,40 +235,64 @@ def _key_slices(keys: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
             lo = int(e)
 
 
+def _window_keys(b: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context index, place, hash of window and key) of a block's windows."""
+    b.sort_values(["key", "c"], inplace=True, ignore_index=True)
+    row, place, h = window_hashes(b["ctx"].tolist(), length)
+    return row, place, mix64(h ^ mix64(b["key"].to_numpy().view(np.uint64)[row]))
+
+
+def compare_hot(each: DataFrame, length: int) -> DataFrame:
+    """Verdicts for contexts of any number a key: blocks ask, buckets count."""
+    n = each.count()
+    n_blocks, n_buckets = parts_for(n, BLOCK_CONTEXTS), parts_for(n * 80, BUCKET_WINDOWS)
+    d = each.select("key", "c", "times", "ctx", F.pmod(F.xxhash64("c", "key"), F.lit(n_blocks)).cast("int").alias("block"))
+
+    def ask(b: pd.DataFrame) -> pd.DataFrame:
+        row, _, h = _window_keys(b, length)
+        uniq, inverse = np.unique(h, return_inverse=True)
+        count = np.minimum(np.bincount(inverse, np.minimum(b["times"].to_numpy()[row], 2)), 2).astype(np.uint8)
+        at = np.searchsorted(range_bucket(uniq, n_buckets), np.arange(n_buckets + 1))
+        some = np.flatnonzero(np.diff(at))
+        return pd.DataFrame({"bucket": some, "block": b["block"].iloc[0], "hashes": [uniq[at[k]:at[k + 1]].tobytes() for k in some],
+                             "counts": [count[at[k]:at[k + 1]].tobytes() for k in some]})
+
+    def tell(b: pd.DataFrame) -> pd.DataFrame:
+        parts = [np.frombuffer(x, np.uint64) for x in b["hashes"]]
+        _, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+        twice = (np.bincount(inverse, np.concatenate([np.frombuffer(x, np.uint8) for x in b["counts"]])) > 1)[inverse]
+        ends = np.cumsum([len(x) for x in parts])
+        return pd.DataFrame({"block": b["block"], "bucket": b["bucket"],
+                             "twice": [np.packbits(twice[e - len(x):e]).tobytes() for x, e in zip(parts, ends)], "n": [len(x) for x in parts]})
+
+    def decide(key, b: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        row, place, h = _window_keys(b, length)
+        _, inverse = np.unique(h, return_inverse=True)
+        told = told.sort_values("bucket")
+        bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(told["twice"], told["n"])]
+        return _verdicts(b, row, place, np.concatenate(bits)[inverse] > 0, length)
+
+    asked = d.groupBy("block").applyInPandas(ask, "bucket int, block int, hashes binary, counts binary")
+    told = asked.groupBy("bucket").applyInPandas(tell, "block int, bucket int, twice binary, n int")
+    return d.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(decide, RUNS)
+
+
 def repeated_spans(ctx: DataFrame, length: int) -> DataFrame:
     """``(id, th, s, e)`` of the repeated windows, from written contexts."""
-    kind = dict(ctx.dtypes)["id"]
-    hot = materialise(ctx.groupBy("key").count().where(F.col("count") > HOT).select("key"), "suffix-hot")
+    named = ctx.withColumn("c", F.xxhash64("ctx"))
+    each = materialise(named.groupBy("key", "c").agg(F.count("*").alias("times"), F.any_value("ctx").alias("ctx")), "suffix-contexts")
+    hot = materialise(each.groupBy("key").count().where(F.col("count") > HOT).select("key"), "suffix-hot")
     n_hot = hot.count()
     few = F.broadcast(hot) if n_hot <= HOT_KEYS_SENT else hot
-    text_id = ctx.withColumn("id", F.col("id").cast("string"))
-    cold = text_id.join(few, "key", "left_anti") if n_hot else text_id
-    n = parts_for(ctx.count(), 100_000, 12)
-    spans = cold.repartition(n, "key").sortWithinPartitions("key").mapInPandas(_spans(length), SPANS)
+    cold = each.join(few, "key", "left_anti") if n_hot else each
+    n = parts_for(each.count(), 100_000, 12)
+    found = cold.repartition(n, "key").sortWithinPartitions("key").mapInPandas(_compare(length), RUNS)
     if n_hot:
-        rows = text_id.join(few, "key").withColumns({"c": F.xxhash64("ctx"), "n": F.octet_length("ctx")})
-        each = materialise(rows.groupBy("key", "c", "n").agg(F.count("*").alias("times"), F.any_value("ctx").alias("ctx")), "suffix-contexts")
-
-        # Windows of the contexts that differ, one row each: (key, hash) is counted, never gathered.
-        def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                for lo in range(0, len(b), 2000):
-                    p = b.iloc[lo:lo + 2000]
-                    row, place, h = window_hashes(p["ctx"].tolist(), length)
-                    yield pd.DataFrame({c: p[c].to_numpy()[row] for c in ("key", "c", "n", "times")} | {"place": place, "h": h.view(np.int64)})
-
-        w = each.mapInPandas(windows, "key long, c long, n int, times long, place long, h long")
-        seen = materialise(w.groupBy("key", "h").agg(F.sum("times").alias("t")).where("t > 1").select("key", "h"), "suffix-windows")
-        got = (w.join(seen, ["key", "h"]).groupBy("key", "c", "n").agg(F.sort_array(F.collect_list("place")).alias("places")))
-        # neighbouring places make one span
-        head = lambda p: F.filter(p, lambda x, i: F.coalesce(x - F.get(p, i - 1) > 1, F.lit(True)))
-        tail = lambda p: F.filter(p, lambda x, i: F.coalesce(F.get(p, i + 1) - x > 1, F.lit(True)))
-        got = materialise(got.select("key", "c", "n", F.arrays_zip(head(F.col("places")).alias("a"), tail(F.col("places")).alias("b")).alias("r")), "suffix-hot-spans")
-        more = (rows.select("key", "c", "n", "id", "th", "start").join(got, ["key", "c", "n"])
-                .select("id", "th", "start", F.explode("r").alias("r"))
-                .select("id", "th", (F.col("start") + F.col("r.a")).alias("s"), (F.col("start") + F.col("r.b") + length).alias("e")))
-        spans = spans.union(more)
-    return spans.withColumn("id", F.col("id").cast(kind))
+        found = found.union(compare_hot(materialise(each.join(few, "key"), "suffix-hot-contexts"), length))
+    found = materialise(found, "suffix-verdicts").withColumnsRenamed({"key": "__key", "c": "__c"})
+    return (named.select("key", "c", "id", "th", "start").join(found, (F.col("key") == F.col("__key")) & (F.col("c") == F.col("__c")))
+            .select("id", "th", "start", F.explode("r").alias("r"))
+            .select("id", "th", (F.col("start") + F.col("r.a")).alias("s"), (F.col("start") + F.col("r.b")).alias("e")))
 
 
 def merge_spans(spans: np.ndarray) -> np.ndarray:
@@ -267,12 +309,15 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``(id, n_bytes, n_removed, n_spans, kept_sha256, spans)`` per row of
     ``docs``; spans are the removed byte ranges."""
     d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
+    kept = index is not None
     index = index or SuffixIndex(docs.sparkSession, length, gram)
     for b in range(batches):
         index.add(d.where(F.pmod(F.xxhash64(F.lit("batch"), "id"), F.lit(batches)) == b).select("id", "text"))
     # Only documents with a repeated key can lose bytes; their texts are kept at hand.
     places = index.candidates().withColumnRenamed("id", "__id")
     found = materialise(d.join(places, F.col("id").eqNullSafe(F.col("__id"))).drop("__id"), "suffix-found")
+    if not kept:
+        index.drop()
     ctx = materialise(contexts(found, length, gram), "suffix-ctx")
     spans = materialise(repeated_spans(ctx, length).groupBy("id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
                         .withColumnsRenamed({"id": "__id", "th": "__th"}), "suffix-spans")

@@ -274,8 +274,8 @@ def test_cover_tree_search_is_exact_and_prunes(monkeypatch):
     rng = np.random.default_rng(4)
     centres = rng.normal(0, 300, (12, 8))
     data = np.concatenate([c + rng.normal(0, 6, (80, 8)) for c in centres]).astype(np.int64)
-    ids, q = rng.permutation(len(data)), data[::37]
-    qid, calls = ids[::37], []
+    ids, q = rng.permutation(len(data)), data[::7]
+    qid, calls = ids[::7], []
     real = cover_tree.Search.leaves
     monkeypatch.setattr(cover_tree.Search, "leaves", lambda self, a, b: (calls.append(len(a.rows) * len(b.rows)), real(self, a, b)))
     s = cover_tree.Search(qid, q, 5)
