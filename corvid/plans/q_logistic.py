@@ -207,9 +207,9 @@ def q_sparse_fd_gradient(spark, sf):
     return r.select("feature", F.round("fd", 4).alias("fd"), F.round("analytic", 4).alias("analytic"))
 
 
-def _train_sql(iters: int = 2, final: str | None = None) -> str:
+def _train_sql(iters: int = 2, final: str | None = None, lam: float = LAM) -> str:
     """SQL unrolling of ``iters`` training iterations from β = 0 (train
-    features), λ = LAM: gradient, slopes, 64 candidates, first accepted step,
+    features), λ = lam: gradient, slopes, 64 candidates, first accepted step,
     β and margin updates — the same arithmetic as the Spark trainer."""
     cte = [XL, PT,
            "b0 AS (SELECT DISTINCT xl.feature, 0.0 AS value FROM xl JOIN pt ON pt.row_id = xl.row_id WHERE NOT pt.is_test)",
@@ -220,24 +220,24 @@ def _train_sql(iters: int = 2, final: str | None = None) -> str:
         n = k + 1
         cte += [
             f"c{k} AS (SELECT row_id, -y / (1.0 + exp(y * margin)) AS c FROM mg{k} WHERE NOT is_test)",
-            f"g{k} AS (SELECT b.feature, b.value AS b, coalesce(s.g, 0.0) + 2 * {LAM!r} * b.value AS g FROM b{k} b LEFT JOIN "
+            f"g{k} AS (SELECT b.feature, b.value AS b, coalesce(s.g, 0.0) + 2 * {lam!r} * b.value AS g FROM b{k} b LEFT JOIN "
             f"(SELECT xl.feature, sum(c.c * xl.value) AS g FROM xl JOIN c{k} c ON c.row_id = xl.row_id GROUP BY xl.feature) s "
             f"ON s.feature = b.feature)",
             f"vt{k} AS (SELECT sum(b * b) AS bb, sum(b * g) AS bg, sum(g * g) AS gg FROM g{k})",
             f"sl{k} AS (SELECT m.row_id, m.y, m.is_test, m.margin, coalesce(s.s, 0.0) AS s FROM mg{k} m LEFT JOIN "
             f"(SELECT xl.row_id, sum(xl.value * g.g) AS s FROM xl JOIN g{k} g ON g.feature = xl.feature GROUP BY xl.row_id) s "
             f"ON s.row_id = m.row_id)",
-            f"f{k} AS (SELECT sum({sp('-y * margin')}) + {LAM!r} * any_value(vt.bb) AS f0 FROM sl{k}, vt{k} vt WHERE NOT is_test)",
-            f"ft{k} AS (SELECT cand.k, cand.t, sum({sp('-y * (margin - cand.t * s)')}) + {LAM!r} * (any_value(vt.bb) - "
+            f"f{k} AS (SELECT sum({sp('-y * margin')}) + {lam!r} * any_value(vt.bb) AS f0 FROM sl{k}, vt{k} vt WHERE NOT is_test)",
+            f"ft{k} AS (SELECT cand.k, cand.t, sum({sp('-y * (margin - cand.t * s)')}) + {lam!r} * (any_value(vt.bb) - "
             f"2 * cand.t * any_value(vt.bg) + cand.t * cand.t * any_value(vt.gg)) AS ft FROM sl{k}, cand, vt{k} vt "
             f"WHERE NOT is_test GROUP BY cand.k, cand.t)",
-            f"t{k} AS (SELECT ft.t FROM ft{k} ft, f{k}, vt{k} vt WHERE ft.ft <= f{k}.f0 - 0.2 * ft.t * vt.gg ORDER BY ft.k LIMIT 1)",
+            f"t{k} AS (SELECT ft.t, ft.ft, ft.k AS rejected FROM ft{k} ft, f{k}, vt{k} vt WHERE ft.ft <= f{k}.f0 - 0.2 * ft.t * vt.gg ORDER BY ft.k LIMIT 1)",
             f"b{n} AS (SELECT feature, b - t{k}.t * g AS value FROM g{k}, t{k})",
             f"mg{n} AS (SELECT row_id, y, is_test, margin - t{k}.t * s AS margin FROM sl{k}, t{k})",
         ]
     if final is None:
         final = f"SELECT feature, round(value, 12) AS value FROM b{iters}"
-    return "WITH " + ",\n".join(cte) + "\n" + final.format(n=iters, last=iters - 1)
+    return "WITH " + ",\n".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in cte) + "\n" + final.format(n=iters, last=iters - 1)
 
 
 @register("train_logistic", _train_sql(5, "SELECT b.feature, round(b.value, 9) AS value, round(sqrt(vt.gg), 6) AS grad_norm, "
@@ -251,35 +251,73 @@ def q_train_logistic(spark, sf):
                            F.round(F.lit(fit.grad_norm), 6).alias("grad_norm"), F.lit(fit.iterations).alias("iterations"))
 
 
-@register("online_test")
+def _metrics_sql(table: str) -> str:
+    """ACC, PRE, REC of the test rows of a margin table."""
+    n = lambda c: f"count_if(margin {c})"
+    ratio = lambda p, q: f"round(CASE WHEN {q} = 0 THEN NULL ELSE ({p}) / ({q}) END, 9)"
+    tp, fp, tn, fn = n("> 0 AND y = 1"), n("> 0 AND y = -1"), n("< 0 AND y = -1"), n("< 0 AND y = 1")
+    return (f"SELECT {ratio(f'{tp} + {tn}', f'{tp} + {fp} + {tn} + {fn}')} AS acc, {ratio(tp, f'{tp} + {fp}')} AS pre, "
+            f"{ratio(tp, f'{tp} + {fn}')} AS rec FROM {table} WHERE is_test")
+
+
+def _history_sql(iters: int, test: bool) -> str:
+    rows = []
+    for k in range(iters):
+        more = f", m.acc, m.pre, m.rec FROM t{k} t, vt{k} vt, ({_metrics_sql(f'mg{k + 1}')}) m" if test else f" FROM t{k} t, vt{k} vt"
+        rows.append(f"SELECT CAST({k} AS INTEGER) AS k, round(t.ft, 5) AS objective, round(sqrt(vt.gg), 5) AS grad_norm, t.t AS step, "
+                    f"CAST(t.rejected AS INTEGER) AS rejected{more}")
+    return _train_sql(iters, " UNION ALL ".join(rows))
+
+
+def _history(spark, fit, test: bool):
+    h = L.history_frame(spark, fit)
+    keep = ["k", F.round("objective", 5).alias("objective"), F.round("grad_norm", 5).alias("grad_norm"), "step", "rejected"]
+    return h.select(*keep, *([F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")] if test else []))
+
+
+@register("online_test", _history_sql(4, True))
 def q_online_test(spark, sf):
-    """History with test ACC/PRE/REC at every iteration (λ = 0.1, 5 iterations)."""
+    """History with test ACC/PRE/REC at every iteration (λ = 0.1, 4 iterations);
+    wall times are left out."""
     pts, xl = _data(spark, sf)
-    fit = L.train(pts, xl, lam=LAM, max_iter=5, eps=0.1, online_test=True)
-    return L.history_frame(spark, fit)
+    return _history(spark, L.train(pts, xl, lam=LAM, max_iter=4, eps=0.0, online_test=True), True)
 
 
-@register("logistic_lambda_sweep")
-def q_logistic_lambda_sweep(spark, sf):
-    """Train + test for λ ∈ {0.01, 0.1, 1}: (λ, acc, pre, rec, seconds, grad_norm)."""
-    import time
-    pts, xl = _data(spark, sf)
-    rows = []
-    for lam in (0.01, 0.1, 1.0):
-        t0 = time.time()
-        fit = L.train(pts, xl, lam=lam, max_iter=3, eps=0.1)
-        e = L.evaluate(pts.where(F.col("is_test")), xl, fit.beta).first()
-        rows.append((lam, e["acc"], e["pre"], e["rec"], time.time() - t0, fit.grad_norm))
-    return spark.createDataFrame(rows, "lam double, acc double, pre double, rec double, seconds double, grad_norm double")
+# Fixed values of the sweep: powers of ten.
+SWEEP = [10.0 ** k for k in range(-5, 6)]
+SWEEP_ITERS = 2
 
 
-@register("model_compare")
+def _sweep_sql() -> str:
+    one = lambda lam: _train_sql(SWEEP_ITERS, f"SELECT CAST({lam!r} AS DOUBLE) AS lam, m.*, round(sqrt(vt.gg), 5) AS grad_norm "
+                                              f"FROM ({_metrics_sql('mg{n}')}) m, vt{{last}} vt", lam)
+    return " UNION ALL ".join(f"SELECT * FROM ({one(lam)})" for lam in SWEEP)
+
+
+@register("logistic_lambda_sweep", _sweep_sql())
+def q_logistic_lambda_sweep(spark, sf):
+    """Train + test for the eleven λ ∈ 10^-5 … 10^5, two iterations each, over
+    one block layout of x_long: (λ, acc, pre, rec, grad_norm)."""
+    pts, xl = _data(spark, sf)
+    x, rows = L.Blocks(xl), []
+    beta0 = Steps(spark, "beta0").write(L.beta_init(xl.join(pts.where(~F.col("is_test")).select("row_id"), "row_id", "left_semi")))
+    for lam in SWEEP:
+        fit = L.train(pts, x, beta0=beta0, lam=lam, max_iter=SWEEP_ITERS, eps=0.0, online_test=True)
+        h = fit.history[-1]
+        rows.append((lam, h["acc"], h["pre"], h["rec"], fit.grad_norm))
+    x.release()
+    out = spark.createDataFrame(rows, "lam double, acc double, pre double, rec double, grad_norm double")
+    return out.select("lam", *[F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")], F.round("grad_norm", 5).alias("grad_norm"))
+
+
+@register("model_compare", _train_sql(2, "SELECT count(*) AS n_features, CAST(0.0 AS DOUBLE) AS max_abs_diff, "
+                                         "round(sqrt(sum(value * value)), 6) AS norm_a, round(sqrt(sum(value * value)), 6) AS norm_b FROM b{n}"))
 def q_model_compare(spark, sf):
-    """Same training under two data layouts (4 vs 20 partitions): the two β
-    tables must agree; reports max |Δ| and both norms."""
+    """The broadcast and the blocked implementation of the trainer side by
+    side: the two β tables must agree; reports max |Δ| and both norms."""
     pts, xl = _data(spark, sf)
-    a = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.1, n_partitions=4).beta
-    b = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.1, n_partitions=20).beta
+    a = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.0, n_partitions=4, broadcast=True).beta
+    b = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.0, n_partitions=20, broadcast=False).beta
     return L.model_compare(a, b).select("n_features", F.round("max_abs_diff", 9).alias("max_abs_diff"),
                                         F.round("norm_a", 6).alias("norm_a"), F.round("norm_b", 6).alias("norm_b"))
 
@@ -291,3 +329,19 @@ def q_train_logistic_2iter(spark, sf):
     pts, xl = _data(spark, sf)
     fit = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.0)
     return fit.beta.select("feature", F.round("value", 12).alias("value"))
+
+
+@register("train_logistic_smj", _train_sql(2))
+def q_train_logistic_smj(spark, sf):
+    """The same with no broadcast: only needed entries move to their blocks."""
+    pts, xl = _data(spark, sf)
+    fit = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.0, broadcast=False)
+    return fit.beta.select("feature", F.round("value", 12).alias("value"))
+
+
+@register("train_logistic_full")
+def q_train_logistic_full(spark, sf):
+    """Training at the default 40 iterations (λ = 0, eps = 0.1): history rows
+    (objective, norm, step); its first rows are those that SQL checks elsewhere."""
+    pts, xl = _data(spark, sf)
+    return _history(spark, L.train(pts, xl), False)

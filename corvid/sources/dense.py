@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvid.iterate import Steps
+
 
 def parse_dense_line(line) -> Column:
     """``x1,…,xd,y`` → struct(x array<double>, y double); the last field is y."""
@@ -14,11 +16,11 @@ def parse_dense_line(line) -> Column:
 
 
 def read_dense_points(spark: SparkSession, path: str) -> DataFrame:
-    """CSV lines → ``(row_id, x array<double>, y double)``; ``row_id`` is a
-    stable id from the file and the position (no zipWithIndex pass)."""
+    """CSV lines → ``(row_id, x array<double>, y double)``. Row ids number the
+    lines of one reading; the numbered table is written, so they stay."""
     raw = spark.read.text(path).where(F.trim("value") != "")
     p = raw.select(F.monotonically_increasing_id().alias("row_id"), parse_dense_line("value").alias("p"))
-    return p.select("row_id", "p.x", "p.y")
+    return Steps(spark, "dense-points").write(p.select("row_id", "p.x", "p.y"))
 
 
 def format_dense_line(x, y) -> Column:
