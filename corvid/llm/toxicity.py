@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corvid.llm.hashing import NOT_LETTER, Words, chunks
 
-MAX_TRAIN = 8000
+MAX_TRAIN = 6000
 MIN_DOCS = 5
 MIN_Z = 4.0
 BEGINNINGS = (4, 6)
@@ -115,12 +115,20 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, l1: float = L1, counterfactu
     share = float(labels.mean()) if len(labels) else 0.0
     if not 0 < share < 1:
         return Model(np.zeros(0, np.uint64), np.zeros(0), 40.0 if share else -40.0)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    keys, col, seen = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
-    toxic = np.bincount(col, labels[doc], len(keys))
-    keep = (seen >= min_docs) & (np.abs(toxic - share * seen) >= MIN_Z * np.sqrt(seen * share * (1 - share)))
-    on = keep[col]
-    doc, col, keys = doc[on], (np.cumsum(keep) - 1)[col[on]], keys[keep]
+    keys, seen = np.unique(np.concatenate(rows), return_counts=True)
+    common = seen >= min_docs
+    keys, seen, toxic = keys[common], seen[common], np.zeros(int(common.sum()))
+    found = []
+    for r, bad in zip(rows, labels):
+        at = np.minimum(np.searchsorted(keys, r), max(len(keys) - 1, 0))
+        at = at[keys[at] == r] if len(keys) else at[:0]
+        toxic[at] += bad
+        found.append(at.astype(np.int32))
+    keep = np.abs(toxic - share * seen) >= MIN_Z * np.sqrt(seen * share * (1 - share))
+    number = np.cumsum(keep) - 1
+    found = [number[at[keep[at]]] for at in found]
+    keys = keys[keep]
+    doc, col = np.repeat(np.arange(len(rows)), [len(at) for at in found]), np.concatenate(found)
     # Counterfactual differences: a sparse row for each swap in each text that names a group.
     place, diff = {int(k): i for i, k in enumerate(keys)}, []
     terms = {k: v for k, v in swaps().items() if k in place}
