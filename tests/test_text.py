@@ -1,13 +1,13 @@
-"""Text functions and readability against the reference's unit tables and goldens."""
+"""Text functions and readability against fixed input/output cases and plain Python."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import REF, need
 from corvid.functions import text as T
 from corvid.operators import readability as R
 from corvid.sources.text import read_lines, read_word_list
 
+# Fixed input/output cases of the string functions.
 STRIP_CASES = [("!_2bob_@", "bob"), ("1haven't", "haven't"), ("nowhere@gmail.com\\..", "nowhere@gmail.com"),
                ("", ""), ("12321.@3", ""), ("1a", "a"), ("a", "a")]
 INFL_CASES = [("barts2", "barts", True), ("mope", "moped", True), ("Mill", "Mill's", True), ("raves", "rave", False)]
@@ -50,36 +50,59 @@ def test_split_lines_like_text_reader(spark):
     assert got == [2, 3, 1, 2, 0, 1]
 
 
-# goldens of the reference's text fixtures: (file, sentences, words, unique, difficult, dcf)
-GOLDEN = [("fireandice.txt", 9, 51, 41, 3, 1.20989), ("NYT1.txt", 57, 1415, 523, 491, 6.71037),
-          ("NYT2.txt", 11, 192, 109, 83, 7.69163), ("NYT3.txt", 56, 1035, 420, 291, 5.35622),
-          ("WSJ1.txt", 11, 218, 106, 96, 7.93638), ("WSJ2.txt", 6, 144, 82, 56, 7.33096)]
+def _same(a, b):
+    return any(x == y or y in [x + e for e in T.INFLECTION_ENDINGS] for x, y in ((a, b), (b, a)))
 
 
-@pytest.mark.parametrize("name,sent,words,unique,diff,dcf", GOLDEN)
-def test_readability_goldens(spark, name, sent, words, unique, diff, dcf):
-    path = need(f"{REF}/HW1/Data/{name}" if name == "fireandice.txt" else f"{REF}/HW1/Data/News/{name}")
-    easy = read_word_list(spark, need(f"{REF}/HW1/Data/DaleChallEasyWordList.txt"))
-    keys = R.easy_keys(easy)
-    lines = read_lines(spark, path)
-    r = R.readability(lines, keys, ["file"], "line", rows_are_lines=True).first()
-    assert (r["sentences"], r["words"], r["difficult"]) == (sent, words, diff)
-    assert round(r["dcf"], 5) == dcf
-    u = R.unique_words(lines, ["file"], "line").first()["unique_words"]
-    assert u == unique
-
-
-def test_top_words_nyt1(spark):
-    lines = read_lines(spark, need(f"{REF}/HW1/Data/News/NYT1.txt"))
-    top = R.top_words(R.compute_counts(lines, (), "line"), 5).collect()
-    assert [(r["word"], r["n"]) for r in top] == [("the", 89), ("of", 47), ("to", 44), ("and", 35), ("a", 30)]
-
+@pytest.fixture(scope="module")
+def files(spark, tmp_path_factory):
+    """Six documents and a word list as text files, and what a nested loop in
+    plain Python says about them."""
+    from conftest import SF_SMALL
+    from corvid.plans import inputs
 
-def test_easy_key_set_size(spark):
-    easy = read_word_list(spark, need(f"{REF}/HW1/Data/DaleChallEasyWordList.txt"))
-    keys = R.easy_keys(easy)
-    assert keys.count() == 20814
-    assert keys.where(F.col("word") == "").count() == 0
+    docs = inputs.documents(spark, SF_SMALL).orderBy("doc_id").limit(6).collect()
+    base, want = tmp_path_factory.mktemp("texts"), {}
+    easy = sorted({w for d in docs[:3] for w in map(_py_normalize, d["text"].split()[:60]) if w})
+    (base / "easy.txt").write_text("".join(f" {w}\t\n" for w in easy), encoding="utf-8")
+    for d in docs:
+        (base / f"d{d['doc_id']}.txt").write_text(d["text"], encoding="utf-8")
+        words = [_py_normalize(w) for w in d["text"].split()]
+        hard = {w: not any(_same(w, e) for e in easy) for w in set(words)}
+        lines = d["text"].split("\n")
+        want[f"d{d['doc_id']}.txt"] = (len(lines), len(words), len(set(words)), sum(hard[w] for w in words))
+    return str(base), easy, want
+
+
+def test_readability_of_files(spark, files):
+    base, easy, want = files
+    keys = R.easy_keys(read_word_list(spark, f"{base}/easy.txt"))
+    lines = read_lines(spark, [f"{base}/{f}" for f in want])
+    for broadcast in (True, False):
+        got = {r["file"].rsplit("/", 1)[1]: r for r in R.readability(lines, keys, ["file"], "line", rows_are_lines=True, broadcast=broadcast).collect()}
+        assert {f: (r["sentences"], r["words"], r["difficult"]) for f, r in got.items()} == {f: (s, w, d) for f, (s, w, _, d) in want.items()}
+        for f, (s, w, _, d) in want.items():
+            assert got[f]["dcf"] == pytest.approx(0.1579 * (d / w) * 100 + 0.0496 * (w / s))
+    u = {r["file"].rsplit("/", 1)[1]: r["unique_words"] for r in R.unique_words(lines, ["file"], "line").collect()}
+    assert u == {f: n for f, (_, _, n, _) in want.items()}
+
+
+def test_top_words_of_files(spark, files):
+    import collections
+
+    base, _, want = files
+    lines = read_lines(spark, [f"{base}/{f}" for f in want])
+    counts = collections.Counter(_py_normalize(w) for f in want for w in open(f"{base}/{f}", encoding="utf-8").read().split())
+    top = R.top_words(R.compute_counts(lines, (), "line", num_partitions=3), 5).collect()
+    assert [(r["word"], r["n"]) for r in top] == sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:5]
+
+
+def test_easy_keys_are_the_closure(spark, files):
+    base, easy, _ = files
+    keys = {r["word"] for r in R.easy_keys(read_word_list(spark, f"{base}/easy.txt")).collect()}
+    want = set(easy) | {w + e for w in easy for e in T.INFLECTION_ENDINGS}
+    want |= {w[:-len(e)] for w in easy for e in T.INFLECTION_ENDINGS if w.endswith(e)}
+    assert keys == want
 
 
 def test_readability_partition_invariant(spark):
