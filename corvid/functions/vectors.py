@@ -29,15 +29,6 @@ def dot_lit(x, beta: Sequence[float]) -> Column:
     return out
 
 
-def dot_cols(cols: Sequence[Column], beta: Sequence[float]) -> Column:
-    """<x, β> for x held as separate columns."""
-    out = None
-    for c, b in zip(cols, beta):
-        t = _c(c) * F.lit(float(b))
-        out = t if out is None else out + t
-    return out
-
-
 def linear_predict(x, beta) -> Column:
     return dot_lit(x, beta)
 
@@ -67,15 +58,6 @@ def dot_arrays(u, v, d: int | None = None) -> Column:
     return F.aggregate(F.zip_with(u, v, lambda a, b: a * b), F.lit(0.0), lambda acc, t: acc + t)
 
 
-def sq_norm_array(u, d: int | None = None) -> Column:
-    return dot_arrays(u, u, d)
-
-
-def scale_array(u, s) -> Column:
-    s = s if isinstance(s, Column) else F.lit(float(s))
-    return F.transform(_c(u), lambda a: a * s)
-
-
 # ---- sparse: map<string,double> -------------------------------------------------
 def sv_access(m, key) -> Column:
     """Value at ``key`` or 0.0 (a missing map key is NULL, even under ANSI)."""

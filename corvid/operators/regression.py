@@ -51,8 +51,9 @@ def gram_sums(df: DataFrame, x_col: str = "x", y_col: str = "y", d: int | None =
     i = j = −1: n; i = −1, j = −2: Σy²; i = −1, j ≥ 0: Σ x_j y; 0 ≤ i ≤ j: Σ x_i x_j.
 
     Small d: one aggregate (partial per task, one row per task shuffled).
-    Wide d: numpy XᵀX per Arrow batch inside the tasks, then a ``groupBy`` of
-    the d² partial entries — the shuffle is d² rows per task, whatever n is.
+    Wide d: numpy XᵀX per Arrow batch inside the tasks; a task emits one packed
+    row per matrix row (d + 1 rows, whatever n is), which are summed column-wise
+    by partial and final aggregates.
     """
     d = d or _x_dim(df, x_col)
     pts = df.select(F.col(x_col).alias("x"), F.col(y_col).cast("double").alias("y"))
@@ -68,12 +69,8 @@ def gram_sums(df: DataFrame, x_col: str = "x", y_col: str = "y", d: int | None =
         expr = "stack({}, {}) as (i, j, s)".format(len(stack), ", ".join(f"{a}, {b}, {c}" for a, b, c in stack))
         return row.selectExpr(expr)
 
-    iu, ju = np.triu_indices(d)
-
     def partial(batches):
-        acc_xx = np.zeros((d, d))
-        acc_xy = np.zeros(d)
-        n, yy = 0.0, 0.0
+        acc_xx, acc_xy, n, yy = np.zeros((d, d)), np.zeros(d), 0.0, 0.0
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -83,13 +80,15 @@ def gram_sums(df: DataFrame, x_col: str = "x", y_col: str = "y", d: int | None =
             acc_xy += X.T @ y
             n += len(y)
             yy += float(y @ y)
-        ii = np.concatenate([[-1, -1], np.full(d, -1), iu])
-        jj = np.concatenate([[-1, -2], np.arange(d), ju])
-        ss = np.concatenate([[n, yy], acc_xy, acc_xx[iu, ju]])
-        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "s": ss})
+        # row -1 holds n, Σy², Xᵀy; row i holds XᵀX[i]
+        rows = [np.concatenate([[n, yy], acc_xy]), *(np.concatenate([[0.0, 0.0], r]) for r in acc_xx)]
+        yield pd.DataFrame({"i": np.arange(-1, d, dtype="int32"), "a": rows})
 
-    parts = pts.mapInPandas(partial, "i int, j int, s double")
-    return parts.groupBy("i", "j").agg(F.sum("s").alias("s"))
+    parts = pts.mapInPandas(partial, "i int, a array<double>")
+    summed = parts.groupBy("i").agg(F.array(*[F.sum(F.col("a")[k]) for k in range(d + 2)]).alias("a"))
+    long = summed.select("i", F.posexplode("a").alias("k", "s"))
+    j = F.when(F.col("k") == 0, F.lit(-1)).when(F.col("k") == 1, F.lit(-2)).otherwise(F.col("k") - 2)
+    return long.select("i", j.cast("int").alias("j"), "s").where("i = -1 OR j >= i")
 
 
 def gram_stats(df: DataFrame, x_col: str = "x", y_col: str = "y", d: int | None = None) -> Gram:
@@ -243,18 +242,64 @@ def mse(df: DataFrame, beta, x_col="x", y_col="y") -> DataFrame:
     return df.agg(F.avg(r * r).alias("mse"))
 
 
+def _with_residual(df: DataFrame, beta, x_col, y_col) -> DataFrame:
+    """``(_x, _r)``: the residual y − <x,β> computed once per row, below the
+    aggregates that use it d times."""
+    return df.select(F.col(x_col).alias("_x"), _res(x_col, y_col, beta).alias("_r"))
+
+
 def ridge_gradient(df: DataFrame, beta, lam: float = 0.0, x_col="x", y_col="y") -> DataFrame:
-    """∇F = mean(−2 (y − <x,β>) x) + 2λβ as ``(idx, value)`` — d averages in
-    one aggregate, unpivoted."""
-    r = _res(x_col, y_col, beta)
-    x = F.col(x_col)
+    """∇F = mean(−2 (y − <x,β>) x) + 2λβ as ``(idx, value)``: d averages in one
+    aggregate, unpivoted; for wide x, numpy partial sums of d rows per task."""
+    beta = np.asarray(beta, float)
     d = len(beta)
-    row = df.agg(*[(F.avg(F.lit(-2.0) * r * x[i]) + F.lit(2 * lam * float(beta[i]))).alias(f"g{i}")
-                   for i in range(d)])
+    if d > WIDE_D:
+        return _wide_gradient(df, beta, lam, x_col, y_col)
+    x, r = F.col("_x"), F.col("_r")
+    row = _with_residual(df, beta, x_col, y_col).agg(
+        *[(F.avg(F.lit(-2.0) * r * x[i]) + F.lit(2 * lam * float(beta[i]))).alias(f"g{i}") for i in range(d)])
     expr = "stack({}, {}) as (idx, value)".format(d, ", ".join(f"{i}, g{i}" for i in range(d)))
     return row.selectExpr(expr)
 
 
+def _wide_gradient(df: DataFrame, beta: np.ndarray, lam: float, x_col, y_col) -> DataFrame:
+    d = len(beta)
+
+    def partial(batches):
+        g, n = np.zeros(d), 0
+        for pdf in batches:
+            if len(pdf):
+                X = np.vstack(pdf["x"].to_numpy())
+                g += -2 * X.T @ (pdf["y"].to_numpy(dtype=float) - X @ beta)
+                n += len(pdf)
+        yield pd.DataFrame({"idx": np.arange(d, dtype="int32"), "s": g, "n": n})
+
+    pts = df.select(F.col(x_col).alias("x"), F.col(y_col).cast("double").alias("y"))
+    g = pts.mapInPandas(partial, "idx int, s double, n long").groupBy("idx").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    reg = F.element_at(F.array(*[F.lit(float(2 * lam * b)) for b in beta]), F.col("idx") + 1)
+    return g.select("idx", (F.try_divide(F.col("s"), F.col("n")) + reg).alias("value"))
+
+
+def train_gd_direct(df: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: float = 0.01, beta0=None,
+                    x_col="x", y_col="y") -> FitResult:
+    """The same descent with one gradient and one line-quadratic pass over the
+    data per iteration: for d so large that a d×d summary is no option."""
+    beta = np.zeros(_x_dim(df, x_col)) if beta0 is None else np.asarray(beta0, float)
+    hist, k, norm = [], 0, float("inf")
+    while k < max_iter and norm > eps:
+        g = np.zeros(len(beta))
+        for r in ridge_gradient(df, beta, lam, x_col, y_col).collect():  # d rows
+            g[r["idx"]] = r["value"]
+        q = line_quadratic(df, beta, -g, lam, x_col, y_col).first()
+        norm = float(np.sqrt(g @ g))
+        step = -q["b"] / (2 * q["a"]) if q["a"] else 0.0
+        hist.append((k, q["c"], norm, step))
+        beta, k = beta - step * g, k + 1
+        if not q["a"]:
+            break
+    return FitResult(beta, norm, k, hist)
+
+
 def line_quadratic(df: DataFrame, beta1, beta2, lam: float = 0.0, x_col="x", y_col="y") -> DataFrame:
     """(a, b, c) of h(γ) = F(β1 + γβ2) in one aggregate (three means)."""
     b1, b2 = np.asarray(beta1, float), np.asarray(beta2, float)
@@ -313,16 +358,15 @@ def fd_gradient(df: DataFrame, beta, lam: float = 0.0, delta: float = 1e-4, x_co
     the d+1 objectives and the d gradient means in one aggregate → ``(idx, fd, analytic)``."""
     beta = np.asarray(beta, float)
     d = len(beta)
-    x = F.col(x_col)
-    base = _res(x_col, y_col, beta)
-    aggs = [F.avg(base * base).alias("f0")]
+    x, r = F.col("_x"), F.col("_r")
+    reg = float(lam * beta @ beta)
+    aggs = [(F.avg(r * r) + F.lit(reg)).alias("f0")]
     for i in range(d):
-        bi = beta.copy()
-        bi[i] += delta
-        ri = _res(x_col, y_col, bi)
-        aggs.append((F.avg(ri * ri) + F.lit(float(lam * bi @ bi))).alias(f"f{i + 1}"))
-        aggs.append((F.avg(F.lit(-2.0) * base * x[i]) + F.lit(2 * lam * float(beta[i]))).alias(f"g{i}"))
-    row = df.agg(*aggs).withColumn("f0", F.col("f0") + F.lit(float(lam * beta @ beta)))
+        ri = r - F.lit(delta) * x[i]  # the residual at β + δe_i
+        bi = reg + lam * (2 * float(beta[i]) * delta + delta * delta)
+        aggs.append((F.avg(ri * ri) + F.lit(float(bi))).alias(f"f{i + 1}"))
+        aggs.append((F.avg(F.lit(-2.0) * r * x[i]) + F.lit(2 * lam * float(beta[i]))).alias(f"g{i}"))
+    row = _with_residual(df, beta, x_col, y_col).agg(*aggs)
     expr = "stack({}, {}) as (idx, fd, analytic)".format(
         d, ", ".join(f"{i}, (f{i + 1} - f0) / {delta!r}, g{i}" for i in range(d)))
     return row.selectExpr(expr)

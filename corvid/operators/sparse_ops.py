@@ -21,31 +21,8 @@ def from_map(df: DataFrame, id_col: str = "row_id", vec: str = "vec") -> DataFra
     return df.select(id_col, F.explode(vec).alias("feature", "value"))
 
 
-def dot_long(a: DataFrame, b: DataFrame, on=("feature",), value: str = "value") -> DataFrame:
-    """Σ a·b over common keys, per the remaining keys of ``on``."""
-    on = list(on)
-    j = a.withColumnRenamed(value, "_a").join(b.withColumnRenamed(value, "_b"), on)
-    return j.agg(F.sum(F.col("_a") * F.col("_b")).alias("dot"))
-
-
 def add_long(a: DataFrame, b: DataFrame, keys=("feature",), value: str = "value", sign: float = 1.0) -> DataFrame:
     """Union of keys, a + sign·b: ``unionByName`` then one aggregate (no outer join)."""
     keys = list(keys)
     bb = b.select(*keys, (F.col(value) * F.lit(sign)).alias(value))
     return a.select(*keys, value).unionByName(bb).groupBy(*keys).agg(F.sum(value).alias(value))
-
-
-def scale_long(a: DataFrame, s: float, value: str = "value") -> DataFrame:
-    return a.withColumn(value, F.col(value) * F.lit(float(s)))
-
-
-def norm_long(a: DataFrame, group=(), value: str = "value", p=2) -> DataFrame:
-    group = list(group)
-    v = F.col(value)
-    if p in ("inf", float("inf")):
-        e = F.coalesce(F.max(F.abs(v)), F.lit(0.0))
-    elif p == 1:
-        e = F.coalesce(F.sum(F.abs(v)), F.lit(0.0))
-    else:
-        e = F.coalesce(F.sqrt(F.sum(v * v)), F.lit(0.0))
-    return a.groupBy(*group).agg(e.alias("norm"))

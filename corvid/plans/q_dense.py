@@ -394,6 +394,29 @@ def q_gram_stats_wide(spark, sf):
                        .otherwise(F.round(F.col("s") / F.lit(float(n)), 8)).alias("s"))
 
 
+@register("train_gd_direct", f"WITH {PTS}, m AS ({_MEANS}), ml AS (SELECT {LAM!r} AS lam, * FROM m), "
+          f"sol AS ({_cramer_sql('lam', 'ml')}) SELECT idx, round(beta, 4) AS value FROM sol")
+def q_train_gd_direct(spark, sf):
+    """The same descent with two passes over the data per iteration (no d×d
+    summary), until ‖∇F‖ ≤ 1e-6."""
+    fit = G.train_gd_direct(_pts(spark, sf, "train"), lam=LAM, max_iter=200, eps=1e-6)
+    return G.beta_frame(spark, np.round(fit.beta, 4))
+
+
+WIDE_BETA = [(k % 7 - 3) / 10.0 for k in range(64)]
+
+
+@register("ridge_gradient_wide", f"""WITH e AS (SELECT CAST(embedding AS DOUBLE[]) AS x, CAST(label AS DOUBLE) AS y FROM embeddings),
+b AS (SELECT {WIDE_BETA!r}::DOUBLE[] AS b),
+r AS (SELECT x, y - list_inner_product(x, b.b) AS r FROM e, b)
+SELECT CAST(k AS INTEGER) AS idx, round(avg(-2.0 * r * x[k + 1]) + 2 * {LAM!r} * any_value(b.b[k + 1]), 7) AS value
+FROM r, b, range(0, 64) t(k) GROUP BY k""")
+def q_ridge_gradient_wide(spark, sf):
+    """∇F on the 64-dimensional embeddings: d partial sums per task."""
+    g = G.ridge_gradient(inputs.wide_points(spark, sf), WIDE_BETA, LAM)
+    return g.select("idx", F.round("value", 7).alias("value"))
+
+
 @register("train_gd_wide")
 def q_train_gd_wide(spark, sf):
     """Ridge by GD on the 64-dimensional embeddings (λ = 0.1)."""
