@@ -146,15 +146,17 @@ def shingle_prefixes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``(id, n, d1, d2, n1, text, p0, p1, p2)`` per row of ``docs``."""
     size = text_bytes(docs, text)
     n_blocks, n_buckets = parts_for(size, BLOCK_BYTES), parts_for(size / 6, BUCKET_TOKENS, 12)
-    d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"),
+    # ids go as text: a pandas column of longs with nulls would become doubles
+    d = docs.select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"),
                     F.pmod(F.xxhash64(doc_id, F.length(text)), F.lit(n_blocks)).cast("int").alias("block"))
     d = d.repartition(max(n_blocks, 1), "block")  # one exchange of the texts serves both passes
     asked = d.groupBy("block").applyInPandas(_requests(n_buckets), "bucket int, block int, keys binary, counts binary")
     told = asked.groupBy("bucket").applyInPandas(_classes, "block int, bucket int, classes binary")
-    kind = dict(d.dtypes)["id"]
+    kind = dict(docs.dtypes)[doc_id]
     prefixes = ", p0 array<long>" + "".join(f", p{k} array<int>" for k in range(1, ORDERS))
-    return d.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
-        _prefixes, f"id {kind}, n long, d1 long, d2 long, n1 long, text string{prefixes}")
+    got = d.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
+        _prefixes, f"id string, n long, d1 long, d2 long, n1 long, text string{prefixes}")
+    return got.withColumn("id", F.col("id").cast(kind))
 
 
 def _close(nx: Column, ny: Column, px: Column, py: Column) -> Column:

@@ -47,7 +47,7 @@ TOKENIZER = "word_bpe_49k.json"
 CACHE_WORDS = 800_000
 CACHED_CHARS = 200
 
-PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -153,10 +153,11 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
                     for k, at in enumerate(range(0, len(b), 4 * capacity)):
                         part = b[at:at + 4 * capacity]
                         rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": batch["id"].dtype})
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    return d.mapInPandas(cut, PIECES.format(id=dict(d.dtypes)["id"]))
+    # ids go as text: a pandas column of longs with nulls would become doubles
+    d = docs.select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"))
+    return d.mapInPandas(cut, PIECES).withColumn("doc_id", F.col("doc_id").cast(dict(docs.dtypes)[doc_id]))
 
 
 # ---- the plan, from the histogram -----------------------------------------
@@ -314,6 +315,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: tuple[int, ...] =
     keys = runs[:, 0].astype(np.float64) * 2.0**40 + runs[:, 1] if n_pieces < 2**40 else None
     if keys is None:
         raise ValueError("more than 2^40 pieces: pack in several calls")
+    kind = dict(pieces.dtypes)["doc_id"]
     ranked = exclusive_sums(pieces.withColumn("__one", F.lit(1)), "length", ["doc_id", "piece", "ids_crc32"],
                             "__one", "__rank", n_pieces)
 
@@ -324,8 +326,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: tuple[int, ...] =
             yield b.drop(columns=["__one", "__rank"]).assign(
                 sequence_id=at[:, 2] + r % at[:, 3], offset=at[:, 4] + r // at[:, 3] * at[:, 0])
 
-    schema = ", ".join(f"{n} {t}" for n, t in pieces.dtypes) + ", sequence_id long, offset long"
-    return ranked.select(*pieces.columns, "__one", "__rank").mapInPandas(place, schema)
+    schema = ", ".join(f"{n} {'string' if n == 'doc_id' else t}" for n, t in pieces.dtypes) + ", sequence_id long, offset long"
+    ranked = ranked.select(*pieces.columns, "__one", "__rank").withColumn("doc_id", F.col("doc_id").cast("string"))
+    return ranked.mapInPandas(place, schema).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None,

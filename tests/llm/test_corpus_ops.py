@@ -124,6 +124,8 @@ def test_packing_edges(spark):
     assert got.groupby("sequence_id")["length"].sum().max() <= 4096 and got["sequence_id"].nunique() == 2
     long = got[got["doc_id"].isna()].sort_values("piece")
     assert list(long["start"]) == [0, 4096] and list(long["length"]) == [4096, 5001 - 4096]
+    big = spark.createDataFrame([(2**62 + 1, "a"), (None, "b")], "doc_id long, text string")
+    assert {r.doc_id for r in packing.pack_documents(big).collect()} == {2**62 + 1, None}
     end = zlib.crc32(np.array([1], "<u4").tobytes())
     assert (got[got["doc_id"].isin([1, 2])]["ids_crc32"] == end).all()
     assert packing.pack_documents(df.limit(0)).count() == 0

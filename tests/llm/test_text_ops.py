@@ -154,9 +154,9 @@ def test_groups_edges(spark):
             (9, "é b c d e"), (10, "É b c d e")]
     got = {r.id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_groups(docs_of(spark, rows)).collect()}
     assert got == brute_groups(rows)
-    odd = docs_of(spark, [(None, "x y z"), (4, "x y z"), (4, "x y z"), (4, "other"), (3, "x y z")])
+    odd = docs_of(spark, [(None, "x y z"), (4, "x y z"), (4, "x y z"), (4, "other"), (3, "x y z"), (2**62 + 1, "far")])
     got = sorted(((r.id, r.n_shingles, r.component_id) for r in jaccard_join.similar_groups(odd).collect()), key=repr)
-    assert got == sorted([(None, 1, None), (4, 1, 3), (4, 1, 3), (4, 1, 4), (3, 1, 3)], key=repr)
+    assert got == sorted([(None, 1, None), (4, 1, 3), (4, 1, 3), (4, 1, 4), (3, 1, 3), (2**62 + 1, 1, 2**62 + 1)], key=repr)
     assert jaccard_join.similar_groups(docs_of(spark, [])).collect() == []
 
 
