@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corvid.iterate import drop_folder  # noqa: F401  (used by the operators)
 from corvid.session import scratch_path
 
 # ASCII white space that separates words, as a Java/RE2 character class body.
@@ -59,7 +61,8 @@ def exclusive_sums(df: DataFrame, key: str, order: list[str], value: str, out: s
     return got.withColumn(out, (F.col("__base") + F.col("__in")).cast("long")).drop("__b", "__tb", "__k", "__base", "__in")
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``materialise`` wrote."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def release_shuffles(spark: SparkSession) -> None:
+    """Shuffle files go when the driver finds that their plans are gone. Between
+    large steps, whose results are written, have it look now."""
+    gc.collect()
+    spark._jvm.System.gc()

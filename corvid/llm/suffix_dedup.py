@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import drop_folder, materialise, materialise_at, parts_for
+from corvid.llm.common import drop_folder, materialise, materialise_at, parts_for, release_shuffles
 from corvid.llm.hashing import Rolling, chunks, mix64, range_bucket
 
 LENGTH = 200
@@ -289,7 +289,9 @@ def repeated_spans(ctx: DataFrame, length: int) -> DataFrame:
     found = cold.repartition(n, "key").sortWithinPartitions("key").mapInPandas(_compare(length), RUNS)
     if n_hot:
         found = found.union(compare_hot(materialise(each.join(few, "key"), "suffix-hot-contexts"), length))
-    found = materialise(found, "suffix-verdicts").withColumnsRenamed({"key": "__key", "c": "__c"})
+    found = materialise(found, "suffix-verdicts")
+    release_shuffles(ctx.sparkSession)
+    found = found.withColumnsRenamed({"key": "__key", "c": "__c"})
     return (named.select("key", "c", "id", "th", "start").join(found, (F.col("key") == F.col("__key")) & (F.col("c") == F.col("__c")))
             .select("id", "th", "start", F.explode("r").alias("r"))
             .select("id", "th", (F.col("start") + F.col("r.a")).alias("s"), (F.col("start") + F.col("r.b")).alias("e")))
@@ -318,9 +320,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = materialise(d.join(places, F.col("id").eqNullSafe(F.col("__id"))).drop("__id"), "suffix-found")
     if not kept:
         index.drop()
+    release_shuffles(docs.sparkSession)
     ctx = materialise(contexts(found, length, gram), "suffix-ctx")
     spans = materialise(repeated_spans(ctx, length).groupBy("id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
                         .withColumnsRenamed({"id": "__id", "th": "__th"}), "suffix-spans")
+    release_shuffles(docs.sparkSession)
     hit = (found.select("id", "th", "text").dropDuplicates(["id", "th"])
            .join(spans, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th"))))
 
