@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -59,10 +58,3 @@ def exclusive_sums(df: DataFrame, key: str, order: list[str], value: str, out: s
     inner = b.withColumn("__in", before(Window.partitionBy(key, "__b").orderBy(F.xxhash64(F.lit("w"), *order), *order)))
     got = inner.join(totals, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__b") == F.col("__tb")))
     return got.withColumn(out, (F.col("__base") + F.col("__in")).cast("long")).drop("__b", "__tb", "__k", "__base", "__in")
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Shuffle files go when the driver finds that their plans are gone. Between
-    large steps, whose results are written, have it look now."""
-    gc.collect()
-    spark._jvm.System.gc()
