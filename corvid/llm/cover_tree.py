@@ -1,6 +1,7 @@
 """Exact top-k search by inner product with cover trees on both sides.
 
-Vectors are dealt into blocks of at most ``BLOCK`` rows; each block and each
+Vectors are dealt into blocks of about ``BLOCK`` rows (by a hash of id, vector
+and a row salt, so rows that repeat an id spread as well); each block and each
 group of queries gets a cover tree (children lie within half the radius of their
 parent's covering ball, nodes hold their covering radius). A query group walks a
 block's tree together: for a query node with centre q and radius r and a data
@@ -11,10 +12,11 @@ node with centre c and radius s, no pair in them scores more than
 so the pair of nodes is pruned when this is below the worst kth score that the
 query node's queries have so far. Leaves are scored exactly with integers.
 
-Queries are stated (ids divisible by 50 in the registered query) and sent, in
-groups, to every block; each block returns its best k per query, with at most k
-rows per query and block, which a rank then merges. Work is queries times rows
-at worst: that is the search itself.
+Queries are stated (ids divisible by 50 in the registered query) and dealt into
+groups of about ``QUERY_GROUP``; a task gets one block and one group, so blocks
+are sent once per group and groups once per block. Each pair returns its best k
+per query, with at most k rows per query and block, which a rank then merges.
+Work is queries times rows at worst: that is the search itself.
 
 Components are floor(scale * x), x as double. Defined cases: vectors that are null or hold
 null or non-finite components take no part, nor do those whose length is not the
@@ -140,35 +142,43 @@ def _matrix(values: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.int64) for v in values])
 
 
+def dealt(v: DataFrame, n_blocks: int, n_groups: int) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows of ``v`` by (block, group): each query group meets each
+    block in a task of its own. That is rows x groups and queries x blocks rows,
+    not pairs of vectors."""
+    deal = lambda name, of, *by: F.pmod(F.xxhash64(F.lit(name), *by), F.lit(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
+    data = v.select(deal("block", n_blocks, "id", "v", "salt").alias("block"), "id", "v").withColumn("group", every(n_groups))
+    asked = (v.where("q").dropDuplicates(["id", "v"]).select(deal("group", n_groups, "id", "v").alias("group"), "id", "v")
+             .withColumn("block", every(n_blocks)))
+    return asked, data
+
+
 def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding",
           k: int = K, scale: int = SCALE) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k best candidates per query."""
-    v = materialise(vectors.select(F.col(vec_id).cast("long").alias("id"), is_query.alias("q"), quantised(F.col(vector), scale).alias("v"))
+    # The salt is written with the rows, so that every reader deals them alike.
+    v = materialise(vectors.select(F.col(vec_id).cast("long").alias("id"), is_query.alias("q"), quantised(F.col(vector), scale).alias("v"),
+                                   F.monotonically_increasing_id().alias("salt"))
                     .where("id IS NOT NULL AND v IS NOT NULL"), "cover-vectors")
     sizes = v.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.count_if("q").alias("n_q"))
     sizes = sizes.orderBy(F.desc("n"), F.desc("d")).first()
     dim, n, n_q = (sizes["d"], sizes["n"], sizes["n_q"]) if sizes else (0, 0, 0)
     v = v.where(F.size("v") == dim)
     n_blocks, n_groups = parts_for(n, BLOCK), parts_for(n_q, QUERY_GROUP)
-    deal = lambda name, of: F.pmod(F.xxhash64(F.lit(name), "id"), F.lit(of)).cast("int")
-    data = v.select(deal("block", n_blocks).alias("block"), "id", "v")
-    # Each query goes to each block once: queries x blocks rows, not pairs of vectors.
-    asked = (v.where("q").dropDuplicates(["id", "v"]).select(deal("group", n_groups).alias("group"), "id", "v")
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
+    asked, data = dealt(v, n_blocks, n_groups)
 
     def search(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(q) and len(c):
             cand_ids, cand = c["id"].to_numpy(), _matrix(c["v"])
-            tree = build(cand.astype(float), np.arange(len(cand)), LEAF)
-            for _, g in q.groupby("group"):
-                s = Search(g["id"].to_numpy(), _matrix(g["v"]), k)
-                s.block(cand_ids, cand, tree)
-                for i, (ids, scores) in zip(s.ids, zip(s.found, s.score)):
-                    rows += [(i, int(x), int(y)) for x, y in zip(ids, scores) if np.isfinite(y)]
+            s = Search(q["id"].to_numpy(), _matrix(q["v"]), k)
+            s.block(cand_ids, cand, build(cand.astype(float), np.arange(len(cand)), LEAF))
+            for i, (ids, scores) in zip(s.ids, zip(s.found, s.score)):
+                rows += [(i, int(x), int(y)) for x, y in zip(ids, scores) if np.isfinite(y)]
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    got = (asked.groupBy("block").cogroup(data.groupBy("block"))
+    got = (asked.groupBy("block", "group").cogroup(data.groupBy("block", "group"))
            .applyInPandas(search, "query_id long, vec_id long, score long"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return got.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -313,6 +313,34 @@ def test_top_k_edges(spark):
     assert cover_tree.top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_top_k_tasks_hold_one_query_group_and_one_block(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(cover_tree, "BLOCK", 64)
+    monkeypatch.setattr(cover_tree, "QUERY_GROUP", 16)
+    real, held = cover_tree.dealt, []
+
+    def dealt(*args):
+        sides = real(*args)
+        held.extend(max(r["count"] for r in d.groupBy("block", "group").count().collect()) for d in sides)
+        return sides
+
+    monkeypatch.setattr(cover_tree, "dealt", dealt)
+    rng = np.random.default_rng(2)
+    ids = [1] * 200 + list(range(2, 402))  # a third of the rows repeat one id
+    vecs = rng.integers(-40, 40, (len(ids), 3)).tolist()
+    vecs[:100] = [vecs[0]] * 100  # half of them with one vector
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, vecs)], "vec_id long, embedding array<double>")
+    got = cover_tree.top_k(df, F.col("vec_id") % 2 == 0, k=4)
+    assert held[0] < 3 * 16 and held[1] < 2 * 64, held
+    want = []
+    for i, v in zip(ids, vecs):
+        if i % 2 == 0:
+            best = sorted((-65536 * sum(a * b for a, b in zip(v, c)), j) for j, c in zip(ids, vecs) if j != i)[:4]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
 # ---- toxicity ---------------------------------------------------------------
 
 def toxic_rows(n=400, seed=1):
