@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from corvid.operators import factorization as M
@@ -243,8 +244,9 @@ def _steps_sql(models: str, train_on: str, test_on: str, iters: int, d: int, reg
 
 _FOLD = f"SELECT 0 AS m, {TEST_FOLD} AS k"
 _ALL_FOLDS = f"SELECT CAST(k AS INTEGER) AS m, CAST(k AS INTEGER) AS k FROM range(0, {N_FOLDS}) t(k)"
-_CV_ITERS, _GRID_ITERS, _FIT_ITERS = 3, 2, 3
+_CV_ITERS, _GRID_ITERS = 3, 2  # of the value-checked parts
 _REGS = [0.0, 1.0, 2.0]
+GRID = [float(x) for x in np.linspace(0, 3000, 20)]  # the reference's grid
 
 
 def _per_iteration(columns: str, n: int, join: str = "") -> str:
@@ -253,30 +255,36 @@ def _per_iteration(columns: str, n: int, join: str = "") -> str:
                               + f" FROM s{k} s JOIN e{k} e ON e.m = s.m" for k in range(n))
 
 
-def _cv_sql(iters: int, init=_normal) -> str:
+def _cv_sql(iters: int, init=_normal, d: int = DF) -> str:
     n = iters - 1
-    return (_steps_sql(_ALL_FOLDS, "rt.fold <> mo.k", "rt.fold = mo.k", iters, DF, repr(LAM), init)
+    return (_steps_sql(_ALL_FOLDS, "rt.fold <> mo.k", "rt.fold = mo.k", iters, d, repr(LAM), init)
             + f" SELECT CAST(m AS INTEGER) AS k, round(rmse, 9) AS test_rmse, round(rmse_matched, 9) AS rmse_matched, "
               f"round(coverage, 9) AS coverage, CAST({iters} AS INTEGER) AS iterations, "
               f"round(avg(rmse) OVER (), 9) AS cv_rmse FROM e{n}")
 
 
-def _cv(spark, sf, iters: int, **kw):
-    df, _ = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=DF, lam=LAM, mu=MU, maxiter=iters, **kw)
+def _cv(spark, sf, iters: int, d: int = DF, **kw):
+    df, _ = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=d, lam=LAM, mu=MU, maxiter=iters, **kw)
     rounded = ["test_rmse", "rmse_matched", "coverage", "cv_rmse"]
     return df.select("k", "iterations", *[F.round(c, 9).alias(c) for c in rounded])
 
 
-@register("cross_validate_mf", _cv_sql(_CV_ITERS))
+@register("cross_validate_mf", _cv_sql(M.MAXITER, d=M.D))
 def q_cross_validate_mf(spark, sf):
-    """5-fold CV, all folds in the same jobs (fold = leading key): three
-    iterations from the seeded init, per-fold RMSE and their mean."""
+    """5-fold CV at the defaults (d = 10, 20 iterations), all folds in the same
+    jobs (fold = leading key): per-fold RMSE and their mean."""
+    return _cv(spark, sf, M.MAXITER, M.D)
+
+
+@register("cross_validate_mf_3iter", _cv_sql(_CV_ITERS))
+def q_cross_validate_mf_3iter(spark, sf):
+    """Three iterations of it at d = 3."""
     return _cv(spark, sf, _CV_ITERS)
 
 
 @register("cv_mf_trained", _cv_sql(_CV_ITERS, lambda side, col, k: _fv(col, k)))
 def q_cv_mf_trained(spark, sf):
-    """The same from the formula profiles."""
+    """The same three iterations from the formula profiles."""
     return _cv(spark, sf, _CV_ITERS, init="formula")
 
 
@@ -308,23 +316,37 @@ def q_train_mf_smj(spark, sf):
     return _train_mf(spark, sf, d=DF, maxiter=3, broadcast=False)
 
 
-@register("mf_reg_grid", _steps_sql(
+@register("mf_reg_grid")
+def q_mf_reg_grid(spark, sf):
+    """CV RMSE for λ = μ on linspace(0, 3000, 20) at the defaults (d = 10, 20
+    iterations): grid points and folds as keys of one run. Where the step
+    times λ is beyond 1 the run diverges, as the reference's does: the RMSE is
+    then infinite or NaN."""
+    return M.reg_grid(_ratings(spark, sf), N_FOLDS, GRID).select("reg", F.round("cv_rmse", 9).alias("cv_rmse"))
+
+
+@register("mf_reg_grid_2iter", _steps_sql(
     " UNION ALL ".join(f"SELECT CAST({n} * 10 + k AS INTEGER) AS m, CAST(k AS INTEGER) AS k, {r!r} AS reg FROM range(0, {N_FOLDS}) t(k)"
                        for n, r in enumerate(_REGS)), "rt.fold <> mo.k", "rt.fold = mo.k", _GRID_ITERS, DF, "mo.reg")
     + f" SELECT mo.reg, round(avg(e.rmse), 9) AS cv_rmse FROM e{_GRID_ITERS - 1} e JOIN mo ON mo.m = e.m GROUP BY mo.reg")
-def q_mf_reg_grid(spark, sf):
-    """CV RMSE for λ = μ ∈ {0, 1, 2}: grid points and folds as keys of one run."""
+def q_mf_reg_grid_2iter(spark, sf):
+    """Two iterations at d = 3 for λ = μ ∈ {0, 1, 2}, value-checked."""
     got = M.reg_grid(_ratings(spark, sf), N_FOLDS, _REGS, d=DF, maxiter=_GRID_ITERS)
     return got.select("reg", F.round("cv_rmse", 9).alias("cv_rmse"))
 
 
-@register("fit_full_mf", _steps_sql(_FOLD, "true", "true", _FIT_ITERS, DF, repr(LAM))
-          + " " + _per_iteration("round(s.objective, 6) AS objective, round(e.rmse, 9) AS train_rmse", _FIT_ITERS))
+def _fit_full_sql(iters: int, d: int) -> str:
+    return (_steps_sql(_FOLD, "true", "true", iters, d, repr(LAM))
+            + " " + _per_iteration("round(s.objective, 6) AS objective, round(e.rmse, 9) AS train_rmse", iters))
+
+
+@register("fit_full_mf", _fit_full_sql(M.MAXITER, M.D))
 def q_fit_full_mf(spark, sf):
-    """No CV: train on all ratings (RMSE on the training set), save U and V."""
+    """No CV: train on all ratings at the defaults (RMSE on the training set),
+    save U and V."""
     from corvid.session import scratch_path
     from corvid.sources.ratings import write_factors
-    res = M.train(_ratings(spark, sf), None, d=DF, lam=LAM, mu=MU, maxiter=_FIT_ITERS)
+    res = M.train(_ratings(spark, sf), None, lam=LAM, mu=MU)
     write_factors(res.U, res.V, scratch_path(spark, "factors-out"))
     rows = [(h["iteration"], round(h["objective"], 6), round(h["test_rmse"], 9)) for h in res.history]
     return spark.createDataFrame(rows, "iteration int, objective double, train_rmse double")

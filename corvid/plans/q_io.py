@@ -133,18 +133,28 @@ def q_read_ratings_file(spark, sf):
     return read_ratings(spark, path)
 
 
-@register("history_sink", q_logistic._history_sql(2, False))
-def q_history_sink(spark, sf):
-    """Logistic training history → CSV with header → read back (the time column
-    is written too; it is left out of the result)."""
+def _history_sink(spark, sf, max_iter: int, eps: float):
     pts, xl = q_logistic._data(spark, sf)
     path = scratch_path(spark, "history")
-    SK.write_history(L.history_frame(spark, L.train(pts, xl, lam=q_logistic.LAM, max_iter=2, eps=0.0)), path)
+    SK.write_history(L.history_frame(spark, L.train(pts, xl, lam=q_logistic.LAM, max_iter=max_iter, eps=eps)), path)
     h = SK.read_csv_table(spark, path, "k int, t double, objective double, grad_norm double, step double, rejected int, "
                                        "acc double, pre double, rec double")
     return h.select("k", F.round("objective", 5).alias("objective"), F.round("grad_norm", 5).alias("grad_norm"), "step", "rejected")
 
 
+@register("history_sink")
+def q_history_sink(spark, sf):
+    """Logistic training history (max_iter 40, eps 0.1) → CSV with header → read
+    back (the time column is written too; it is left out of the result)."""
+    return _history_sink(spark, sf, q_logistic.MAX_ITER, q_logistic.EPS)
+
+
+@register("history_sink_2iter", q_logistic._history_sql(2, False))
+def q_history_sink_2iter(spark, sf):
+    """The same for two iterations, value-checked."""
+    return _history_sink(spark, sf, 2, 0.0)
+
+
 @register("metrics_sink", q_logistic._train_sql(2, " UNION ALL ".join(
     f"SELECT CAST({k} AS INTEGER) AS max_iter, CAST({q_logistic.LAM!r} AS DOUBLE) AS lam, m.* FROM ({q_logistic._metrics_sql(f'mg{k}')}) m"
     for k in (1, 2))))

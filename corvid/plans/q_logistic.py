@@ -18,6 +18,7 @@ from corvid.plans.sqlfrag import norm, tokens
 
 N_GROUPS = 20
 LAM = 0.1
+MAX_ITER, EPS = 40, 0.1  # the reference's defaults
 DELTA = 1e-4
 
 XL = (f"xl AS (SELECT doc_id AS row_id, word AS feature, CAST(count(*) AS DOUBLE) AS value FROM "
@@ -240,17 +241,27 @@ def _train_sql(iters: int = 2, final: str | None = None, lam: float = LAM) -> st
     return "WITH " + ",\n".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in cte) + "\n" + final.format(n=iters, last=iters - 1)
 
 
-@register("train_logistic", _train_sql(5, "SELECT b.feature, round(b.value, 9) AS value, round(sqrt(vt.gg), 6) AS grad_norm, "
-                                          "{n} AS iterations FROM b{n} b, vt{last} vt"))
-def q_train_logistic(spark, sf):
-    """Training (λ = 0.1, max_iter 5, eps 0.1): β table with the final norm
-    (the norms stay far above eps here, so all 5 iterations run)."""
+def _trained(spark, sf, max_iter: int):
     pts, xl = _data(spark, sf)
-    fit = L.train(pts, xl, lam=LAM, max_iter=5, eps=0.1)
+    fit = L.train(pts, xl, lam=LAM, max_iter=max_iter, eps=EPS)
     return fit.beta.select("feature", F.round("value", 9).alias("value"),
                            F.round(F.lit(fit.grad_norm), 6).alias("grad_norm"), F.lit(fit.iterations).alias("iterations"))
 
 
+@register("train_logistic")
+def q_train_logistic(spark, sf):
+    """Training (λ = 0.1, max_iter 40, eps 0.1): β table with the final norm."""
+    return _trained(spark, sf, MAX_ITER)
+
+
+@register("train_logistic_5iter", _train_sql(5, "SELECT b.feature, round(b.value, 9) AS value, round(sqrt(vt.gg), 6) AS grad_norm, "
+                                                "{n} AS iterations FROM b{n} b, vt{last} vt"))
+def q_train_logistic_5iter(spark, sf):
+    """Its first five iterations, value-checked (the norms stay far above eps
+    here, so all 5 run)."""
+    return _trained(spark, sf, 5)
+
+
 def _metrics_sql(table: str) -> str:
     """ACC, PRE, REC of the test rows of a margin table."""
     n = lambda c: f"count_if(margin {c})"
@@ -275,17 +286,24 @@ def _history(spark, fit, test: bool):
     return h.select(*keep, *([F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")] if test else []))
 
 
-@register("online_test", _history_sql(4, True))
+@register("online_test")
 def q_online_test(spark, sf):
-    """History with test ACC/PRE/REC at every iteration (λ = 0.1, 4 iterations);
-    wall times are left out."""
+    """History with test ACC/PRE/REC at every iteration (λ = 0.1, max_iter 40,
+    eps 0.1); wall times are left out."""
+    pts, xl = _data(spark, sf)
+    return _history(spark, L.train(pts, xl, lam=LAM, max_iter=MAX_ITER, eps=EPS, online_test=True), True)
+
+
+@register("online_test_4iter", _history_sql(4, True))
+def q_online_test_4iter(spark, sf):
+    """Its first four iterations, value-checked."""
     pts, xl = _data(spark, sf)
     return _history(spark, L.train(pts, xl, lam=LAM, max_iter=4, eps=0.0, online_test=True), True)
 
 
 # Fixed values of the sweep: powers of ten.
 SWEEP = [10.0 ** k for k in range(-5, 6)]
-SWEEP_ITERS = 2
+SWEEP_ITERS = 2  # of the value-checked part
 
 
 def _sweep_sql() -> str:
@@ -294,15 +312,12 @@ def _sweep_sql() -> str:
     return " UNION ALL ".join(f"SELECT * FROM ({one(lam)})" for lam in SWEEP)
 
 
-@register("logistic_lambda_sweep", _sweep_sql())
-def q_logistic_lambda_sweep(spark, sf):
-    """Train + test for the eleven λ ∈ 10^-5 … 10^5, two iterations each, over
-    one block layout of x_long: (λ, acc, pre, rec, grad_norm)."""
+def _sweep(spark, sf, max_iter: int, eps: float):
     pts, xl = _data(spark, sf)
     x, rows = L.Blocks(xl), []
     beta0 = Steps(spark, "beta0").write(L.beta_init(xl.join(pts.where(~F.col("is_test")).select("row_id"), "row_id", "left_semi")))
     for lam in SWEEP:
-        fit = L.train(pts, x, beta0=beta0, lam=lam, max_iter=SWEEP_ITERS, eps=0.0, online_test=True)
+        fit = L.train(pts, x, beta0=beta0, lam=lam, max_iter=max_iter, eps=eps, online_test=True)
         h = fit.history[-1]
         rows.append((lam, h["acc"], h["pre"], h["rec"], fit.grad_norm))
     x.release()
@@ -310,18 +325,42 @@ def q_logistic_lambda_sweep(spark, sf):
     return out.select("lam", *[F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")], F.round("grad_norm", 5).alias("grad_norm"))
 
 
-@register("model_compare", _train_sql(2, "SELECT count(*) AS n_features, CAST(0.0 AS DOUBLE) AS max_abs_diff, "
-                                         "round(sqrt(sum(value * value)), 6) AS norm_a, round(sqrt(sum(value * value)), 6) AS norm_b FROM b{n}"))
-def q_model_compare(spark, sf):
-    """The broadcast and the blocked implementation of the trainer side by
-    side: the two β tables must agree; reports max |Δ| and both norms."""
+@register("logistic_lambda_sweep")
+def q_logistic_lambda_sweep(spark, sf):
+    """Train + test for the eleven λ ∈ 10^-5 … 10^5 (max_iter 40, eps 0.1), over
+    one block layout of x_long: (λ, acc, pre, rec, grad_norm)."""
+    return _sweep(spark, sf, MAX_ITER, EPS)
+
+
+@register("logistic_lambda_sweep_2iter", _sweep_sql())
+def q_logistic_lambda_sweep_2iter(spark, sf):
+    """Its first two iterations for each λ, value-checked."""
+    return _sweep(spark, sf, SWEEP_ITERS, 0.0)
+
+
+def _compared(spark, sf, max_iter: int, eps: float):
     pts, xl = _data(spark, sf)
-    a = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.0, n_partitions=4, broadcast=True).beta
-    b = L.train(pts, xl, lam=LAM, max_iter=2, eps=0.0, n_partitions=20, broadcast=False).beta
+    a = L.train(pts, xl, lam=LAM, max_iter=max_iter, eps=eps, n_partitions=4, broadcast=True).beta
+    b = L.train(pts, xl, lam=LAM, max_iter=max_iter, eps=eps, n_partitions=20, broadcast=False).beta
     return L.model_compare(a, b).select("n_features", F.round("max_abs_diff", 9).alias("max_abs_diff"),
                                         F.round("norm_a", 6).alias("norm_a"), F.round("norm_b", 6).alias("norm_b"))
 
 
+@register("model_compare")
+def q_model_compare(spark, sf):
+    """The broadcast and the blocked implementation of the trainer side by side
+    (max_iter 40, eps 0.1): the two β tables must agree; reports max |Δ| and
+    both norms."""
+    return _compared(spark, sf, MAX_ITER, EPS)
+
+
+@register("model_compare_2iter", _train_sql(2, "SELECT count(*) AS n_features, CAST(0.0 AS DOUBLE) AS max_abs_diff, "
+                                               "round(sqrt(sum(value * value)), 6) AS norm_a, round(sqrt(sum(value * value)), 6) AS norm_b FROM b{n}"))
+def q_model_compare_2iter(spark, sf):
+    """The same after two iterations, value-checked."""
+    return _compared(spark, sf, 2, 0.0)
+
+
 @register("train_logistic_2iter", _train_sql(2))
 def q_train_logistic_2iter(spark, sf):
     """Two iterations of the distributed trainer (λ = 0.1) from β = 0, value-

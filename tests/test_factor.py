@@ -73,3 +73,33 @@ def test_fold_keyed_equals_single_fold(spark):
     tr, te = M.fold_split(R, 2)
     single = M.train(tr, te, d=3, lam=0.05, mu=0.05, maxiter=2).history[-1]["test_rmse"]
     assert abs(keyed[2] - single) < 1e-12
+
+
+def test_grid_is_the_reference_one_at_the_defaults(spark, monkeypatch):
+    """linspace(0, 3000, 20), d = 10, 20 iterations, against numpy; large λ diverge on both sides."""
+    from corvid.plans import q_factor as Q
+
+    rng = np.random.default_rng(3)
+    rows = [(i, j, float(rng.normal()), (i * 31 + j) % 5) for i in range(8) for j in range(6) if rng.random() < 0.7]
+    R = spark.createDataFrame(rows, "i long, j long, r double, fold int")
+    U, V = ({r[0]: np.array(r[1]) for r in p.collect()} for p in M.init_profiles(R, M.D))
+    monkeypatch.setattr(Q, "_ratings", lambda spark, sf: R)
+    got = {r["reg"]: r["cv_rmse"] for r in Q.q_mf_reg_grid(spark, "").collect()}
+    assert sorted(got) == [float(x) for x in np.linspace(0, 3000, 20)]
+    with np.errstate(all="ignore"):
+        for reg, value in got.items():
+            per = []
+            for fold in range(5):
+                tr, te = [r for r in rows if r[3] != fold], [r for r in rows if r[3] == fold]
+                u, v = {r[0]: U[r[0]] for r in tr}, {r[1]: V[r[1]] for r in tr}
+                for it in range(1, M.MAXITER + 1):
+                    err = [(u[i] @ v[j] - r) ** 2 for i, j, r, _ in te if i in u and j in v]
+                    g = M.gain_schedule(M.GAIN, M.POWER, it)
+                    gu, gv = {i: 2 * reg * u[i] for i in u}, {j: 2 * reg * v[j] for j in v}
+                    for i, j, r, _ in tr:
+                        delta = u[i] @ v[j] - r
+                        gu[i], gv[j] = gu[i] + 2 * delta * v[j], gv[j] + 2 * delta * u[i]
+                    u, v = {i: u[i] - g * gu[i] for i in u}, {j: v[j] - g * gv[j] for j in v}
+                per.append((sum(err) / len(te)) ** 0.5)
+            want = np.mean(per)
+            assert np.isfinite(want) == np.isfinite(value) and (not np.isfinite(want) or abs(value - want) <= 1e-6 * max(1, want)), (reg, value, want)

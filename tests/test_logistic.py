@@ -95,3 +95,59 @@ def test_metrics_zero_denominators(spark):
     df = spark.createDataFrame([(0, 0, 0, 0, 0, 0)], "P long, N long, TP long, FP long, TN long, FN long")
     r = L.acc_pre_rec(df).first()
     assert r["acc"] is None and r["pre"] is None and r["rec"] is None
+
+
+def plain_training(x, y, test, lam, max_iter, eps):
+    """The trainer in numpy over a dense matrix: history and β."""
+    loss = lambda m, b: np.logaddexp(0, -y * m)[~test].sum() + lam * (b @ b)
+    b, hist = np.zeros(x.shape[1]), []
+    while len(hist) < max_iter and (not hist or hist[-1][1] > eps):
+        m = x @ b
+        g = x[~test].T @ (-y / (1 + np.exp(y * m)))[~test] + 2 * lam * b
+        t, k, f0, gg = 1.0, 0, loss(m, b), g @ g
+        while loss(m - t * (x @ g), b - t * g) > f0 - 0.2 * t * gg:
+            t, k = 0.6 * t, k + 1
+        b = b - t * g
+        hist.append((loss(x @ b, b), gg ** 0.5, t, k))
+    return hist, b
+
+
+def small_points(spark):
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random((60, 6)) < 0.6, rng.integers(1, 4, (60, 6)), 0).astype(float)
+    y, test = np.where(rng.random(60) < 0.5, 1, -1), np.arange(60) % 5 == 0
+    pts = spark.createDataFrame([(i, int(a), bool(t)) for i, (a, t) in enumerate(zip(y, test))], "row_id long, y int, is_test boolean")
+    xl = spark.createDataFrame([(int(i), f"f{j}", float(x[i, j])) for i, j in zip(*x.nonzero())], "row_id long, feature string, value double")
+    return x, y, test, pts, xl
+
+
+def test_queries_train_at_the_reference_defaults(spark, monkeypatch):
+    """40 iterations or the norm below 0.1, on a small fixture against numpy."""
+    from corvid.plans import q_io, q_logistic as Q
+
+    x, y, test, pts, xl = small_points(spark)
+    monkeypatch.setattr(Q, "_data", lambda spark, sf: (pts, xl))
+    hist, b = plain_training(x, y, test, 0.1, 40, 0.1)
+    assert len(hist) > 5
+    for query in (Q.q_online_test, q_io.q_history_sink):
+        got = query(spark, "").orderBy("k").collect()
+        assert [r["rejected"] for r in got] == [h[3] for h in hist]
+        assert np.allclose([(r["objective"], r["grad_norm"]) for r in got], [h[:2] for h in hist], atol=2e-5)
+    beta = {r["feature"]: r for r in Q.q_train_logistic(spark, "").collect()}
+    assert np.allclose([beta[f"f{j}"]["value"] for j in range(6)], b, atol=1e-7)
+    assert {r["iterations"] for r in beta.values()} == {len(hist)}
+    r = Q.q_model_compare(spark, "").first()
+    assert r["max_abs_diff"] < 1e-8 and abs(r["norm_a"] - (b @ b) ** 0.5) < 1e-5
+
+
+def test_sweep_trains_every_lambda_at_the_reference_defaults(spark, monkeypatch):
+    from corvid.plans import q_logistic as Q
+
+    x, y, test, pts, xl = small_points(spark)
+    monkeypatch.setattr(Q, "_data", lambda spark, sf: (pts, xl))
+    monkeypatch.setattr(Q, "SWEEP", [1e-5, 1.0, 1e5])
+    for r in Q.q_logistic_lambda_sweep(spark, "").collect():
+        hist, b = plain_training(x, y, test, r["lam"], 40, 0.1)
+        m = (x @ b)[test]
+        assert abs(r["acc"] - np.mean((m > 0) == (y[test] > 0))) < 1e-9, r
+        assert abs(r["grad_norm"] - hist[-1][1]) < 1e-4, (r, hist[-1])
