@@ -129,13 +129,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, l1: float = L1, counterfactu
     found = [number[at[keep[at]]] for at in found]
     keys = keys[keep]
     doc, col = np.repeat(np.arange(len(rows)), [len(at) for at in found]), np.concatenate(found)
-    # Counterfactual differences: a sparse row for each swap in each text that names a group.
-    place, diff = {int(k): i for i, k in enumerate(keys)}, []
-    terms = {k: v for k, v in swaps().items() if k in place}
-    named = np.isin(col, [place[k] for k in terms])
-    for d, c in zip(doc[named], col[named]):
-        for gone, come in terms[int(keys[c])]:
-            diff.append([(place[int(h)], s) for hs, s in ((gone, -1.0), (come, 1.0)) for h in hs if int(h) in place])
+    # Counterfactual differences: a sparse row for each swap of each term that a labelled text names, kept as a
+    # feature or not, scaled by the root of the number of those texts (their rows are equal).
+    place, diff, terms = {int(k): i for i, k in enumerate(keys)}, [], swaps()
+    own = np.array(sorted(terms), np.uint64)
+    for term, texts in zip(*np.unique(np.concatenate([r[np.isin(r, own)] for r in rows]), return_counts=True)):
+        for gone, come in terms[int(term)]:
+            part = [(place[int(h)], s * np.sqrt(texts)) for hs, s in ((gone, -1.0), (come, 1.0)) for h in hs if int(h) in place]
+            if part:
+                diff.append(part)
     d_row = np.repeat(np.arange(len(diff)), [len(x) for x in diff])
     d_col, d_val = np.array([c for x in diff for c, _ in x], int), np.array([s for x in diff for _, s in x], float)
 

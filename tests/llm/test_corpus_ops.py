@@ -370,6 +370,32 @@ def test_counterfactual_penalty_spares_neutral_mentions():
     assert fair.scores(["w1 w2 what an idiot"])[0] > 0.6
 
 
+def test_counterfactual_penalty_covers_terms_below_the_cut():
+    """"immigrants" is no feature itself, its beginnings are, as rarer
+    words share them; "christians" is none, its partner "muslims" is."""
+    def fitted(extra, counterfactual):
+        rng = random.Random(3)
+        rows = []
+        for k in range(400):
+            words = [f"w{rng.randrange(300)}" for _ in range(20)] + extra(k, k % 2 == 0)
+            rows.append((" ".join(words), k % 2 == 0))
+        feats = [np.unique(toxicity.features([toxicity.lowered(t)])[1]) for t, _ in rows]
+        return toxicity.fit(feats, np.array([b for _, b in rows]), counterfactual=counterfactual, steps=800)
+
+    change = lambda m, a, b: abs(np.subtract(*m.scores([f"we met {a} w1", f"we met {b} w1"])))
+    hashed = lambda t: toxicity.Words([t.encode()], toxicity.NOT_LETTER).hashes()[0]
+    below = lambda k, bad: (["immigr" + "abcdefgh"[k % 8] + "abcdefgh"[k // 8 % 8] + "x"] if bad and k % 3 else []) + (["immigrants"] if k % 20 < 2 else [])
+    plain, fair = fitted(below, 0.0), fitted(below, 5.0)
+    assert hashed("immigrants") not in plain.keys and change(plain, "immigrants", "natives") > 0.1
+    assert change(fair, "immigrants", "natives") < 0.6 * change(plain, "immigrants", "natives")
+
+    rare = lambda k, bad: ["muslims"] if bad and k % 10 == 0 else []
+    often = lambda k, bad: rare(k, bad) + (["christians"] if k % 4 < 2 else [])
+    alone, beside = fitted(rare, 5.0), fitted(often, 5.0)
+    assert hashed("muslims") in alone.keys and hashed("christians") not in beside.keys
+    assert change(beside, "christians", "muslims") < 0.6 * change(alone, "christians", "muslims")
+
+
 def test_toxicity_held_out_accuracy(spark):
     got = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.01").toPandas()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").toPandas()
