@@ -11,7 +11,11 @@ valid check digit for a valid card number, octets in range, the gender of a give
 name. One value has one surrogate everywhere. Collision check, over all distinct
 values of a type: a surrogate that another value has too, or that is itself a
 value of the input, is generated again with the next attempt for all but the
-smallest value, until none is left.
+smallest value. Values that are left after ``MAX_ATTEMPTS`` draws get the free
+forms of their format by rank, in a keyed order of the format's forms (so these
+depend on the other values of the input); when a format has no free form left,
+its values get a longer one: any octets for an address, more characters
+otherwise.
 
 Defined cases: a null text stays null; overlapping detections keep the earlier,
 then the longer one; rows of one doc_id are independent; a null doc_id is a row
@@ -23,18 +27,22 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import materialise
+from corvid.llm.common import exclusive_sums, materialise
+from corvid.llm.mixing import permute
 
 KEY = b"surrogate-key"
 MAX_ATTEMPTS = 50
+CODES = 10_000  # numbers of forms that one row stands for
 
 # Titles with the gender they tell, and given names by gender.
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "", "Prof": "", "Herr": "m", "Herrn": "m", "Frau": "f",
@@ -135,21 +143,26 @@ class Draw:
         return options[self.below(len(options))]
 
 
-def _like(c: str, draw: Draw) -> str:
-    """A character of the same kind, case and script."""
+def _alphabet(c: str) -> str:
+    """Characters of the same kind, case and script; empty for one that stays."""
     if c.isdigit() and c.isascii():
-        return draw.of("0123456789")
+        return "0123456789"
     if not c.isalpha():
-        return c
+        return ""
     if "а" <= c.lower() <= "я":
-        new = draw.of("абвгдежзиклмнопрстуфхцчшя")
+        same = "абвгдежзиклмнопрстуфхцчшя"
     elif "α" <= c.lower() <= "ω":
-        new = draw.of("αβγδεζηθικλμνξοπρστυφχψω")
+        same = "αβγδεζηθικλμνξοπρστυφχψω"
     elif c.isascii() or unicodedata.name(c, "").startswith("LATIN"):
-        new = draw.of("abcdefghijklmnopqrstuvwxyz")
+        same = "abcdefghijklmnopqrstuvwxyz"
     else:
-        return c
-    return new.upper() if c.isupper() else new
+        return ""
+    return same.upper() if c.isupper() else same
+
+
+def _like(c: str, draw: Draw) -> str:
+    same = _alphabet(c)
+    return draw.of(same) if same else c
 
 
 def luhn(digits: str) -> bool:
@@ -171,17 +184,13 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind == "ip":
         return ".".join(str(_octet(x, draw)) for x in value.split("."))
     if kind in ("card", "phone", "ssn"):
-        digits = [i for i, c in enumerate(value) if c.isdigit()]
-        keep = 1 if kind == "card" else len(re.match(r"\+?\d{0,3}(?=\D)|", value).group()) if value[0] == "+" else 0
+        digits, keep = _digits(kind, value)
         out = list(value)
         for i in digits:
             if i >= keep:
                 out[i] = draw.of("0123456789")
         if kind == "card" and luhn("".join(value[i] for i in digits)):
-            for d in "0123456789":
-                out[digits[-1]] = d
-                if luhn("".join(out[i] for i in digits)):
-                    break
+            _check(out, digits)
         return "".join(out)
     if kind == "access_key":
         return value[:4] + "".join(draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in value[4:])
@@ -197,9 +206,84 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     return ("".join(draw.of(SYLLABLES[script]) for _ in range(2 + attempt // 4 + draw.below(2))) + ending).capitalize()
 
 
-def _octet(x: str, draw: Draw) -> int:
+def _octets(x: str) -> range:
     lo, hi = {1: (0, 9), 2: (10, 99)}.get(len(str(int(x))), (100, 255))
-    return lo + draw.below(hi - lo + 1)
+    return range(lo, hi + 1)
+
+
+def _octet(x: str, draw: Draw) -> int:
+    return draw.of(_octets(x))
+
+
+def _digits(kind: str, value: str) -> tuple[list[int], int]:
+    """Places of the digits, and the place from which on they are replaced."""
+    keep = 1 if kind == "card" else len(re.match(r"\+?\d{0,3}(?=\D)|", value).group()) if value[0] == "+" else 0
+    return [i for i, c in enumerate(value) if c.isdigit()], keep
+
+
+def _check(out: list[str], digits: list[int]) -> None:
+    """Sets the last digit so that the check digit is valid."""
+    for d in "0123456789":
+        out[digits[-1]] = d
+        if luhn("".join(out[i] for i in digits)):
+            break
+
+
+def options(kind: str, value: str) -> list[list[str]] | None:
+    """The choices that ``surrogate`` has at each place of a value; None for
+    names, which get longer with the attempts."""
+    if kind == "email":
+        local, _, domain = value.partition("@")
+        host, _, top = domain.rpartition(".")
+        return [list(_alphabet(c) or c) for c in local] + [["@"]] + [list(_alphabet(c) or c) for c in host] + [["." + top]]
+    if kind == "ip":
+        parts = [[str(o) for o in _octets(x)] for x in value.split(".")]
+        return [o for part in parts for o in (part, ["."])][:-1]
+    if kind in ("card", "phone", "ssn"):
+        digits, keep = _digits(kind, value)
+        checked = digits[-1] if kind == "card" and luhn("".join(value[i] for i in digits)) else -1
+        free = {i for i in digits if i >= keep and i != checked}
+        return [list("0123456789") if i in free else ["?" if i == checked else c] for i, c in enumerate(value)]
+    if kind == "access_key":
+        return [[c] for c in value[:4]] + [list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in value[4:]]
+    if kind == "secret":
+        if re.fullmatch(r"[0-9a-f]+", value):
+            return [list("0123456789abcdef") for _ in value]
+        return [list(_alphabet(c) or c) for c in value]
+    return None
+
+
+def forms(choices: list[list[str]]) -> int:
+    """Number of forms of a format, as far as a long can count them."""
+    return min(math.prod(len(c) for c in choices), 1 << 62)
+
+
+def form(kind: str, choices: list[list[str]], code: int) -> str:
+    """The form with a number below ``forms``."""
+    out = []
+    for c in reversed(choices):
+        code, k = divmod(code, len(c))
+        out.append(c[k])
+    out.reverse()
+    if kind == "card" and "?" in out:
+        _check(out, [i for i, c in enumerate(out) if c.isdigit() or c == "?"])
+    return "".join(out)
+
+
+def longer(key: bytes, kind: str, value: str, extra: int) -> str:
+    """A surrogate of a wider format: any octets first, then more characters."""
+    attempt = MAX_ATTEMPTS + extra
+    if kind in ("surname", "given_f", "given_m", "given_x"):
+        return surrogate(key, kind, value, attempt)  # made longer there
+    draw = Draw(key, kind, value, attempt, "longer")
+    if kind == "ip":
+        out = ".".join(str(draw.below(256)) for _ in range(4))
+        return out + "".join(draw.of("0123456789") for _ in range(extra - 1))
+    out = surrogate(key, kind, value, attempt)
+    if kind == "email":
+        local, _, domain = out.partition("@")
+        return local + "".join(draw.of("abcdefghijklmnopqrstuvwxyz") for _ in range(extra)) + "@" + domain
+    return out + "".join(draw.of("0123456789") for _ in range(extra))
 
 
 def find_entities(docs: DataFrame, text: str) -> DataFrame:
@@ -225,15 +309,80 @@ def surrogate_map(values: DataFrame, key: bytes = KEY) -> DataFrame:
     taken = values.select("kind", F.col("value").alias("new"), F.lit(1).alias("is_value"))
     now = materialise(values.withColumn("attempt", F.lit(0)).mapInPandas(make, schema), "pii-map")
     for _ in range(MAX_ATTEMPTS):
-        first = now.groupBy("kind", "new").agg(F.min("value").alias("holder"))
-        j = (now.join(first, ["kind", "new"]).join(taken, ["kind", "new"], "left")
-             .withColumn("bad", (F.col("value") != F.col("holder")) | F.col("is_value").isNotNull()))
-        j = materialise(j.select("kind", "value", "attempt", "new", "bad"), "pii-checked")
+        j = _checked(now, taken)
         if not j.where("bad").limit(1).count():
             return j.select("kind", "value", "new")
         again = j.where("bad").select("kind", "value", (F.col("attempt") + 1).alias("attempt")).mapInPandas(make, schema)
         now = materialise(j.where("NOT bad").select("kind", "value", "attempt", "new").union(again), "pii-map")
-    raise RuntimeError("too few surrogates of a format for the distinct values of the input")
+    return _rest_by_rank(_checked(now, taken), taken, key)
+
+
+def _checked(now: DataFrame, taken: DataFrame) -> DataFrame:
+    """``now`` with ``bad``: a surrogate that a smaller value has too, or that is
+    a value of the input."""
+    first = now.groupBy("kind", "new").agg(F.min("value").alias("holder"))
+    j = (now.join(first, ["kind", "new"]).join(taken, ["kind", "new"], "left")
+         .withColumn("bad", (F.col("value") != F.col("holder")) | F.col("is_value").isNotNull()))
+    return materialise(j.select("kind", "value", "attempt", "new", "bad"), "pii-checked")
+
+
+def _rest_by_rank(j: DataFrame, taken: DataFrame, key: bytes) -> DataFrame:
+    """Surrogates for the values that random draws left over, without chance:
+    more and more codes of a format, in a keyed order, less those taken, are
+    dealt to its values by rank, until all have one or all codes were seen;
+    what is left then gets a longer format."""
+    def formats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            c = [options(k, v) for k, v in zip(b["kind"], b["value"])]
+            yield pd.DataFrame({"kind": b["kind"], "value": b["value"],
+                                "sig": [k + hashlib.sha256(repr(x).encode()).hexdigest() if x else None for k, x in zip(b["kind"], c)],
+                                "n_forms": [forms(x) if x else 0 for x in c]})
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples():
+                choices = options(r.kind, r.like)
+                order = int.from_bytes(hmac.new(key, r.sig.encode(), hashlib.sha256).digest()[:7], "big")
+                codes = permute(np.arange(r.part * CODES, min((r.part + 1) * CODES, r.n_codes)), r.n_forms, order)
+                yield pd.DataFrame({"kind": r.kind, "sig": r.sig, "new": [form(r.kind, choices, int(x)) for x in codes]})
+
+    done = j.where("NOT bad").select("kind", "value", "new")
+    left = materialise(j.where("bad").select("kind", "value").mapInPandas(formats, "kind string, value string, sig string, n_forms long"),
+                       "pii-left")
+    times = 4
+    while True:
+        open_ = left.where("sig IS NOT NULL").groupBy("kind", "sig", "n_forms").agg(F.min("value").alias("like"), F.count("*").alias("m"))
+        # The last round that a format can have sees all its codes.
+        open_ = materialise(open_.withColumn("n_codes", F.least("n_forms", F.col("m") * times)), "pii-formats")
+        if not open_.limit(1).count():
+            break
+        codes = open_.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_codes") - 1) / CODES))))
+        codes = codes.repartition(F.col("sig"), F.col("part")).mapInPandas(decode, "kind string, sig string, new string")
+        free = (codes.join(taken, ["kind", "new"], "left_anti").join(done, ["kind", "new"], "left_anti")
+                .groupBy("kind", "new").agg(F.min("sig").alias("sig")))
+        free, rest = materialise(free.withColumn("one", F.lit(1)), "pii-free"), left.where("sig IS NOT NULL").withColumn("one", F.lit(1))
+        a = exclusive_sums(free, "sig", ["new"], "one", "at", free.count())
+        b = exclusive_sums(rest, "sig", ["value"], "one", "at", rest.count())
+        got = materialise(b.drop("one").join(a.select("sig", "at", "new"), ["sig", "at"]).select("kind", "value", "new"), "pii-ranked")
+        done = materialise(done.unionByName(got), "pii-done")
+        seen = open_.where("n_codes = n_forms").select("sig", F.lit(True).alias("all_seen"))
+        left = left.join(got, ["kind", "value"], "left_anti").join(seen, "sig", "left")
+        left = materialise(left.select("kind", "value", F.when(F.col("all_seen").isNull(), F.col("sig")).alias("sig"), "n_forms"), "pii-left")
+        times *= 4
+    extra = 0
+    while left.limit(1).count():
+        extra += 1
+
+        def widen(batches: Iterator[pd.DataFrame], extra=extra) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield b.assign(attempt=extra, new=[longer(key, k, v, extra) for k, v in zip(b["kind"], b["value"])])
+
+        now = left.select("kind", "value").mapInPandas(widen, "kind string, value string, attempt int, new string")
+        held = done.select("kind", "new", F.lit(1).alias("is_value")).unionByName(taken)
+        j = _checked(materialise(now, "pii-longer"), held)
+        done = materialise(done.unionByName(j.where("NOT bad").select("kind", "value", "new")), "pii-done")
+        left = j.where("bad")
+    return done
 
 
 def replace_entities(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataFrame:

@@ -205,6 +205,44 @@ def test_surrogates_are_distinct_and_coreferent(spark):
     assert pii.replace_entities(df.limit(0)).count() == 0
 
 
+def test_full_formats_get_surrogates(spark, monkeypatch):
+    """Formats with few, just enough and no free forms; the draws run out."""
+    monkeypatch.setattr(pii, "MAX_ATTEMPTS", 2)
+    rows = [("ip", f"{a}.{b}.{c}.{d}") for a in range(5) for b in range(10) for c in range(10) for d in range(10)]  # half of 10,000
+    rows += [("ip", f"{a}.{b}.{c}.{d + 10}") for a in range(6) for b in range(10) for c in range(10) for d in range(90)]  # over half
+    rows += [("secret", "--------"), ("secret", "--..--..")]
+    rows += [("email", f"{a}@-.de") for a in "abcdefghijklm"] + [("email", f"{a}@+.de") for a in "abcdefghijklmn"]
+    rows += [("card", f"4000 0000 0000 000{d}") for d in range(10)]
+    got = pii.surrogate_map(spark.createDataFrame(rows, "kind string, value string")).collect()
+    assert sorted((r["kind"], r["value"]) for r in got) == sorted(rows)
+    new = [(r["kind"], r["new"]) for r in got]
+    assert len(set(new)) == len(new) and not set(new) & set(rows)
+    by = {(r["kind"], r["value"]): r["new"] for r in got}
+    shape = lambda x: [len(p) for p in x.split(".")]
+    assert all(shape(by["ip", v]) == [1, 1, 1, 1] for k, v in rows[:5000])
+    assert all(max(map(int, n.split("."))) < 256 for k, n in new if k == "ip")
+    assert all(len(by["email", f"{a}@-.de"]) == 6 for a in "abcdefghijklm")
+    kept = [len(by["email", f"{a}@+.de"]) == 6 for a in "abcdefghijklmn"]
+    assert sum(kept) == 12 and by["secret", "--------"].startswith("--------")
+
+
+@pytest.mark.parametrize("kind, value", [("email", "Jo.x1@mail.ex.org"), ("card", "4111 1111 1111 1111"), ("ip", "9.80.255.100"),
+                                         ("phone", "+49 30 1234"), ("secret", "0af3"), ("secret", "Ab-д9"), ("ssn", "123-45-6789")])
+def test_forms_are_those_of_the_draws(kind, value):
+    c = pii.options(kind, value)
+    n = pii.forms(c)
+    some = {pii.form(kind, c, int(x)) for x in permute_some(n)}
+    assert len(some) == min(n, 200)
+    for k in range(20):
+        for other in (pii.surrogate(b"k", kind, value, k), *list(some)[:20]):
+            assert pii.options(kind, other) == c or kind == "secret"
+            assert len(other) == len(value)
+
+
+def permute_some(n):
+    return mixing.permute(np.arange(min(n, 200)), n, 5)
+
+
 # ---- suffix dedup -----------------------------------------------------------
 
 def brute_repeats(texts, length):
