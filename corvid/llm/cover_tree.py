@@ -18,18 +18,21 @@ are sent once per group and groups once per block. Each pair returns its best k
 per query, with at most k rows per query and block, which a rank then merges.
 Work is queries times rows at worst: that is the search itself.
 
-Components are floor(scale * x), x as double. Defined cases: vectors that are null or hold
-null or non-finite components take no part, nor do those whose length is not the
-most frequent one, nor those with a component beyond 2^24, whose products could
-leave 64 bits; a null id takes no part; ties go to the smaller id; rows that
-repeat an id are candidates each, but none that carries the query's own id is
-its candidate; repeated query rows are one query per distinct vector and id; an
-empty table gives no rows; extra columns do not matter.
+Components are floor(scale * x), x as double, scores whole numbers. A vector whose
+products could leave 64 bits with another one of the task is scored beside the
+trees with Python's integers. Defined cases: vectors that are null or hold null or
+non-finite components take no part; vectors are searched among those of their own
+length; a score beyond 64 bits is null, its rank is right; a null id takes no
+part; ties go to the smaller id; rows that repeat an id are candidates each, but
+none that carries the query's own id is its candidate; repeated query rows are one
+query per distinct vector and id; an empty table gives no rows; extra columns do
+not matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.llm.common import materialise, parts_for
+from corvid.llm.common import materialise
 
 SCALE = 256
 K = 5
@@ -46,6 +49,9 @@ QUERY_GROUP = 512
 LEAF = 64
 QUERY_LEAF = 8
 SLACK = 1e-6  # relative room for rounding in the bounds
+WIDE = float(1 << 60)  # components from here on are sent as text
+OFFSET = 2200  # bits: more than a score of doubles can have
+SAFE = float(1 << 62)  # products of lengths below this stay within 64 bits
 
 
 @dataclass
@@ -92,7 +98,7 @@ class Search:
         self.ids, self.exact, self.k = ids, vectors, k
         self.float = vectors.astype(float)
         self.tree = build(self.float, np.arange(len(ids)), QUERY_LEAF)
-        self.score = np.full((len(ids), k), -np.inf)
+        self.score = np.zeros((len(ids), k), dtype=np.int64)  # the first ``filled`` count
         self.found = np.full((len(ids), k), -1, dtype=np.int64)
         self.filled = np.zeros(len(ids), dtype=np.int64)
 
@@ -122,35 +128,90 @@ class Search:
         scores = self.exact[q.rows] @ self.cand[c.rows].T
         ids = self.cand_ids[c.rows]
         for r, s in zip(q.rows, scores):
-            on = np.flatnonzero((s >= self.score[r].min()) & (ids != self.ids[r]))
+            n = self.filled[r]
+            on = np.flatnonzero((ids != self.ids[r]) & ((s >= self.score[r].min()) if n == self.k else True))
             if len(on):
-                some = np.concatenate([self.score[r], s[on]]), np.concatenate([self.found[r], ids[on]])
+                some = np.concatenate([self.score[r, :n], s[on]]), np.concatenate([self.found[r, :n], ids[on]])
                 order = np.lexsort((some[1], -some[0]))[: self.k]
-                self.score[r], self.found[r] = some[0][order], some[1][order]
-        q.worst = float(self.score[q.rows].min())
+                self.filled[r] = n = len(order)
+                self.score[r, :n], self.found[r, :n] = some[0][order], some[1][order]
+        if (self.filled[q.rows] == self.k).all():
+            q.worst = float(self.score[q.rows].min())
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) as longs; null for a vector that takes no part."""
+    """floor(scale * x): as longs (``v``), or for a vector with a component that
+    a long might not hold as text (``w``; after an x the component itself, a
+    whole number, is still to be scaled). Null for a vector that takes no part."""
     v = vector.cast("array<double>")
-    big = float(1 << 24)
-    ok = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= big))
-    return F.when(ok, F.transform(v, lambda x: F.floor(x * scale)))
-
-
-def _matrix(values: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.int64) for v in values])
-
-
-def dealt(v: DataFrame, n_blocks: int, n_groups: int) -> tuple[DataFrame, DataFrame]:
-    """Queries and rows of ``v`` by (block, group): each query group meets each
-    block in a task of its own. That is rows x groups and queries x blocks rows,
-    not pairs of vectors."""
-    deal = lambda name, of, *by: F.pmod(F.xxhash64(F.lit(name), *by), F.lit(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
-    data = v.select(deal("block", n_blocks, "id", "v", "salt").alias("block"), "id", "v").withColumn("group", every(n_groups))
-    asked = (v.where("q").dropDuplicates(["id", "v"]).select(deal("group", n_groups, "id", "v").alias("group"), "id", "v")
-             .withColumn("block", every(n_blocks)))
+    ok = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    wide = F.exists(v, lambda x: F.abs(x) >= WIDE / scale)
+    text = lambda x: F.when(F.abs(x) < float(1 << 53) / scale, F.floor(x * scale).cast("string")).otherwise(
+        F.when(F.abs(x) < float(1 << 53), F.concat(F.lit("f"), x.cast("string"))).otherwise(F.concat(F.lit("x"), x.cast("string"))))
+    return F.when(ok, F.struct(F.when(~wide, F.transform(v, lambda x: F.floor(x * scale))).alias("v"),
+                               F.when(wide, F.transform(v, text)).alias("w")))
+
+
+def _whole(v, w, scale: int) -> list[int]:
+    """A vector as Python's integers."""
+    if v is not None:
+        return [int(x) for x in v]
+    read = {"x": lambda x: int(float(x[1:])) * scale, "f": lambda x: math.floor(float(x[1:]) * scale)}
+    return [read.get(x[0], int)(x) for x in w]
+
+
+class Side:
+    """Rows of one side of a task: ids, exact vectors, and their lengths."""
+
+    def __init__(self, rows: pd.DataFrame, scale: int):
+        self.ids, self.rows, self.scale = rows["id"].to_numpy(), rows, scale
+        wide = rows["v"].isna().to_numpy()
+        self.length = np.full(len(rows), np.inf)
+        self.length[~wide] = [float(np.linalg.norm(np.asarray(v, dtype=float))) for v in rows["v"][~wide]]
+
+    def matrix(self, at: np.ndarray) -> np.ndarray:
+        return np.stack([np.asarray(v, dtype=np.int64) for v in self.rows["v"].iloc[at]])
+
+    def whole(self, at: np.ndarray) -> np.ndarray:
+        part = self.rows.iloc[at]
+        out = np.empty((len(part), int(part["d"].iloc[0])), dtype=object)
+        for i, (v, w) in enumerate(zip(part["v"], part["w"])):
+            out[i, :] = _whole(v, w, self.scale)
+        return out
+
+
+def best_of(q: Side, c: Side, k: int) -> list[tuple[int, int, int]]:
+    """(query id, id, score) of the best k candidates per query, or more of them."""
+    # Vectors short enough to stay within 64 bits among themselves go through the trees; a pair with a longer one is exact.
+    small_q, small_c = (np.flatnonzero(s.length < SAFE ** 0.5) for s in (q, c))
+    big_q, big_c = (np.flatnonzero(~(s.length < SAFE ** 0.5)) for s in (q, c))
+    rows = []
+    if len(small_q) and len(small_c):
+        cand = c.matrix(small_c)
+        s = Search(q.ids[small_q], q.matrix(small_q), k)
+        s.block(c.ids[small_c], cand, build(cand.astype(float), np.arange(len(cand)), LEAF))
+        for i, n, ids, scores in zip(s.ids, s.filled, s.found, s.score):
+            rows += [(int(i), int(x), int(y)) for x, y in zip(ids[:n], scores[:n])]
+    for qs, cs in ((big_q, np.arange(len(c.ids))), (small_q, big_c)):
+        if len(qs) and len(cs):
+            ids, cand = c.ids[cs].tolist(), c.whole(cs)
+            for at in qs:
+                scores = cand @ q.whole(np.array([at]))[0] if cand.shape[1] else np.zeros(len(cs), dtype=object)
+                pairs = ((-int(y), x) for x, y in zip(ids, scores) if x != q.ids[at])
+                rows += [(int(q.ids[at]), x, -y) for y, x in heapq.nsmallest(k, pairs)]
+    return rows
+
+
+def dealt(v: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows of ``v`` by (d, block, group): each query group meets each
+    block of its length in a task of its own. That is rows x groups and queries
+    x blocks rows, not pairs of vectors."""
+    row = [F.col(c).alias(c) for c in ("d", "id", "v", "w")]  # columns of their own on either side
+    deal = lambda name, of, *by: F.pmod(F.xxhash64(F.lit(name), *by), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), (F.col(of) - 1).cast("int")))
+    data = v.select(deal("block", "n_blocks", "id", "v", "w", "salt").alias("block"), *row, every("n_groups").alias("group"))
+    asked = (v.where("q").dropDuplicates(["id", "v", "w"])
+             .select(deal("group", "n_groups", "id", "v", "w").alias("group"), *row, every("n_blocks").alias("block")))
     return asked, data
 
 
@@ -158,29 +219,25 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
           k: int = K, scale: int = SCALE) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k best candidates per query."""
     # The salt is written with the rows, so that every reader deals them alike.
-    v = materialise(vectors.select(F.col(vec_id).cast("long").alias("id"), is_query.alias("q"), quantised(F.col(vector), scale).alias("v"),
-                                   F.monotonically_increasing_id().alias("salt"))
-                    .where("id IS NOT NULL AND v IS NOT NULL"), "cover-vectors")
-    sizes = v.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.count_if("q").alias("n_q"))
-    sizes = sizes.orderBy(F.desc("n"), F.desc("d")).first()
-    dim, n, n_q = (sizes["d"], sizes["n"], sizes["n_q"]) if sizes else (0, 0, 0)
-    v = v.where(F.size("v") == dim)
-    n_blocks, n_groups = parts_for(n, BLOCK), parts_for(n_q, QUERY_GROUP)
-    asked, data = dealt(v, n_blocks, n_groups)
+    v = materialise(vectors.select(F.col(vec_id).cast("long").alias("id"), is_query.alias("q"), F.size(vector).alias("d"),
+                                   quantised(F.col(vector), scale).alias("p"), F.monotonically_increasing_id().alias("salt"))
+                    .where("id IS NOT NULL AND p IS NOT NULL").select("id", "q", "d", "p.*", "salt"), "cover-vectors")
+    # One row per length: few, as n components have at most about sqrt(2n) lengths.
+    sizes = v.groupBy("d").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks"), F.ceil(F.count_if("q") / QUERY_GROUP).alias("n_groups"))
+    asked, data = dealt(v.join(F.broadcast(sizes.where("n_groups > 0")), "d"))
 
     def search(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(q) and len(c):
-            cand_ids, cand = c["id"].to_numpy(), _matrix(c["v"])
-            s = Search(q["id"].to_numpy(), _matrix(q["v"]), k)
-            s.block(cand_ids, cand, build(cand.astype(float), np.arange(len(cand)), LEAF))
-            for i, (ids, scores) in zip(s.ids, zip(s.found, s.score)):
-                rows += [(i, int(x), int(y)) for x, y in zip(ids, scores) if np.isfinite(y)]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
-
-    got = (asked.groupBy("block", "group").cogroup(data.groupBy("block", "group"))
-           .applyInPandas(search, "query_id long, vec_id long, score long"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        rows = best_of(Side(q, scale), Side(c, scale), k) if len(q) and len(c) else []
+        fits = [-(1 << 63) <= y < 1 << 63 for _, _, y in rows]
+        return pd.DataFrame({"query_id": pd.Series([i for i, _, _ in rows], dtype="int64"), "vec_id": pd.Series([x for _, x, _ in rows], dtype="int64"),
+                             "score": pd.Series([y if f else None for (_, _, y), f in zip(rows, fits)], dtype="Int64"),
+                             # beyond 64 bits: the sign, and bytes in the order of the scores
+                             "beyond": pd.Series([0 if f else 1 if y > 0 else -1 for (_, _, y), f in zip(rows, fits)], dtype="int32"),
+                             "order": [None if f else (y + (1 << OFFSET)).to_bytes(OFFSET // 8 + 1, "big") for (_, _, y), f in zip(rows, fits)]})
+
+    got = (asked.groupBy("d", "block", "group").cogroup(data.groupBy("d", "block", "group"))
+           .applyInPandas(search, "query_id long, vec_id long, score long, beyond int, order binary"))
+    w = Window.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("order"), F.desc("score"), "vec_id")
     return got.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

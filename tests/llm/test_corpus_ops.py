@@ -379,6 +379,27 @@ def test_top_k_tasks_hold_one_query_group_and_one_block(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
+def test_top_k_keeps_every_finite_vector(spark):
+    """Long components, scores beyond 2^53 and 2^63, and other lengths, against Python's integers."""
+    import fractions
+    import math
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    vecs = [[rng.uniform(-2, 2) * 10.0 ** e for _ in range(3)] for e in (0, 0, 0, 0, 5, 6, 8, 9, 12, 15, 17, 20, 100, 300, 307)]
+    vecs += [[2.0 ** 22 + k / 256, 2.0 ** 22, 2.0 ** 22] for k in range(4)] + [[2.0 ** 53 + 2, 0.0, 1.0], [1.0 + 2.0 ** 48, 2.0 ** 50 + 0.25, 0.0]]
+    vecs += [[1.5, -2.25], [0.5, 3.0], [1e30, 1.0], [7.0]]
+    df = spark.createDataFrame(list(enumerate(vecs)), "vec_id long, embedding array<double>")
+    got = {(r[0], r[1]): (r[2], r[3]) for r in cover_tree.top_k(df, F.lit(True), k=6).collect()}
+    whole = [[math.floor(fractions.Fraction(x) * 256) for x in v] for v in vecs]
+    want = {}
+    for i, a in enumerate(whole):
+        best = sorted((-sum(x * y for x, y in zip(a, b)), j) for j, b in enumerate(whole) if j != i and len(a) == len(b))[:6]
+        want |= {(i, r + 1): (j, -s if -2**63 <= -s < 2**63 else None) for r, (s, j) in enumerate(best)}
+    assert got == want
+
+
 # ---- toxicity ---------------------------------------------------------------
 
 def toxic_rows(n=400, seed=1):
