@@ -5,7 +5,8 @@ into blocks of ``block_words``. The mix has as many slots per source as its
 target asks for. Every output shard draws how many of its slots each source
 fills: a multinomial draw conditioned on the sources' total slots (a
 multivariate hypergeometric draw, split down a binary tree over the shards, so
-that each shard is drawn alone and reruns agree). A source's slots are numbered
+that each shard is drawn alone and reruns agree; nodes of 1e9 slots or more draw
+from the normal or binomial approximation, clipped to the totals). A source's slots are numbered
 through the shards; slot j of a source with n blocks is entry j mod n of the
 pseudorandom permutation of pass j div n. Blocks join by (source, index).
 
@@ -25,6 +26,7 @@ doc_id and text as one document); extra columns do not matter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -104,16 +106,38 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
+EXACT = 10**9  # numpy's hypergeometric draws need totals below this
+
+
+def _draw_one(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """Of ``n`` drawn without replacement, how many are of the ``good``. Beyond
+    numpy's range by the normal distribution, or by the binomial one where the
+    spread is small, which means that one kind is a sliver of the total."""
+    total = good + bad
+    if total < EXACT:
+        return int(rng.hypergeometric(good, bad, n))
+    share = n / total
+    spread = math.sqrt(good * share * (1 - share) * (bad / (total - 1)))
+    if spread > 1000:
+        got = good * n // total + round(rng.normal(0, spread))
+    elif good <= bad:
+        got = int(rng.binomial(good, share))
+    else:
+        got = n - int(rng.binomial(bad, share))
+    return min(max(got, n - bad, 0), good, n)
+
+
 def draw_split(rng: np.random.Generator, counts: np.ndarray, n: int) -> np.ndarray:
     """``n`` of ``counts`` drawn without replacement, per source."""
     total = int(counts.sum())
-    if total < 10**9:
+    if total < EXACT:
         return rng.multivariate_hypergeometric(counts, n, method="marginals")
-    share = counts.astype(object) * n  # the draw's spread is below a millionth here
-    left = np.array([int(x // total) for x in share], dtype=np.int64)
-    more = rng.permutation(np.flatnonzero([x % total for x in share]))[: n - int(left.sum())]
-    left[more] += 1
-    return left
+    out, left = np.zeros(len(counts), dtype=np.int64), int(n)
+    for i, c in enumerate(counts):  # each source given those before it
+        total -= int(c)
+        out[i] = _draw_one(rng, int(c), total, left)
+        left -= int(out[i])
+    return out
 
 
 def shard_draw(slots: np.ndarray, shard: int, n_shards: int, shard_slots: int, seed: int):

@@ -41,6 +41,15 @@ def test_shards_draw_all_slots():
     assert (total == slots).all() and (ends <= total).all()
 
 
+def test_large_nodes_are_drawn():
+    counts, n = np.array([10**9, 10**9, 0, 7]), 10**9
+    got = np.array([mixing.draw_split(np.random.default_rng([5, k]), counts, n) for k in range(400)])
+    assert (got.sum(1) == n).all() and (got >= 0).all() and (got <= counts).all()
+    want = (counts[0] * 0.25 * counts[1] / counts.sum()) ** 0.5  # of a hypergeometric draw of half the slots
+    assert abs(got[:, 0].std() / want - 1) < 0.15 and abs(got[:, 0].mean() - n / 2) < 5 * want / 20
+    assert 3 < got[:, 3].mean() < 4
+
+
 def test_mix_of_documents(spark):
     got = QUERIES["op2_mixing"](spark, SF).toPandas()
     again = QUERIES["op2_mixing"](spark, SF).toPandas()
