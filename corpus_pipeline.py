@@ -6,7 +6,7 @@ packed into sequences. Every stage works on all that its predecessor kept."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvid.llm import jaccard_join, line_dedup, mixing, packing, toxicity
@@ -35,10 +35,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document whose id names the group stays; documents without words are
-    no group. Rows without doc_id are linked with nothing and stay."""
+    no group. Rows of one doc_id and text are one document: that of the first
+    source stays. Rows without doc_id are linked with nothing and stay."""
     groups = jaccard_join.similar_groups(docs.select("doc_id", "text"))
     keep = materialise(groups.where("id = component_id").select("id").distinct(), "pipeline-keep")
     named = docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col("id")).select(*docs.columns)
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", F.xxhash64(*docs.columns))
+    named = named.withColumn("__first", F.row_number().over(first)).where("__first = 1").select(*docs.columns)
     return named.union(docs.where("doc_id IS NULL"))
 
 

@@ -20,8 +20,8 @@ sources must fit the driver, whatever the number of documents.
 
 Defined cases: a null or empty text has size 0 and is taken 0 times; a null
 source is a source of its own; an empty table gives an empty mix; identical rows
-each take their own place in the stream (``mix_documents`` counts rows of one
-doc_id and text as one document); extra columns do not matter.
+each take their own place in the stream, in the mixed documents too; extra columns
+do not matter.
 """
 
 from __future__ import annotations
@@ -212,16 +212,18 @@ class Mix:
 
 
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-                block_words: int = BLOCK_WORDS, seed: int = SEED) -> Mix:
-    sized = materialise(docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("th"), F.col(source).alias("source"),
+                block_words: int = BLOCK_WORDS, seed: int = SEED, row: str | None = None) -> Mix:
+    """``row``: a written key of the rows that ``placed`` shall carry."""
+    more = [row] if row else []
+    sized = materialise(docs.select(*more, F.col(doc_id).alias("id"), F.xxhash64(text).alias("th"), F.col(source).alias("source"),
                                     F.size(words(F.col(text))).cast("long").alias("size")), "mix-sizes")
     rows = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     plan = plan_sources({r["source"]: r["size"] for r in rows}, block_words)
     spark = docs.sparkSession
     ranks = spark.createDataFrame([(s.rank, s.name) for s in plan], "rank int, name string")
-    d = sized.join(F.broadcast(ranks), F.col("source").eqNullSafe(F.col("name"))).select("id", "th", "size", "rank")
+    d = sized.join(F.broadcast(ranks), F.col("source").eqNullSafe(F.col("name"))).select(*more, "id", "th", "size", "rank")
     placed = materialise(exclusive_sums(d, "rank", ["id", "th"], "size", "offset", sum(r["n"] for r in rows))
-                         .select("id", "th", "rank", "size", "offset"), "mix-placed")
+                         .select(*more, "id", "th", "rank", "size", "offset"), "mix-placed")
     return Mix(plan, placed, mix_slots(spark, plan, seed=seed), block_words)
 
 
@@ -230,12 +232,12 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """The mix as documents: a row for each document and each time that words
     of it are taken, with the text of the blocks taken that time (whole if all
     are) and ``n_chars``, if there, brought up to date."""
-    docs = docs.withColumn("__t", F.xxhash64(text)).dropDuplicates([doc_id, "__t"])
-    mix = mix_sources(docs, doc_id, text, source, block_words, seed)
+    docs = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-documents")
+    mix = mix_sources(docs, doc_id, text, source, block_words, seed, "__row")
     parts = mix.pieces().groupBy("rank", "offset").agg(
         F.sort_array(F.collect_list(F.struct("first", "n", "times"))).alias("__p"))
-    parts = mix.placed.where("size > 0").join(parts, ["rank", "offset"]).select(F.col("id").alias("__id"), F.col("th").alias("__th"), "__p")
-    j = docs.join(parts, docs[doc_id].eqNullSafe(parts["__id"]) & (docs["__t"] == parts["__th"]))
+    parts = mix.placed.where("size > 0").join(parts, ["rank", "offset"]).select(F.col("__row").alias("__at"), "__p")
+    j = docs.join(parts, F.col("__row") == F.col("__at"))
     j = j.withColumn("__e", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("__p", lambda p: p["times"])).cast("int"))))
     unit = F.regexp_extract_all(F.col(text), F.lit(f"[{WORD_GAP}]*[^{WORD_GAP}]+"), F.lit(0))
     j = j.withColumn("__u", unit)
@@ -246,4 +248,4 @@ def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     new = F.when(whole, F.col(text)).otherwise(F.regexp_replace(some, f"^[{WORD_GAP}]+", ""))
     j = j.withColumn("__n", new)
     put = {text: F.col("__n"), n_chars: F.length("__n").cast(dict(docs.dtypes).get(n_chars, "long"))}
-    return j.select(*[put[c].alias(c) if c in put else F.col(c) for c in docs.columns if c != "__t"])
+    return j.select(*[put[c].alias(c) if c in put else F.col(c) for c in docs.columns if c != "__row"])

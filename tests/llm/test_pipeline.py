@@ -51,3 +51,21 @@ def test_run(spark):
     out = P.run(spark, SF)
     assert [n for n, _ in P.STAGES][0] == "toxicity" and out.count() > 0
     assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_repeated_rows(spark):
+    """Repeats of a document leave in the near-duplicate stage; what is left
+    has its own place in the mix, null ids and other sources included."""
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, text, "b"), (1, text, "a"), (1, text, "a"), (None, "p q r", "a"), (None, "p q r", "a"), (None, "p q r", "b")]
+    df = spark.createDataFrame([(i, t, s, len(t)) for i, t, s in rows], "doc_id long, text string, source string, n_chars int")
+    left = P.keep_one_of_group(spark, df, SF)
+    assert sorted((r["doc_id"] or 0, r["source"]) for r in left.collect()) == [(0, "a"), (0, "a"), (0, "b"), (1, "a")]
+    mixed = P.mix(spark, df, SF)
+    assert mixed.columns == df.columns
+    got = collections.Counter((r["doc_id"], r["source"]) for r in mixed.collect() for _ in r["text"].split())
+    taken = P.mixing.mix_sources(df)
+    want, names = collections.Counter(), {s.rank: s.name for s in taken.plan}
+    for r in taken.taken().collect():
+        want[(r["id"], names[r["rank"]])] += r["taken"]
+    assert got == +want and {s.name: s.size for s in taken.plan} == {"a": 606, "b": 303}
