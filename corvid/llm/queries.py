@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import cover_tree, jaccard_join, line_dedup, mixing, packing, pii, quality, suffix_dedup, toxicity, warc
+from corvid.llm import (block_search, cover_tree, jaccard_join, line_dedup, mixing, packing, pii, quality, spelling,
+                        suffix_dedup, toxicity, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +110,15 @@ def op9_warc(spark, sf_dir):
 def op10_cover_tree(spark, sf_dir):
     """The five best inner products of every fiftieth vector with all others."""
     return cover_tree.top_k(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query("op11_spelling_variants", spelling.VARIANTS_SQL)
+def op11_spelling_variants(spark, sf_dir):
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op12_block_matrix_join", block_search.NEAREST_SQL)
+def op12_block_matrix_join(spark, sf_dir):
+    """The five nearest vectors of every fiftieth one by cosine."""
+    return block_search.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
