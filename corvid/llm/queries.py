@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import (block_search, cover_tree, jaccard_join, line_dedup, mixing, packing, pii, quality, spelling,
-                        suffix_dedup, toxicity, warc)
+from corvid.llm import (block_search, conversation_repair, cover_tree, jaccard_join, line_dedup, mixing, packing, pii,
+                        quality, spelling, suffix_dedup, toxicity, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,9 @@ def op11_spelling_variants(spark, sf_dir):
 def op12_block_matrix_join(spark, sf_dir):
     """The five nearest vectors of every fiftieth one by cosine."""
     return block_search.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query("op13_conversation_repair", conversation_repair.REPAIR_SQL)
+def op13_conversation_repair(spark, sf_dir):
+    """Faults, cheapest edits and repaired text of all conversations after damage."""
+    return conversation_repair.repair(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
