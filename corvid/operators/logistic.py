@@ -11,21 +11,13 @@ feature: the table joins f2p, only the needed entries move to their blocks, and
 the join with x_long happens in place. A feature that every row has is one
 entry per block, so there is no hot key and x_long never moves.
 
-Plan per training iteration (no per-candidate passes, no re-join for margins):
-  1. row weights c = −y/(1+e^{y·m}) from the row table (narrow),
-  2. ∇ = Σ c·x by feature (rows join x_long by block),
-  3. slopes s = <x, ∇> per row (∇ sent to the blocks),
-  4. one aggregate evaluates the loss at every backtracking candidate t,
-  5. β ← β − t∇ and m ← m − t·s: margins follow from the slopes, so they are
-     never recomputed by a join.
-Each iteration writes two tables to the shared folder, (feature, β, ∇) and
-(row, margin, slope), and drops those of the iteration before the last.
+Training runs on packed blocks instead (``sparse_blocks``): two scans per iteration
+for any number of models, with dense feature ids.
 """
 
 from __future__ import annotations
 
 import math
-import time
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -35,6 +27,7 @@ from pyspark.sql import functions as F
 
 from corvid.functions.vectors import logistic_coef, softplus
 from corvid.iterate import Steps
+from corvid.operators.sparse_blocks import PackedRows, train_models
 from corvid.plans.joins import is_bounded, size_of
 
 # Fixed values of the reference's backtracking line search and defaults.
@@ -253,70 +246,43 @@ def evaluate(points, x, beta) -> DataFrame:
 
 @dataclass
 class LogisticFit:
-    beta: DataFrame
+    beta: DataFrame | None
     grad_norm: float
     iterations: int
     history: list
 
 
-def train(points: DataFrame, x_long, beta0: DataFrame | None = None, lam: float = 0.0,
-          max_iter: int = 40, eps: float = 0.1, n_partitions: int | None = None,
-          online_test: bool = False, broadcast: bool | None = None) -> LogisticFit:
-    """Train on the rows of ``points`` with ``is_test`` false (all rows when
-    the column is absent). With ``online_test`` the history carries test
-    ACC/PRE/REC per iteration, from test margins kept by the same recurrence;
-    without it, test rows take no part at all.
+def train_sweep(points: DataFrame, x_long: DataFrame, lams, beta0: DataFrame | None = None, max_iter: int = 40,
+                eps: float = 0.1, n_partitions: int | None = None, online_test: bool = False, broadcast: bool | None = None,
+                betas: bool = True) -> list[LogisticFit]:
+    """One model per λ, all trained in the same scans of packed blocks (see
+    ``sparse_blocks``), on the rows of ``points`` with ``is_test`` false (all rows
+    when the column is absent). With ``online_test`` the histories carry test
+    ACC/PRE/REC per iteration; without it, test rows take no part at all.
 
-    Stops at ``max_iter`` or when ‖∇L(β_k)‖ ≤ eps; the reported norm is the
+    A model stops at ``max_iter`` or when ‖∇L(β_k)‖ ≤ eps; the reported norm is the
     one of the last gradient (before the last update), as in the reference.
-    ``x_long`` may be ``Blocks`` that the caller prepared (of the rows to train
-    on) and shares between runs; ``broadcast`` overrides the measured choice."""
-    spark = points.sparkSession
+    ``broadcast`` overrides the counted choice: coefficients broadcast from the
+    driver, or a table of which each block gets what it uses. Without ``betas`` the
+    fits carry no β tables."""
     if "is_test" not in points.columns:
         points = points.withColumn("is_test", F.lit(False))
-    rows = points.select("row_id", "y", "is_test")
-    own = not isinstance(x_long, Blocks)
-    if own:
-        if not online_test:
-            rows = rows.where(~F.col("is_test"))
-            x_long = x_long.join(rows.select("row_id"), "row_id", "left_semi")
-        x_long = Blocks(x_long, n_partitions)
-    x, trained = x_long, ~F.col("is_test")
-    tables = Steps(spark, "logistic")
-    with block_joins(spark):
-        if beta0 is None:
-            beta0 = beta_init(x.with_rows(rows.where(trained).select("row_id")))
-        beta = tables.write(beta0.select("feature", "value"))
-        x.broadcast = is_bounded(beta) if broadcast is None else broadcast
-        state = tables.write(margins(rows, x, beta))
-        hist, k, grad_norm, start = [], 0, float("inf"), time.time()
-        while k < max_iter and grad_norm > eps:
-            c = state.where(trained).select("row_id", logistic_coef(F.col("margin"), F.col("y")).alias("_c"))
-            gsum = x.with_rows(c).groupBy("feature").agg(F.sum(F.col("_c") * F.col("value")).alias("_g"))
-            # (feature, b, g): β and its gradient side by side, so the update is narrow
-            both = tables.write(beta.join(gsum, "feature", "left").select(
-                "feature", F.col("value").alias("b"),
-                (F.coalesce("_g", F.lit(0.0)) + F.lit(2.0 * lam) * F.col("value")).alias("g")))
-            r = both.agg(F.sum(F.col("b") * F.col("b")).alias("bb"), F.sum(F.col("b") * F.col("g")).alias("bg"),
-                         F.sum(F.col("g") * F.col("g")).alias("gg")).first()
-            bb, bgv, gg = (float(r[c] or 0.0) for c in ("bb", "bg", "gg"))
-            with_s = tables.write(slopes(state, x, both.select("feature", F.col("g").alias("value"))))
-            t, ft, f0, nk = line_search(with_s.where(trained), bb, bgv, gg, lam)
-            # narrow over the two tables just written: the next step reads nothing older
-            beta = both.select("feature", (F.col("b") - F.lit(t) * F.col("g")).alias("value"))
-            state = with_s.select("row_id", "y", "is_test", (F.col("margin") - F.lit(t) * F.col("s")).alias("margin"))
-            tables.keep_last(2)
-            grad_norm = gg ** 0.5
-            entry = {"k": k, "t": time.time() - start, "objective": ft, "grad_norm": grad_norm, "step": t,
-                     "rejected": nk}
-            if online_test:
-                m = acc_pre_rec(confusion_counts(state.where(F.col("is_test")))).first()
-                entry.update(acc=m["acc"], pre=m["pre"], rec=m["rec"])
-            hist.append(entry)
-            k += 1
-    if own:
-        x.release()
-    return LogisticFit(beta, grad_norm, k, hist)
+    if not online_test:
+        points = points.where(~F.col("is_test"))
+    x = PackedRows(points, x_long, beta0, n_partitions)
+    vectors, runs = train_models(x, lams, beta0, max_iter, eps, online_test, LS_A, LS_B, LS_BATCH, broadcast)
+    out = Steps(points.sparkSession, "logistic")
+    fits = [LogisticFit(out.write(vectors.table(k)) if betas else None, r.grad_norm, r.iterations, r.history) for k, r in enumerate(runs)]
+    vectors.release()
+    x.release()
+    return fits
+
+
+def train(points: DataFrame, x_long: DataFrame, beta0: DataFrame | None = None, lam: float = 0.0,
+          max_iter: int = 40, eps: float = 0.1, n_partitions: int | None = None,
+          online_test: bool = False, broadcast: bool | None = None) -> LogisticFit:
+    """One model: ``train_sweep`` with a single λ."""
+    return train_sweep(points, x_long, [lam], beta0, max_iter, eps, n_partitions, online_test, broadcast)[0]
 
 
 def history_frame(spark, fit: LogisticFit) -> DataFrame:

@@ -142,7 +142,7 @@ def _history_sink(spark, sf, max_iter: int, eps: float):
     return h.select("k", F.round("objective", 5).alias("objective"), F.round("grad_norm", 5).alias("grad_norm"), "step", "rejected")
 
 
-@register("history_sink")
+@register("history_sink", q_logistic._history_sql(q_logistic.MAX_ITER, False, eps=q_logistic.EPS))
 def q_history_sink(spark, sf):
     """Logistic training history (max_iter 40, eps 0.1) → CSV with header → read
     back (the time column is written too; it is left out of the result)."""

@@ -208,11 +208,12 @@ def q_sparse_fd_gradient(spark, sf):
     return r.select("feature", F.round("fd", 4).alias("fd"), F.round("analytic", 4).alias("analytic"))
 
 
-def _train_sql(iters: int = 2, final: str | None = None, lam: float = LAM) -> str:
+def _train_sql(iters: int = 2, final: str | None = None, lam: float = LAM, eps: float = 0.0) -> str:
     """SQL unrolling of ``iters`` training iterations from β = 0 (train
     features), λ = lam: gradient, slopes, 64 candidates, first accepted step,
-    β and margin updates — the same arithmetic as the Spark trainer."""
-    cte = [XL, PT,
+    β and margin updates — the same arithmetic as the Spark trainer. Once a norm
+    is at most ``eps`` the model is no longer live (``lv``) and takes no step."""
+    cte = [XL, PT, "lv0 AS (SELECT true AS live)",
            "b0 AS (SELECT DISTINCT xl.feature, 0.0 AS value FROM xl JOIN pt ON pt.row_id = xl.row_id WHERE NOT pt.is_test)",
            "mg0 AS (SELECT row_id, y, is_test, 0.0 AS margin FROM pt)",
            "cand AS (SELECT k, t FROM (WITH RECURSIVE c(k, t) AS (SELECT 0, CAST(1.0 AS DOUBLE) UNION ALL "
@@ -232,7 +233,9 @@ def _train_sql(iters: int = 2, final: str | None = None, lam: float = LAM) -> st
             f"ft{k} AS (SELECT cand.k, cand.t, sum({sp('-y * (margin - cand.t * s)')}) + {lam!r} * (any_value(vt.bb) - "
             f"2 * cand.t * any_value(vt.bg) + cand.t * cand.t * any_value(vt.gg)) AS ft FROM sl{k}, cand, vt{k} vt "
             f"WHERE NOT is_test GROUP BY cand.k, cand.t)",
-            f"t{k} AS (SELECT ft.t, ft.ft, ft.k AS rejected FROM ft{k} ft, f{k}, vt{k} vt WHERE ft.ft <= f{k}.f0 - 0.2 * ft.t * vt.gg ORDER BY ft.k LIMIT 1)",
+            f"t{k} AS (SELECT CASE WHEN lv.live THEN a.t ELSE 0.0 END AS t, a.ft, a.rejected FROM lv{k} lv LEFT JOIN (SELECT ft.t, ft.ft, ft.k AS rejected "
+            f"FROM ft{k} ft, f{k}, vt{k} vt WHERE ft.ft <= f{k}.f0 - 0.2 * ft.t * vt.gg ORDER BY ft.k LIMIT 1) a ON true)",
+            f"lv{n} AS (SELECT lv.live AND sqrt(vt.gg) > {eps!r} AS live FROM lv{k} lv, vt{k} vt)",
             f"b{n} AS (SELECT feature, b - t{k}.t * g AS value FROM g{k}, t{k})",
             f"mg{n} AS (SELECT row_id, y, is_test, margin - t{k}.t * s AS margin FROM sl{k}, t{k})",
         ]
@@ -241,6 +244,15 @@ def _train_sql(iters: int = 2, final: str | None = None, lam: float = LAM) -> st
     return "WITH " + ",\n".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in cte) + "\n" + final.format(n=iters, last=iters - 1)
 
 
+def _last_live(iters: int, what: str) -> str:
+    """``what`` of vt at the last live iteration, and how many there were."""
+    every = " UNION ALL ".join(f"SELECT {k} AS k, gg FROM lv{k}, vt{k} WHERE live" for k in range(iters))
+    return f"(SELECT {what} FROM ({every}))"
+
+
+_NORM = "round(sqrt(arg_max(gg, k)), {digits}) AS grad_norm"
+
+
 def _trained(spark, sf, max_iter: int):
     pts, xl = _data(spark, sf)
     fit = L.train(pts, xl, lam=LAM, max_iter=max_iter, eps=EPS)
@@ -248,36 +260,41 @@ def _trained(spark, sf, max_iter: int):
                            F.round(F.lit(fit.grad_norm), 6).alias("grad_norm"), F.lit(fit.iterations).alias("iterations"))
 
 
-@register("train_logistic")
+def _trained_sql(iters: int) -> str:
+    return _train_sql(iters, "SELECT b.feature, round(b.value, 9) AS value, l.grad_norm, l.iterations FROM b{n} b, "
+                             + _last_live(iters, _NORM.format(digits=6) + ", CAST(count(*) AS INTEGER) AS iterations") + " l", eps=EPS)
+
+
+@register("train_logistic", _trained_sql(MAX_ITER))
 def q_train_logistic(spark, sf):
     """Training (λ = 0.1, max_iter 40, eps 0.1): β table with the final norm."""
     return _trained(spark, sf, MAX_ITER)
 
 
-@register("train_logistic_5iter", _train_sql(5, "SELECT b.feature, round(b.value, 9) AS value, round(sqrt(vt.gg), 6) AS grad_norm, "
-                                                "{n} AS iterations FROM b{n} b, vt{last} vt"))
+@register("train_logistic_5iter", _trained_sql(5))
 def q_train_logistic_5iter(spark, sf):
     """Its first five iterations, value-checked (the norms stay far above eps
     here, so all 5 run)."""
     return _trained(spark, sf, 5)
 
 
-def _metrics_sql(table: str) -> str:
-    """ACC, PRE, REC of the test rows of a margin table."""
+def _metrics_sql(table: str, key: str | None = None) -> str:
+    """ACC, PRE, REC of the test rows of a margin table (per ``key``)."""
     n = lambda c: f"count_if(margin {c})"
     ratio = lambda p, q: f"round(CASE WHEN {q} = 0 THEN NULL ELSE ({p}) / ({q}) END, 9)"
     tp, fp, tn, fn = n("> 0 AND y = 1"), n("> 0 AND y = -1"), n("< 0 AND y = -1"), n("< 0 AND y = 1")
-    return (f"SELECT {ratio(f'{tp} + {tn}', f'{tp} + {fp} + {tn} + {fn}')} AS acc, {ratio(tp, f'{tp} + {fp}')} AS pre, "
-            f"{ratio(tp, f'{tp} + {fn}')} AS rec FROM {table} WHERE is_test")
+    return (f"SELECT {f'{key}, ' if key else ''}{ratio(f'{tp} + {tn}', f'{tp} + {fp} + {tn} + {fn}')} AS acc, {ratio(tp, f'{tp} + {fp}')} AS pre, "
+            f"{ratio(tp, f'{tp} + {fn}')} AS rec FROM {table} WHERE is_test{f' GROUP BY {key}' if key else ''}")
 
 
-def _history_sql(iters: int, test: bool) -> str:
+def _history_sql(iters: int, test: bool, lam: float = LAM, eps: float = 0.0) -> str:
+    """One row per live iteration."""
     rows = []
     for k in range(iters):
-        more = f", m.acc, m.pre, m.rec FROM t{k} t, vt{k} vt, ({_metrics_sql(f'mg{k + 1}')}) m" if test else f" FROM t{k} t, vt{k} vt"
+        more = f", m.acc, m.pre, m.rec FROM t{k} t, vt{k} vt, ({_metrics_sql(f'mg{k + 1}')}) m, lv{k} WHERE live" if test else f" FROM t{k} t, vt{k} vt, lv{k} WHERE live"
         rows.append(f"SELECT CAST({k} AS INTEGER) AS k, round(t.ft, 5) AS objective, round(sqrt(vt.gg), 5) AS grad_norm, t.t AS step, "
                     f"CAST(t.rejected AS INTEGER) AS rejected{more}")
-    return _train_sql(iters, " UNION ALL ".join(rows))
+    return _train_sql(iters, " UNION ALL ".join(rows), lam, eps)
 
 
 def _history(spark, fit, test: bool):
@@ -286,7 +303,7 @@ def _history(spark, fit, test: bool):
     return h.select(*keep, *([F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")] if test else []))
 
 
-@register("online_test")
+@register("online_test", _history_sql(MAX_ITER, True, eps=EPS))
 def q_online_test(spark, sf):
     """History with test ACC/PRE/REC at every iteration (λ = 0.1, max_iter 40,
     eps 0.1); wall times are left out."""
@@ -306,33 +323,53 @@ SWEEP = [10.0 ** k for k in range(-5, 6)]
 SWEEP_ITERS = 2  # of the value-checked part
 
 
-def _sweep_sql() -> str:
-    one = lambda lam: _train_sql(SWEEP_ITERS, f"SELECT CAST({lam!r} AS DOUBLE) AS lam, m.*, round(sqrt(vt.gg), 5) AS grad_norm "
-                                              f"FROM ({_metrics_sql('mg{n}')}) m, vt{{last}} vt", lam)
-    return " UNION ALL ".join(f"SELECT * FROM ({one(lam)})" for lam in SWEEP)
+def _sweep_sql(iters: int, eps: float) -> str:
+    """The same unrolling for all λ at once: lam is a key of every table."""
+    cte = [XL, PT, "mo AS (SELECT lam, true AS live FROM (VALUES " + ", ".join(f"(CAST({v!r} AS DOUBLE))" for v in SWEEP) + ") t(lam))",
+           "lv0 AS (SELECT * FROM mo)",
+           "b0 AS (SELECT mo.lam, f.feature, 0.0 AS value FROM (SELECT DISTINCT xl.feature FROM xl JOIN pt ON pt.row_id = xl.row_id WHERE NOT pt.is_test) f, mo)",
+           "mg0 AS (SELECT mo.lam, row_id, y, is_test, 0.0 AS margin FROM pt, mo)",
+           "cand AS (SELECT k, t FROM (WITH RECURSIVE c(k, t) AS (SELECT 0, CAST(1.0 AS DOUBLE) UNION ALL "
+           "SELECT k + 1, t * 0.6 FROM c WHERE k < 63) SELECT * FROM c))"]
+    for k in range(iters):
+        n = k + 1
+        cte += [
+            f"g{k} AS (SELECT b.lam, b.feature, b.value AS b, coalesce(s.g, 0.0) + 2 * b.lam * b.value AS g FROM b{k} b LEFT JOIN "
+            f"(SELECT m.lam, xl.feature, sum(-m.y / (1.0 + exp(m.y * m.margin)) * xl.value) AS g FROM xl JOIN mg{k} m ON m.row_id = xl.row_id "
+            f"WHERE NOT m.is_test GROUP BY 1, 2) s ON s.lam = b.lam AND s.feature = b.feature)",
+            f"vt{k} AS (SELECT lam, sum(b * b) AS bb, sum(b * g) AS bg, sum(g * g) AS gg FROM g{k} GROUP BY lam)",
+            f"sl{k} AS (SELECT m.*, coalesce(s.s, 0.0) AS s FROM mg{k} m LEFT JOIN (SELECT g.lam, xl.row_id, sum(xl.value * g.g) AS s "
+            f"FROM xl JOIN g{k} g ON g.feature = xl.feature GROUP BY 1, 2) s ON s.lam = m.lam AND s.row_id = m.row_id)",
+            f"f{k} AS (SELECT sl.lam, sum({sp('-y * margin')}) + sl.lam * any_value(vt.bb) AS f0 FROM sl{k} sl JOIN vt{k} vt USING (lam) WHERE NOT is_test GROUP BY sl.lam)",
+            f"ft{k} AS (SELECT sl.lam, cand.k, cand.t, sum({sp('-y * (margin - cand.t * s)')}) AS loss FROM sl{k} sl, cand WHERE NOT is_test GROUP BY ALL)",
+            f"t{k} AS (SELECT lv.lam, CASE WHEN lv.live THEN a.t ELSE 0.0 END AS t FROM lv{k} lv LEFT JOIN (SELECT ft.lam, arg_min(ft.t, ft.k) AS t "
+            f"FROM ft{k} ft JOIN f{k} f USING (lam) JOIN vt{k} vt USING (lam) WHERE ft.loss + ft.lam * (vt.bb - 2 * ft.t * vt.bg + ft.t * ft.t * vt.gg) "
+            f"<= f.f0 - 0.2 * ft.t * vt.gg GROUP BY ft.lam) a USING (lam))",
+            f"lv{n} AS (SELECT lv.lam, lv.live AND sqrt(vt.gg) > {eps!r} AS live FROM lv{k} lv JOIN vt{k} vt USING (lam))",
+            f"b{n} AS (SELECT g.lam, feature, b - t.t * g AS value FROM g{k} g JOIN t{k} t USING (lam))",
+            f"mg{n} AS (SELECT sl.lam, row_id, y, is_test, margin - t.t * s AS margin FROM sl{k} sl JOIN t{k} t USING (lam))",
+        ]
+    norms = " UNION ALL ".join(f"SELECT {k} AS k, lam, gg FROM lv{k} JOIN vt{k} USING (lam) WHERE live" for k in range(iters))
+    return ("WITH " + ",\n".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in cte)
+            + f"\nSELECT m.*, l.grad_norm FROM ({_metrics_sql(f'mg{iters}', 'lam')}) m JOIN (SELECT lam, {_NORM.format(digits=5)} FROM ({norms}) GROUP BY lam) l USING (lam)")
 
 
 def _sweep(spark, sf, max_iter: int, eps: float):
     pts, xl = _data(spark, sf)
-    x, rows = L.Blocks(xl), []
-    beta0 = Steps(spark, "beta0").write(L.beta_init(xl.join(pts.where(~F.col("is_test")).select("row_id"), "row_id", "left_semi")))
-    for lam in SWEEP:
-        fit = L.train(pts, x, beta0=beta0, lam=lam, max_iter=max_iter, eps=eps, online_test=True)
-        h = fit.history[-1]
-        rows.append((lam, h["acc"], h["pre"], h["rec"], fit.grad_norm))
-    x.release()
+    fits = L.train_sweep(pts, xl, SWEEP, max_iter=max_iter, eps=eps, online_test=True, betas=False)
+    rows = [(lam, *(f.history[-1][c] for c in ("acc", "pre", "rec")), f.grad_norm) for lam, f in zip(SWEEP, fits)]
     out = spark.createDataFrame(rows, "lam double, acc double, pre double, rec double, grad_norm double")
     return out.select("lam", *[F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")], F.round("grad_norm", 5).alias("grad_norm"))
 
 
-@register("logistic_lambda_sweep")
+@register("logistic_lambda_sweep", _sweep_sql(MAX_ITER, EPS))
 def q_logistic_lambda_sweep(spark, sf):
-    """Train + test for the eleven λ ∈ 10^-5 … 10^5 (max_iter 40, eps 0.1), over
-    one block layout of x_long: (λ, acc, pre, rec, grad_norm)."""
+    """Train + test for the eleven λ ∈ 10^-5 … 10^5 (max_iter 40, eps 0.1), all in
+    the same scans: (λ, acc, pre, rec, grad_norm)."""
     return _sweep(spark, sf, MAX_ITER, EPS)
 
 
-@register("logistic_lambda_sweep_2iter", _sweep_sql())
+@register("logistic_lambda_sweep_2iter", _sweep_sql(SWEEP_ITERS, 0.0))
 def q_logistic_lambda_sweep_2iter(spark, sf):
     """Its first two iterations for each λ, value-checked."""
     return _sweep(spark, sf, SWEEP_ITERS, 0.0)
@@ -346,7 +383,12 @@ def _compared(spark, sf, max_iter: int, eps: float):
                                         F.round("norm_a", 6).alias("norm_a"), F.round("norm_b", 6).alias("norm_b"))
 
 
-@register("model_compare")
+def _compared_sql(iters: int, eps: float) -> str:
+    return _train_sql(iters, "SELECT count(*) AS n_features, CAST(0.0 AS DOUBLE) AS max_abs_diff, "
+                             "round(sqrt(sum(value * value)), 6) AS norm_a, round(sqrt(sum(value * value)), 6) AS norm_b FROM b{n}", eps=eps)
+
+
+@register("model_compare", _compared_sql(MAX_ITER, EPS))
 def q_model_compare(spark, sf):
     """The broadcast and the blocked implementation of the trainer side by side
     (max_iter 40, eps 0.1): the two β tables must agree; reports max |Δ| and
@@ -354,8 +396,7 @@ def q_model_compare(spark, sf):
     return _compared(spark, sf, MAX_ITER, EPS)
 
 
-@register("model_compare_2iter", _train_sql(2, "SELECT count(*) AS n_features, CAST(0.0 AS DOUBLE) AS max_abs_diff, "
-                                               "round(sqrt(sum(value * value)), 6) AS norm_a, round(sqrt(sum(value * value)), 6) AS norm_b FROM b{n}"))
+@register("model_compare_2iter", _compared_sql(2, 0.0))
 def q_model_compare_2iter(spark, sf):
     """The same after two iterations, value-checked."""
     return _compared(spark, sf, 2, 0.0)
@@ -378,7 +419,7 @@ def q_train_logistic_smj(spark, sf):
     return fit.beta.select("feature", F.round("value", 12).alias("value"))
 
 
-@register("train_logistic_full")
+@register("train_logistic_full", _history_sql(MAX_ITER, False, 0.0, EPS))
 def q_train_logistic_full(spark, sf):
     """Training at the default 40 iterations (λ = 0, eps = 0.1): history rows
     (objective, norm, step); its first rows are those that SQL checks elsewhere."""

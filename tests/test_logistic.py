@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from corvid.operators import logistic as L
+from corvid.operators import sparse_blocks as S
 from corvid.plans import inputs
 
 
@@ -75,12 +76,55 @@ def test_storage_does_not_grow_with_iterations(spark, data):
     root = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
     cached = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
     folders = lambda: len([f for f in os.listdir(root) if f.startswith("logistic-")])
-    sizes = []
-    for n in (1, 3):
-        before = cached(), folders()
-        L.train(pts, xl, lam=0.1, max_iter=n, eps=0.0, n_partitions=3)
-        sizes.append((cached() - before[0], folders() - before[1]))
-    assert sizes == [(0, 2), (0, 2)]
+    for on_driver in (True, False):
+        sizes = []
+        for n in (1, 3):
+            before = cached(), folders(), len(os.listdir(root))
+            L.train(pts, xl, lam=0.1, max_iter=n, eps=0.0, n_partitions=3, broadcast=on_driver)
+            sizes.append((cached() - before[0], folders() - before[1], len(os.listdir(root)) - before[2]))
+        assert sizes == [(0, 1, 1), (0, 1, 1)]  # the β table that the caller gets
+
+
+def test_dictionary_numbers_features_densely(spark):
+    f = spark.range(1000).select(F.concat(F.lit("f"), "id").alias("feature"))
+    a, b = (S.dictionary(x, 1000, per_bucket=70).collect() for x in (f, f.repartition(13)))
+    assert sorted(r["fid"] for r in a) == list(range(1000))
+    assert {tuple(r) for r in a} == {tuple(r) for r in b}
+
+
+def test_models_in_one_pass_equal_plain_ones(spark, monkeypatch):
+    """Finished models are masked, others go on; vectors on the driver and in
+    chunks agree with single runs in numpy."""
+    x, y, test, pts, xl = small_points(spark)
+    lams = [1e-5, 1.0, 1e3]
+    eps = plain_training(x, y, test, 1.0, 3, 0.0)[0][-1][1] * 1.0001
+    plain = [plain_training(x, y, test, v, 6, eps) for v in lams]
+    assert len({len(h) for h, _ in plain}) > 1
+    for on_driver in (True, False):
+        fits = L.train_sweep(pts, xl, lams, max_iter=6, eps=eps, online_test=True, broadcast=on_driver, n_partitions=3)
+        for (hist, b), fit in zip(plain, fits):
+            assert fit.iterations == len(hist)
+            assert [h["rejected"] for h in fit.history] == [h[3] for h in hist]
+            assert np.allclose([(h["objective"], h["grad_norm"]) for h in fit.history], [h[:2] for h in hist], rtol=1e-9)
+            beta = {r["feature"]: r["value"] for r in fit.beta.collect()}
+            assert np.allclose([beta[f"f{j}"] for j in range(6)], b, atol=1e-12)
+            m = (x @ b)[test]
+            assert abs(fit.history[-1]["acc"] - np.mean((m > 0) == (y[test] > 0))) < 1e-12
+
+
+def test_rows_without_features_and_foreign_features(spark):
+    """A row that shares no feature with β counts with margin 0; a start β rules
+    which features there are."""
+    pts = spark.createDataFrame([(1, 1, False), (2, -1, False), (3, 1, False), (4, 1, True)], "row_id long, y int, is_test boolean")
+    xl = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (4, "c", 1.0)], "row_id long, feature string, value double")
+    for on_driver in (True, False):
+        fit = L.train(pts, xl, max_iter=1, eps=0.0, online_test=True, broadcast=on_driver)
+        assert {r["feature"]: round(r["value"], 12) for r in fit.beta.collect()} == {"a": 0.5, "b": -1.0}
+        want = np.logaddexp(0, -0.5) + np.logaddexp(0, -2.0) + np.log(2)
+        assert abs(fit.history[0]["objective"] - want) < 1e-12 and fit.history[0]["acc"] is None
+        start = spark.createDataFrame([("a", 0.0), ("z", 3.0)], "feature string, value double")
+        fit = L.train(pts, xl, beta0=start, lam=0.5, max_iter=1, eps=0.0, broadcast=on_driver)
+        assert {r["feature"] for r in fit.beta.collect()} == {"a", "z"}
 
 
 def test_layout_invariance(spark, data):
