@@ -51,6 +51,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 SEGMENT = 4096      # rows of a span that one task makes
 FAN = 16            # spans combined at a time
 ROWS = 200_000      # rows of a sorted task
+OUT_ROWS = 20_000   # rows a task sends back at a time
 
 # Nonterminals: pairs of places with a way between them, and their splits.
 PAIRS = [(0, 0), (0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3), (2, 2), (2, 3), (3, 2), (3, 3)]
@@ -199,7 +200,7 @@ def _segments(frames, most: int):
                 out.append(flush())
                 size += len(held)
                 held = []
-                if size > 20_000:
+                if size > OUT_ROWS:
                     yield pd.DataFrame(out)
                     out, size = [], 0
             held.append(row)
@@ -254,29 +255,34 @@ def role_at(place: int, total: int) -> str:
 def _pieces(frames):
     """Cuts each conversation's audit into those of its segments."""
     for f in frames:
+        out = []
         for conv, audit, sizes in zip(f["conv"], f["audit"], f["sizes"]):
             symbols = np.frombuffer(audit.encode(), dtype="S1")
-            seen, kept = np.cumsum(symbols != b"I"), np.concatenate(([0], np.cumsum(symbols != b"D")))
+            seen, kept = np.cumsum(symbols != b"I"), np.concatenate(([0], np.cumsum(symbols != b"D"))).tolist()
             starts = np.cumsum([0, *(s["n"] for s in sizes)])[:-1]
             cuts = [0 if not s else int(np.searchsorted(seen, s)) + 1 for s in starts] + [len(audit)]
-            yield pd.DataFrame({"conv": [conv] * len(sizes), "idx": [s["idx"] for s in sizes], "piece": [audit[a:b] for a, b in zip(cuts, cuts[1:])],
-                                "start": [int(kept[a]) for a in cuts[:-1]], "total": int(kept[-1])})
+            out += [(conv, s["idx"], audit[a:b], kept[a], kept[-1]) for s, a, b in zip(sizes, cuts, cuts[1:])]
+        yield pd.DataFrame(out, columns=["conv", "idx", "piece", "start", "total"])
 
 
 def _stays(frames):
     """The rows that a repaired conversation has, in order."""
+    columns, out = ["conv", "idx", "k", "turn", "was", "digest", "role"], []
     for f in frames:
         for r in f.itertuples():
-            out, row, place = [], 0, r.start
+            row, place = 0, r.start
             for k, x in enumerate(r.piece):
                 if x == "I":
-                    out.append((k, None, None, None, ROLE[role_at(place, r.total)]))
+                    out.append((r.conv, r.idx, k, None, None, None, ROLE[role_at(place, r.total)]))
                 elif x != "D":
-                    out.append((k, r.turns[row], r.roles[row], r.digests[row], r.roles[row] if x == "K" else ROLE[role_at(place, r.total)]))
+                    role = r.roles[row] if x == "K" else ROLE[role_at(place, r.total)]
+                    out.append((r.conv, r.idx, k, r.turns[row], r.roles[row], r.digests[row], role))
                 row, place = row + (x != "I"), place + (x != "D")
-            if out:
-                part = pd.DataFrame(out, columns=["k", "turn", "was", "digest", "role"])
-                yield part.assign(conv=r.conv, idx=r.idx)
+            if len(out) > OUT_ROWS:
+                yield pd.DataFrame(out, columns=columns)
+                out = []
+    if out:
+        yield pd.DataFrame(out, columns=columns)
 
 
 def _hashes(frames):
