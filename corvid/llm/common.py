@@ -19,6 +19,19 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{WORD_GAP}]+"), "")
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches that go to Python are bounded by bytes, not only by rows: a batch of
+    long texts would otherwise be as large as its rows are many. Stays set, since
+    the frames that an operator returns run later."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def materialise_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the
     lineage with files that every executor can read again."""

@@ -6,10 +6,13 @@ the number of documents):
 
 1. pieces longer than ``capacity // 8`` are sorted by length and dealt into
    groups of equal cardinality; each length is rounded up to its group's largest
-   (the plan with the fewest sequences over some numbers of groups is taken);
+   (the plan with the fewest sequences over some numbers of groups and some
+   allowed wastes is taken; without any configuration it is best fit throughout,
+   so no plan is longer than that);
 2. configurations of these few sizes are optimised (column generation: linear
    program over patterns, priced by a knapsack) and rounded down;
-3. actual pieces are substituted for the rounded ones, which frees room;
+3. actual pieces are substituted for the rounded ones, which frees room; a
+   configuration whose pieces leave more than a given waste is given up;
 4. what is left and all small pieces go by best fit, longest first.
 
 The plan is a list of runs (length, first rank, first sequence, number of
@@ -25,10 +28,8 @@ not kept.
 from __future__ import annotations
 
 import bisect
-import gc
 import re
 import struct
-import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -38,14 +39,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import WORD_GAP, exclusive_sums, materialise
+from corvid.llm.common import WORD_GAP, bounded_batches, exclusive_sums, materialise
 
 CAPACITY = 4096
 END_ID = 1
 GROUPS = (48, 144)
+WASTES = (CAPACITY, 256, 32, 0, -1)  # tokens that a configuration may leave; none is used at -1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 800_000
+CACHE_BYTES = 24 << 20  # of a generation of known words; a worker keeps two
+WORD_BYTES = 220        # of a known word beside its characters
 CACHED_CHARS = 200
+TEXT_BYTES = 1 << 20    # characters encoded at a time
 
 PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
@@ -69,12 +73,13 @@ class Known(dict):
 
     def __init__(self, encoder: "WordEncoder"):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.size = encoder, 0
 
     def __missing__(self, word: str) -> bytes:
         ids = self.encoder.ids(word)
         if len(word) <= CACHED_CHARS:
             self[word] = ids
+            self.size += WORD_BYTES + len(word) + len(ids)
         return ids
 
 
@@ -82,9 +87,11 @@ class WordEncoder:
     """Ids of a text as little-endian 32-bit bytes. The tokenizer drops white
     space and never merges across it, so a text's ids are those of its words
     one after the other, and words come back: they are kept, in two generations
-    of a bounded size, so that frequent words stay. A run of letters, and the
+    of bounded bytes, so that frequent words stay. A run of letters, and the
     marks after one, are separate to the tokenizer: a plain run goes to its model
-    alone."""
+    alone. The tokenizer composes (NFC) first and lower-cases then; only words of
+    code points below the combining marks, which are composed already and (but for
+    the dotted I) have one lower case each, are lower-cased here."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -93,10 +100,11 @@ class WordEncoder:
         self.known, self.older = Known(self), {}
         self.letters = byte_letters()
         self.find = re.compile(rf"[^{WORD_GAP}]+").findall
+        self.plain = re.compile("[\\x00-\u012f\u0131-\u02ff]*").fullmatch
         self.marked = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)").fullmatch  # letters, then ASCII marks
 
     def words(self, text: str) -> list[str]:
-        if "Σ" not in text:  # str.lower looks at what follows it
+        if text.isascii() or self.plain(text):
             text = text.lower()
         # str.split is fast; it splits at these four too, which the tokenizer does not drop
         return self.find(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
@@ -104,13 +112,13 @@ class WordEncoder:
     def ids(self, word: str) -> bytes:
         if (old := self.older.get(word)) is not None:
             return old
-        if word.isalpha():
-            if word.isascii() and word.islower():
-                return self.run(word)
-            if word == word.lower() and unicodedata.is_normalized("NFC", word):
-                return self.run(word.encode().decode("latin-1").translate(self.letters))
-        elif (m := self.marked(word)) and m[1] == m[1].lower():
-            return self.known[m[1]] + self.known[m[2]]
+        if self.plain(word):
+            if word != (low := word.lower()):
+                return self.known[low]
+            if word.isalpha():
+                return self.run(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))
+            if m := self.marked(word):
+                return self.known[m[1]] + self.known[m[2]]
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -119,8 +127,8 @@ class WordEncoder:
         return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.older, self.known = dict(self.known), Known(self)
+        if self.known.size > CACHE_BYTES:
+            self.older, self.known = self.known, Known(self)
         get = self.known.__getitem__
         return [b"".join(map(get, self.words(t))) for t in texts]
 
@@ -143,17 +151,19 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
-        gc.disable()  # words are many small objects without cycles
         for batch in batches:
             ids, texts = batch["id"].tolist(), [t if isinstance(t, str) else "" for t in batch["text"]]
-            for lo in range(0, len(texts), 200):
+            ends = np.cumsum([len(t) for t in texts], dtype=np.int64) // TEXT_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+            for lo, hi in zip(cuts, cuts[1:]):
                 rows = []
-                for i, b in zip(ids[lo:lo + 200], enc.encode(texts[lo:lo + 200])):
+                for i, b in zip(ids[lo:hi], enc.encode(texts[lo:hi])):
                     b = memoryview(b + end)
                     for k, at in enumerate(range(0, len(b), 4 * capacity)):
                         part = b[at:at + 4 * capacity]
                         rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+                if rows:
+                    yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     # ids go as text: a pandas column of longs with nulls would become doubles
     d = docs.select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"))
@@ -249,12 +259,19 @@ class Plan:
                 self.leave(gap, seq + full, n - full)
 
 
-def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS) -> Plan:
-    """The plan with the fewest sequences over the numbers of groups given."""
-    return min((plan_groups(histogram, capacity, g) for g in groups), key=lambda p: p.next_seq)
+def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS,
+                 wastes: tuple[int, ...] = WASTES) -> Plan:
+    """The plan with the fewest sequences over the numbers of groups and wastes given."""
+    plans = []
+    for g in groups:
+        found: dict = {}
+        plans += [plan_groups(histogram, capacity, g, w, found) for w in wastes]
+    return min(plans, key=lambda p: p.next_seq)
 
 
-def plan_groups(histogram: dict[int, int], capacity: int, groups: int) -> Plan:
+def plan_groups(histogram: dict[int, int], capacity: int, groups: int, waste: int | None = None, found: dict | None = None) -> Plan:
+    """One plan; ``found`` keeps the configurations, which do not depend on the waste."""
+    waste = capacity if waste is None else waste
     plan = Plan(capacity)
     left: dict[int, list[tuple[int, int]]] = {}  # length: (first rank, number) of what the patterns left
     large = [l for l in sorted(histogram, reverse=True) if capacity // 8 < l < capacity]
@@ -278,20 +295,32 @@ def plan_groups(histogram: dict[int, int], capacity: int, groups: int) -> Plan:
         sizes = np.unique(top)[::-1]
         queues = [[p for g, t in zip(dealt, top) if t == s for p in g] for s in sizes]
         demand = np.array([sum(p[2] for p in q) for q in queues])
-        for pattern, times in configurations(sizes, demand, capacity):
+        found = {} if found is None else found
+        if "patterns" not in found:
+            found["patterns"] = configurations(sizes, demand, capacity)
+        for pattern, times in found["patterns"]:
             slots = [g for g in range(len(sizes)) for _ in range(pattern[g])]
             while slots and times > 0:
-                heads, n = [], times
+                n = times
                 for g in set(slots):  # a stretch over which each slot has pieces of one length
                     n = min(n, queues[g][0][2] // slots.count(g) if queues[g] else 0)
                 if n == 0:  # a head shorter than its slots: one sequence, piece by piece
                     n = 1
                     if any(sum(p[2] for p in queues[g]) < slots.count(g) for g in set(slots)):
                         break
-                offset = 0
+                offset, tops = 0, []
+                taken = {g: 0 for g in slots}
+                for g in slots:  # the pieces at the heads; a sequence of its own may use up several
+                    i, used = 0, taken[g] * n
+                    while used >= queues[g][i][2]:
+                        used -= queues[g][i][2]
+                        i += 1
+                    tops.append(queues[g][i][0])
+                    taken[g] += 1
+                if capacity - sum(tops) > waste:
+                    break  # later pieces of the groups are shorter still
                 for g in slots:
                     p = queues[g][0]
-                    heads.append(p[0])
                     plan.put(p[0], p[1], plan.next_seq, n, offset)
                     p[1], p[2], offset = p[1] + n, p[2] - n, offset + p[0]
                     if not p[2]:
@@ -334,4 +363,5 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: tuple[int, ...] =
 def pack_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None,
                    capacity: int = CAPACITY, end_id: int = END_ID, groups: tuple[int, ...] = GROUPS) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``."""
+    bounded_batches(docs.sparkSession)
     return pack(materialise(token_pieces(docs, doc_id, text, path, capacity, end_id), "pack-pieces"), capacity, groups)

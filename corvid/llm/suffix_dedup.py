@@ -24,7 +24,7 @@ to hash buckets and get back which of them occur twice, so that no key ever meet
 in one task.
 
 Defined cases: a null text has 0 bytes; a text shorter than ``length`` keeps all
-bytes; equal rows repeat each other, so their long strings go from each; a null
+bytes; a text may be of any length (it is hashed in pieces); equal rows repeat each other, so their long strings go from each; a null
 doc_id is a document like others; extra columns do not matter.
 """
 
@@ -39,16 +39,34 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import drop_folder, materialise, materialise_at, parts_for
-from corvid.llm.hashing import Rolling, chunks, mix64, range_bucket
+from corvid.llm.common import bounded_batches, drop_folder, materialise, materialise_at, parts_for
+from corvid.llm.hashing import Rolling, mix64, range_bucket
 
 LENGTH = 200
 GRAM = 48
 BATCHES = 2
 HOT = 4000  # differing contexts of a key that one task compares
 HOT_KEYS_SENT = 500_000
-BLOCK_CONTEXTS = 20_000
-BUCKET_WINDOWS = 2_000_000
+BLOCK_CONTEXTS = 10_000
+BUCKET_WINDOWS = 500_000
+CHUNK = 1 << 19  # bytes whose hashes are made at a time: about 40 MB of arrays
+
+
+def pieces(texts, overlap: int, most: int = CHUNK) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Lists of (index of the text, first byte, bytes), about ``most`` bytes a list;
+    a longer text is cut, and its pieces overlap, so that every window of
+    ``overlap + 1`` bytes is whole in one of them."""
+    part, size = [], 0
+    for i, t in enumerate(texts):
+        for at in range(0, max(len(t) - overlap, 1), most):
+            p = t[at:at + most + overlap]
+            if part and size + len(p) > most + overlap:
+                yield part
+                part, size = [], 0
+            part.append((i, at, p))
+            size += len(p)
+    if part:
+        yield part
 
 
 def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
@@ -87,9 +105,10 @@ def suffixes(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ids = b["id"].to_numpy()
-            for first, part in chunks(map(as_bytes, b["text"])):
-                d, p, key, _, _ = anchors(part, length, gram)
-                yield pd.DataFrame({"key": key, "id": ids[first + d], "pos": p.astype(np.int32)})
+            for part in pieces(map(as_bytes, b["text"]), length - 1):
+                d, p, key, _, _ = anchors([x[2] for x in part], length, gram)
+                own, at = np.array([x[0] for x in part]), np.array([x[1] for x in part])
+                yield pd.DataFrame({"key": key, "id": ids[own[d]], "pos": (p + at[d]).astype(np.int32)})
 
     return docs.select(F.col("id").cast("string"), "text").mapInPandas(run, "key long, id string, pos int").select(
         "key", F.col("id").cast(dict(docs.dtypes)["id"]).alias("id"), "pos")
@@ -152,15 +171,18 @@ def contexts(found: DataFrame, length: int, gram: int) -> DataFrame:
     windows, and where they begin."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, ids, th, places = list(map(as_bytes, b["text"])), b["id"].to_numpy(), b["th"].to_numpy(), b["places"].tolist()
-            for first, part in chunks(texts):
-                d, p, key, lo, hi = anchors(part, length, gram)
-                step = max(map(len, part)) + 1
-                want = np.concatenate([np.asarray(x, np.int64) + i * step for i, x in enumerate(places[first:first + len(part)])])
+            ids, th, places = b["id"].to_numpy(), b["th"].to_numpy(), b["places"].tolist()
+            for part in pieces(map(as_bytes, b["text"]), length - 1):
+                d, p, key, lo, hi = anchors([x[2] for x in part], length, gram)
+                own, at = np.array([x[0] for x in part]), np.array([x[1] for x in part])
+                step = max(len(x[2]) for x in part) + 1
+                want = [np.asarray(places[i], np.int64) - a for i, a, _ in part]
+                want = np.concatenate([w[(w >= 0) & (w < step)] + k * step for k, w in enumerate(want)])
                 on = np.flatnonzero(np.isin(d * step + p, want))
                 if len(on):
-                    yield pd.DataFrame({"key": key[on], "id": ids[first + d[on]], "th": th[first + d[on]], "start": lo[on],
-                                        "ctx": [part[i][s:e + length] for i, s, e in zip(d[on], lo[on], hi[on])]})
+                    o = own[d[on]]
+                    yield pd.DataFrame({"key": key[on], "id": ids[o], "th": th[o], "start": lo[on] + at[d[on]],
+                                        "ctx": [part[i][2][s:e + length] for i, s, e in zip(d[on], lo[on], hi[on])]})
 
     kind = dict(found.dtypes)["id"]
     return found.select(F.col("id").cast("string"), "th", "text", "places").mapInPandas(
@@ -168,12 +190,19 @@ def contexts(found: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def window_hashes(ctx: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context index, place in it, hash) of every window of the contexts."""
+    """(context index, place in it, hash) of every window of the contexts, made
+    for about ``CHUNK`` bytes of them at a time."""
     size = np.array([len(c) for c in ctx], dtype=np.int64)
     n = size - length + 1
-    row = np.repeat(np.arange(len(ctx)), n)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    h = Rolling(b"".join(ctx)).at((np.cumsum(size) - size)[row] + place, length)
+    row = np.repeat(np.arange(len(ctx), dtype=np.int32), n)
+    place = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
+    h, done = np.empty(len(row), dtype=np.uint64), 0
+    ends = np.flatnonzero(np.diff(np.cumsum(size) // CHUNK)) + 1
+    for s, e in zip([0, *ends], [*ends, len(ctx)]):
+        m = int(n[s:e].sum())
+        at = (np.cumsum(size[s:e]) - size[s:e])[row[done:done + m] - s] + place[done:done + m]
+        h[done:done + m] = Rolling(b"".join(ctx[s:e])).at(at, length)
+        done += m
     return row, place, h
 
 
@@ -242,38 +271,53 @@ def _window_keys(b: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray,
     return row, place, mix64(h ^ mix64(b["key"].to_numpy().view(np.uint64)[row]))
 
 
+_MARK = np.uint64(1)  # lowest bit of a hash here: the window occurs twice already
+
+
+def _counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct hashes, whether each occurs twice); sorts ``h`` in place."""
+    h.sort()
+    name = h >> _MARK
+    new = np.concatenate(([True], name[1:] != name[:-1]))
+    first = np.flatnonzero(new)
+    n = np.diff(np.concatenate((first, [len(h)])))
+    last = h[first + n - 1]  # a marked one sorts last
+    return name[first] << _MARK, (n > 1) | ((last & _MARK) > 0)
+
+
 def compare_hot(each: DataFrame, length: int) -> DataFrame:
     """Verdicts for contexts of any number a key: blocks ask, buckets count."""
-    n = each.count()
-    n_blocks, n_buckets = parts_for(n, BLOCK_CONTEXTS), parts_for(n * 80, BUCKET_WINDOWS)
+    sizes = each.agg(F.count("*").alias("n"), F.sum(F.octet_length("ctx") - length + 1).alias("w")).first()
+    n_blocks, n_buckets = parts_for(sizes["n"], BLOCK_CONTEXTS), parts_for(sizes["w"] or 0, BUCKET_WINDOWS)
     d = each.select("key", "c", "times", "ctx", F.pmod(F.xxhash64("c", "key"), F.lit(n_blocks)).cast("int").alias("block"))
 
     def ask(b: pd.DataFrame) -> pd.DataFrame:
         row, _, h = _window_keys(b, length)
-        uniq, inverse = np.unique(h, return_inverse=True)
-        count = np.minimum(np.bincount(inverse, np.minimum(b["times"].to_numpy()[row], 2)), 2).astype(np.uint8)
+        uniq, twice = _counted(h & ~_MARK | (b["times"].to_numpy() > 1).astype(np.uint64)[row])
+        uniq |= twice.astype(np.uint64)
         at = np.searchsorted(range_bucket(uniq, n_buckets), np.arange(n_buckets + 1))
         some = np.flatnonzero(np.diff(at))
-        return pd.DataFrame({"bucket": some, "block": b["block"].iloc[0], "hashes": [uniq[at[k]:at[k + 1]].tobytes() for k in some],
-                             "counts": [count[at[k]:at[k + 1]].tobytes() for k in some]})
+        return pd.DataFrame({"bucket": some, "block": b["block"].iloc[0], "hashes": [uniq[at[k]:at[k + 1]].tobytes() for k in some]})
 
     def tell(b: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.frombuffer(x, np.uint64) for x in b["hashes"]]
-        _, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-        twice = (np.bincount(inverse, np.concatenate([np.frombuffer(x, np.uint8) for x in b["counts"]])) > 1)[inverse]
-        ends = np.cumsum([len(x) for x in parts])
-        return pd.DataFrame({"block": b["block"], "bucket": b["bucket"],
-                             "twice": [np.packbits(twice[e - len(x):e]).tobytes() for x, e in zip(parts, ends)], "n": [len(x) for x in parts]})
+        names, twice = _counted(np.frombuffer(b"".join(b["hashes"]), np.uint64).copy())
+        some = names[twice]
+        told = []
+        for x in b["hashes"]:
+            own = np.frombuffer(x, np.uint64) & ~_MARK
+            at = np.searchsorted(some, own)
+            told.append(own[(at < len(some)) & (some[np.minimum(at, max(len(some) - 1, 0))] == own)].tobytes() if len(some) else b"")
+        return pd.DataFrame({"block": b["block"], "bucket": b["bucket"], "twice": told})
 
     def decide(key, b: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         row, place, h = _window_keys(b, length)
-        _, inverse = np.unique(h, return_inverse=True)
-        told = told.sort_values("bucket")
-        bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(told["twice"], told["n"])]
-        return _verdicts(b, row, place, np.concatenate(bits)[inverse] > 0, length)
+        some = np.frombuffer(b"".join(told.sort_values("bucket")["twice"]), np.uint64)  # sorted: buckets are ranges
+        h &= ~_MARK
+        at = np.searchsorted(some, h)
+        return _verdicts(b, row, place, (at < len(some)) & (some[np.minimum(at, len(some) - 1)] == h) if len(some) else np.zeros(len(h), bool), length)
 
-    asked = d.groupBy("block").applyInPandas(ask, "bucket int, block int, hashes binary, counts binary")
-    told = asked.groupBy("bucket").applyInPandas(tell, "block int, bucket int, twice binary, n int")
+    asked = d.groupBy("block").applyInPandas(ask, "bucket int, block int, hashes binary")
+    told = asked.groupBy("bucket").applyInPandas(tell, "block int, bucket int, twice binary")
     return d.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(decide, RUNS)
 
 
@@ -309,6 +353,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    gram: int = GRAM, batches: int = BATCHES, index: SuffixIndex | None = None) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept_sha256, spans)`` per row of
     ``docs``; spans are the removed byte ranges."""
+    bounded_batches(docs.sparkSession)
     d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("th"))
     kept = index is not None
     index = index or SuffixIndex(docs.sparkSession, length, gram)
