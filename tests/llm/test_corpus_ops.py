@@ -1,6 +1,7 @@
 """Mixing, packing, WARC, PII, suffix dedup, cover tree, toxicity."""
 
 import hashlib
+from collections import Counter
 import io
 import random
 import zlib
@@ -111,10 +112,49 @@ def test_plans_hold_every_piece_once(seed):
             bins.append(l)
         else:
             bins[k] += l
-    assert least <= used <= len(bins) * 1.02 + 2
+    plain = packing.Plan(capacity)
+    for l in sorted(hist, reverse=True):
+        plain.best_fit(l, 0, hist[l])
+    assert least <= used <= plain.next_seq <= len(bins) * 1.02 + 2
     assert check_plan({capacity: 3}, capacity) == 3
 
 
+@pytest.mark.parametrize("kind", ["lognormal", "exponential", "middle", "two", "few"])
+def test_no_plan_is_longer_than_best_fit(kind):
+    rng = np.random.default_rng(1)
+    draw = {"lognormal": lambda: rng.lognormal(6, 1, 20_000), "exponential": lambda: rng.exponential(900, 20_000),
+            "middle": lambda: rng.integers(1300, 2100, 20_000), "few": lambda: rng.lognormal(6, 1.5, 300),
+            "two": lambda: np.concatenate([rng.integers(1, 300, 9000), rng.integers(2500, 3500, 9000)])}[kind]()
+    hist = Counter(np.clip(draw.astype(int), 1, 4096).tolist())
+    plain = packing.Plan(4096)
+    for l in sorted(hist, reverse=True):
+        plain.best_fit(l, 0, hist[l])
+    assert packing.plan_packing(hist).next_seq <= plain.next_seq
+
+
+def test_ids_over_all_planes():
+    """Code points of every plane, alone, marked and followed by ASCII marks."""
+    import unicodedata
+
+    enc, rng = packing.WordEncoder(packing.tokenizer_path()), random.Random(5)
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and unicodedata.category(chr(c)) != "Cn"]
+    marks = [chr(c) for c in points if unicodedata.combining(chr(c))]
+    words = [chr(c) + x for c in rng.sample(points, 8000) for x in (".", "'", rng.choice(marks) + ".")]
+    words += ["".join(rng.choice([chr(rng.choice(points)), rng.choice(marks), rng.choice("İΣKÅHhJjaAbß.'!,-1\u0331\u030c\u064b\u0a5b\u0f5c")])
+                      for _ in range(rng.randrange(1, 7))) for _ in range(20_000)]
+    for w, got in zip(words, enc.encode(words)):
+        assert np.frombuffer(got, "<u4").tolist() == enc.tokenizer.encode(w, add_special_tokens=False).ids, repr(w)
+
+
+def test_known_words_stay_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_BYTES", 20_000)
+    enc, rng = packing.WordEncoder(packing.tokenizer_path()), random.Random(6)
+    for _ in range(30):
+        text = " ".join("".join(rng.choice("abcdef") for _ in range(6)) for _ in range(50))
+        assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(enc.known) + len(enc.older) < 2 * (20_000 // packing.WORD_BYTES + 51)
+
+
 def test_word_by_word_ids_equal_whole_text_ids():
     from tokenizers import Tokenizer
 
@@ -298,6 +338,32 @@ def test_repeats_edges(spark):
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_long_texts_are_hashed_in_pieces():
+    """Anchors and windows of a text that is cut are those of the whole text."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab") for _ in range(n)).encode() for n in (5000, 0, 30, 60, 61, 777)]
+
+    def windows(parts):
+        out = set()
+        for part in parts:
+            d, p, key, lo, hi = suffix_dedup.anchors([x[2] for x in part], 60, 20)
+            for i, place, k, a, b in zip(d, p, key, lo, hi):
+                own, at, _ = part[i]
+                out |= {(own, w + at, place + at, k) for w in range(a, b + 1)}
+        return out
+
+    whole = windows([[(i, 0, t) for i, t in enumerate(texts)]])
+    assert len(whole) == sum(max(0, len(t) - 59) for t in texts)
+    cut = list(suffix_dedup.pieces(texts, 59, 100))
+    assert max(len(x[2]) for part in cut for x in part) <= 159 and windows(cut) == whole
+
+
+def test_windows_that_occur_twice_are_counted():
+    h = np.array([8, 4, 8, 3 * 2, 10 | 1, 2, 10], dtype=np.uint64)
+    names, twice = suffix_dedup._counted(h)
+    assert names.tolist() == [2, 4, 6, 8, 10] and twice.tolist() == [False, False, False, True, True]
+
+
 def test_levels_are_a_logarithmic_family(spark):
     index, rng = suffix_dedup.SuffixIndex(spark, 60, 20), random.Random(2)
     ranks = []
@@ -501,7 +567,3 @@ def test_shingles_equal_brute_force():
         names.setdefault(frozenset(s), own)
         assert names[frozenset(s)] == own
     assert len({frozenset(v) for v in names.values()}) == len(names)
-
-
-def test_frames_are_pandas():
-    assert pd.DataFrame is not None
