@@ -2,30 +2,22 @@
 item profiles, with k-fold cross-validation.
 
 Ratings ``(i, j, r)``; profiles ``U(i, u array<double>)``, ``V(j, v …)``.
-Any number of leading key columns (``keys``) may prefix all three tables:
-with ``keys=["k"]`` every fold of a cross-validation trains in the same jobs
-(ratings replicated once per training fold), with ``["reg", "k"]`` a whole
-regularisation grid as well. There is no driver loop over folds.
-
-Per iteration: one joined table R ⋈ U ⋈ V (persisted), the objective and the
-test RMSE as aggregates grouped by the keys, and the two profile updates as
-``groupBy`` of d sums each (hash aggregation on doubles; profiles joined back),
-written to the shared folder; the tables of older iterations are dropped.
+Single steps are table operators (any number of leading key columns may prefix the
+three tables). Training runs on a grid of rating blocks (``rating_blocks``): one
+copy of R for all folds of a cross-validation and all points of a grid, with no
+driver loop over them.
 """
 
 from __future__ import annotations
 
 import math
-import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvid.functions.vectors import dot_arrays
-from corvid.iterate import Steps
-from corvid.plans.joins import is_bounded
+from corvid.operators.rating_blocks import Model, RatingGrid, train_models
 
 # Reference defaults.
 GAIN = 0.001
@@ -148,100 +140,34 @@ def gain_column(i, gain: float = GAIN, power: float = POWER) -> Column:
 class MFResult:
     U: DataFrame
     V: DataFrame
-    history: list = field(default_factory=list)      # per iteration and key
-    last: dict = field(default_factory=dict)          # key tuple → last row
+    history: list = field(default_factory=list)      # per iteration
 
 
-def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam=0.0, mu=0.0,
+def _start(seed: int, d: int, method: str):
+    """The first profile of an id, the same in every model."""
+    return (lambda side, c: formula_vector(c, d)) if method == "formula" else (lambda side, c: normal_vector(seed, side, c, d))
+
+
+def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam: float = 0.0, mu: float = 0.0,
           gain: float = GAIN, power: float = POWER, epsilon: float = EPSILON, maxiter: int = MAXITER,
-          seed: int = SEED, keys=(), init: str = "normal", broadcast: bool | None = None,
-          last_update: bool = True) -> MFResult:
-    """Gradient steps on U and V from the same joined table; per key, stop at
-    ``maxiter`` or when |Δobjective| ≤ epsilon (a stopped key keeps its
-    profiles). Keys are those of the training ratings. The test RMSE of an
-    iteration uses the profiles from before its update, and divides by all test
-    ratings (unmatched ones add no error, as in the reference); ``rmse_matched``
-    divides by the matched ones only; both are None for a key without test
-    ratings. ``lam``/``mu`` may be a column name among ``keys`` (a grid).
-    ``broadcast`` overrides the measured choice for the profiles; without
-    ``last_update`` the profiles stay those the last RMSE was taken with."""
-    keys = list(keys)
-    if not keys:  # one group: a constant key keeps every step a keyed join/aggregate
-        keys = ["_g"]
-        train_R = train_R.withColumn("_g", F.lit(0))
-        test_R = test_R.withColumn("_g", F.lit(0)) if test_R is not None else None
-        res = train(train_R, test_R, d, lam, mu, gain, power, epsilon, maxiter, seed, keys, init, broadcast, last_update)
-        res.U, res.V = res.U.drop("_g"), res.V.drop("_g")
-        for h in res.history:
-            h.pop("_g", None)
-        res.last = {(): v for v in res.last.values()}
-        return res
-    lam_c = F.col(lam) if isinstance(lam, str) else F.lit(float(lam))
-    mu_c = F.col(mu) if isinstance(mu, str) else F.lit(float(mu))
-    tables = Steps(train_R.sparkSession, "factors")
-    inputs = Steps(train_R.sparkSession, "ratings")
-    trainR = inputs.write(train_R.select(*keys, "i", "j", "r"))
-    testR = inputs.write(test_R.select(*keys, "i", "j", "r")) if test_R is not None else trainR
-    counted = lambda R: {tuple(r[k] for k in keys): r["n"] for r in R.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).collect()}
-    m_test, models = counted(testR), counted(trainR)
-    U, V = (tables.write(p) for p in init_profiles(trainR, d, seed, keys, init))
-    small = [is_bounded(p) if broadcast is None else broadcast for p in (U, V)]
-    obj, active = {kk: 1e99 for kk in models}, set(models)
-    hist, last, it, start = [], {}, 0, time.time()
-    while it < maxiter and active:
-        it += 1
-        sides = [F.broadcast(p) if b else p.hint("merge") for p, b in zip((U, V), small)]
-        J = join_and_predict(trainR, U, V, d, keys, sides).persist(StorageLevel.MEMORY_AND_DISK)
-        se = squared_error(J, keys)
-        nu = norm_sq(U, "u", d, keys)
-        nv = norm_sq(V, "v", d, keys)
-        te = squared_error(join_and_predict(testR, U, V, d, keys, sides), keys).withColumnRenamed("se", "se_test") \
-            .withColumnRenamed("m", "m_test_matched")
-        parts = se.join(nu, keys, "full").join(nv, keys, "full").join(te, keys, "left")
-        parts = parts.select("*", lam_c.alias("_lam"), mu_c.alias("_mu"))
-        rows = parts.select(*keys, (F.col("se") + F.col("_lam") * F.col("n_u") + F.col("_mu") * F.col("n_v")).alias("obj"),
-                            "se_test", "m_test_matched").collect()
-        gamma = gain_schedule(gain, power, it)
-        now = time.time() - start
-        stopped = set()
-        for r in rows:
-            kk = tuple(r[k] for k in keys)
-            if kk not in active:
-                continue
-            change = abs(r["obj"] - obj[kk])
-            obj[kk] = r["obj"]
-            se_t, mt, matched = r["se_test"] or 0.0, m_test.get(kk, 0), r["m_test_matched"] or 0
-            rec = {**dict(zip(keys, kk)), "iteration": it, "time": now, "objective": r["obj"],
-                   "test_rmse": math.sqrt(se_t / mt) if mt else None,
-                   "rmse_matched": math.sqrt(se_t / matched) if matched else None,
-                   "coverage": (matched / mt) if mt else None, "gamma": gamma}
-            hist.append(rec)
-            last[kk] = rec
-            if change <= epsilon:
-                stopped.add(kk)
-        if last_update or (it < maxiter and active - stopped):
-            newU = adapt(J, U, "i", gamma, lam_c if isinstance(lam, str) else float(lam), d, keys)
-            newV = adapt(J, V, "j", gamma, mu_c if isinstance(mu, str) else float(mu), d, keys)
-            if active - stopped != set(models):
-                frozen = _key_filter(keys, [kk for kk in models if kk not in active or kk in stopped])
-                newU = newU.where(~frozen).unionByName(U.where(frozen))
-                newV = newV.where(~frozen).unionByName(V.where(frozen))
-            U, V = tables.write(newU), tables.write(newV)
-            tables.keep_last(2)
-        J.unpersist()
-        active -= stopped
-    inputs.keep_last(0)
-    return MFResult(U, V, hist, last)
-
-
-def _key_filter(keys, key_values) -> Column:
-    cond = F.lit(False)
-    for kv in key_values:
-        c = F.lit(True)
-        for k, v in zip(keys, kv):
-            c = c & (F.col(k) == F.lit(v))
-        cond = cond | c
-    return cond
+          seed: int = SEED, init: str = "normal", last_update: bool = True, blocks: tuple[int, int] | None = None) -> MFResult:
+    """Gradient steps on U and V from the same errors; stop at ``maxiter`` or when
+    |Δobjective| ≤ epsilon. Profiles are those of the ids of the training ratings.
+    The test RMSE of an iteration uses the profiles from before its update, and
+    divides by all test ratings (unmatched ones add no error, as in the reference);
+    ``rmse_matched`` divides by the matched ones only; both are None without test
+    ratings; without ``test_R`` the training ratings are tested. Without
+    ``last_update`` the profiles stay those the last RMSE was taken with.
+    ``blocks`` are the numbers of user and item blocks, chosen by size if not given."""
+    R = train_R.select("i", "j", "r", F.lit(1).alias("fold"))
+    if test_R is not None:
+        R = R.union(test_R.select("i", "j", "r", F.lit(0)))
+    grid = RatingGrid(R, [Model(None if test_R is None else 0, float(lam), float(mu))], d, _start(seed, d, init), blocks)
+    run = train_models(grid, lambda i: gain_schedule(gain, power, i), epsilon, maxiter, last_update)[0]
+    kinds = dict(train_R.dtypes)
+    U, V = (grid.factors(s).select(F.col("id").cast(kinds[c]).alias(c), F.col("p").alias(p)) for s, c, p in ((0, "i", "u"), (1, "j", "v")))
+    grid.release()
+    return MFResult(U, V, run.history)
 
 
 # ---- folds -------------------------------------------------------------------------
@@ -259,29 +185,35 @@ def fold_keyed(R: DataFrame, n_folds: int) -> tuple[DataFrame, DataFrame]:
     return tr, te
 
 
-def cross_validate(R: DataFrame, n_folds: int, **kw) -> tuple[DataFrame, MFResult]:
-    """k-fold CV with the fold as a leading key: ``(k, test_rmse, …, cv_rmse)``
-    per fold from the last iteration; ``cv_rmse`` is the mean over the folds."""
-    tr, te = fold_keyed(R, n_folds)
-    res = train(tr, te, keys=["k"], last_update=False, **kw)
-    known = [v["test_rmse"] for v in res.last.values() if v["test_rmse"] is not None]
-    mean = sum(known) / len(known) if known else None
-    rows = [(int(kk[0]), v["test_rmse"], v["rmse_matched"], v["coverage"], int(v["iteration"]), mean)
-            for kk, v in sorted(res.last.items())]
-    df = R.sparkSession.createDataFrame(rows, "k int, test_rmse double, rmse_matched double, coverage double, "
-                                              "iterations int, cv_rmse double")
-    return df, res
+def _trained(R: DataFrame, models: list[Model], d: int = D, gain: float = GAIN, power: float = POWER, epsilon: float = EPSILON,
+             maxiter: int = MAXITER, seed: int = SEED, init: str = "normal", blocks: tuple[int, int] | None = None) -> list[dict]:
+    """The last record of every model, all trained over one copy of R."""
+    grid = RatingGrid(R, models, d, _start(seed, d, init), blocks)
+    runs = train_models(grid, lambda i: gain_schedule(gain, power, i), epsilon, maxiter, last_update=False)
+    grid.release()
+    grid.tables.keep_last(0)
+    return [r.history[-1] for r in runs]
+
+
+def _mean(values) -> float | None:
+    known = [v for v in values if v is not None]
+    return sum(known) / len(known) if known else None
+
+
+def cross_validate(R: DataFrame, n_folds: int, lam: float = 0.0, mu: float = 0.0, **kw) -> DataFrame:
+    """k-fold CV, all folds in the same jobs: ``(k, test_rmse, …, cv_rmse)`` per fold
+    from the last iteration; ``cv_rmse`` is the mean over the folds."""
+    last = _trained(R, [Model(k, float(lam), float(mu)) for k in range(n_folds)], **kw)
+    mean = _mean(h["test_rmse"] for h in last)
+    rows = [(k, h["test_rmse"], h["rmse_matched"], h["coverage"], h["iteration"], mean) for k, h in enumerate(last)]
+    return R.sparkSession.createDataFrame(rows, "k int, test_rmse double, rmse_matched double, coverage double, "
+                                                "iterations int, cv_rmse double")
 
 
 def reg_grid(R: DataFrame, n_folds: int, regs, **kw) -> DataFrame:
-    """CV for λ = μ over a grid, all grid points and folds in the same jobs:
-    ``(reg, cv_rmse)``."""
-    spark = R.sparkSession
-    tr, te = fold_keyed(R, n_folds)
-    grid = F.explode(F.array(*[F.lit(float(x)) for x in regs]))
-    tr = tr.withColumn("reg", grid)
-    te = te.withColumn("reg", grid)
-    res = train(tr, te, keys=["reg", "k"], lam="reg", mu="reg", last_update=False, **kw)
-    rows = [(float(kk[0]), int(kk[1]), v["test_rmse"]) for kk, v in res.last.items()]
-    per = spark.createDataFrame(rows, "reg double, k int, test_rmse double")
-    return per.groupBy("reg").agg(F.avg("test_rmse").alias("cv_rmse"))
+    """CV for λ = μ over a grid, all grid points and folds in the same jobs over one
+    copy of R: ``(reg, cv_rmse)``."""
+    models = [Model(k, float(x), float(x)) for x in regs for k in range(n_folds)]
+    last = _trained(R, models, **kw)
+    rows = [(float(x), _mean(h["test_rmse"] for h in last[n * n_folds:(n + 1) * n_folds])) for n, x in enumerate(regs)]
+    return R.sparkSession.createDataFrame(rows, "reg double, cv_rmse double")

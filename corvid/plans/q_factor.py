@@ -264,7 +264,7 @@ def _cv_sql(iters: int, init=_normal, d: int = DF) -> str:
 
 
 def _cv(spark, sf, iters: int, d: int = DF, **kw):
-    df, _ = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=d, lam=LAM, mu=MU, maxiter=iters, **kw)
+    df = M.cross_validate(_ratings(spark, sf), N_FOLDS, d=d, lam=LAM, mu=MU, maxiter=iters, **kw)
     rounded = ["test_rmse", "rmse_matched", "coverage", "cv_rmse"]
     return df.select("k", "iterations", *[F.round(c, 9).alias(c) for c in rounded])
 
@@ -272,7 +272,7 @@ def _cv(spark, sf, iters: int, d: int = DF, **kw):
 @register("cross_validate_mf", _cv_sql(M.MAXITER, d=M.D))
 def q_cross_validate_mf(spark, sf):
     """5-fold CV at the defaults (d = 10, 20 iterations), all folds in the same
-    jobs (fold = leading key): per-fold RMSE and their mean."""
+    jobs over one copy of R: per-fold RMSE and their mean."""
     return _cv(spark, sf, M.MAXITER, M.D)
 
 
@@ -312,27 +312,36 @@ def q_train_mf(spark, sf):
 
 @register("train_mf_smj", _train_mf_sql(3, DF))
 def q_train_mf_smj(spark, sf):
-    """Three iterations with the profiles never broadcast."""
-    return _train_mf(spark, sf, d=DF, maxiter=3, broadcast=False)
+    """Three iterations on many small blocks of users and items."""
+    return _train_mf(spark, sf, d=DF, maxiter=3, blocks=(7, 5))
 
 
-@register("mf_reg_grid")
+def _grid_sql(regs, iters: int, d: int) -> str:
+    models = " UNION ALL ".join(f"SELECT CAST({n} * 100 + k AS INTEGER) AS m, CAST(k AS INTEGER) AS k, CAST({r!r} AS DOUBLE) AS reg FROM range(0, {N_FOLDS}) t(k)"
+                                for n, r in enumerate(regs))
+    return (_steps_sql(models, "rt.fold <> mo.k", "rt.fold = mo.k", iters, d, "mo.reg")
+            + f" SELECT reg, CASE WHEN isfinite(cv_rmse) THEN round(cv_rmse, 9) END AS cv_rmse FROM (SELECT mo.reg, avg(e.rmse) AS cv_rmse "
+              f"FROM e{iters - 1} e JOIN mo ON mo.m = e.m GROUP BY mo.reg)")
+
+
+def _grid(spark, sf, regs, **kw):
+    got = M.reg_grid(_ratings(spark, sf), N_FOLDS, regs, **kw)
+    return got.select("reg", F.when(F.col("cv_rmse") < float("inf"), F.round("cv_rmse", 9)).alias("cv_rmse"))
+
+
+@register("mf_reg_grid", _grid_sql(GRID, M.MAXITER, M.D))
 def q_mf_reg_grid(spark, sf):
     """CV RMSE for λ = μ on linspace(0, 3000, 20) at the defaults (d = 10, 20
-    iterations): grid points and folds as keys of one run. Where the step
-    times λ is beyond 1 the run diverges, as the reference's does: the RMSE is
-    then infinite or NaN."""
-    return M.reg_grid(_ratings(spark, sf), N_FOLDS, GRID).select("reg", F.round("cv_rmse", 9).alias("cv_rmse"))
+    iterations): 20 grid points x 5 folds in one run over one copy of R. Where the
+    step times λ is beyond 1 the run diverges, as the reference's does: where it
+    leaves the doubles the RMSE is null."""
+    return _grid(spark, sf, GRID)
 
 
-@register("mf_reg_grid_2iter", _steps_sql(
-    " UNION ALL ".join(f"SELECT CAST({n} * 10 + k AS INTEGER) AS m, CAST(k AS INTEGER) AS k, {r!r} AS reg FROM range(0, {N_FOLDS}) t(k)"
-                       for n, r in enumerate(_REGS)), "rt.fold <> mo.k", "rt.fold = mo.k", _GRID_ITERS, DF, "mo.reg")
-    + f" SELECT mo.reg, round(avg(e.rmse), 9) AS cv_rmse FROM e{_GRID_ITERS - 1} e JOIN mo ON mo.m = e.m GROUP BY mo.reg")
+@register("mf_reg_grid_2iter", _grid_sql(_REGS, _GRID_ITERS, DF))
 def q_mf_reg_grid_2iter(spark, sf):
     """Two iterations at d = 3 for λ = μ ∈ {0, 1, 2}, value-checked."""
-    got = M.reg_grid(_ratings(spark, sf), N_FOLDS, _REGS, d=DF, maxiter=_GRID_ITERS)
-    return got.select("reg", F.round("cv_rmse", 9).alias("cv_rmse"))
+    return _grid(spark, sf, _REGS, d=DF, maxiter=_GRID_ITERS)
 
 
 def _fit_full_sql(iters: int, d: int) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from corvid.operators import factorization as M
+from corvid.operators import rating_blocks as B
 from corvid.plans import inputs
 from corvid.sources.ratings import read_folds, write_folds
 
@@ -22,29 +23,68 @@ def test_fold_rmse_of_files(spark, tmp_path):
         hit = te["i"].isin(tr["i"]) & te["j"].isin(tr["j"])
         err = (vec(te["i"]) * vec(te["j"])).sum(1) - te["r"].to_numpy()
         want[k] = np.sqrt((err[hit.to_numpy()] ** 2).sum() / len(te))
-    df, _ = M.cross_validate(R, 5, d=2, maxiter=1, init="formula")
+    df = M.cross_validate(R, 5, d=2, maxiter=1, init="formula")
     got = df.collect()
     assert {r["k"] for r in got} == set(want) and all(abs(r["test_rmse"] - want[r["k"]]) < 1e-9 for r in got)
     assert all(abs(r["cv_rmse"] - np.mean(list(want.values()))) < 1e-9 for r in got)
 
 
 def test_training_without_test_ratings(spark):
-    """Keys come from the training ratings: an empty test table trains all the
-    same, with no RMSE; a fold without test rows stays in the CV."""
+    """An empty test table trains all the same, with no RMSE; a fold without test
+    rows stays in the CV."""
     R = inputs.ratings(spark, SF_SMALL)
     a = M.train(R, R.limit(0), d=2, lam=0.05, mu=0.05, maxiter=2)
     b = M.train(R, None, d=2, lam=0.05, mu=0.05, maxiter=2)
     assert [h["objective"] for h in a.history] == [h["objective"] for h in b.history]
     assert all(h["test_rmse"] is None for h in a.history) and len(a.history) == 2
-    df, _ = M.cross_validate(R.where("fold <> 3"), 5, d=2, maxiter=1)
+    df = M.cross_validate(R.where("fold <> 3"), 5, d=2, maxiter=1)
     rows = {r["k"]: r["test_rmse"] for r in df.collect()}
     assert set(rows) == set(range(5)) and rows[3] is None and rows[2] is not None
 
 
-def test_unbroadcast_profiles_train_the_same(spark):
+def test_any_number_of_blocks_trains_the_same(spark, monkeypatch):
     R = inputs.ratings(spark, SF_SMALL)
-    a, b = (M.train(R, None, d=2, lam=0.05, mu=0.05, maxiter=2, broadcast=x) for x in (True, False))
+    a = M.train(R, None, d=2, lam=0.05, mu=0.05, maxiter=2, blocks=(1, 1))
+    monkeypatch.setattr(B, "CELL_RATINGS", 20)  # cells are cut into parts
+    b = M.train(R, None, d=2, lam=0.05, mu=0.05, maxiter=2, blocks=(4, 3))
     assert abs(a.history[-1]["objective"] - b.history[-1]["objective"]) < 1e-8
+    u, v = ({r[0]: r[1] for r in x.U.collect()} for x in (a, b))
+    assert u.keys() == v.keys() and np.allclose([u[i] for i in u], [v[i] for i in u], atol=1e-12)
+
+
+def test_ratings_never_move_after_the_deal(spark):
+    """The cells are joined where they are cached: only what is sent to them is exchanged."""
+    grid = B.RatingGrid(inputs.ratings(spark, SF_SMALL), [B.Model(0)], 2, M._start(1, 2, "normal"), (3, 2))
+    plan = grid.partials([0], True)._jdf.queryExecution().executedPlan().toString()
+    cells = plan[plan.index("FlatMapCoGroupsInPandas"):plan.index("InMemoryTableScan")]
+    assert "Exchange" not in cells and "Exchange" in plan[plan.index("InMemoryTableScan"):]
+    grid.release()
+
+
+def test_repeated_ratings_equal_separate_ones(spark):
+    """Ratings of one (i, j) are one entry with number, mean and spread."""
+    rows = [(1, 1, 0.5), (1, 1, 1.5), (1, 1, 1.5), (2, 1, -1.0), (1, 2, 0.25), (2, 2, 2.0), (2, 2, 3.0), (None, 2, 1.0), (2, None, 1.0)]
+    R = spark.createDataFrame(rows, "i long, j int, r double")
+    got = M.train(R, None, d=3, lam=0.1, mu=0.2, maxiter=3, gain=0.1)
+    known = [r for r in rows if r[0] and r[1]]
+    U, V = ({r[0]: np.array(r[1]) for r in p.collect()} for p in M.init_profiles(spark.createDataFrame(known, "i long, j int, r double"), 3))
+    for it, h in enumerate(got.history, 1):
+        errors = [(U[i] @ V[j] - r) for i, j, r in known]
+        want = sum(e * e for e in errors) + 0.1 * sum(u @ u for u in U.values()) + 0.2 * sum(v @ v for v in V.values())
+        assert abs(h["objective"] - want) < 1e-9 and abs(h["test_rmse"] - np.sqrt(np.mean(np.square(errors)))) < 1e-9
+        gu, gv = {i: 0.2 * U[i] for i in U}, {j: 0.4 * V[j] for j in V}
+        for (i, j, _), e in zip(known, errors):
+            gu[i], gv[j] = gu[i] + 2 * e * V[j], gv[j] + 2 * e * U[i]
+        g = M.gain_schedule(0.1, M.POWER, it)
+        U, V = {i: U[i] - g * gu[i] for i in U}, {j: V[j] - g * gv[j] for j in V}
+    assert got.V.dtypes[0] == ("j", "int") and all(np.allclose(r["u"], U[r["i"]]) for r in got.U.collect())
+
+
+def test_a_stopped_model_keeps_its_profiles(spark):
+    R = inputs.ratings(spark, SF_SMALL)
+    a = M.train(R, None, d=2, maxiter=5, epsilon=1e98)
+    b = M.train(R, None, d=2, maxiter=1, last_update=False)
+    assert len(a.history) == 2 and a.history[0]["objective"] == b.history[0]["objective"]
 
 
 def test_init_is_a_function_of_the_id(spark):
@@ -68,7 +108,7 @@ def test_training_decreases_objective(spark):
 
 def test_fold_keyed_equals_single_fold(spark):
     R = inputs.ratings(spark, SF_SMALL)
-    df, _ = M.cross_validate(R, 5, d=3, lam=0.05, mu=0.05, maxiter=2)
+    df = M.cross_validate(R, 5, d=3, lam=0.05, mu=0.05, maxiter=2)
     keyed = {r["k"]: r["test_rmse"] for r in df.collect()}
     tr, te = M.fold_split(R, 2)
     single = M.train(tr, te, d=3, lam=0.05, mu=0.05, maxiter=2).history[-1]["test_rmse"]
@@ -102,4 +142,4 @@ def test_grid_is_the_reference_one_at_the_defaults(spark, monkeypatch):
                     u, v = {i: u[i] - g * gu[i] for i in u}, {j: v[j] - g * gv[j] for j in v}
                 per.append((sum(err) / len(te)) ** 0.5)
             want = np.mean(per)
-            assert np.isfinite(want) == np.isfinite(value) and (not np.isfinite(want) or abs(value - want) <= 1e-6 * max(1, want)), (reg, value, want)
+            assert np.isfinite(want) == (value is not None) and (value is None or abs(value - want) <= 1e-6 * max(1, want)), (reg, value, want)
