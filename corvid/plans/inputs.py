@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.sources.text import word_list_from_text
+from corvid.sources.text import spread, word_list_from_text
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---- text ---------------------------------------------------------------
 def documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
 def easy_words(spark, sf_dir) -> DataFrame:
@@ -71,7 +71,7 @@ def sparse_points(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     from corvid.operators.features import bag_of_words
 
     lab = table(spark, sf_dir, "labels")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     points = lab.select(F.col("doc_id").alias("row_id"),
                         (F.col("quality") * 2 - 1).cast("int").alias("y"),
                         (F.col("doc_id") % 5 == 0).alias("is_test"))

@@ -417,11 +417,61 @@ def q_ridge_gradient_wide(spark, sf):
     return g.select("idx", F.round("value", 7).alias("value"))
 
 
-@register("train_gd_wide")
+# Points of the embeddings, and the means of their products as lists.
+_WIDE = "e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, CAST(label AS DOUBLE) AS y FROM embeddings)"
+
+
+def _gd_wide_sql(max_iter: int, eps: float) -> str:
+    inner = lambda m, v: f"list_transform(range(1, {WIDE_D + 1}), lambda i: list_inner_product({m}[i], {v}))"
+    return f"""WITH RECURSIVE {_WIDE}, ij AS (SELECT i, j FROM range(1, {WIDE_D + 1}) a(i), range(1, {WIDE_D + 1}) b(j)),
+m AS MATERIALIZED (SELECT (SELECT list(r ORDER BY i) FROM (SELECT i, list(s ORDER BY j) AS r FROM (SELECT i, j, avg(x[i] * x[j]) AS s FROM e, ij GROUP BY i, j) GROUP BY i)) AS a,
+      (SELECT list(s ORDER BY i) FROM (SELECT i, avg(x[i] * y) AS s FROM e, range(1, {WIDE_D + 1}) t(i) GROUP BY i)) AS b),
+gd(k, beta, norm) AS (SELECT 0, list_transform(range({WIDE_D}), lambda i: CAST(0 AS DOUBLE)), CAST('Infinity' AS DOUBLE)
+  UNION ALL SELECT k + 1, list_transform(range(1, {WIDE_D + 1}), lambda i: beta[i] - gg / (2 * (list_inner_product(g, ag) + {LAM!r} * gg)) * g[i]), sqrt(gg)
+  FROM (SELECT *, list_inner_product(g, g) AS gg, {inner('a', 'g')} AS ag FROM (
+    SELECT k, beta, norm, a, list_transform(range(1, {WIDE_D + 1}), lambda i: 2 * list_inner_product(a[i], beta) - 2 * b[i] + 2 * {LAM!r} * beta[i]) AS g
+    FROM gd, m WHERE k < {max_iter} AND norm > {eps!r})))
+SELECT CAST(unnest(range({WIDE_D})) AS INTEGER) AS idx, round(unnest(beta), 6) AS value, round(norm, 5) AS grad_norm, CAST(k AS INTEGER) AS iterations
+FROM (SELECT * FROM gd ORDER BY k DESC LIMIT 1)"""
+
+
+@register("train_gd_wide", _gd_wide_sql(1000, 1e-6))
 def q_train_gd_wide(spark, sf):
     """Ridge by GD on the 64-dimensional embeddings (λ = 0.1)."""
     fit = G.train_gd(inputs.wide_points(spark, sf), lam=LAM, max_iter=1000, eps=1e-6)
-    return G.beta_frame(spark, np.round(fit.beta, 6), {"grad_norm": float(fit.measure), "iterations": int(fit.iterations)})
+    return G.beta_frame(spark, np.round(fit.beta, 6), {"grad_norm": round(float(fit.measure), 5), "iterations": int(fit.iterations)})
+
+
+TILED_D = WIDE_D + WIDE_D * (WIDE_D + 1) // 2  # degree-2 expansion: 2,144 columns
+TILED_ITERS = 4
+
+
+def _gd_tiled_sql(iters: int) -> str:
+    n = TILED_D
+    c = [_WIDE, f"p AS (SELECT y, list_concat(x, flatten(list_transform(range(1, {WIDE_D + 1}), lambda i: list_transform(range(i, {WIDE_D + 1}), lambda j: x[i] * x[j])))) AS x FROM e)",
+         f"b0 AS (SELECT list_transform(range({n}), lambda i: CAST(0 AS DOUBLE)) AS b)"]
+    for k in range(iters):
+        c += [f"g{k} AS (SELECT list(v ORDER BY i) AS g FROM (SELECT i, avg(-2.0 * r * xi) + 2 * {LAM!r} * any_value(bi) AS v FROM (SELECT unnest(x) AS xi, "
+              f"unnest(b) AS bi, unnest(range({n})) AS i, r FROM (SELECT x, b, y - list_inner_product(x, b) AS r FROM p, b{k})) GROUP BY i))",
+              f"t{k} AS (SELECT any_value(list_inner_product(g, g)) / (2 * (avg(list_inner_product(x, g) * list_inner_product(x, g)) + "
+              f"{LAM!r} * any_value(list_inner_product(g, g)))) AS t FROM p, g{k})",
+              f"b{k + 1} AS (SELECT list_transform(range(1, {n + 1}), lambda i: b[i] - t * g[i]) AS b FROM b{k}, g{k}, t{k})"]
+    return ("WITH " + ", ".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in c)
+            + f" SELECT CAST(unnest(range({n})) AS INTEGER) AS idx, round(unnest(b), 7) AS value FROM b{iters}")
+
+
+@register("train_gd_tiled", _gd_tiled_sql(TILED_ITERS))
+def q_train_gd_tiled(spark, sf):
+    """Four steps of ridge by GD on the degree-2 expansion of the embeddings: 2,144
+    columns, XᵀX in tiles that never meet on one machine."""
+    from corvid.operators import tiled_gram
+    from corvid.operators.features import poly2_features
+
+    pts = inputs.wide_points(spark, sf).select(poly2_features("x").alias("x"), "y")
+    g = tiled_gram.TiledGram(pts, TILED_D)
+    fit = tiled_gram.train_gd(g, lam=LAM, max_iter=TILED_ITERS, eps=0.0)
+    g.release()
+    return G.beta_frame(spark, np.round(fit.beta, 7))
 
 
 def _fw_train_sql(iters: int = 2) -> str:

@@ -167,8 +167,8 @@ def q_metrics_sink(spark, sf):
         fit = L.train(pts, xl, lam=q_logistic.LAM, max_iter=k, eps=0.0)
         e = L.evaluate(pts.where(F.col("is_test")), xl, Steps(spark, "beta").write(fit.beta))
         SK.append_metrics(e.select(F.lit(k).alias("max_iter"), F.lit(q_logistic.LAM).alias("lam"),
-                                   *[F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")]), path)
-    return SK.read_csv_table(spark, path, "max_iter int, lam double, acc double, pre double, rec double")
+                                   *[F.round(c, 9).alias(c) for c in ("acc", "pre", "rec")]), path, f"iterations-{k}")
+    return SK.read_metrics(spark, path, "max_iter int, lam double, acc double, pre double, rec double").drop("run")
 
 
 @register("report_sink", ORACLES["readability_by_source"])

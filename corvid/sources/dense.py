@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.iterate import Steps
+from corvid.sources.text import numbered_lines
 
 
 def parse_dense_line(line) -> Column:
@@ -16,10 +17,10 @@ def parse_dense_line(line) -> Column:
 
 
 def read_dense_points(spark: SparkSession, path: str) -> DataFrame:
-    """CSV lines → ``(row_id, x array<double>, y double)``. Row ids number the
-    lines of one reading; the numbered table is written, so they stay."""
-    raw = spark.read.text(path).where(F.trim("value") != "")
-    p = raw.select(F.monotonically_increasing_id().alias("row_id"), parse_dense_line("value").alias("p"))
+    """CSV lines → ``(row_id, x array<double>, y double)``. Row ids are line numbers
+    over all files, the same in every reading; blank lines are no rows."""
+    raw = numbered_lines(spark, path).where(F.trim("line") != "")
+    p = raw.select(F.col("line_no").alias("row_id"), parse_dense_line("line").alias("p"))
     return Steps(spark, "dense-points").write(p.select("row_id", "p.x", "p.y"))
 
 

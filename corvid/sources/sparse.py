@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.iterate import Steps
+from corvid.sources.text import numbered_lines
 
 # Fixed patterns of the line format (a Python dict literal and a label).
 _KEY = r"""(?:'((?:[^'\\]|\\.)*+)'|"((?:[^"\\]|\\.)*+)")"""
@@ -67,10 +68,9 @@ def sparse_points_from_lines(lines: DataFrame, id_col: str, line_col: str = "lin
 
 
 def read_sparse_points(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Text file(s) of sparse points. Row ids number the lines of one reading;
-    they are written with the parsed lines, so both tables agree on them."""
-    lines = spark.read.text(path).where(F.trim("value") != "").select(
-        F.monotonically_increasing_id().alias("row_id"), F.col("value").alias("line"))
+    """Text file(s) of sparse points. Row ids are line numbers over all files, the
+    same in every reading; blank lines are no rows."""
+    lines = numbered_lines(spark, path).where(F.trim("line") != "").select(F.col("line_no").alias("row_id"), "line")
     return sparse_points_from_lines(lines, "row_id", "line")
 
 

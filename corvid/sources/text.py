@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvid.functions.text import WHITESPACE, normalize_word, split_lines, tokens
+from corvid.iterate import Steps
 
 
 def read_lines(spark: SparkSession, paths, min_partitions: int | None = None) -> DataFrame:
@@ -18,6 +19,36 @@ def read_lines(spark: SparkSession, paths, min_partitions: int | None = None) ->
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when its scan has fewer splits than there are: a file of
+    one row group is one task, whatever is done with its texts. Fewer splits than
+    cores also bounds what moves. Files alone decide where there are many; else one
+    job over the footers counts the splits that hold rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df.select(F.spark_partition_id().alias("p")).distinct().count() >= cores:
+        return df
+    return df.repartition(cores)
+
+
+def numbered_lines(spark: SparkSession, path) -> DataFrame:
+    """``(line_no, line)``: lines of text files numbered from 0 in the order of
+    (file, place), the same for any split size and cluster. Two levels: a place
+    inside each split, on top of the lines of the splits before it. The lines are
+    written with their places first, so that both levels see one reading."""
+    raw = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                                       F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("mid"))
+    raw = Steps(spark, "lines").write(raw)
+    splits = raw.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("mid").alias("low"))
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    files = splits.groupBy("file").agg(F.sum("n").alias("n"))  # one row per file
+    above = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = files.select(F.col("file").alias("_f"), above.alias("above"))
+    base = (splits.withColumn("inside", F.coalesce(F.sum("n").over(before), F.lit(0))).join(files, F.col("file") == F.col("_f"))
+            .select(F.col("file").alias("_file"), F.col("start").alias("_start"), "low", (F.col("above") + F.col("inside")).alias("base")))
+    j = raw.join(base, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
+    return j.select((F.col("base") + F.col("mid") - F.col("low")).alias("line_no"), "line")
+
+
 def lines_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A text column → one row per line ``(id, line_no, line)``, line_no from 0."""
     return df.select(id_col, F.posexplode(split_lines(text_col)).alias("line_no", "line"))
