@@ -84,7 +84,13 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     out = []
     at = text.find("@")
     while at >= 0:
-        left, right = _LOCAL.search(text, max(0, at - 64), at), _DOMAIN.match(text, at + 1, at + 256)
+        right = _DOMAIN.match(text, at + 1)
+        left, back = None, 64
+        while right:  # the local part, however long: it is read backwards
+            left = _LOCAL.search(text, max(0, at - back), at)
+            if not left or left.start() > at - back or back >= at:
+                break
+            back *= 2
         if left and right:
             out.append((left.start(), right.end(), "email"))
         at = text.find("@", at + 1)
