@@ -292,6 +292,14 @@ def permute_some(n):
     return mixing.permute(np.arange(min(n, 200)), n, 5)
 
 
+def test_mail_addresses_of_any_length():
+    for n in (1, 63, 64, 65, 128, 129, 5000):
+        for head in ("", "x ", "é, "):
+            mail = "a" * n + "@" + "b" * n + ".example.org"
+            assert pii.detect(head + mail + " y") == [(len(head), len(head) + len(mail), "email")]
+    assert pii.detect("@a.org @@ b@ c@d") == []
+
+
 # ---- suffix dedup -----------------------------------------------------------
 
 def brute_repeats(texts, length):
