@@ -1,7 +1,10 @@
-"""Tables of iterative jobs: written to the shared folder, dropped when done."""
+"""Tables of iterative jobs: written to the shared folder, dropped when done; and
+journals, from which a job goes on after its driver is lost."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 from corvid.session import scratch_path
@@ -31,3 +34,44 @@ class Steps:
         old, self.folders = self.folders[:len(self.folders) - n], self.folders[len(self.folders) - n:]
         for path in old:
             drop_folder(self.spark, path)
+
+
+class Journal:
+    """Committed steps of one job under ``path``: the tables of a step are written to
+    a folder of its own, then a manifest (step, scalars) is put there under a
+    temporary name and renamed. A step without manifest never happened. ``job`` names
+    what is trained: a journal of another job is an error."""
+
+    def __init__(self, spark: SparkSession, path: str, job: dict):
+        self.spark, self.path, self.job = spark, path.rstrip("/"), json.loads(json.dumps(job))
+        self._Path = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self._Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.fs.mkdirs(self._Path(path))
+
+    def _steps(self) -> list[int]:
+        names = [x.getPath().getName() for x in self.fs.listStatus(self._Path(self.path))]
+        return sorted(int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json"))
+
+    def commit(self, step: int, tables: dict[str, DataFrame], scalars: dict) -> None:
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{self.path}/step-{step}/{name}")
+        old, draft = self._steps(), self._Path(f"{self.path}/manifest-{step}.draft")
+        out = self.fs.create(draft, True)
+        out.write(bytearray(json.dumps({"job": self.job, "tables": sorted(tables), "scalars": scalars}).encode()))
+        out.close()
+        if not self.fs.rename(draft, self._Path(f"{self.path}/manifest-{step}.json")):
+            raise RuntimeError(f"step {step} was not committed")
+        for k in old[:-1]:  # the step before stays
+            self.fs.delete(self._Path(f"{self.path}/manifest-{k}.json"), False)
+            drop_folder(self.spark, f"{self.path}/step-{k}")
+
+    def last(self) -> tuple[int, dict[str, DataFrame], dict] | None:
+        """(step, tables, scalars) of the last committed step."""
+        steps = self._steps()
+        if not steps:
+            return None
+        lines = self.spark.read.text(f"{self.path}/manifest-{steps[-1]}.json", wholetext=True).first()["value"]
+        told = json.loads(lines)
+        if told["job"] != self.job:
+            raise ValueError(f"{self.path} is a journal of {told['job']}, not of {self.job}")
+        return steps[-1], {n: self.spark.read.parquet(f"{self.path}/step-{steps[-1]}/{n}") for n in told["tables"]}, told["scalars"]

@@ -150,7 +150,8 @@ def _start(seed: int, d: int, method: str):
 
 def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam: float = 0.0, mu: float = 0.0,
           gain: float = GAIN, power: float = POWER, epsilon: float = EPSILON, maxiter: int = MAXITER,
-          seed: int = SEED, init: str = "normal", last_update: bool = True, blocks: tuple[int, int] | None = None) -> MFResult:
+          seed: int = SEED, init: str = "normal", last_update: bool = True, blocks: tuple[int, int] | None = None,
+          journal: str | None = None) -> MFResult:
     """Gradient steps on U and V from the same errors; stop at ``maxiter`` or when
     |Δobjective| ≤ epsilon. Profiles are those of the ids of the training ratings.
     The test RMSE of an iteration uses the profiles from before its update, and
@@ -158,12 +159,14 @@ def train(train_R: DataFrame, test_R: DataFrame | None = None, d: int = D, lam:
     ``rmse_matched`` divides by the matched ones only; both are None without test
     ratings; without ``test_R`` the training ratings are tested. Without
     ``last_update`` the profiles stay those the last RMSE was taken with.
-    ``blocks`` are the numbers of user and item blocks, chosen by size if not given."""
+    ``blocks`` are the numbers of user and item blocks, chosen by size if not given.
+    ``journal`` names a folder in which every update is committed; called again with
+    it, training goes on from the last one, also with a larger ``maxiter``."""
     R = train_R.select("i", "j", "r", F.lit(1).alias("fold"))
     if test_R is not None:
         R = R.union(test_R.select("i", "j", "r", F.lit(0)))
     grid = RatingGrid(R, [Model(None if test_R is None else 0, float(lam), float(mu))], d, _start(seed, d, init), blocks)
-    run = train_models(grid, lambda i: gain_schedule(gain, power, i), epsilon, maxiter, last_update)[0]
+    run = train_models(grid, lambda i: gain_schedule(gain, power, i), epsilon, maxiter, last_update, journal)[0]
     kinds = dict(train_R.dtypes)
     U, V = (grid.factors(s).select(F.col("id").cast(kinds[c]).alias(c), F.col("p").alias(p)) for s, c, p in ((0, "i", "u"), (1, "j", "v")))
     grid.release()

@@ -254,7 +254,7 @@ class LogisticFit:
 
 def train_sweep(points: DataFrame, x_long: DataFrame, lams, beta0: DataFrame | None = None, max_iter: int = 40,
                 eps: float = 0.1, n_partitions: int | None = None, online_test: bool = False, broadcast: bool | None = None,
-                betas: bool = True) -> list[LogisticFit]:
+                betas: bool = True, journal: str | None = None) -> list[LogisticFit]:
     """One model per λ, all trained in the same scans of packed blocks (see
     ``sparse_blocks``), on the rows of ``points`` with ``is_test`` false (all rows
     when the column is absent). With ``online_test`` the histories carry test
@@ -264,15 +264,19 @@ def train_sweep(points: DataFrame, x_long: DataFrame, lams, beta0: DataFrame | N
     one of the last gradient (before the last update), as in the reference.
     ``broadcast`` overrides the counted choice: coefficients broadcast from the
     driver, or a table of which each block gets what it uses. Without ``betas`` the
-    fits carry no β tables."""
+    fits carry no β tables. ``journal`` names a folder in which every iteration is
+    committed; called again with it, training goes on from the last one (history,
+    norms and β included), also with a larger ``max_iter``."""
     if "is_test" not in points.columns:
         points = points.withColumn("is_test", F.lit(False))
     if not online_test:
         points = points.where(~F.col("is_test"))
     x = PackedRows(points, x_long, beta0, n_partitions)
-    vectors, runs = train_models(x, lams, beta0, max_iter, eps, online_test, LS_A, LS_B, LS_BATCH, broadcast)
+    vectors, runs = train_models(x, lams, beta0, max_iter, eps, online_test, LS_A, LS_B, LS_BATCH, broadcast, journal)
     out = Steps(points.sparkSession, "logistic")
-    fits = [LogisticFit(out.write(vectors.table(k)) if betas else None, r.grad_norm, r.iterations, r.history) for k, r in enumerate(runs)]
+    all_betas = out.write(vectors.coefficients()) if betas else None
+    fits = [LogisticFit(all_betas.select("feature", F.col("values")[k].alias("value")) if betas else None, r.grad_norm, r.iterations, r.history)
+            for k, r in enumerate(runs)]
     vectors.release()
     x.release()
     return fits
@@ -280,9 +284,9 @@ def train_sweep(points: DataFrame, x_long: DataFrame, lams, beta0: DataFrame | N
 
 def train(points: DataFrame, x_long: DataFrame, beta0: DataFrame | None = None, lam: float = 0.0,
           max_iter: int = 40, eps: float = 0.1, n_partitions: int | None = None,
-          online_test: bool = False, broadcast: bool | None = None) -> LogisticFit:
+          online_test: bool = False, broadcast: bool | None = None, journal: str | None = None) -> LogisticFit:
     """One model: ``train_sweep`` with a single λ."""
-    return train_sweep(points, x_long, [lam], beta0, max_iter, eps, n_partitions, online_test, broadcast)[0]
+    return train_sweep(points, x_long, [lam], beta0, max_iter, eps, n_partitions, online_test, broadcast, journal=journal)[0]
 
 
 def history_frame(spark, fit: LogisticFit) -> DataFrame:

@@ -1,7 +1,7 @@
 """Sparse rows in packed blocks, and many logistic models trained in one pass.
 
-Features get dense integer ids (``dictionary``); rows are dealt into blocks by
-entries, and each block is one row of numpy arrays: its labels, its entries as
+Features get dense integer ids (``dictionary``); rows are dealt into as many blocks
+as their entries need, and each block is one row of numpy arrays: its labels, its entries as
 (row, local feature, value) and the ids of the features it uses. One scan of the
 blocks serves any number of models (``lam`` of a sweep): margins, slopes and
 gradient partials are vectorised products per block, and what is per feature or
@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.iterate import Steps
+from corvid.iterate import Journal, Steps
 from corvid.plans.joins import is_bounded
 
 BLOCK_ENTRIES = 1_000_000   # about 16 MB
@@ -204,8 +204,9 @@ class DriverVectors:
         self.b = np.zeros((models, x.n_features))
         self.g = np.zeros_like(self.b)
         if start is not None:
-            got = start.join(x.names, "feature").select("fid", "value").toPandas()
-            self.b[:, got["fid"].to_numpy()] = got["value"].to_numpy()
+            got = start.join(x.names, "feature").select("fid", "values").toPandas()  # models x features values
+            if len(got):
+                self.b[:, got["fid"].to_numpy()] = np.stack(got["values"].to_numpy()).T
 
     def gradient(self, lams: np.ndarray, active: list[int]) -> np.ndarray:
         """Sets g of the active models; returns the test counts (models, 4)."""
@@ -244,9 +245,10 @@ class DriverVectors:
     def release(self) -> None:
         pass
 
-    def table(self, model: int) -> DataFrame:
-        f = pd.DataFrame({"fid": np.arange(self.x.n_features), "value": self.b[model]})
-        return self.x.names.join(self.x.spark.createDataFrame(f, "fid long, value double"), "fid").select("feature", "value")
+    def coefficients(self) -> DataFrame:
+        """``(feature, values)``: the coefficients of all models."""
+        f = pd.DataFrame({"fid": np.arange(self.x.n_features), "values": self.b.T.tolist()})
+        return self.x.names.join(self.x.spark.createDataFrame(f, "fid long, values array<double>"), "fid").select("feature", "values")
 
 
 class ChunkVectors:
@@ -257,14 +259,14 @@ class ChunkVectors:
         self.tables, self.kept = Steps(x.spark, "chunks"), Steps(x.spark, "routes")
         route = x.blocks.select("pid", "feats").mapInPandas(_routes, "pid int, chunk int, ids binary")
         self.route = self.kept.write(route)
-        value = F.lit(0.0)
-        ids = x.names.select("fid", value.alias("value")) if start is None else x.names.join(start, "feature", "left").select(
-            "fid", F.coalesce("value", value).alias("value"))
+        zero = F.array_repeat(F.lit(0.0), models)
+        ids = x.names.select("fid", zero.alias("values")) if start is None else x.names.join(start, "feature", "left").select(
+            "fid", F.coalesce("values", zero).alias("values"))
 
         def fill(frames):
             yield from _filled(frames, models)
 
-        rows = ids.select((F.col("fid") / CHUNK).cast("int").alias("chunk"), (F.col("fid") % CHUNK).cast("int").alias("id"), "value")
+        rows = ids.select((F.col("fid") / CHUNK).cast("int").alias("chunk"), (F.col("fid") % CHUNK).cast("int").alias("id"), "values")
         self.vec = self.tables.write(rows.repartition("chunk").sortWithinPartitions("chunk").mapInPandas(fill, "chunk int, b binary, g binary"))
         self.pending = np.zeros(models)
 
@@ -344,16 +346,17 @@ class ChunkVectors:
         self.tables.keep_last(0)
         self.kept.keep_last(0)
 
-    def table(self, model: int) -> DataFrame:
+    def coefficients(self) -> DataFrame:
+        """``(feature, values)``: the coefficients of all models."""
         models, t = self.models, self.pending
 
         def rows(frames):
             for f in frames:
                 for chunk, b, g in zip(f["chunk"], f["b"], f["g"]):
-                    b, g = np.frombuffer(b).reshape(-1, models)[:, model], np.frombuffer(g).reshape(-1, models)[:, model]
-                    yield pd.DataFrame({"fid": chunk * CHUNK + np.arange(len(b)), "value": b - t[model] * g})
+                    b, g = np.frombuffer(b).reshape(-1, models), np.frombuffer(g).reshape(-1, models)
+                    yield pd.DataFrame({"fid": chunk * CHUNK + np.arange(len(b)), "values": list(b - t * g)})
 
-        return self.x.names.join(self.vec.mapInPandas(rows, "fid long, value double"), "fid").select("feature", "value")
+        return self.x.names.join(self.vec.mapInPandas(rows, "fid long, values array<double>"), "fid").select("feature", "values")
 
 
 def _routes(frames):
@@ -366,19 +369,18 @@ def _routes(frames):
 
 
 def _filled(frames, models: int):
-    """One row of dense values per chunk, from (chunk, id, value) sorted by chunk."""
+    """One row of dense values per chunk, from (chunk, id, values) sorted by chunk."""
     now, held = None, None
     def row():
-        b = np.repeat(held[:, None], models, axis=1)
-        return pd.DataFrame({"chunk": [now], "b": [b.tobytes()], "g": [np.zeros_like(b).tobytes()]})
+        return pd.DataFrame({"chunk": [now], "b": [held.tobytes()], "g": [np.zeros_like(held).tobytes()]})
 
     for f in frames:
         for chunk, part in f.groupby("chunk", sort=True):
             if chunk != now:
                 if now is not None:
                     yield row()
-                now, held = int(chunk), np.zeros(CHUNK)
-            held[part["id"].to_numpy()] = part["value"].to_numpy()
+                now, held = int(chunk), np.zeros((CHUNK, models))
+            held[part["id"].to_numpy()] = np.stack(part["values"].to_numpy())
     if now is not None:
         yield row()
 
@@ -393,17 +395,27 @@ class Trained:
 
 
 def train_models(x: PackedRows, lams, start: DataFrame | None = None, max_iter: int = 40, eps: float = 0.1, online_test: bool = False,
-                 a: float = 0.2, b: float = 0.6, batch: int = 64, on_driver: bool | None = None):
+                 a: float = 0.2, b: float = 0.6, batch: int = 64, on_driver: bool | None = None, journal: str | None = None):
     """Gradient descent with backtracking for every λ of ``lams`` in the same scans:
     ``(vectors, [Trained])``. A model stops at ``max_iter`` or when the norm of its
     gradient is at most ``eps``; others go on. ``on_driver`` overrides the choice
-    that the number of values makes."""
+    that the number of values makes. ``start (feature, value)`` are the first
+    coefficients of all models. With ``journal`` (a folder) every iteration is
+    committed there, and a run that finds one goes on from its last step."""
     lams = np.array([float(v) for v in lams])
+    log = Journal(x.spark, journal, {"kind": "logistic", "lams": lams.tolist(), "a": a, "b": b}) if journal else None
+    found = log.last() if log else None
+    if found:
+        start = found[1]["coefficients"]
+    elif start is not None:
+        start = start.select("feature", F.array_repeat(F.col("value").cast("double"), len(lams)).alias("values"))
     if on_driver is None:
         on_driver = len(lams) * x.n_features <= DRIVER_VALUES
     vectors = (DriverVectors if on_driver else ChunkVectors)(x, start, len(lams))
-    runs, began = [Trained(v) for v in lams], time.time()
+    runs, began = [Trained(float(v)) for v in lams], time.time()
     fresh: set[int] = set()  # models whose last entry still lacks its test metrics
+    if found:
+        runs, fresh = [Trained(**r) for r in found[2]["runs"]], set(found[2]["fresh"])
 
     def tell(counts):
         for k in fresh:
@@ -444,6 +456,9 @@ def train_models(x: PackedRows, lams, start: DataFrame | None = None, max_iter:
         vectors.step(chosen)
         if online_test:
             fresh.update(active)
+        if log:
+            log.commit(max(r.iterations for r in runs), {"coefficients": vectors.coefficients()},
+                       {"runs": [vars(r) for r in runs], "fresh": sorted(fresh)})
     if fresh:
         tell(vectors.gradient(lams, sorted(fresh)))
     return vectors, runs

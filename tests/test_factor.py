@@ -2,6 +2,7 @@
 objective decrease, fold-keyed training equals per-fold runs, missing test rows."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -80,6 +81,21 @@ def test_repeated_ratings_equal_separate_ones(spark):
     assert got.V.dtypes[0] == ("j", "int") and all(np.allclose(r["u"], U[r["i"]]) for r in got.U.collect())
 
 
+def test_training_goes_on_from_its_journal(spark, tmp_path):
+    tr, te = M.fold_split(inputs.ratings(spark, SF_SMALL), 0)
+    kw = {"d": 2, "lam": 0.05, "mu": 0.05, "blocks": (2, 2)}
+    path = str(tmp_path / "journal")
+    whole = M.train(tr, te, maxiter=4, **kw)
+    assert len(M.train(tr, te, maxiter=2, journal=path, **kw).history) == 2
+    again = M.train(tr, te, maxiter=4, journal=path, **kw)
+    drop = lambda h: [{k: v for k, v in x.items() if k != "time"} for x in h]
+    assert len(again.history) == 4
+    for x, y in zip(drop(whole.history), drop(again.history)):
+        assert x == pytest.approx(y, rel=1e-12)
+    a, b = ({r["i"]: r["u"] for r in x.U.collect()} for x in (whole, again))
+    assert a.keys() == b.keys() and all(np.allclose(a[i], b[i], atol=1e-14) for i in a)
+
+
 def test_a_stopped_model_keeps_its_profiles(spark):
     R = inputs.ratings(spark, SF_SMALL)
     a = M.train(R, None, d=2, maxiter=5, epsilon=1e98)

@@ -74,6 +74,8 @@ def test_storage_does_not_grow_with_iterations(spark, data):
 
     pts, xl = data
     root = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    os.makedirs(root, exist_ok=True)
+    pts.count(), xl.count()  # cached by the fixture
     cached = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
     folders = lambda: len([f for f in os.listdir(root) if f.startswith("logistic-")])
     for on_driver in (True, False):
@@ -112,6 +114,27 @@ def test_models_in_one_pass_equal_plain_ones(spark, monkeypatch):
             assert abs(fit.history[-1]["acc"] - np.mean((m > 0) == (y[test] > 0))) < 1e-12
 
 
+@pytest.mark.parametrize("on_driver", [True, False])
+def test_training_goes_on_from_its_journal(spark, tmp_path, on_driver):
+    """Stopped after 3 of 6 iterations and called again: as if it had not stopped."""
+    _, _, _, pts, xl = small_points(spark)
+    kw = {"eps": 0.0, "online_test": True, "broadcast": on_driver, "n_partitions": 2}
+    path = str(tmp_path / "journal")
+    whole = L.train_sweep(pts, xl, [0.1, 2.0], max_iter=6, **kw)
+    first = L.train_sweep(pts, xl, [0.1, 2.0], max_iter=3, journal=path, **kw)
+    assert [f.iterations for f in first] == [3, 3]
+    (tmp_path / "journal" / "step-9").mkdir()  # a step that was not committed
+    (tmp_path / "journal" / "manifest-9.draft").write_text("{")
+    again = L.train_sweep(pts, xl, [0.1, 2.0], max_iter=6, journal=path, **kw)
+    for a, b in zip(whole, again):
+        assert b.iterations == 6 and len(b.history) == 6
+        assert L.model_compare(a.beta, b.beta).first()["max_abs_diff"] < 1e-12
+        for x, y in zip(a.history, b.history):
+            assert {k: v for k, v in x.items() if k != "t"} == pytest.approx({k: v for k, v in y.items() if k != "t"}, rel=1e-9)
+    with pytest.raises(ValueError):
+        L.train_sweep(pts, xl, [0.1, 3.0], max_iter=6, journal=path, **kw)
+
+
 def test_rows_without_features_and_foreign_features(spark):
     """A row that shares no feature with β counts with margin 0; a start β rules
     which features there are."""
