@@ -7,12 +7,24 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvid.session import scratch_path
+from corvid.session import scratch_folders, scratch_path
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path in (held := scratch_folders(spark)):
+        held.remove(path)
+
+
+def release(spark: SparkSession, keep: DataFrame | None = None, since: int = 0) -> None:
+    """Drop the scratch tables of this application (from the ``since``-th on, as
+    ``len(scratch_folders(spark))`` told it before), but for those that ``keep`` reads.
+    Frames that were not written and read others can no longer be computed."""
+    reads = {part for f in (keep.inputFiles() if keep is not None else []) for part in f.split("/")}
+    for path in scratch_folders(spark)[since:]:
+        if path.rsplit("/", 1)[1] not in reads:
+            drop_folder(spark, path)
 
 
 class Steps:

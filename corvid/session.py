@@ -59,9 +59,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: dict[str, list[str]] = {}  # by application: folders handed out and not yet dropped
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the checkpoint directory for written intermediate tables."""
+    """A fresh folder under the checkpoint directory for written intermediate tables.
+    It is remembered, so that ``iterate.release`` can drop it."""
     import uuid
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    scratch_folders(spark).append(path)
+    return path
+
+
+def scratch_folders(spark: SparkSession) -> list[str]:
+    """Scratch folders of this application, in the order they were handed out."""
+    return _SCRATCH.setdefault(spark.sparkContext.applicationId, [])

@@ -113,3 +113,18 @@ def test_few_splits_are_spread(spark, tmp_path):
     parts = lambda x: x.select(F.spark_partition_id()).distinct().count()
     assert parts(one) == 1 and parts(spread(one)) > 1 and spread(many) is many
     assert sorted(r[0] for r in spread(one).collect()) == sorted(str(k) for k in range(1000))
+
+
+def test_scratch_tables_have_an_owner(spark):
+    from corvid.iterate import Steps, release
+    from corvid.session import scratch_folders
+
+    since, there = len(scratch_folders(spark)), lambda: [f for f in scratch_folders(spark)[since:]]
+    a, b = (Steps(spark, n).write(spark.range(5)) for n in ("one", "two"))
+    out = a.join(spark.range(3), "id")
+    release(spark, keep=out, since=since)
+    assert len(there()) == 1 and "one-" in there()[0] and out.count() == 3
+    release(spark, since=since)
+    assert there() == []
+    with pytest.raises(Exception):
+        b.count()
