@@ -3,21 +3,34 @@ can express it."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvid.iterate import release
 from corvid.llm import (block_search, conversation_repair, cover_tree, jaccard_join, line_dedup, mixing, packing, pii,
                         quality, spelling, suffix_dedup, toxicity, warc)
+from corvid.session import scratch_folders
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, drops: bool = True):
+    """Registers a query; of the tables it writes, those that its result reads stay
+    (all, where the result reads files that Spark's plan does not show)."""
     def add(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            since = len(scratch_folders(spark))
+            out = fn(spark, sf_dir)
+            if drops:
+                release(spark, keep=out, since=since)
+            return out
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return fn
@@ -99,7 +112,7 @@ SELECT page_id, n AS payload_bytes,
 FROM b"""
 
 
-@query("op9_warc", WARC_SQL)
+@query("op9_warc", WARC_SQL, drops=False)
 def op9_warc(spark, sf_dir):
     """All pages written as WARC records and read back."""
     got = warc.round_trip(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
