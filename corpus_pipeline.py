@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corvid.iterate import release
 from corvid.llm import jaccard_join, line_dedup, mixing, packing, toxicity
 from corvid.llm.common import materialise
+from corvid.session import scratch_folders
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +70,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
+    since = len(scratch_folders(spark))
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialise(docs, f"pipeline-{k}")
+        release(spark, keep=docs, since=since)  # tables of the stage and of its input
     return docs
