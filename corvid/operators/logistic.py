@@ -17,12 +17,13 @@ for any number of models, with dense feature ids.
 
 from __future__ import annotations
 
+import heapq
 import math
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvid.functions.vectors import logistic_coef, softplus
@@ -34,6 +35,7 @@ from corvid.plans.joins import is_bounded, size_of
 LS_A = 0.2
 LS_B = 0.6
 LS_BATCH = 64          # candidates evaluated per pass
+GREEDY_ROUNDS = 64     # rows per group that are dealt one by one, the largest
 BLOCK_ENTRIES = 4_000_000  # entries of x_long per block, about 200 MB
 # A partitioning by block serves joins on (block, row) and (block, feature).
 _SUBSET_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
@@ -109,6 +111,46 @@ def group_data(points: DataFrame, n: int) -> DataFrame:
     return points.withColumn("pid", F.pmod(F.col("row_id"), F.lit(n)).cast("int")).repartition(n, "pid")
 
 
+def balanced_groups(points: DataFrame, x_long: DataFrame, n: int, per_bucket: int = 50_000) -> DataFrame:
+    """``(row_id, entries, pid)``: rows dealt into N groups of about equal entries.
+    The largest rows (``GREEDY_ROUNDS`` per group) go to the least loaded group each,
+    one after the other; the others are dealt to and fro, starting with the least
+    loaded group, which adds at most the largest of them to any difference. Ties go by
+    a hash of row_id; the place in the order is counted on two levels – the rows of each
+    (entries, hash prefix), then inside them – so no task sorts all rows of one size."""
+    spark = points.sparkSession
+    sizes = x_long.groupBy("row_id").agg(F.count(F.lit(1)).alias("entries"))
+    rows = points.select("row_id").join(sizes, "row_id", "left").select(
+        "row_id", F.coalesce("entries", F.lit(0)).alias("entries"), F.md5(F.col("row_id").cast("string")).alias("h"))
+    rows = Steps(spark, "row-sizes").write(rows)
+    digits = max(0, math.ceil(math.log(max(rows.count(), 1) / per_bucket, 16)))  # of the hash prefix
+    rows = rows.withColumn("b", F.substring("h", 1, digits))
+    classes = rows.groupBy("entries", "b").agg(F.count(F.lit(1)).alias("m"))
+    before = lambda w: F.coalesce(F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    above = (classes.groupBy("entries").agg(F.sum("m").alias("m"))  # one row per number of entries
+             .select(F.col("entries").alias("_e"), before(Window.orderBy(F.desc("entries"))).alias("above")))
+    inside = classes.select("entries", "b", before(Window.partitionBy("entries").orderBy("b")).alias("inside"))
+    base = inside.join(above, F.col("entries") == F.col("_e")).select(
+        F.col("entries").alias("_e"), F.col("b").alias("_b"), (F.col("above") + F.col("inside")).alias("base"))
+    own = F.row_number().over(Window.partitionBy("entries", "b").orderBy("h", "row_id")) - 1
+    placed = rows.withColumn("own", own).join(base, (F.col("entries") == F.col("_e")) & (F.col("b") == F.col("_b")))
+    placed = Steps(spark, "row-places").write(placed.select("row_id", "entries", (F.col("base") + F.col("own")).alias("place")))
+    first = n * GREEDY_ROUNDS
+    top = placed.where(F.col("place") < first).select("place", "entries").orderBy("place").collect()  # as many at most
+    loads, given = [(0, k) for k in range(n)], []
+    for r in top:
+        load, k = heapq.heappop(loads)
+        given.append((r["place"], k))
+        heapq.heappush(loads, (load + r["entries"], k))
+    given = spark.createDataFrame(given, "_place long, _given int")
+    turn = F.array(*[F.lit(k) for _, k in sorted(loads)])  # groups by load
+    later = F.col("place") - first
+    at, back = F.pmod(later, F.lit(n)), F.floor(later / n) % 2 == 1
+    dealt = F.element_at(turn, (F.when(back, n - 1 - at).otherwise(at) + 1).cast("int"))
+    j = placed.join(F.broadcast(given), F.col("place") == F.col("_place"), "left")
+    return j.select("row_id", "entries", F.coalesce("_given", dealt).cast("int").alias("pid"))
+
+
 def partition_stats(x_long: DataFrame, points: DataFrame, n: int) -> DataFrame:
     """min/max/mean of rows and of distinct features per group, one row."""
     pid = F.pmod(F.col("row_id"), F.lit(n)).cast("int")

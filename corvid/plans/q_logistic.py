@@ -77,6 +77,24 @@ def q_partition_stats(spark, sf):
                     "features_min", "features_max", F.round("features_avg", 9).alias("features_avg"))
 
 
+@register("balanced_groups", f"""WITH RECURSIVE {XL}, {PT},
+s AS (SELECT pt.row_id, coalesce(x.entries, 0) AS entries FROM pt LEFT JOIN (SELECT row_id, count(*) AS entries FROM xl GROUP BY 1) x ON x.row_id = pt.row_id),
+o AS MATERIALIZED (SELECT entries, row_number() OVER (ORDER BY entries DESC, md5(CAST(row_id AS VARCHAR)), row_id) AS place FROM s),
+top AS MATERIALIZED (SELECT * FROM o WHERE place <= {N_GROUPS * L.GREEDY_ROUNDS}),
+deal(place, pid, loads) AS (SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), list_transform(range({N_GROUPS}), lambda i: CAST(0 AS BIGINT))
+  UNION ALL SELECT top.place, list_position(loads, list_min(loads)), list_transform(loads, lambda v, i: CASE WHEN i = list_position(loads, list_min(loads)) THEN v + entries ELSE v END)
+  FROM deal JOIN top ON top.place = deal.place + 1),
+turn AS (SELECT row_number() OVER (ORDER BY v, k) - 1 AS r, k FROM (SELECT unnest(loads) AS v, unnest(range({N_GROUPS})) AS k FROM (SELECT loads FROM deal ORDER BY place DESC LIMIT 1))),
+later AS (SELECT entries, place - 1 - {N_GROUPS * L.GREEDY_ROUNDS} AS q FROM o WHERE place > {N_GROUPS * L.GREEDY_ROUNDS}),
+dealt AS (SELECT pid - 1 AS pid, entries FROM deal JOIN top USING (place) UNION ALL
+  SELECT turn.k, entries FROM later JOIN turn ON turn.r = CASE WHEN (q // {N_GROUPS}) % 2 = 1 THEN {N_GROUPS} - 1 - q % {N_GROUPS} ELSE q % {N_GROUPS} END)
+SELECT CAST(pid AS INTEGER) AS pid, count(*) AS n_rows, CAST(sum(entries) AS BIGINT) AS n_entries FROM dealt GROUP BY 1""")
+def q_balanced_groups(spark, sf):
+    """Labelled rows in 20 groups of about equal entries: rows and entries of each."""
+    pts, xl = _data(spark, sf)
+    return L.balanced_groups(pts, xl, N_GROUPS).groupBy("pid").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("entries").alias("n_entries"))
+
+
 @register("features_to_partitions", f"WITH {XL} SELECT DISTINCT feature, CAST(row_id % {N_GROUPS} AS INTEGER) AS pid FROM xl")
 def q_features_to_partitions(spark, sf):
     return L.features_to_partitions(_data(spark, sf)[1], N_GROUPS)

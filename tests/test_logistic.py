@@ -87,6 +87,24 @@ def test_storage_does_not_grow_with_iterations(spark, data):
         assert sizes == [(0, 1, 1), (0, 1, 1)]  # the β table that the caller gets
 
 
+@pytest.mark.parametrize("per_bucket, rounds", [(50_000, 64), (7, 2)])
+def test_groups_are_balanced_by_entries(spark, monkeypatch, per_bucket, rounds):
+    """A heavy tail of row sizes: groups within a tenth of their mean."""
+    monkeypatch.setattr(L, "GREEDY_ROUNDS", rounds)
+    rng = np.random.default_rng(3)
+    size = np.minimum(rng.pareto(1.2, 400) * 5, 300).astype(int)
+    pts = spark.createDataFrame([(i, 1) for i in range(400)], "row_id long, y int")
+    xl = pts.join(spark.createDataFrame([(i, int(k)) for i, k in enumerate(size)], "row_id long, k int"), "row_id").where("k > 0").select(
+        "row_id", F.explode(F.transform(F.sequence(F.lit(1), "k"), lambda x: x.cast("string"))).alias("feature"), F.lit(1.0).alias("value"))
+    got = L.balanced_groups(pts, xl, 8, per_bucket).toPandas()
+    assert sorted(got["row_id"]) == list(range(400)) and (got.set_index("row_id").sort_index()["entries"].to_numpy() == size).all()
+    load = got.groupby("pid")["entries"].sum()
+    assert len(load) == 8 and load.max() < 1.1 * load.mean()
+    hashed = got.groupby(got["row_id"] % 8)["entries"].sum()
+    assert load.max() < hashed.max()
+    assert L.balanced_groups(pts.limit(0), xl, 8).count() == 0
+
+
 def test_dictionary_numbers_features_densely(spark):
     f = spark.range(1000).select(F.concat(F.lit("f"), "id").alias("feature"))
     a, b = (S.dictionary(x, 1000, per_bucket=70).collect() for x in (f, f.repartition(13)))
