@@ -39,8 +39,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvid.iterate import release
 from corvid.llm.common import bounded_batches, drop_folder, materialise, materialise_at, parts_for
 from corvid.llm.hashing import Rolling, mix64, range_bucket
+from corvid.session import scratch_folders
 
 LENGTH = 200
 GRAM = 48
@@ -324,6 +326,7 @@ def compare_hot(each: DataFrame, length: int) -> DataFrame:
 def repeated_spans(ctx: DataFrame, length: int) -> DataFrame:
     """``(id, th, s, e)`` of the repeated windows, from written contexts."""
     named = ctx.withColumn("c", F.xxhash64("ctx"))
+    since = len(scratch_folders(ctx.sparkSession))
     each = materialise(named.groupBy("key", "c").agg(F.count("*").alias("times"), F.any_value("ctx").alias("ctx")), "suffix-contexts")
     hot = materialise(each.groupBy("key").count().where(F.col("count") > HOT).select("key"), "suffix-hot")
     n_hot = hot.count()
@@ -334,6 +337,7 @@ def repeated_spans(ctx: DataFrame, length: int) -> DataFrame:
     if n_hot:
         found = found.union(compare_hot(materialise(each.join(few, "key"), "suffix-hot-contexts"), length))
     found = materialise(found, "suffix-verdicts")
+    release(ctx.sparkSession, keep=found, since=since)
     found = found.withColumnsRenamed({"key": "__key", "c": "__c"})
     return (named.select("key", "c", "id", "th", "start").join(found, (F.col("key") == F.col("__key")) & (F.col("c") == F.col("__c")))
             .select("id", "th", "start", F.explode("r").alias("r"))
@@ -364,9 +368,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = materialise(d.join(places, F.col("id").eqNullSafe(F.col("__id"))).drop("__id"), "suffix-found")
     if not kept:
         index.drop()
+    since = len(scratch_folders(docs.sparkSession))
     ctx = materialise(contexts(found, length, gram), "suffix-ctx")
     spans = materialise(repeated_spans(ctx, length).groupBy("id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
                         .withColumnsRenamed({"id": "__id", "th": "__th"}), "suffix-spans")
+    release(docs.sparkSession, keep=spans, since=since)
     hit = (found.select("id", "th", "text").dropDuplicates(["id", "th"])
            .join(spans, F.col("id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th"))))
 
