@@ -1,38 +1,49 @@
 """Exact top-k search by inner product with cover trees on both sides.
 
-Vectors are dealt into blocks of about ``BLOCK`` rows (by a hash of id, vector
-and a row salt, so rows that repeat an id spread as well); each block and each
-group of queries gets a cover tree (children lie within half the radius of their
-parent's covering ball, nodes hold their covering radius). A query group walks a
-block's tree together: for a query node with centre q and radius r and a data
-node with centre c and radius s, no pair in them scores more than
+Rows are dealt to the nearest of some pivots: the leaf centres of a cover tree over
+a sample (at most ``PIVOTS`` rows a length and ``PIVOT_BYTES``; the sample decides
+where rows go, never what is found). A pivot's rows are cut into blocks of about
+``BLOCK`` by a hash of id, vector and a written row salt, so rows that repeat an id or
+a vector spread as well. With s the largest distance of a row from its pivot c, no row
+there scores more than q·c + |q| s for a query q. Two rounds use that bound:
+
+1. each query meets the pivot of largest q·c, which gives it a kth score;
+2. it meets those other pivots whose bound reaches that score, and no others.
+
+So what is sent are rows times the query groups that need their pivot: near rows
+times queries / ``QUERY_GROUP`` where directions are uniform, far less where the data
+are clustered. The queries of a pivot are dealt into groups of about ``QUERY_GROUP``;
+a task gets one block and one group and builds a cover tree over each (children lie
+within half the radius of their parent's covering ball, nodes hold their covering
+radius). The group walks the block's tree together: for a query node with centre q
+and radius r and a data node with centre c and radius s, no pair in them scores more
+than
 
     q·c + |q| s + |c| r + r s
 
-so the pair of nodes is pruned when this is below the worst kth score that the
-query node's queries have so far. Leaves are scored exactly with integers.
-
-Queries are stated (ids divisible by 50 in the registered query) and dealt into
-groups of about ``QUERY_GROUP``; a task gets one block and one group, so blocks
-are sent once per group and groups once per block. Each pair returns its best k
-per query, with at most k rows per query and block, which a rank then merges.
-Work is queries times rows at worst: that is the search itself.
+so the pair of nodes is pruned when this is below the worst kth score that the query
+node's queries have, which in round 2 starts from round 1's. Leaves are scored
+exactly with integers. Each task returns its best k per query, which a rank merges.
 
 Components are floor(scale * x), x as double, scores whole numbers. A vector whose
-products could leave 64 bits with another one of the task is scored beside the
-trees with Python's integers. Defined cases: vectors that are null or hold null or
-non-finite components take no part; vectors are searched among those of their own
-length; a score beyond 64 bits is null, its rank is right; a null id takes no
-part; ties go to the smaller id; rows that repeat an id are candidates each, but
-none that carries the query's own id is its candidate; repeated query rows are one
-query per distinct vector and id; an empty table gives no rows; extra columns do
-not matter.
+products could leave 64 bits with another one is scored beside the trees with Python's
+integers: as a row it meets every query, as a query every row. The pivots reach the
+driver, with a count and a radius each; only the ``PIVOT_LENGTHS`` lengths with most
+rows have some, rows of other lengths are dealt around the origin.
+
+Defined cases: vectors that are null or hold null or non-finite components take no
+part; vectors are searched among those of their own length; a score beyond 64 bits is
+null, its rank is right; a null id takes no part; ties go to the smaller id; rows that
+repeat an id are candidates each, but none that carries the query's own id is its
+candidate; repeated query rows are one query per distinct vector and id; an empty
+table gives no rows; extra columns do not matter.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -48,10 +59,16 @@ BLOCK = 4096
 QUERY_GROUP = 512
 LEAF = 64
 QUERY_LEAF = 8
+PIVOTS = 4096  # rows of a length in the sample, so pivots at most
+PIVOT_BYTES = 16 << 20  # of all samples together
+PIVOT_LENGTHS = 64  # lengths that have pivots
+PIVOT_LEAF = 8
 SLACK = 1e-6  # relative room for rounding in the bounds
 WIDE = float(1 << 60)  # components from here on are sent as text
 OFFSET = 2200  # bits: more than a score of doubles can have
 SAFE = float(1 << 62)  # products of lengths below this stay within 64 bits
+NONE = -(1 << 63)  # as a kth score: none yet
+ALONE = -1  # the pivot of vectors that may leave 64 bits
 
 
 @dataclass
@@ -92,24 +109,32 @@ def build(vectors: np.ndarray, rows: np.ndarray, leaf: int = LEAF) -> Node:
 
 
 class Search:
-    """Best k of one query group, over one block after another."""
+    """Best k of one query group, over one block after another. ``floor``: scores
+    below it are not asked for, per query."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.ids, self.exact, self.k = ids, vectors, k
         self.float = vectors.astype(float)
         self.tree = build(self.float, np.arange(len(ids)), QUERY_LEAF)
+        self.floor = np.full(len(ids), NONE, dtype=np.int64) if floor is None else floor
+        self.start(self.tree)
         self.score = np.zeros((len(ids), k), dtype=np.int64)  # the first ``filled`` count
         self.found = np.full((len(ids), k), -1, dtype=np.int64)
         self.filled = np.zeros(len(ids), dtype=np.int64)
 
+    def start(self, q: Node) -> None:
+        q.worst = float(self.floor[q.rows].min())
+        for child in q.children:
+            self.start(child)
+
     def block(self, ids: np.ndarray, vectors: np.ndarray, tree: Node) -> None:
         self.cand_ids, self.cand = ids, vectors
         self.walk(self.tree, tree)
 
     def bound(self, q: Node, c: Node) -> float:
-        dot = float(q.centre @ c.centre)
-        spread = np.linalg.norm(q.centre) * c.radius + np.linalg.norm(c.centre) * q.radius + q.radius * c.radius
-        return dot + spread + SLACK * (abs(dot) + spread + 1)
+        a, b = np.linalg.norm(q.centre), np.linalg.norm(c.centre)
+        spread = a * c.radius + b * q.radius + q.radius * c.radius
+        return float(q.centre @ c.centre) + spread + SLACK * (a * b + spread + 1)
 
     def walk(self, q: Node, c: Node) -> None:
         if self.bound(q, c) < q.worst:
@@ -129,14 +154,14 @@ class Search:
         ids = self.cand_ids[c.rows]
         for r, s in zip(q.rows, scores):
             n = self.filled[r]
-            on = np.flatnonzero((ids != self.ids[r]) & ((s >= self.score[r].min()) if n == self.k else True))
+            on = np.flatnonzero((ids != self.ids[r]) & (s >= (max(self.score[r].min(), self.floor[r]) if n == self.k else self.floor[r])))
             if len(on):
                 some = np.concatenate([self.score[r, :n], s[on]]), np.concatenate([self.found[r, :n], ids[on]])
                 order = np.lexsort((some[1], -some[0]))[: self.k]
                 self.filled[r] = n = len(order)
                 self.score[r, :n], self.found[r, :n] = some[0][order], some[1][order]
-        if (self.filled[q.rows] == self.k).all():
-            q.worst = float(self.score[q.rows].min())
+        kth = np.where(self.filled[q.rows] == self.k, self.score[q.rows].min(1), NONE)
+        q.worst = float(np.maximum(kth, self.floor[q.rows]).min())
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
@@ -188,7 +213,7 @@ def best_of(q: Side, c: Side, k: int) -> list[tuple[int, int, int]]:
     rows = []
     if len(small_q) and len(small_c):
         cand = c.matrix(small_c)
-        s = Search(q.ids[small_q], q.matrix(small_q), k)
+        s = Search(q.ids[small_q], q.matrix(small_q), k, q.rows["t"].to_numpy(dtype=np.int64)[small_q])
         s.block(c.ids[small_c], cand, build(cand.astype(float), np.arange(len(cand)), LEAF))
         for i, n, ids, scores in zip(s.ids, s.filled, s.found, s.score):
             rows += [(int(i), int(x), int(y)) for x, y in zip(ids[:n], scores[:n])]
@@ -202,29 +227,105 @@ def best_of(q: Side, c: Side, k: int) -> list[tuple[int, int, int]]:
     return rows
 
 
-def dealt(v: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Queries and rows of ``v`` by (d, block, group): each query group meets each
-    block of its length in a task of its own. That is rows x groups and queries
-    x blocks rows, not pairs of vectors."""
+def leaf_centres(node: Node) -> list[np.ndarray]:
+    return [x for c in node.children for x in leaf_centres(c)] if node.children else [node.centre]
+
+
+def choose_pivots(v: DataFrame) -> dict[int, np.ndarray]:
+    """Pivots per length: about one per ``BLOCK`` rows, for lengths with more rows."""
+    sizes = (v.groupBy("d").agg(F.count("*").alias("n"), F.count_if("q").alias("asks")).where((F.col("n") > BLOCK) & (F.col("asks") > 0) & (F.col("d") > 0))
+             .orderBy(F.desc("n"), "d").limit(PIVOT_LENGTHS).collect())
+    out = {}
+    for r in sizes:
+        most = min(PIVOTS, PIVOT_BYTES // (8 * r["d"] * len(sizes)), math.ceil(r["n"] / BLOCK) * PIVOT_LEAF // 2)
+        some = (v.where((F.col("d") == r["d"]) & F.col("v").isNotNull()).orderBy(F.xxhash64("id", "v"), "salt").limit(most)
+                .select("v").collect())
+        sample = np.array([x["v"] for x in some], dtype=float).reshape(len(some), r["d"])
+        sample = np.unique(sample[np.linalg.norm(sample, axis=1) < SAFE ** 0.5], axis=0)
+        if len(sample) > 1:
+            out[r["d"]] = np.stack(leaf_centres(build(sample, np.arange(len(sample)), PIVOT_LEAF)))
+    return out
+
+
+def _by_length(d: pd.Series, v: pd.Series, pivots: dict[int, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, vectors, pivots) of the vectors that stay within 64 bits, in
+    runs of rows that keep rows x pivots small."""
+    ok = np.flatnonzero(v.notna())
+    for n in np.unique(d.to_numpy()[ok]):
+        at = ok[d.to_numpy()[ok] == n]
+        c = pivots.get(int(n), np.zeros((1, n)))
+        step = max(1, (1 << 20) // max(len(c), n))
+        for lo in range(0, len(at), step):
+            x = np.stack([np.asarray(v.iloc[i], dtype=float) for i in at[lo:lo + step]])
+            small = np.linalg.norm(x, axis=1) < SAFE ** 0.5
+            yield at[lo:lo + step][small], x[small], c
+
+
+def nearest_pivot(pivots: dict[int, np.ndarray]):
+    """(d, v) -> the pivot that a row is dealt to, and its distance."""
+    @F.pandas_udf("pivot int, far double")
+    def run(d: pd.Series, v: pd.Series) -> pd.DataFrame:
+        own, far = np.full(len(d), ALONE, np.int32), np.zeros(len(d))
+        for at, x, c in _by_length(d, v, pivots):
+            own[at] = ((c ** 2).sum(1) - 2 * (x @ c.T)).argmin(1)
+            far[at] = np.linalg.norm(x - c[own[at]], axis=1)
+        return pd.DataFrame({"pivot": own, "far": far})
+    return run
+
+
+def first_pivot(pivots: dict[int, np.ndarray], known: dict[int, dict[int, tuple[int, float]]], k: int):
+    """(d, v) -> the pivot of more than k rows with the largest product, null if there is none."""
+    @F.pandas_udf("array<int>")
+    def run(d: pd.Series, v: pd.Series) -> pd.Series:
+        out = [[] for _ in range(len(d))]
+        for at, x, c in _by_length(d, v, pivots):
+            some = np.array(sorted(p for p, (n, _) in known[int(d.iloc[at[0]])].items() if n > k and p != ALONE), dtype=int) if len(at) else []
+            if len(some):
+                for i, p in zip(at, some[(x @ c[some].T).argmax(1)]):
+                    out[i] = [int(p)]
+        return pd.Series(out)
+    return run
+
+
+def other_pivots(pivots: dict[int, np.ndarray], known: dict[int, dict[int, tuple[int, float]]]):
+    """(d, v, first, t) -> pivots that may hold a score of t or more, but the
+    first; all for a vector that may leave 64 bits."""
+    @F.pandas_udf("array<int>")
+    def run(d: pd.Series, v: pd.Series, first: pd.Series, t: pd.Series) -> pd.Series:
+        out = [sorted(known[int(n)]) for n in d]
+        for at, x, c in _by_length(d, v, pivots):
+            if not len(at):
+                continue
+            here = known[int(d.iloc[at[0]])]
+            some = np.array(sorted(p for p in here if p != ALONE), dtype=int)
+            far, size = np.array([here[p][1] for p in some]), np.linalg.norm(c[some], axis=1)
+            length = np.linalg.norm(x, axis=1)[:, None]
+            bound = x @ c[some].T + length * far + SLACK * (length * (size + far) + 1)
+            for i, reach in zip(at, bound >= t.to_numpy()[at][:, None]):
+                out[i] = [int(p) for p in some[reach] if p not in first.iloc[i]] + [ALONE] * (ALONE in here)
+        return pd.Series(out)
+    return run
+
+
+def dealt(queries: DataFrame, rows: DataFrame, blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows by (d, block, group): each group of the queries that ask
+    for a pivot meets each block of its rows in a task of its own."""
+    asks = queries.select("d", F.explode("ask").alias("pivot")).groupBy("d", "pivot").agg(F.ceil(F.count("*") / QUERY_GROUP).alias("n_groups"))
+    cells = F.broadcast(asks.join(blocks.select("d", "pivot", F.ceil(F.col("n") / BLOCK).alias("n_blocks")), ["d", "pivot"]))  # a row per pivot
+    deal = lambda name, of, *by: F.pmod(F.xxhash64(F.lit(name), *by), F.col(of)).cast("long")
+    every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
     row = [F.col(c).alias(c) for c in ("d", "id", "v", "w")]  # columns of their own on either side
-    deal = lambda name, of, *by: F.pmod(F.xxhash64(F.lit(name), *by), F.col(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), (F.col(of) - 1).cast("int")))
-    data = v.select(deal("block", "n_blocks", "id", "v", "w", "salt").alias("block"), *row, every("n_groups").alias("group"))
-    asked = (v.where("q").dropDuplicates(["id", "v", "w"])
-             .select(deal("group", "n_groups", "id", "v", "w").alias("group"), *row, every("n_blocks").alias("block")))
+    block = (F.shiftleft(F.col("pivot").cast("long"), 32) + F.col("sub")).alias("block")
+    data = (rows.join(cells, ["d", "pivot"]).select(*row, "pivot", deal("block", "n_blocks", "id", "v", "w", "salt").alias("sub"), every("n_groups").alias("group"))
+            .select(*row, block, "group"))
+    asked = (queries.select(*row, "t", F.explode("ask").alias("pivot")).join(cells, ["d", "pivot"])
+             .select(*row, "t", "pivot", deal("group", "n_groups", "id", "v", "w").alias("group"), every("n_blocks").alias("sub"))
+             .select(*row, "t", block, "group"))
     return asked, data
 
 
-def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding",
-          k: int = K, scale: int = SCALE) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: the k best candidates per query."""
-    # The salt is written with the rows, so that every reader deals them alike.
-    v = materialise(vectors.select(F.col(vec_id).cast("long").alias("id"), is_query.alias("q"), F.size(vector).alias("d"),
-                                   quantised(F.col(vector), scale).alias("p"), F.monotonically_increasing_id().alias("salt"))
-                    .where("id IS NOT NULL AND p IS NOT NULL").select("id", "q", "d", "p.*", "salt"), "cover-vectors")
-    # One row per length: few, as n components have at most about sqrt(2n) lengths.
-    sizes = v.groupBy("d").agg(F.ceil(F.count("*") / BLOCK).alias("n_blocks"), F.ceil(F.count_if("q") / QUERY_GROUP).alias("n_groups"))
-    asked, data = dealt(v.join(F.broadcast(sizes.where("n_groups > 0")), "d"))
+def met(asked: DataFrame, data: DataFrame, k: int, scale: int) -> DataFrame:
+    """The best k candidates per query of each task."""
 
     def search(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         rows = best_of(Side(q, scale), Side(c, scale), k) if len(q) and len(c) else []
@@ -235,8 +336,34 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector:
                              "beyond": pd.Series([0 if f else 1 if y > 0 else -1 for (_, _, y), f in zip(rows, fits)], dtype="int32"),
                              "order": [None if f else (y + (1 << OFFSET)).to_bytes(OFFSET // 8 + 1, "big") for (_, _, y), f in zip(rows, fits)]})
 
-    got = (asked.groupBy("d", "block", "group").cogroup(data.groupBy("d", "block", "group"))
-           .applyInPandas(search, "query_id long, vec_id long, score long, beyond int, order binary"))
+    return (asked.groupBy("d", "block", "group").cogroup(data.groupBy("d", "block", "group"))
+            .applyInPandas(search, "query_id long, vec_id long, score long, beyond int, order binary"))
+
+
+def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding",
+          k: int = K, scale: int = SCALE) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: the k best candidates per query."""
+    # The salt is written with the rows, so that every reader deals them alike.
+    v = materialise(vectors.select(F.col(vec_id).cast("long").alias("id"), is_query.alias("q"), F.size(vector).alias("d"),
+                                   quantised(F.col(vector), scale).alias("p"), F.monotonically_increasing_id().alias("salt"))
+                    .where("id IS NOT NULL AND p IS NOT NULL").select("id", "q", "d", "p.*", "salt"), "cover-vectors")
+    pivots = choose_pivots(v)
+    rows = materialise(v.withColumn("p", nearest_pivot(pivots)("d", "v")).select("id", "q", "d", "v", "w", "salt", "p.*"), "cover-rows")
+    blocks = materialise(rows.groupBy("d", "pivot").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.count_if("q").alias("asks")), "cover-blocks")
+    known: dict[int, dict[int, tuple[int, float]]] = {}  # per length: pivot -> rows and radius
+    for r in blocks.collect():
+        known.setdefault(r["d"], {})[r["pivot"]] = (r["n"], r["far"])
+
+    queries = rows.where("q").dropDuplicates(["id", "v", "w"]).select("id", "d", "v", "w")
+    queries = materialise(queries.withColumn("ask", first_pivot(pivots, known, k)("d", "v")).withColumn("t", F.lit(NONE).cast("long")), "cover-first")
+    got = materialise(met(*dealt(queries, rows, blocks), k, scale), "cover-found")
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    kth = (got.where("beyond = 0").withColumn("r", F.row_number().over(by_score)).where(F.col("r") == k)
+           .select(F.col("query_id").alias("id"), F.col("score").alias("t")))
+    left = (queries.drop("t").withColumnRenamed("ask", "first").join(kth, "id", "left").withColumn("t", F.coalesce("t", F.lit(NONE).cast("long")))
+            .withColumn("ask", other_pivots(pivots, known)("d", "v", "first", F.col("t").cast("double"))))
+    left = materialise(left.where(F.size("ask") > 0), "cover-left")
+    got = got.union(met(*dealt(left, rows, blocks), k, scale))
     w = Window.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("order"), F.desc("score"), "vec_id")
     return got.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -453,7 +453,7 @@ def test_top_k_tasks_hold_one_query_group_and_one_block(spark, monkeypatch):
     vecs[:100] = [vecs[0]] * 100  # half of them with one vector
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, vecs)], "vec_id long, embedding array<double>")
     got = cover_tree.top_k(df, F.col("vec_id") % 2 == 0, k=4)
-    assert held[0] < 3 * 16 and held[1] < 2 * 64, held
+    assert len(held) == 4 and max(held[::2]) < 3 * 16 and max(held[1::2]) < 2 * 64, held
     want = []
     for i, v in zip(ids, vecs):
         if i % 2 == 0:
@@ -462,6 +462,36 @@ def test_top_k_tasks_hold_one_query_group_and_one_block(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
+def test_top_k_sends_rows_to_the_groups_that_need_them(spark, monkeypatch):
+    """Clustered rows, four and sixteen blocks: what is sent grows by less than the square, and the result is exact."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(cover_tree, "BLOCK", 100)
+    monkeypatch.setattr(cover_tree, "QUERY_GROUP", 10)
+    real, sent = cover_tree.dealt, []
+
+    def dealt(*args):
+        sides = real(*args)
+        sent[-1] += sides[1].count()
+        return sides
+
+    monkeypatch.setattr(cover_tree, "dealt", dealt)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 1, (24, 12))
+    centres *= 30 / np.linalg.norm(centres, axis=1, keepdims=True)
+    for n in (400, 1600):
+        sent.append(0)
+        vecs = centres[rng.integers(0, 24, n)] + rng.normal(0, 0.3, (n, 12))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>")
+        got = cover_tree.top_k(df, F.col("vec_id") % 10 == 0)
+        whole = np.floor(vecs * 256).astype(np.int64)
+        scores = whole[::10] @ whole.T
+        want = [(10 * r, k + 1, int(j), int(s[j])) for r, s in enumerate(scores)
+                for k, j in enumerate([j for j in np.lexsort((np.arange(n), -s)) if j != 10 * r][:5])]
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert sent[1] < 8 * sent[0] and sent[1] < 0.5 * 1600 * 16, sent
+
+
 def test_top_k_keeps_every_finite_vector(spark):
     """Long components, scores beyond 2^53 and 2^63, and other lengths, against Python's integers."""
     import fractions
