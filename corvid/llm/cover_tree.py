@@ -57,8 +57,8 @@ SCALE = 256
 K = 5
 BLOCK = 4096
 QUERY_GROUP = 512
-LEAF = 64
-QUERY_LEAF = 8
+LEAF = 256  # a leaf pair is one matrix product: below some thousand products its calls cost more than its work
+QUERY_LEAF = 16
 PIVOTS = 4096  # rows of a length in the sample, so pivots at most
 PIVOT_BYTES = 16 << 20  # of all samples together
 PIVOT_LENGTHS = 64  # lengths that have pivots
@@ -128,7 +128,10 @@ class Search:
             self.start(child)
 
     def block(self, ids: np.ndarray, vectors: np.ndarray, tree: Node) -> None:
-        self.cand_ids, self.cand = ids, vectors
+        self.cand_ids, self.cand, self.cand_float = ids, vectors, vectors.astype(float)
+        # Sums below 2^53 are whole in doubles, whatever their order.
+        longest = [np.linalg.norm(x, axis=1).max(initial=0) for x in (self.float, self.cand_float)]
+        self.floats = longest[0] * longest[1] < 1 << 52
         self.walk(self.tree, tree)
 
     def bound(self, q: Node, c: Node) -> float:
@@ -150,9 +153,13 @@ class Search:
                 self.walk(q, child)
 
     def leaves(self, q: Node, c: Node) -> None:
-        scores = self.exact[q.rows] @ self.cand[c.rows].T
+        if self.floats:
+            scores = (self.float[q.rows] @ self.cand_float[c.rows].T).astype(np.int64)
+        else:
+            scores = self.exact[q.rows] @ self.cand[c.rows].T
         ids = self.cand_ids[c.rows]
-        for r, s in zip(q.rows, scores):
+        for at in np.flatnonzero((scores >= self.asked(q.rows)[:, None]).any(1)):
+            r, s = q.rows[at], scores[at]
             n = self.filled[r]
             on = np.flatnonzero((ids != self.ids[r]) & (s >= (max(self.score[r].min(), self.floor[r]) if n == self.k else self.floor[r])))
             if len(on):
@@ -160,8 +167,11 @@ class Search:
                 order = np.lexsort((some[1], -some[0]))[: self.k]
                 self.filled[r] = n = len(order)
                 self.score[r, :n], self.found[r, :n] = some[0][order], some[1][order]
-        kth = np.where(self.filled[q.rows] == self.k, self.score[q.rows].min(1), NONE)
-        q.worst = float(np.maximum(kth, self.floor[q.rows]).min())
+        q.worst = float(self.asked(q.rows).min())
+
+    def asked(self, rows: np.ndarray) -> np.ndarray:
+        """Per query the score that a candidate must reach."""
+        return np.maximum(np.where(self.filled[rows] == self.k, self.score[rows].min(1), NONE), self.floor[rows])
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
