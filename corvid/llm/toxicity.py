@@ -13,7 +13,8 @@ hash of doc_id, whole texts); every document is scored, whole.
 
 Defined cases: a null or empty text has the score of a text without features; a
 null doc_id is never held out nor trained on; repeated label rows count as their
-largest label, null labels not at all; without labelled rows of both classes
+largest label, null labels not at all; of documents that share a labelled id the one
+with the least text hash is trained on; without labelled rows of both classes
 every score is the share of toxic rows seen (0 if there is none); extra columns
 do not matter.
 """
@@ -185,9 +186,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                 yield pd.DataFrame({"i": b["i"][first:first + len(part)].to_numpy(), "y": b["y"][first:first + len(part)].to_numpy(),
                                     "h": [np.unique(h[at[k]:at[k + 1]]).tobytes() for k in range(len(part))]})
 
-    # At most max_train labels: small enough to send to every task, so no text is shuffled.
+    # At most max_train labels: small enough to send to every task, so only texts of labelled ids are shuffled, one
+    # of each id: what is collected is bounded by max_train rows, however many rows repeat an id.
     got = (docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).join(F.broadcast(lab), "i")
-           .select(F.col("i").cast("string"), F.col("y").cast("double"), "t")
+           .groupBy("i").agg(F.max("y").alias("y"), F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("one"))
+           .select(F.col("i").cast("string"), F.col("y").cast("double"), F.col("one.t").alias("t"))
            .mapInPandas(rows, "i string, y double, h binary")).toPandas()
     got = got.sort_values("i", kind="stable")
     return fit([np.frombuffer(h, np.uint64) for h in got["h"]], got["y"].to_numpy() > 0, **options)

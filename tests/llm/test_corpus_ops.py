@@ -605,3 +605,16 @@ def test_shingles_equal_brute_force():
         names.setdefault(frozenset(s), own)
         assert names[frozenset(s)] == own
     assert len({frozenset(v) for v in names.values()}) == len(names)
+
+
+def test_training_takes_one_row_of_each_labelled_id(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, labels, **_: seen.append((len(rows), labels.tolist())))
+    held = {r.i: r.h for r in spark.range(20).selectExpr("id AS i").select("i", toxicity.held_out(F.col("i")).alias("h")).collect()}
+    own = [i for i in range(20) if not held[i]]
+    docs = [(i, f"text {i}") for i in range(20)] + [(own[0], None)] * 400 + [(own[1], "text of copies")] * 400 + [(None, "no id")]
+    labels = [(i, i % 2) for i in range(20)] + [(own[0], 0)] * 5
+    toxicity.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert seen[0][0] == len(own) and sum(seen[0][1]) == sum(i % 2 for i in own)
