@@ -20,8 +20,9 @@ not yet connected: exact, and a large group of near copies costs stars, not pair
 
 Defined cases: a null text, or one without words, has an empty set and is linked
 with nothing; rows with a null doc_id get a null component and link nothing;
-repeated rows have equal sets, so they are one class; rows of one doc_id with
-other texts are documents of their own; extra columns do not matter.
+repeated rows have equal sets, so they are one class, and a written row salt deals
+them to blocks like any others; rows of one doc_id with other texts are documents of
+their own; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import materialise, parts_for, text_bytes
+from corvid.llm.common import drop_folder, materialise, materialise_at, parts_for, text_bytes
 from corvid.llm.components import components
 from corvid.llm.hashing import Words, chunks, mix64, range_bucket, shingles
 
@@ -142,17 +143,24 @@ def _prefixes(key, docs: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def shingle_prefixes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``(id, n, d1, d2, n1, text, p0, p1, p2)`` per row of ``docs``."""
-    size = text_bytes(docs, text)
+def salted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``(id, text, salt)``, to be written: every reader of the rows then deals
+    them alike. Ids go as text: a pandas column of longs with nulls would become
+    doubles."""
+    return docs.select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("salt"))
+
+
+def blocked(rows: DataFrame, n_blocks: int) -> DataFrame:
+    return rows.select("id", "text", F.pmod(F.xxhash64("id", "salt"), F.lit(n_blocks)).cast("int").alias("block"))
+
+
+def shingle_prefixes(rows: DataFrame, kind: str) -> DataFrame:
+    """``(id, n, d1, d2, n1, text, p0, p1, p2)`` per written row of ``salted``; ``kind``: the ids' type."""
+    size = text_bytes(rows, "text")
     n_blocks, n_buckets = parts_for(size, BLOCK_BYTES), parts_for(size / 6, BUCKET_TOKENS, 12)
-    # ids go as text: a pandas column of longs with nulls would become doubles
-    d = docs.select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"),
-                    F.pmod(F.xxhash64(doc_id, F.length(text)), F.lit(n_blocks)).cast("int").alias("block"))
-    d = d.repartition(max(n_blocks, 1), "block")  # one exchange of the texts serves both passes
+    d = blocked(rows, n_blocks).repartition(max(n_blocks, 1), "block")  # one exchange of the texts serves both passes
     asked = d.groupBy("block").applyInPandas(_requests(n_buckets), "bucket int, block int, keys binary, counts binary")
     told = asked.groupBy("bucket").applyInPandas(_classes, "block int, bucket int, classes binary")
-    kind = dict(docs.dtypes)[doc_id]
     prefixes = ", p0 array<long>" + "".join(f", p{k} array<int>" for k in range(1, ORDERS))
     got = d.groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
         _prefixes, f"id string, n long, d1 long, d2 long, n1 long, text string{prefixes}")
@@ -186,18 +194,22 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def verified(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (hub or odd one ``u``, other ``v``) that pass the other orders'
     filters and the exact test."""
-    side = lambda n: reps.select(F.col("node").alias(n), F.col("text").alias("t" + n),
-                                 *[F.col(f"p{k}").alias(f"p{k}{n}") for k in range(1, ORDERS)])
+    later = range(1, ORDERS)
+    side = lambda n: reps.select(F.col("node").alias(n), *[F.col(f"p{k}").alias(f"p{k}{n}") for k in later])
     j = pairs.join(side("v"), "v").join(side("u"), "u")
-    for k in range(1, ORDERS):
+    for k in later:
         j = j.where(F.arrays_overlap(f"p{k}u", f"p{k}v"))
+    texts = lambda n: reps.select(F.col("node").alias(n), F.col("text").alias("t" + n))
+    j = j.select("u", "v").join(texts("v"), "v").join(texts("u"), "u")  # texts meet only the pairs that are left
     j = j.select("u", "v", F.col("tu").alias("ta"), F.col("tv").alias("tb"))
     return j.mapInPandas(_verify, "u {0}, v {0}".format(dict(reps.dtypes)["node"]))
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id)`` per row of ``docs``."""
-    sets = materialise(shingle_prefixes(docs, doc_id, text), "jaccard-sets")
+    rows, folder = materialise_at(salted(docs, doc_id, text), "jaccard-rows")
+    sets = materialise(shingle_prefixes(rows, dict(docs.dtypes)[doc_id]), "jaccard-sets")
+    drop_folder(docs.sparkSession, folder)
     same = ["n", "d1", "d2"]
     known = sets.where(F.col("id").isNotNull() & (F.col("n") > 0))
     classes = materialise(known.groupBy(*same).agg(F.min("id").alias("node"), F.count("*").alias("members")), "jaccard-classes")

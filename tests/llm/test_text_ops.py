@@ -173,3 +173,11 @@ def test_exclusive_sums(spark):
         g = g.sort_values("before")
         assert list(g["before"]) == list(g["v"].cumsum() - g["v"])
     assert F.col is not None
+
+
+def test_repeated_rows_spread_over_blocks(spark):
+    rows = [(7, "the same text in every row")] * 3000 + [(None, "without an id")] * 1500 + [(i, f"text {i} of its own") for i in range(100, 1600)]
+    df = docs_of(spark, rows).repartition(3)
+    written = common.materialise(jaccard_join.salted(df, "doc_id", "text"), "test-rows")
+    held = jaccard_join.blocked(written, 30).groupBy("block").count().collect()
+    assert sum(r["count"] for r in held) == 6000 and max(r["count"] for r in held) < 2 * 200
