@@ -22,7 +22,7 @@ KEY = "the"
 
 
 def _bow(spark, sf):
-    return bag_of_words(inputs.documents(spark, sf), "doc_id", "text").withColumnRenamed("doc_id", "row_id")
+    return bag_of_words(inputs.documents_by_id(spark, sf), "doc_id", "text").withColumnRenamed("doc_id", "row_id")
 
 
 def _maps(spark, sf):

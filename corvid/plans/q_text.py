@@ -32,7 +32,7 @@ def q_read_word_list(spark, sf):
 SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, unnest({tokens('text')}) AS token FROM documents)
 GROUP BY doc_id, token""")
 def q_tokenize(spark, sf):
-    d = inputs.documents(spark, sf)
+    d = inputs.documents_by_id(spark, sf)
     return (d.select("doc_id", F.explode(T.tokens("text")).alias("token"))
             .groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n")))
 

@@ -5,12 +5,16 @@ parsed with regular expressions into the long form — no code is executed."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.iterate import Steps
 from corvid.sources.text import numbered_lines
 
+ENTRIES_PER_TASK = 1_000_000  # entries of parsed lines that one task groups
+
 # Fixed patterns of the line format (a Python dict literal and a label).
 _KEY = r"""(?:'((?:[^'\\]|\\.)*+)'|"((?:[^"\\]|\\.)*+)")"""
 _NUM = r"([-+]?(?:[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?|inf|nan|Infinity))"
@@ -61,7 +65,9 @@ def sparse_points_from_lines(lines: DataFrame, id_col: str, line_col: str = "lin
     p = lines.select(F.col(id_col).alias("row_id"), parse_sparse_line(line_col).alias("p"))
     p = Steps(lines.sparkSession, "sparse-lines").write(p)
     points = p.select("row_id", F.col("p.y").alias("y"))
-    e = p.select("row_id", F.posexplode("p.entries").alias("pos", "e"))
+    n = math.ceil((p.agg(F.sum(F.size("p.entries")).alias("n")).first()["n"] or 0) / ENTRIES_PER_TASK)
+    dealt = p.repartition(max(n, lines.sparkSession.sparkContext.defaultParallelism), "row_id")  # lines move, not entries
+    e = dealt.select("row_id", F.posexplode("p.entries").alias("pos", "e"))
     x_long = (e.groupBy("row_id", F.col("e.feature").alias("feature"))
               .agg(F.max_by(F.col("e.value"), F.col("pos")).alias("value")))
     return points, x_long
