@@ -8,6 +8,7 @@ that set — an equi-join, broadcast when the set is proven small.
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from corvid.plans.joins import is_bounded
 DCF_DIFFICULT_WEIGHT = 0.1579
 DCF_LENGTH_WEIGHT = 0.0496
 TOP_K = 30
+SLICE_BYTES = 32 << 20  # of text that one task of the sweep reads
 
 
 def _cols(cols):
@@ -173,14 +175,19 @@ def dale_chall(df: DataFrame, keys_df: DataFrame, text_col: str = "text", rows_a
 def partition_sweep(df: DataFrame, keys_df: DataFrame, partitions=(2, 5, 10, 15, 20),
                     text_col: str = "text") -> DataFrame:
     """The collection score and its wall time for each partition count of the
-    input: ``(n_partitions, n_used, dcf, seconds)``. ``n_used`` is counted by the
-    run itself (tasks that read rows), so it shows that N was kept."""
+    input: ``(n_partitions, n_used, dcf, seconds)``. A partition is dealt as slices of
+    about ``SLICE_BYTES`` of text, a task each, so that no task reads more as the table
+    grows; its counts are summed over its slices, the score over the partitions.
+    ``n_used`` is counted by the run itself (partitions that hold rows), so it shows
+    that N was kept."""
     spark = df.sparkSession
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     rows = []
     for n in partitions:
         start = time.time()
-        dealt = df.repartition(n)
-        used = dealt.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p").alias("n")).first()["n"]
-        r = dale_chall(dealt, keys_df, text_col).first()
-        rows.append((int(n), int(used), float(r["dcf"]) if r["dcf"] is not None else None, time.time() - start))
+        slices = max(1, math.ceil(size / n / SLICE_BYTES))
+        dealt = df.select(text_col).repartition(n * slices).withColumn("_part", F.spark_partition_id() % n)
+        per = readability(dealt, keys_df, ["_part"], text_col)
+        r = per.agg(F.count(F.lit(1)).alias("used"), dcf_expr(F.sum("difficult"), F.sum("words"), F.sum("sentences")).alias("dcf")).first()
+        rows.append((int(n), int(r["used"]), float(r["dcf"]) if r["dcf"] is not None else None, time.time() - start))
     return spark.createDataFrame(rows, "n_partitions int, n_used int, dcf double, seconds double")

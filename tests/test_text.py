@@ -168,3 +168,31 @@ def test_words_of_a_document_are_grouped_where_its_text_is(spark, tmp_path, monk
         for w in t.split():
             want[i, w] = want.get((i, w), 0) + 1
     assert got == want
+
+
+def test_partitions_of_the_sweep_are_read_in_slices(spark, monkeypatch):
+    """A partition is several tasks where its texts are many; all rows are scored, null
+    and empty texts and equal rows included."""
+    words = spark.createDataFrame([("the",), ("sea",)], "word string")
+    rows = [(i % 7, None if i % 11 == 0 else "" if i % 13 == 0 else f"the sea is w{i}\nand w{i % 5} seas") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = R.dale_chall(df, R.easy_keys(words)).first()["dcf"]
+    tasks, score = [], R.readability
+
+    def watched(d, *more, **named):
+        tasks.append(d.rdd.getNumPartitions())
+        return score(d, *more, **named)
+
+    monkeypatch.setattr(R, "readability", watched)
+    monkeypatch.setattr(R, "SLICE_BYTES", 1000, raising=False)
+    got = R.partition_sweep(df, R.easy_keys(words), (2, 5)).collect()
+    assert [(r["n_partitions"], r["n_used"]) for r in got] == [(2, 2), (5, 5)]
+    assert all(r["dcf"] == want for r in got)
+    size = sum(len(t or "") for _, t in rows)
+    assert all(n * 1000 >= size for n in tasks), tasks
+
+
+def test_sweep_of_no_rows(spark):
+    words = spark.createDataFrame([("the",)], "word string")
+    got = R.partition_sweep(spark.createDataFrame([], "doc_id long, text string"), R.easy_keys(words), (2,)).first()
+    assert (got["n_partitions"], got["n_used"], got["dcf"]) == (2, 0, None)
