@@ -39,8 +39,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.iterate import release
-from corvid.llm.common import bounded_batches, drop_folder, materialise, materialise_at, parts_for
+from corvid.iterate import drop_shuffles, release
+from corvid.llm import common
+from corvid.llm.common import bounded_batches, drop_folder, parts_for
 from corvid.llm.hashing import Rolling, mix64, range_bucket
 from corvid.session import scratch_folders
 
@@ -116,6 +117,18 @@ def suffixes(docs: DataFrame, length: int, gram: int) -> DataFrame:
         "key", F.col("id").cast(dict(docs.dtypes)["id"]).alias("id"), "pos")
 
 
+def materialise_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``common.materialise_at``; the shuffles that made the table go from the disks
+    with it written, and not whenever the driver next collects garbage."""
+    out = common.materialise_at(df, name)
+    drop_shuffles(df.sparkSession)
+    return out
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    return materialise_at(df, name)[0]
+
+
 @dataclass
 class SuffixIndex:
     """The family of levels; ``repeated`` collects the keys found twice."""

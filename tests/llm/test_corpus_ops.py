@@ -618,3 +618,33 @@ def test_training_takes_one_row_of_each_labelled_id(spark, monkeypatch):
     labels = [(i, i % 2) for i in range(20)] + [(own[0], 0)] * 5
     toxicity.train(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert seen[0][0] == len(own) and sum(seen[0][1]) == sum(i % 2 for i in own)
+
+
+def test_shuffles_of_written_tables_leave_the_disks(spark, monkeypatch):
+    """Each written table is there before the next is begun; what was shuffled for it
+    must not stay on the disks until the driver happens to collect garbage."""
+    import glob
+    import os
+    import time
+
+    from corvid.llm import common
+
+    rng = np.random.default_rng(8)
+    passage = ["".join(rng.choice(list("abcdefgh "), 400)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, passage[i % 20] + "".join(rng.choice(list("abcdefgh "), 300))) for i in range(200)], "doc_id long, text string")
+    disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {os.path.basename(f).split("_")[1] for d in disks for f in glob.glob(os.path.join(d, "*", "shuffle_*.data"))}
+    before, left, write = shuffled(), [], common.materialise_at
+
+    def watched(df, name):
+        until = time.time() + 1
+        while shuffled() - before and time.time() < until:  # files go a moment after their shuffle
+            time.sleep(0.05)
+        left.append(len(shuffled() - before))
+        return write(df, name)
+
+    monkeypatch.setattr(common, "materialise_at", watched)
+    if suffix_dedup.materialise_at is write:
+        monkeypatch.setattr(suffix_dedup, "materialise_at", watched)
+    assert suffix_dedup.remove_repeats(docs).where("n_removed > 0").count() == 200
+    assert len(left) > 8 and max(left) <= 4, left  # those of counts since the last table
